@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+from oracle_sql.checks import results_sql
 from oracle_sql.models import model_sql
 
+DQ_KINDS = ("not_null", "unique", "accepted_values", "relationships", "accepted_range",
+            "is_positive", "no_future_dates", "valid_date_range")
+
+
+def dq_sql() -> dict[str, str]:
+    from salesmart.operators.rules import declared_checks
+    out = {f"dq_{k}": results_sql(declared_checks(kinds={k})) for k in DQ_KINDS}
+    out["dq_declared"] = results_sql(declared_checks())
+    out["dq_summary"] = (
+        "WITH r AS (" + results_sql(declared_checks()) + ") "
+        "SELECT status, CAST(count(*) AS BIGINT) AS checks, CAST(sum(failures) AS BIGINT) AS failing_rows "
+        "FROM r GROUP BY status")
+    return out
+
 
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(model_sql())
+    out.update(dq_sql())
     return out

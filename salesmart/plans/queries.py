@@ -32,7 +32,37 @@ def model_queries() -> dict[str, Query]:
     return {n: _model_query(n) for n in MODEL_NAMES}
 
 
+# ------------------------------------------------------------------ data quality
+DQ_KINDS = ("not_null", "unique", "accepted_values", "relationships", "accepted_range",
+            "is_positive", "no_future_dates", "valid_date_range")
+
+
+def _dq_query(kinds) -> Query:
+    from salesmart.operators.quality import evaluate
+    from salesmart.operators.rules import declared_checks
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        models = test_models(spark, sf_dir, TEST_AS_OF)
+        return comparable(evaluate(models, declared_checks(kinds=kinds), TEST_AS_OF))
+    return run
+
+
+def _dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.operators.quality import evaluate, summary
+    from salesmart.operators.rules import declared_checks
+    models = test_models(spark, sf_dir, TEST_AS_OF)
+    return comparable(summary(evaluate(models, declared_checks(), TEST_AS_OF)))
+
+
+def dq_queries() -> dict[str, Query]:
+    out = {f"dq_{k}": _dq_query({k}) for k in DQ_KINDS}
+    out["dq_declared"] = _dq_query(None)
+    out["dq_summary"] = _dq_summary
+    return out
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(model_queries())
+    out.update(dq_queries())
     return out
