@@ -38,20 +38,20 @@ DQ_KINDS = ("not_null", "unique", "accepted_values", "relationships", "accepted_
 
 
 def _dq_query(kinds) -> Query:
-    from salesmart.operators.quality import evaluate
+    from salesmart.operators.quality import run_checks
     from salesmart.operators.rules import declared_checks
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         models = test_models(spark, sf_dir, TEST_AS_OF)
-        return comparable(evaluate(models, declared_checks(kinds=kinds), TEST_AS_OF))
+        return comparable(run_checks(models, declared_checks(kinds=kinds), TEST_AS_OF))
     return run
 
 
 def _dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from salesmart.operators.quality import evaluate, summary
+    from salesmart.operators.quality import run_checks, summary
     from salesmart.operators.rules import declared_checks
     models = test_models(spark, sf_dir, TEST_AS_OF)
-    return comparable(summary(evaluate(models, declared_checks(), TEST_AS_OF)))
+    return comparable(summary(run_checks(models, declared_checks(), TEST_AS_OF)))
 
 
 def dq_queries() -> dict[str, Query]:
