@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle_sql.checks import results_sql
 from oracle_sql.models import model_sql
+from oracle_sql.reports import report_sql
 
 DQ_KINDS = ("not_null", "unique", "accepted_values", "relationships", "accepted_range",
             "is_positive", "no_future_dates", "valid_date_range")
@@ -24,4 +25,5 @@ def all_sql() -> dict[str, str]:
     out = {}
     out.update(model_sql())
     out.update(dq_sql())
+    out.update(report_sql())
     return out

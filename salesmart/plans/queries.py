@@ -61,8 +61,26 @@ def dq_queries() -> dict[str, Query]:
     return out
 
 
+def _report_query(name: str) -> Query:
+    from salesmart.plans.reports import REPORTS
+    fn = REPORTS[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = test_models(spark, sf_dir, TEST_AS_OF)
+        df = fn(m, TEST_AS_OF) if name == "lifecycle_counts" else fn(m)
+        return comparable(df)
+    run.__name__ = name
+    return run
+
+
+def report_queries() -> dict[str, Query]:
+    from salesmart.plans.reports import REPORTS
+    return {n: _report_query(n) for n in REPORTS}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(model_queries())
     out.update(dq_queries())
+    out.update(report_queries())
     return out
