@@ -93,6 +93,8 @@ src_person AS (
          split_part(c_name, '#', 2) AS LastName,
          CASE WHEN c_custkey % 3 = 1 THEN ' M ' WHEN c_custkey % 3 = 2 THEN '' END AS MiddleName,
          CAST(c_custkey % 3 AS INTEGER) AS EmailPromotion,
+         'customer' || CAST(c_custkey AS VARCHAR) ||
+           CASE WHEN c_custkey % 7 = 0 THEN '-at-example.com' ELSE '@example.com' END AS EmailAddress,
          TIMESTAMP '2001-08-01 00:00:00' AS ModifiedDate
   FROM customer
 ),{_LINES},

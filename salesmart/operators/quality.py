@@ -66,6 +66,9 @@ class Check:
             extra = "__".join(p["columns"]) + "__" + p["to"]
         elif self.kind == "equal_rowcount":
             extra = p["to"]
+        if p.get("name"):
+            extra = f"{extra}__{p['name']}" if extra else p["name"]
+            return ".".join(x for x in (self.model, self.kind, self.column, extra) if x)
         return ".".join(x for x in (self.model, self.kind, self.column or extra) if x)
 
 
@@ -319,3 +322,8 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check], as_of=None,
     out = spark.createDataFrame(rows, RESULT_SCHEMA)
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(
         F.when(F.col("severity") == "warn", "warn").otherwise("fail")))
+
+
+def duplicates(df: DataFrame, columns: list[str]) -> DataFrame:
+    """AGG-18/DQ-22: each duplicated key tuple with its row count (HAVING count > 1)."""
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("dup_count")).filter(F.col("dup_count") > 1)

@@ -224,3 +224,117 @@ def declared_checks(models=None, kinds=None) -> list[Check]:
             if kinds is None or c.kind in kinds:
                 out.append(c)
     return out
+
+
+# ---- guide-level checks (written out only in the guides), applied to our models ----
+# Fixed values chosen for the test data; each check kind mirrors one guide check.
+def guide_checks() -> dict[str, list[Check]]:
+    models = ("stg_customers", "stg_products", "stg_sales_orders", "int_customer_orders",
+              "int_product_sales", "dim_customer_metrics", "fct_sales_summary", "fct_product_performance")
+    return {
+        "recency": [
+            Check("fct_sales_summary", "recency", "order_date", {"count": 30, "period": "day"}),
+            Check("stg_sales_orders", "recency", "header_modified_date", {"count": 1, "period": "day"}),
+            Check("dim_customer_metrics", "recency", "last_order_date", {"count": 168, "period": "hour"}),
+        ],
+        "equal_rowcount": [
+            Check("int_product_sales", "equal_rowcount", None, {"to": "stg_sales_orders"}),
+            Check("dim_customer_metrics", "equal_rowcount", None, {"to": "stg_customers"}),
+        ],
+        "unique_combination": [
+            Check("int_product_sales", "unique_combination", None,
+                  {"columns": ["product_id", "order_date", "sales_order_id"]}),
+            Check("stg_sales_orders", "unique_combination", None,
+                  {"columns": ["sales_order_id", "sales_order_detail_id"]}),
+        ],
+        "regex": [
+            Check("stg_customers", "regex", "account_number", {"pattern": "^CUSTOMER#[0-9]+$"}),
+            Check("stg_sales_orders", "regex", "sales_order_number", {"pattern": "^SO[0-9]+$"}),
+            Check("src_person", "regex", "EmailAddress",
+                  {"pattern": "^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}$"}),
+        ],
+        "between": [
+            Check("stg_sales_orders", "between", "unit_price_discount", {"min": 0, "max": 0.05}),
+            Check("stg_sales_orders", "between", "order_date", {"min": "1995-01-01", "max": "2001-06-30"}),
+        ],
+        "in_set": [
+            Check("stg_products", "in_set", "color",
+                  {"values": ["economy", "promo", "large", "standard", "medium", "Unknown"]}),
+            Check("int_customer_orders", "in_set", "order_status_code", {"values": [1, 2, 5]}),
+        ],
+        "row_count": [Check(m, "row_count_between", None, {"min": 1, "max": None}) for m in models]
+        + [Check("stg_products", "row_count_between", None, {"min": 1, "max": 1000, "name": "at_most_1000"})],
+        "mean": [
+            Check("stg_sales_orders", "mean_between", "unit_price_discount", {"min": 0, "max": 0.1}),
+            Check("fct_sales_summary", "mean_between", "total_orders", {"min": 10, "max": None}),
+        ],
+        "non_negative": [
+            Check("int_product_sales", "non_negative", "unit_profit"),
+            Check("int_product_sales", "non_negative", "line_profit"),
+            Check("stg_sales_orders", "non_negative", "order_freight"),
+        ],
+        "email": [Check("src_person", "like", "EmailAddress", {"pattern": "%_@__%.__%"})],
+        "orphans": [
+            Check("int_product_sales", "orphans", None,
+                  {"columns": ["sales_order_id", "customer_id"], "to": "int_customer_orders"}),
+        ],
+        "smoke": smoke_checks(),
+        "contract": expand_contract(CONTRACT)[0],
+    }
+
+
+def smoke_checks() -> list[Check]:
+    """DQ-24: each mart exists, has rows, has no NULL key, and is recent enough."""
+    out = []
+    for model, key, newest, hours in (
+            ("fct_sales_summary", "order_date", "order_date", 24),
+            ("dim_customer_metrics", "customer_id", "last_order_date", 168),
+            ("fct_product_performance", "product_id", "last_sale_date", 24)):
+        out += [Check(model, "table_exists"),
+                Check(model, "row_count_between", None, {"min": 1, "max": None}),
+                Check(model, "not_null", key),
+                Check(model, "recency", newest, {"count": hours, "period": "hour"})]
+    return out
+
+
+# DQ-25: a data contract — per column type, required, unique, min/max, allowed
+# values — plus table freshness and completeness (values of the guide's example).
+CONTRACT = {
+    "model": "dim_customer_metrics",
+    "freshness": {"column": "last_order_date", "hours": 24},
+    "completeness": 0.99,
+    "columns": {
+        "customer_id": {"type": "bigint", "required": True, "unique": True},
+        "account_number": {"type": "string", "required": True, "unique": True},
+        "total_lifetime_revenue": {"type": "decimal(38,6)", "required": True, "min": 0},
+        "rfm_score": {"type": "int", "required": True, "min": 3, "max": 15},
+        "customer_segment": {"type": "string", "required": True,
+                             "allowed": ["Champion", "Loyal Customer", "Potential Loyalist", "At Risk",
+                                         "Lost", "New Customer", "Regular"]},
+        "avg_profit_margin_pct": {"type": "double"},
+    },
+}
+
+
+def expand_contract(contract: dict) -> tuple[list[Check], list[Check]]:
+    """Contract → (data checks, schema checks)."""
+    m = contract["model"]
+    data, schema = [], []
+    for col, spec in contract["columns"].items():
+        schema.append(Check(m, "column_exists", col))
+        if "type" in spec:
+            schema.append(Check(m, "column_type", col, {"type": spec["type"]}))
+        if spec.get("required"):
+            data.append(Check(m, "not_null", col))
+        if spec.get("unique"):
+            data.append(Check(m, "unique", col))
+        if "min" in spec or "max" in spec:
+            data.append(Check(m, "accepted_range", col, {"min": spec.get("min"), "max": spec.get("max")}))
+        if "allowed" in spec:
+            data.append(Check(m, "accepted_values", col, {"values": spec["allowed"]}))
+        if contract.get("completeness") is not None:
+            data.append(Check(m, "completeness", col, {"min_share": contract["completeness"]}))
+    f = contract.get("freshness")
+    if f:
+        data.append(Check(m, "recency", f["column"], {"count": f["hours"], "period": "hour"}))
+    return data, schema

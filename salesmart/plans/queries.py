@@ -54,8 +54,51 @@ def _dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(summary(run_checks(models, declared_checks(), TEST_AS_OF)))
 
 
+def _guide_query(group: str) -> Query:
+    from salesmart.operators.quality import run_checks
+    from salesmart.operators.rules import guide_checks
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        models = test_models(spark, sf_dir, TEST_AS_OF)
+        return comparable(run_checks(models, guide_checks()[group], TEST_AS_OF))
+    return run
+
+
+GUIDE_GROUPS = ("recency", "equal_rowcount", "unique_combination", "regex", "between", "in_set",
+                "row_count", "mean", "non_negative", "email", "orphans", "smoke", "contract")
+
+
+def _freshness_query(kind: str) -> Query:
+    from salesmart.sources import conform
+    from salesmart.sources.freshness import declared_freshness, freshness, guide_freshness
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = conform.sources(spark, sf_dir)
+        spec = declared_freshness(src) if kind == "declared" else guide_freshness(src)
+        return comparable(freshness(spec, TEST_AS_OF))
+    return run
+
+
+def _duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.operators.quality import duplicates
+    ps = test_models(spark, sf_dir, TEST_AS_OF)["int_product_sales"]
+    return comparable(duplicates(ps, ["product_id", "order_date", "sales_order_id"]))
+
+
+def _schema_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.operators.quality import run_checks
+    from salesmart.operators.rules import CONTRACT, expand_contract
+    models = test_models(spark, sf_dir, TEST_AS_OF)
+    return comparable(run_checks(models, expand_contract(CONTRACT)[1], TEST_AS_OF))
+
+
 def dq_queries() -> dict[str, Query]:
     out = {f"dq_{k}": _dq_query({k}) for k in DQ_KINDS}
+    out.update({f"dq_{g}": _guide_query(g) for g in GUIDE_GROUPS})
+    out["dq_freshness"] = _freshness_query("declared")
+    out["dq_freshness_override"] = _freshness_query("guide")
+    out["dq_duplicates"] = _duplicates
+    out["dq_schema"] = _schema_checks
     out["dq_declared"] = _dq_query(None)
     out["dq_summary"] = _dq_summary
     return out

@@ -61,6 +61,9 @@ def person(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring_index("c_name", "#", -1).alias("LastName"),
         F.when(k % 3 == 1, F.lit(" M ")).when(k % 3 == 2, F.lit("")).alias("MiddleName"),
         (k % 3).cast("int").alias("EmailPromotion"),
+        # every 7th address is malformed, to exercise the e-mail checks
+        F.concat(F.lit("customer"), k.cast("string"),
+                 F.when(k % 7 == 0, F.lit("-at-example.com")).otherwise(F.lit("@example.com"))).alias("EmailAddress"),
         _ts(DIMENSION_MODIFIED).alias("ModifiedDate"),
     )
 
