@@ -5,6 +5,7 @@ from __future__ import annotations
 from oracle_sql.checks import results_sql
 from oracle_sql.models import model_sql
 from oracle_sql.guide import guide_sql
+from oracle_sql.history import history_sql
 from oracle_sql.reports import report_sql
 
 DQ_KINDS = ("not_null", "unique", "accepted_values", "relationships", "accepted_range",
@@ -28,4 +29,5 @@ def all_sql() -> dict[str, str]:
     out.update(dq_sql())
     out.update(report_sql())
     out.update(guide_sql())
+    out.update(history_sql())
     return out

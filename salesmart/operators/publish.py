@@ -49,6 +49,16 @@ def incremental_rows(new: DataFrame, mark, updated_at: str) -> DataFrame:
     return new if mark is None else new.filter(F.col(updated_at) > F.lit(mark))
 
 
+def newer_than_target(new: DataFrame, target: DataFrame, updated_at: str) -> DataFrame:
+    """Lazy high-water-mark filter: ``updated_at > (select max(updated_at) from target)``.
+
+    The mark is a scalar subquery (one value), so nothing is collected; an
+    empty target has a NULL mark and every row passes (first load).
+    """
+    mark = target.agg(F.max(updated_at)).scalar()
+    return new.filter(mark.isNull() | (F.col(updated_at) > mark))
+
+
 def upsert(old: DataFrame | None, changes: DataFrame, key: list[str]) -> DataFrame:
     """Keyed merge: old rows whose key is not in ``changes``, plus ``changes``."""
     if old is None:

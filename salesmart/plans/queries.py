@@ -126,4 +126,6 @@ def all_queries() -> dict[str, Query]:
     out.update(model_queries())
     out.update(dq_queries())
     out.update(report_queries())
+    from salesmart.plans.history_queries import HISTORY_QUERIES
+    out.update(HISTORY_QUERIES)
     return out

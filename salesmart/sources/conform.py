@@ -216,3 +216,32 @@ BUILDERS = {
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All seven sources as lazy DataFrames over the test tables."""
     return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+
+
+# Fixed values of the two customer snapshots used by the history operators.
+SNAPSHOT_1_AT = "2001-01-01 00:00:00"
+SNAPSHOT_2_AT = "2001-06-01 00:00:00"
+
+
+def customer_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two snapshots of the customer dimension (synthetic stand-in).
+
+    Snapshot 2 drops keys ending in 8, adds keys ending in 9, changes the
+    e-mail of every 5th key and the segment of every 4th key; changed and new
+    rows carry the later timestamp.
+    """
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    email = F.concat(F.lit("customer"), k.cast("string"), F.lit("@example.com"))
+    snap1 = c.filter(k % 10 != 9).select(
+        k.alias("customer_id"), F.col("c_name").alias("name"), email.alias("email"),
+        F.col("c_mktsegment").alias("segment"), _ts(SNAPSHOT_1_AT).alias("updated_at"))
+    new_email = F.when(k % 5 == 0, F.concat(F.lit("customer"), k.cast("string"), F.lit("@new.example.com"))) \
+        .otherwise(email)
+    new_segment = F.when(k % 4 == 0, F.lit("AUTOMOBILE")).otherwise(F.col("c_mktsegment"))
+    touched = (k % 10 == 9) | (k % 5 == 0) | ((k % 4 == 0) & (F.col("c_mktsegment") != "AUTOMOBILE"))
+    snap2 = c.filter(k % 10 != 8).select(
+        k.alias("customer_id"), F.col("c_name").alias("name"), new_email.alias("email"),
+        new_segment.alias("segment"),
+        F.when(touched, _ts(SNAPSHOT_2_AT)).otherwise(_ts(SNAPSHOT_1_AT)).alias("updated_at"))
+    return snap1, snap2
