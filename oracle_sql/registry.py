@@ -6,6 +6,7 @@ from oracle_sql.checks import results_sql
 from oracle_sql.models import model_sql
 from oracle_sql.guide import guide_sql
 from oracle_sql.history import history_sql
+from oracle_sql.streaming import streaming_sql
 from oracle_sql.reports import report_sql
 
 DQ_KINDS = ("not_null", "unique", "accepted_values", "relationships", "accepted_range",
@@ -30,4 +31,5 @@ def all_sql() -> dict[str, str]:
     out.update(report_sql())
     out.update(guide_sql())
     out.update(history_sql())
+    out.update(streaming_sql())
     return out

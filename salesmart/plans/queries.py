@@ -128,4 +128,6 @@ def all_queries() -> dict[str, Query]:
     out.update(report_queries())
     from salesmart.plans.history_queries import HISTORY_QUERIES
     out.update(HISTORY_QUERIES)
+    from salesmart.streaming.queries import STREAMING_QUERIES
+    out.update(STREAMING_QUERIES)
     return out
