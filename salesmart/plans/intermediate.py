@@ -43,7 +43,7 @@ def _discount_amount():
     return F.col("order_quantity") * F.col("unit_price") * F.col("unit_price_discount")
 
 
-def _order_measures():
+def _order_measures(order_territory: str = "territory_id"):
     return [
         F.sum("order_quantity").alias("total_order_quantity"),
         F.sum("line_total").alias("total_line_total"),
@@ -56,7 +56,7 @@ def _order_measures():
         F.max("order_freight").alias("order_freight"),
         F.max("order_total_due").alias("order_total_due"),
         F.max("sales_person_id").alias("sales_person_id"),
-        F.max("territory_id").alias("order_territory_id"),
+        F.max(order_territory).alias("order_territory_id"),
         F.max("header_modified_date").alias("header_modified_date"),
     ]
 
@@ -89,10 +89,10 @@ def int_customer_orders_naive(sales_orders: DataFrame, customers: DataFrame) ->
     c = customers.select("customer_id", "person_id", "account_number", "first_name", "last_name",
                          "middle_name", "email_promotion", "territory_id", "store_id",
                          F.col("modified_date").alias("customer_modified_date"))
-    so = sales_orders.drop("account_number")
+    so = sales_orders.drop("account_number").withColumnRenamed("territory_id", "so_territory_id")
     lines = so.join(c, "customer_id", "inner").select("*", *_order_attributes())
     keys = INT_CUSTOMER_ORDERS_COLUMNS[:22]
-    measures = _order_measures() + [F.max("customer_modified_date").alias("customer_modified_date")]
+    measures = _order_measures("so_territory_id") + [F.max("customer_modified_date").alias("customer_modified_date")]
     return lines.groupBy(*keys).agg(*measures).select(*INT_CUSTOMER_ORDERS_COLUMNS)
 
 

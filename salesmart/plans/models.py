@@ -53,7 +53,7 @@ SOURCE_ALIASES = {"customer": "src_customer", "person": "src_person", "sales_ord
                   "product_subcategory": "src_subcategory", "product_category": "src_category"}
 
 
-def test_models(spark: SparkSession, sf_dir: str, as_of: str = TEST_AS_OF) -> dict[str, DataFrame]:
+def models_on_testdata(spark: SparkSession, sf_dir: str, as_of: str = TEST_AS_OF) -> dict[str, DataFrame]:
     """All models over the driver's test tables (via the conform adapter), plus the sources."""
     src = conform.sources(spark, sf_dir)
     out = all_models(src, as_of)

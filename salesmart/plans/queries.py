@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.plans.models import TEST_AS_OF, test_models
+from salesmart.plans.models import TEST_AS_OF, models_on_testdata
 from salesmart.plans.output import comparable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _model_query(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(test_models(spark, sf_dir, TEST_AS_OF)[name])
+        return comparable(models_on_testdata(spark, sf_dir, TEST_AS_OF)[name])
     run.__name__ = name
     return run
 
@@ -42,7 +42,7 @@ def _dq_query(kinds) -> Query:
     from salesmart.operators.rules import declared_checks
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        models = test_models(spark, sf_dir, TEST_AS_OF)
+        models = models_on_testdata(spark, sf_dir, TEST_AS_OF)
         return comparable(run_checks(models, declared_checks(kinds=kinds), TEST_AS_OF))
     return run
 
@@ -50,7 +50,7 @@ def _dq_query(kinds) -> Query:
 def _dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.operators.quality import run_checks, summary
     from salesmart.operators.rules import declared_checks
-    models = test_models(spark, sf_dir, TEST_AS_OF)
+    models = models_on_testdata(spark, sf_dir, TEST_AS_OF)
     return comparable(summary(run_checks(models, declared_checks(), TEST_AS_OF)))
 
 
@@ -59,7 +59,7 @@ def _guide_query(group: str) -> Query:
     from salesmart.operators.rules import guide_checks
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        models = test_models(spark, sf_dir, TEST_AS_OF)
+        models = models_on_testdata(spark, sf_dir, TEST_AS_OF)
         return comparable(run_checks(models, guide_checks()[group], TEST_AS_OF))
     return run
 
@@ -81,14 +81,14 @@ def _freshness_query(kind: str) -> Query:
 
 def _duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.operators.quality import duplicates
-    ps = test_models(spark, sf_dir, TEST_AS_OF)["int_product_sales"]
+    ps = models_on_testdata(spark, sf_dir, TEST_AS_OF)["int_product_sales"]
     return comparable(duplicates(ps, ["product_id", "order_date", "sales_order_id"]))
 
 
 def _schema_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.operators.quality import run_checks
     from salesmart.operators.rules import CONTRACT, expand_contract
-    models = test_models(spark, sf_dir, TEST_AS_OF)
+    models = models_on_testdata(spark, sf_dir, TEST_AS_OF)
     return comparable(run_checks(models, expand_contract(CONTRACT)[1], TEST_AS_OF))
 
 
@@ -109,7 +109,7 @@ def _report_query(name: str) -> Query:
     fn = REPORTS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        m = test_models(spark, sf_dir, TEST_AS_OF)
+        m = models_on_testdata(spark, sf_dir, TEST_AS_OF)
         df = fn(m, TEST_AS_OF) if name == "lifecycle_counts" else fn(m)
         return comparable(df)
     run.__name__ = name
