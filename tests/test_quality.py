@@ -66,7 +66,7 @@ def test_valid_date_range(spark):
 
 
 def test_regex_like_and_table_checks(spark):
-    rows = [("a@b.com",), ("broken",), (None,)]
+    rows = [("ann@mail.com",), ("broken",), (None,)]
     assert _failures(spark, rows, "e string", Check("t", "like", "e", {"pattern": "%_@__%.__%"})) == 1
     assert _failures(spark, rows, "e string", Check("t", "regex", "e", {"pattern": "^[^@]+@[^@]+$"})) == 1
     assert _failures(spark, rows, "e string", Check("t", "row_count_between", None, {"min": 4})) == 1
