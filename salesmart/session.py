@@ -20,9 +20,13 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Broadcast only below a measured size (Spark checks the estimate and,
-    # with AQE, the runtime shuffle size); everything above it sort-merges.
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # Broadcast only below a *measured* size: the static rule trusts file-size
+    # estimates (compressed parquet undercounts rows several-fold), so it is
+    # off; AQE converts a sort-merge join to a broadcast join only when one
+    # side's materialised shuffle output is below 16 MB.  Everything else
+    # sort-merges, with AQE splitting skewed partitions.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
