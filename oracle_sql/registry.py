@@ -24,6 +24,17 @@ def dq_sql() -> dict[str, str]:
     return out
 
 
+def publish_sql() -> dict[str, str]:
+    """The staged build's result: every declared check, plus the run row with the publish decision."""
+    from salesmart.operators.rules import declared_checks
+    r = results_sql(declared_checks())
+    return {"blue_green_publish": (
+        f"WITH r AS ({r}), f AS (SELECT count(*) FILTER (WHERE status = 'fail') AS n FROM r) "
+        "SELECT check_id, model, kind, column_name, severity, failures, status FROM r UNION ALL "
+        "SELECT 'run.v1', 'run', 'run', CAST(NULL AS VARCHAR), CASE WHEN n > 0 THEN 'error' ELSE 'info' END, "
+        "CAST(n AS BIGINT), CASE WHEN n > 0 THEN 'kept_previous' ELSE 'published' END FROM f")}
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(model_sql())
@@ -32,4 +43,5 @@ def all_sql() -> dict[str, str]:
     out.update(guide_sql())
     out.update(history_sql())
     out.update(streaming_sql())
+    out.update(publish_sql())
     return out

@@ -327,3 +327,10 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check], as_of=None,
 def duplicates(df: DataFrame, columns: list[str]) -> DataFrame:
     """AGG-18/DQ-22: each duplicated key tuple with its row count (HAVING count > 1)."""
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("dup_count")).filter(F.col("dup_count") > 1)
+
+
+def run_suite(name: str, tables: dict[str, DataFrame], checks: list[Check], as_of=None) -> tuple[bool, DataFrame]:
+    """DQ-26: a named list of checks run as one unit; the suite fails if any check fails."""
+    results = run_checks(tables, checks, as_of).withColumn("suite", F.lit(name))
+    failed = results.filter(F.col("status") == "fail").limit(1).count() > 0
+    return (not failed), results

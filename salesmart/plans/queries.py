@@ -121,6 +121,40 @@ def report_queries() -> dict[str, Query]:
     return {n: _report_query(n) for n in REPORTS}
 
 
+# ------------------------------------------------------------------ publishing (rows-only checks)
+def _publish_root(spark: SparkSession, label: str) -> str:
+    import uuid
+
+    from salesmart.session import scratch_path
+    return scratch_path(spark, f"{label}-{uuid.uuid4().hex}")
+
+
+def blue_green_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-5: build into a staged version; the declared checks decide whether it goes live."""
+    from salesmart.plans.build import build
+    from salesmart.sources import conform
+    out = build(spark, conform.sources(spark, sf_dir), _publish_root(spark, "bluegreen"), TEST_AS_OF,
+                version="v1")
+    return comparable(out.drop("elapsed_s"))
+
+
+def publish_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6: two published versions, then a rollback; returns the version log (status per step)."""
+    from salesmart.operators import publish
+    from salesmart.operators.quality import Check
+    from salesmart.plans.build import build
+    from salesmart.sources import conform
+    root = _publish_root(spark, "rollback")
+    gate = [Check("fct_sales_summary", "not_null", "order_date")]
+    for v in ("v1", "v2"):
+        build(spark, conform.sources(spark, sf_dir), root, TEST_AS_OF, checks=gate, version=v).collect()
+    publish.rollback(spark, root)
+    return publish.versions(spark, root).select("version", "status")
+
+
+PUBLISH_QUERIES = {"blue_green_publish": blue_green_publish, "publish_rollback": publish_rollback}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(model_queries())
@@ -130,4 +164,5 @@ def all_queries() -> dict[str, Query]:
     out.update(HISTORY_QUERIES)
     from salesmart.streaming.queries import STREAMING_QUERIES
     out.update(STREAMING_QUERIES)
+    out.update(PUBLISH_QUERIES)
     return out
