@@ -187,7 +187,7 @@ stg_customers AS (
          trim(COALESCE(p.FirstName, '')) AS first_name, trim(COALESCE(p.LastName, '')) AS last_name,
          trim(COALESCE(p.MiddleName, '')) AS middle_name,
          CAST(COALESCE(p.EmailPromotion, 0) AS INTEGER) AS email_promotion,
-         c.ModifiedDate AS modified_date, CAST(c.rowguid AS VARCHAR) AS row_guid
+         c.ModifiedDate AS modified_date, substr(CAST(c.rowguid AS VARCHAR), 1, 36) AS row_guid
   FROM src_customer c LEFT JOIN src_person p ON c.PersonID = p.BusinessEntityID
   WHERE c.CustomerID IS NOT NULL AND c.PersonID IS NOT NULL
 ),
@@ -213,7 +213,7 @@ stg_products AS (
          CAST(p.DiscontinuedDate AS DATE) AS discontinued_date,
          trim(COALESCE(ps.Name, '')) AS subcategory_name,
          CAST(COALESCE(ps.ProductCategoryID, 0) AS INTEGER) AS product_category_id,
-         p.ModifiedDate AS modified_date, CAST(p.rowguid AS VARCHAR) AS row_guid
+         p.ModifiedDate AS modified_date, substr(CAST(p.rowguid AS VARCHAR), 1, 36) AS row_guid
   FROM src_product p LEFT JOIN src_subcategory ps ON p.ProductSubcategoryID = ps.ProductSubcategoryID
   WHERE p.ProductID IS NOT NULL
 ),
@@ -240,7 +240,7 @@ stg_sales_orders AS (
          CAST(h.SubTotal AS DECIMAL(19,4)) AS order_subtotal, CAST(h.TaxAmt AS DECIMAL(19,4)) AS order_tax_amount,
          CAST(h.Freight AS DECIMAL(19,4)) AS order_freight, CAST(h.TotalDue AS DECIMAL(19,4)) AS order_total_due,
          h.ModifiedDate AS header_modified_date, d.ModifiedDate AS detail_modified_date,
-         CAST(h.rowguid AS VARCHAR) AS header_row_guid
+         substr(CAST(h.rowguid AS VARCHAR), 1, 36) AS header_row_guid
   FROM src_header h INNER JOIN src_detail d ON h.SalesOrderID = d.SalesOrderID
   WHERE h.SalesOrderID IS NOT NULL AND d.SalesOrderDetailID IS NOT NULL
     AND h.CustomerID IS NOT NULL AND d.ProductID IS NOT NULL

@@ -36,3 +36,8 @@ def surrogate_key(*cols) -> Column:
     """md5 over '-'-joined string forms, NULL replaced by a fixed placeholder."""
     parts = [F.coalesce(_c(c).cast("string"), F.lit(SURROGATE_NULL)) for c in cols]
     return F.md5(F.concat_ws("-", *parts))
+
+
+def varchar(c, length: int) -> Column:
+    """``cast(c as varchar(n))``: Spark keeps no string length, so truncate explicitly."""
+    return F.substring(_c(c).cast("string"), 1, length)

@@ -29,8 +29,13 @@ def _materialise(spark: SparkSession, df: DataFrame, path: str,
     return spark.read.parquet(path)
 
 
+# Fixed value: a run slower than this is reported as a warning (DQ-28).
+SLOW_RUN_SECONDS = 3600
+
+
 def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of=None,
-          checks=None, publish_on_success: bool = True, version: str | None = None) -> DataFrame:
+          checks=None, publish_on_success: bool = True, version: str | None = None,
+          slow_run_seconds: float = SLOW_RUN_SECONDS) -> DataFrame:
     """Run one build into a new version folder under ``root``; return the run result.
 
     The result has one row per check plus a final ``run`` row with the elapsed
@@ -65,8 +70,9 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of=N
     if published:
         publish.swap(spark, root, v)
     elapsed = time.time() - t0
+    severity = "error" if errors else ("warn" if elapsed > slow_run_seconds else "info")
     run = spark.createDataFrame(
-        [(f"run.{v}", "run", "run", None, "error" if errors else "info", errors,
+        [(f"run.{v}", "run", "run", None, severity, errors,
           "published" if published else "kept_previous", float(elapsed))],
         "check_id string, model string, kind string, column_name string, severity string, "
         "failures bigint, status string, elapsed_s double")

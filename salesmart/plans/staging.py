@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.business import bit
-from salesmart.functions.text import clean, clean_upper
+from salesmart.functions.text import clean, clean_upper, varchar
 
 
 def stg_customers(customer: DataFrame, person: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def stg_customers(customer: DataFrame, person: DataFrame) -> DataFrame:
         clean("p.MiddleName", "").alias("middle_name"),
         F.coalesce(F.col("p.EmailPromotion"), F.lit(0)).cast("int").alias("email_promotion"),
         F.col("c.ModifiedDate").cast("timestamp_ntz").alias("modified_date"),
-        F.col("c.rowguid").cast("string").alias("row_guid"),
+        varchar("c.rowguid", 36).alias("row_guid"),
     )
 
 
@@ -63,7 +63,7 @@ def stg_products(product: DataFrame, subcategory: DataFrame) -> DataFrame:
         clean("ps.Name", "").alias("subcategory_name"),
         F.coalesce(F.col("ps.ProductCategoryID"), F.lit(0)).cast("int").alias("product_category_id"),
         F.col("p.ModifiedDate").cast("timestamp_ntz").alias("modified_date"),
-        F.col("p.rowguid").cast("string").alias("row_guid"),
+        varchar("p.rowguid", 36).alias("row_guid"),
     )
 
 
@@ -101,5 +101,5 @@ def stg_sales_orders(header: DataFrame, detail: DataFrame) -> DataFrame:
         F.col("h.TotalDue").cast("decimal(19,4)").alias("order_total_due"),
         F.col("h.ModifiedDate").cast("timestamp_ntz").alias("header_modified_date"),
         F.col("d.ModifiedDate").cast("timestamp_ntz").alias("detail_modified_date"),
-        F.col("h.rowguid").cast("string").alias("header_row_guid"),
+        varchar("h.rowguid", 36).alias("header_row_guid"),
     )

@@ -29,9 +29,13 @@ class SourceSpec:
         return replace(self, **kw)
 
     def read(self, spark: SparkSession) -> DataFrame:
+        """parquet/orc/csv/json by path, JDBC by options (``dbtable``/``query``), else a catalog table."""
+        reader = spark.read.format(self.fmt).options(**self.options)
+        if self.fmt == "jdbc":
+            return reader.load()
         if self.path is None:
             return spark.table(f"{self.source}.{self.name}")
-        return spark.read.format(self.fmt).options(**self.options).load(self.path)
+        return reader.load(self.path)
 
 
 def merge_freshness(default: dict, table: dict | None) -> dict:
