@@ -79,7 +79,16 @@ _R = {
 
 
 def report_sql() -> dict[str, str]:
-    out = {}
+    out = {
+        "revenue_since": project(with_models(DAILY, "q AS (SELECT order_year, order_month, "
+                                             "sum(total_revenue) AS revenue, sum(total_orders) AS orders "
+                                             "FROM fct_sales_summary WHERE order_date >= DATE '2000-01-01' "
+                                             "GROUP BY 1, 2)"), "order_year:i order_month:i revenue:d orders:i"),
+        "event_value_dollars": project(
+            "WITH q AS (SELECT CAST(ts AS DATE) AS event_date, "
+            "CAST(CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DECIMAL(38,0)) / 100 AS DECIMAL(16,2)) "
+            "AS value_dollars FROM events GROUP BY 1)", "event_date:dt value_dollars:d"),
+    }
     for name, (sql, kinds) in _R.items():
         body = with_models(DAILY, CUSTOMER, PRODUCT, f"q AS ({sql})")
         out[name] = project(body, kinds)

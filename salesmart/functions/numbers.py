@@ -62,3 +62,8 @@ def per(num, den) -> Column:
     """``double(num) / den`` when den > 0, else 0 (velocity-type ratios)."""
     den = _c(den)
     return F.when(den > 0, _c(num).cast("double") / den).otherwise(F.lit(0.0))
+
+
+def cents_to_dollars(c, scale: int = 2) -> Column:
+    """MAC-1: a reusable column macro — integer cents as a fixed-point dollar amount."""
+    return (_c(c).cast("decimal(38,0)") / 100).cast(f"decimal(16,{scale})")

@@ -67,24 +67,32 @@ def upsert(old: DataFrame | None, changes: DataFrame, key: list[str]) -> DataFra
     return kept.unionByName(changes)
 
 
-def incremental_load(spark: SparkSession, new: DataFrame, target_path: str, updated_at: str,
-                     key: list[str] | None = None) -> None:
-    """SNK-3: append (or upsert by ``key``) the rows newer than the target's mark.
-
-    First run: the target is created from all rows.  An upsert is written to a
-    sibling folder first and then copied over the target (a table cannot be
-    overwritten while it is being read).
+def incremental_load(spark: SparkSession, new: DataFrame, root: str, updated_at: str,
+                     key: list[str] | None = None, table: str = "data") -> str:
+    """SNK-3: load the rows newer than the live table's high-water mark.
+
+    ``root`` holds versions and a pointer (as in the staged publish).  The
+    first run publishes all rows.  Without a key, newer rows are appended to
+    the live version (Spark commits the appended files atomically per job);
+    with a key, the merged table is written to a new version and the pointer
+    is swapped only after the write succeeded — a failed run leaves the
+    previous version live.  Returns the live version.
     """
-    mark = high_water_mark(spark, target_path, updated_at)
-    inc = incremental_rows(new, mark, updated_at)
-    if mark is None:
-        inc.write.mode("overwrite").parquet(target_path)
-    elif key is None:
-        inc.write.mode("append").parquet(target_path)
-    else:
-        staged = target_path.rstrip("/") + "__next"
-        upsert(spark.read.parquet(target_path), inc, key).write.mode("overwrite").parquet(staged)
-        spark.read.parquet(staged).write.mode("overwrite").parquet(target_path)
+    cur = current_version(spark, root)
+    if cur is None:
+        v, vdir = stage_version(root)
+        new.write.mode("overwrite").parquet(f"{vdir}/{table}")
+        swap(spark, root, v)
+        return v
+    live = spark.read.parquet(f"{root}/{cur}/{table}")
+    inc = newer_than_target(new, live, updated_at)
+    if key is None:
+        inc.write.mode("append").parquet(f"{root}/{cur}/{table}")
+        return cur
+    v, vdir = stage_version(root)
+    upsert(live, inc, key).write.mode("overwrite").parquet(f"{vdir}/{table}")
+    swap(spark, root, v)
+    return v
 
 
 def _version_name() -> str:

@@ -116,9 +116,22 @@ def _report_query(name: str) -> Query:
     return run
 
 
+def _revenue_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.plans.reports import revenue_since
+    return comparable(revenue_since(spark, models_on_testdata(spark, sf_dir, TEST_AS_OF)))
+
+
+def _event_value_dollars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.plans.reports import event_value_dollars
+    return comparable(event_value_dollars(spark, spark.read.parquet(f"{sf_dir}/events.parquet")))
+
+
 def report_queries() -> dict[str, Query]:
     from salesmart.plans.reports import REPORTS
-    return {n: _report_query(n) for n in REPORTS}
+    out = {n: _report_query(n) for n in REPORTS}
+    out["revenue_since"] = _revenue_since
+    out["event_value_dollars"] = _event_value_dollars
+    return out
 
 
 # ------------------------------------------------------------------ publishing (rows-only checks)

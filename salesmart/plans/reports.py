@@ -142,3 +142,26 @@ REPORTS = {
     "conditional_distinct": conditional_distinct,
     "latest_orders_top100": latest_orders_top100,
 }
+
+
+# Fixed value: the run-time variable of the parameterised report below.
+DEFAULT_START_DATE = "2000-01-01"
+
+
+def revenue_since(spark, m, start_date: str = DEFAULT_START_DATE) -> DataFrame:
+    """MAC-2 + SNK-1: a view queried through SQL with a run-time named parameter."""
+    import datetime as _dt
+    m["fct_sales_summary"].createOrReplaceTempView("fct_sales_summary")
+    return spark.sql(
+        "SELECT order_year, order_month, sum(total_revenue) AS revenue, sum(total_orders) AS orders "
+        "FROM fct_sales_summary WHERE order_date >= :start_date GROUP BY order_year, order_month",
+        args={"start_date": _dt.date.fromisoformat(start_date)})
+
+
+def event_value_dollars(spark, events: DataFrame) -> DataFrame:
+    """MAC-1: daily event value summed in integer cents, shown in dollars by the macro."""
+    from salesmart.functions.numbers import cents_to_dollars
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    return (events.groupBy(F.to_date("ts").alias("event_date"))
+            .agg(F.sum(cents).alias("value_cents"))
+            .select("event_date", cents_to_dollars("value_cents").alias("value_dollars")))

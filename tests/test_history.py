@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from salesmart.operators import history as H
-from salesmart.operators.publish import incremental_load, newer_than_target, upsert
+from salesmart.operators.publish import incremental_load, newer_than_target, read_current, upsert
 
 T1, T2 = dt.datetime(2001, 1, 1), dt.datetime(2001, 6, 1)
 SCHEMA = "customer_id int, name string, email string, updated_at timestamp_ntz"
@@ -78,8 +78,17 @@ def test_incremental_twice_equals_once_and_full_rebuild(spark, tmp_path):
     target = str(tmp_path / "t")
     incremental_load(spark, s1, target, "updated_at", KEY)
     incremental_load(spark, s2, target, "updated_at", KEY)
-    once = _rows(spark.read.parquet(target), "customer_id", "email")
+    once = _rows(read_current(spark, target, "data"), "customer_id", "email")
     incremental_load(spark, s2, target, "updated_at", KEY)
-    assert _rows(spark.read.parquet(target), "customer_id", "email") == once
+    assert _rows(read_current(spark, target, "data"), "customer_id", "email") == once
     full = _rows(upsert(s1, s2, KEY), "customer_id", "email")
     assert once == full
+
+
+def test_incremental_append_without_key(spark, tmp_path):
+    s1, s2 = _snaps(spark)
+    target = str(tmp_path / "a")
+    incremental_load(spark, s1, target, "updated_at")
+    incremental_load(spark, s2, target, "updated_at")
+    # only rows newer than the mark are appended: key 2's new version and key 4
+    assert _rows(read_current(spark, target, "data"), "customer_id") == [(1,), (2,), (2,), (3,), (4,)]
