@@ -162,9 +162,12 @@ def _join_check(df: DataFrame, chk: Check, tables: dict[str, DataFrame]) -> Data
         child_cols, parent_cols = list(p["columns"]), list(p.get("fields", p["columns"]))
     keys = parent.select(*[F.col(pc).alias(f"k{i}") for i, pc in enumerate(parent_cols)]).distinct()
     child = df.filter(reduce(lambda a, b: a & b, [df[c].isNotNull() for c in child_cols]))
-    cond = reduce(lambda a, b: a & b, [child[c] == keys[f"k{i}"] for i, c in enumerate(child_cols)])
-    bad = child.join(keys, cond, "left_anti")
-    return _rows(bad.agg(F.count(F.lit(1)).alias("n")), [chk], ["n"])
+    # pre-aggregate the child to (key, rows): the anti-join then shuffles one row
+    # per key and task instead of every child row, and a hot key is collapsed map-side
+    grouped = child.groupBy(*child_cols).agg(F.count(F.lit(1)).alias("_rows"))
+    cond = reduce(lambda a, b: a & b, [grouped[c] == keys[f"k{i}"] for i, c in enumerate(child_cols)])
+    bad = grouped.join(keys, cond, "left_anti")
+    return _rows(bad.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")), [chk], ["n"])
 
 
 def _table_check(df: DataFrame, chk: Check, tables: dict[str, DataFrame], as_of_ts: Column) -> DataFrame:
