@@ -21,4 +21,6 @@ def model_sql() -> dict[str, str]:
         "fct_sales_summary": _model("fct_sales_summary", DAILY),
         "dim_customer_metrics": _model("dim_customer_metrics", CUSTOMER),
         "fct_product_performance": _model("fct_product_performance", PRODUCT),
+        # a refresh of recent years merged with older rows equals the full mart
+        "sales_summary_refresh": project(with_models(DAILY), K.FCT_SALES_SUMMARY, source="fct_sales_summary"),
     }

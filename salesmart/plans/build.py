@@ -21,6 +21,7 @@ from salesmart.operators import publish
 from salesmart.operators.quality import run_checks
 from salesmart.operators.rules import declared_checks
 from salesmart.plans import intermediate, marts, models
+from salesmart.plans.incremental import PARTITION_COLUMN, with_partition_column
 
 
 def _materialise(spark: SparkSession, df: DataFrame, path: str,
@@ -33,13 +34,20 @@ def _materialise(spark: SparkSession, df: DataFrame, path: str,
 SLOW_RUN_SECONDS = 3600
 
 
+# Tables stored partitioned (by the year of the order) so refreshes can prune to recent years.
+PARTITIONED = {"int_product_sales": [PARTITION_COLUMN]}
+
+
 def _layer(spark: SparkSession, jobs: dict, vdir: str, threads: int) -> dict[str, DataFrame]:
     """Write the independent models of one layer concurrently (one Spark job each)."""
     from concurrent.futures import ThreadPoolExecutor
 
     def run(item):
         name, make = item
-        return name, _materialise(spark, make(), f"{vdir}/{name}")
+        df = make()
+        if name in PARTITIONED:
+            df = with_partition_column(df)
+        return name, _materialise(spark, df, f"{vdir}/{name}", PARTITIONED.get(name))
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         return dict(pool.map(run, jobs.items()))
 

@@ -165,7 +165,24 @@ def publish_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.versions(spark, root).select("version", "status")
 
 
-PUBLISH_QUERIES = {"blue_green_publish": blue_green_publish, "publish_rollback": publish_rollback}
+# Fixed value: the refresh recomputes the summary from this order year on.
+REFRESH_SINCE_YEAR = 2000
+
+
+def sales_summary_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition-pruned refresh: year-partitioned product sales, recent years recomputed."""
+    from salesmart.plans import marts
+    from salesmart.plans.incremental import PARTITION_COLUMN, refresh_sales_summary, with_partition_column
+    m = models_on_testdata(spark, sf_dir, TEST_AS_OF)
+    path = _publish_root(spark, "ips-by-year")
+    with_partition_column(m["int_product_sales"]).write.partitionBy(PARTITION_COLUMN).parquet(path)
+    stored = spark.read.parquet(path)
+    previous = marts.fct_sales_summary(stored)
+    return comparable(refresh_sales_summary(previous, stored, REFRESH_SINCE_YEAR))
+
+
+PUBLISH_QUERIES = {"blue_green_publish": blue_green_publish, "publish_rollback": publish_rollback,
+                   "sales_summary_refresh": sales_summary_refresh}
 
 
 def all_queries() -> dict[str, Query]:

@@ -44,3 +44,18 @@ def test_rewritten_marts_have_no_expand(spark, tmp_path):
     assert "Expand" not in plan(marts.fct_sales_summary(ips))
     assert "Expand" in plan(marts.fct_product_performance_naive(ips, m["stg_products"], TEST_AS_OF))
     assert "Expand" not in plan(marts.fct_product_performance(ips, m["stg_products"], TEST_AS_OF))
+
+
+def test_refresh_prunes_partitions_and_equals_full_rebuild(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from salesmart.plans.incremental import PARTITION_COLUMN, refresh_sales_summary, with_partition_column
+    m = models_on_testdata(spark, SF_SMALL, TEST_AS_OF)
+    path = str(tmp_path / "ips")
+    with_partition_column(m["int_product_sales"]).write.partitionBy(PARTITION_COLUMN).parquet(path)
+    stored = spark.read.parquet(path)
+    full = marts.fct_sales_summary(stored)
+    refreshed = refresh_sales_summary(full, stored, 2000)
+    assert "PartitionFilters: [isnotnull(order_year" in plan(
+        marts.fct_sales_summary(stored.filter(F.col(PARTITION_COLUMN) >= 2000)))
+    assert refreshed.exceptAll(full).count() == 0 and full.exceptAll(refreshed).count() == 0
