@@ -19,6 +19,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join partition even when that costs an extra exchange
+    # afterwards: the aggregation above it then pre-aggregates map-side, so a
+    # hot key is collapsed instead of landing in one task
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Broadcast only below a *measured* size: the static rule trusts file-size
     # estimates (compressed parquet undercounts rows several-fold), so it is
