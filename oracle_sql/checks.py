@@ -82,6 +82,8 @@ def count_sql(chk) -> str:
         if p.get("max") is not None:
             conds.append(f"count(*) > {p['max']}")
         return f"SELECT CASE WHEN {' OR '.join(conds)} THEN 1 ELSE 0 END FROM {m}"
+    if k == "column_exists":
+        return f"SELECT count(*) * 0 FROM (SELECT {c} FROM {m} LIMIT 0)"
     if k == "table_exists":
         return f"SELECT 0 FROM (SELECT count(*) FROM {m})"
     if k == "mean_between":

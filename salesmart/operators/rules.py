@@ -338,3 +338,22 @@ def expand_contract(contract: dict) -> tuple[list[Check], list[Check]]:
     if f:
         data.append(Check(m, "recency", f["column"], {"count": f["hours"], "period": "hour"}))
     return data, schema
+
+
+# DQ-26: the guide's two expectation suites, as named check lists on the sources
+# (fixed values: thresholds as written in the guide).
+SUITES = {
+    "customer_quality_suite": [
+        Check("src_customer", "row_count_between", None, {"min": 100, "max": 100000}),
+        Check("src_customer", "column_exists", "CustomerID"),
+        Check("src_customer", "unique", "CustomerID"),
+        Check("src_customer", "not_null", "CustomerID"),
+        Check("src_customer", "not_null", "AccountNumber"),
+    ],
+    "sales_order_quality_suite": [
+        Check("src_header", "unique", "SalesOrderID"),
+        Check("src_header", "not_null", "SalesOrderID"),
+        Check("src_header", "between", "TotalDue", {"min": 0, "max": 1000000}),
+        Check("src_header", "not_null", "OrderDate"),
+    ],
+}

@@ -92,6 +92,16 @@ def _schema_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(run_checks(models, expand_contract(CONTRACT)[1], TEST_AS_OF))
 
 
+def _suites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from functools import reduce
+
+    from salesmart.operators.quality import run_suite
+    from salesmart.operators.rules import SUITES
+    models = models_on_testdata(spark, sf_dir, TEST_AS_OF)
+    parts = [run_suite(name, models, checks, TEST_AS_OF)[1] for name, checks in SUITES.items()]
+    return comparable(reduce(DataFrame.unionByName, parts))
+
+
 def dq_queries() -> dict[str, Query]:
     out = {f"dq_{k}": _dq_query({k}) for k in DQ_KINDS}
     out.update({f"dq_{g}": _guide_query(g) for g in GUIDE_GROUPS})
@@ -99,6 +109,7 @@ def dq_queries() -> dict[str, Query]:
     out["dq_freshness_override"] = _freshness_query("guide")
     out["dq_duplicates"] = _duplicates
     out["dq_schema"] = _schema_checks
+    out["dq_suite"] = _suites
     out["dq_declared"] = _dq_query(None)
     out["dq_summary"] = _dq_summary
     return out
