@@ -14,10 +14,14 @@ Plan notes (see README "Plans"):
 * ``fct_product_performance`` groups by 17 product attributes in the reference;
   all are fixed by ``product_id`` (unique in ``stg_products``), so it groups by
   the product key and takes the attributes from the product join the reference
-  already does for inventory columns.
+  already does for inventory columns.  Its decomposable measures aggregate
+  straight to the product grain; its three distinct counts come from narrow
+  (product, key) distincts instead of an Expand of every line.
 * ``dim_customer_metrics`` aggregates the order-grain table by customer; its
   only distinct count (order dates) is planned as a two-phase aggregation
-  whose first exchange is keyed by (customer, date).
+  whose first exchange is keyed by (customer, date) when the input is read
+  from storage (in a lazy chain it reuses the customer partitioning of the
+  join before it; AQE then splits a skewed join partition, see session.py).
 """
 
 from __future__ import annotations
