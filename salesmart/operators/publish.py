@@ -68,26 +68,51 @@ def upsert(old: DataFrame | None, changes: DataFrame, key: list[str]) -> DataFra
 
 
 def incremental_load(spark: SparkSession, new: DataFrame, root: str, updated_at: str,
-                     key: list[str] | None = None, table: str = "data") -> str:
+                     key: list[str] | None = None, table: str = "data",
+                     partition_by: str | None = None) -> str:
     """SNK-3: load the rows newer than the live table's high-water mark.
 
     ``root`` holds versions and a pointer (as in the staged publish).  The
     first run publishes all rows.  Without a key, newer rows are appended to
-    the live version (Spark commits the appended files atomically per job);
-    with a key, the merged table is written to a new version and the pointer
-    is swapped only after the write succeeded — a failed run leaves the
-    previous version live.  Returns the live version.
+    the live version (Spark commits the appended files atomically per job).
+    With a key:
+
+    * unpartitioned: the merged table is written to a new version and the
+      pointer is swapped only after the write succeeded — a failed run leaves
+      the previous version live;
+    * ``partition_by`` (a column that never changes for a key, such as the
+      order year): only the partitions the increment touches are read
+      (semi-join on the partition column → dynamic partition pruning), merged,
+      staged, and written back with dynamic partition overwrite, so the work
+      is proportional to the changed partitions, not to the table.
+
+    Returns the live version.
     """
     cur = current_version(spark, root)
     if cur is None:
         v, vdir = stage_version(root)
-        new.write.mode("overwrite").parquet(f"{vdir}/{table}")
+        w = new.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(f"{vdir}/{table}")
         swap(spark, root, v)
         return v
-    live = spark.read.parquet(f"{root}/{cur}/{table}")
+    live_path = f"{root}/{cur}/{table}"
+    live = spark.read.parquet(live_path)
     inc = newer_than_target(new, live, updated_at)
     if key is None:
-        inc.write.mode("append").parquet(f"{root}/{cur}/{table}")
+        w = inc.write.mode("append")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(live_path)
+        return cur
+    if partition_by:
+        touched = inc.select(partition_by).distinct()
+        affected = live.join(touched, partition_by, "left_semi")
+        staged = f"{root}/_staged_{_version_name()}"
+        upsert(affected, inc, key).write.mode("overwrite").partitionBy(partition_by).parquet(staged)
+        (spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_by).parquet(live_path))
         return cur
     v, vdir = stage_version(root)
     upsert(live, inc, key).write.mode("overwrite").parquet(f"{vdir}/{table}")

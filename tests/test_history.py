@@ -92,3 +92,20 @@ def test_incremental_append_without_key(spark, tmp_path):
     incremental_load(spark, s2, target, "updated_at")
     # only rows newer than the mark are appended: key 2's new version and key 4
     assert _rows(read_current(spark, target, "data"), "customer_id") == [(1,), (2,), (2,), (3,), (4,)]
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    schema = "order_id int, status string, order_year int, updated_at timestamp_ntz"
+    first = spark.createDataFrame([(1, "open", 1999, T1), (2, "open", 2000, T1), (3, "open", 2001, T1)], schema)
+    change = spark.createDataFrame([(3, "shipped", 2001, T2), (4, "open", 2001, T2)], schema)
+    root = str(tmp_path / "orders")
+    incremental_load(spark, first, root, "updated_at", ["order_id"], partition_by="order_year")
+    import os
+    v = os.listdir(root)
+    live = [d for d in v if d.startswith("v")][0]
+    before = set(os.listdir(f"{root}/{live}/data/order_year=1999"))
+    incremental_load(spark, first.unionByName(change), root, "updated_at", ["order_id"], partition_by="order_year")
+    got = _rows(read_current(spark, root, "data"), "order_id", "status", "order_year")
+    assert got == [(1, "open", 1999), (2, "open", 2000), (3, "shipped", 2001), (4, "open", 2001)]
+    # untouched partitions keep their files
+    assert set(os.listdir(f"{root}/{live}/data/order_year=1999")) == before
