@@ -80,4 +80,12 @@ def history_sql() -> dict[str, str]:
         q AS (SELECT * FROM tgt WHERE SalesOrderID NOT IN (SELECT DISTINCT SalesOrderID FROM inc)
               UNION ALL SELECT * FROM inc)""")
     out["incremental_merge"] = project(inc, "SalesOrderID:i Status:i TotalDue:d ModifiedDate:ts")
+    inc_p = with_models("""h AS (SELECT SalesOrderID, Status, TotalDue, ModifiedDate, year(OrderDate) AS order_year
+                                FROM src_header),
+        tgt AS (SELECT * FROM h WHERE ModifiedDate <= TIMESTAMP '1999-12-31 00:00:00'),
+        inc AS (SELECT * FROM h WHERE ModifiedDate > (SELECT max(ModifiedDate) FROM tgt)),
+        q AS (SELECT * FROM tgt WHERE SalesOrderID NOT IN (SELECT DISTINCT SalesOrderID FROM inc)
+              UNION ALL SELECT * FROM inc)""")
+    out["incremental_partitioned"] = project(
+        inc_p, "SalesOrderID:i Status:i TotalDue:d ModifiedDate:ts order_year:i")
     return out
