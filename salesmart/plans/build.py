@@ -22,6 +22,7 @@ from salesmart.operators.quality import run_checks
 from salesmart.operators.rules import declared_checks
 from salesmart.plans import intermediate, marts, models
 from salesmart.plans.incremental import PARTITION_COLUMN, with_partition_column
+from salesmart.types import check_schema
 
 
 def _materialise(spark: SparkSession, df: DataFrame, path: str,
@@ -81,6 +82,13 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of=N
         "fct_product_performance": lambda: marts.fct_product_performance(t["int_product_sales"], t["stg_products"], as_of),
     }, vdir, threads))
     results = run_checks(t, checks if checks is not None else declared_checks(), as_of, parallelism=threads * 2)
+    # schema drift of every written model against its declared schema (DQ-13)
+    drift = [(f"{n}.schema", n, "schema", None, "error",
+              len(check_schema(df, n, tuple(PARTITIONED.get(n, ())))))
+             for n, df in t.items()]
+    results = results.unionByName(
+        spark.createDataFrame(drift, results.drop("status").schema).withColumn(
+            "status", F.when(F.col("failures") == 0, "pass").otherwise("fail")))
     results = _materialise(spark, results, f"{vdir}/_checks")
     errors = results.filter(F.col("status") == "fail").count()
     published = publish_on_success and errors == 0
