@@ -35,20 +35,6 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.save(path)
 
 
-def high_water_mark(spark: SparkSession, target_path: str, updated_at: str):
-    """max(updated_at) of the target, or None when the target does not exist yet."""
-    try:
-        target = spark.read.parquet(target_path)
-    except Exception:  # first run: no target yet
-        return None
-    return target.agg(F.max(updated_at).alias("m")).first()["m"]
-
-
-def incremental_rows(new: DataFrame, mark, updated_at: str) -> DataFrame:
-    """Rows newer than the high-water mark (all rows on the first run)."""
-    return new if mark is None else new.filter(F.col(updated_at) > F.lit(mark))
-
-
 def newer_than_target(new: DataFrame, target: DataFrame, updated_at: str) -> DataFrame:
     """Lazy high-water-mark filter: ``updated_at > (select max(updated_at) from target)``.
 
