@@ -16,8 +16,11 @@ def _lit(v) -> str:
     return repr(v)
 
 
-def _in_list(col: str, values) -> str:
+def _in_list(col: str, values, case_insensitive: bool = False) -> str:
     c = f"CAST({col} AS INTEGER)" if col in BOOL_COLUMNS else col
+    if case_insensitive:
+        vals = ", ".join(_lit(str(v).rstrip().upper()) for v in values)
+        return f"upper(rtrim({c})) IN ({vals})"
     return f"{c} IN ({', '.join(_lit(v) for v in values)})"
 
 
@@ -46,7 +49,7 @@ def fail_sql(chk) -> str:
     if k == "like":
         return f"NOT ({c} LIKE {_lit(p['pattern'])})"
     if k == "in_set":
-        return f"NOT ({_in_list(c, p['values'])})"
+        return f"NOT ({_in_list(c, p['values'], p.get('case_insensitive', False))})"
     raise ValueError(k)
 
 
@@ -64,7 +67,7 @@ def count_sql(chk) -> str:
         return f"SELECT count(*) FROM (SELECT {cols} FROM {m} GROUP BY {cols} HAVING count(*) > 1)"
     if k == "accepted_values":
         return (f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
-                f"AND NOT ({_in_list(c, p['values'])}) GROUP BY {c})")
+                f"AND NOT ({_in_list(c, p['values'], p.get('case_insensitive', False))}) GROUP BY {c})")
     if k == "relationships":
         return (f"SELECT count(*) FROM {m} child LEFT JOIN (SELECT DISTINCT {p['field']} AS k FROM {p['to']}) par "
                 f"ON child.{c} = par.k WHERE child.{c} IS NOT NULL AND par.k IS NULL")

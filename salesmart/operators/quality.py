@@ -80,10 +80,14 @@ def _is_bool(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.BooleanType)
 
 
-def _values_expr(df: DataFrame, name: str, values) -> Column:
+def _values_expr(df: DataFrame, name: str, values, case_insensitive: bool = False) -> Column:
+    """Membership test; ``case_insensitive`` compares as the source database's default
+    collation does (case and trailing blanks ignored)."""
     c = df[name]
     if _is_bool(df, name):
         c = c.cast("int")
+    if case_insensitive:
+        return F.upper(F.rtrim(c)).isin([str(v).rstrip().upper() for v in values])
     return c.isin(list(values))
 
 
@@ -114,7 +118,7 @@ def fail_condition(df: DataFrame, chk: Check, as_of_date: Column) -> Column:
     if k == "like":
         return ~df[chk.column].like(p["pattern"])
     if k == "in_set":
-        return ~_values_expr(df, chk.column, p["values"])
+        return ~_values_expr(df, chk.column, p["values"], p.get("case_insensitive", False))
     raise ValueError(k)
 
 
@@ -146,7 +150,8 @@ def _group_check(df: DataFrame, chk: Check) -> DataFrame:
         bad = df.groupBy(*p["columns"]).count().filter(F.col("count") > 1)
     elif chk.kind == "accepted_values":
         v = df[chk.column]
-        bad = (df.filter(v.isNotNull() & ~_values_expr(df, chk.column, p["values"]))
+        bad = (df.filter(v.isNotNull() & ~_values_expr(df, chk.column, p["values"],
+                                                       p.get("case_insensitive", False)))
                .groupBy(chk.column).count())
     else:
         raise ValueError(chk.kind)
@@ -286,7 +291,9 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check], as_of=None,
         df = tables[model]
         row = [c for c in cs if c.kind in ROW_KINDS]
         av = [c for c in cs if c.kind == "accepted_values"]
-        probes = row + [Check(c.model, "in_set", c.column, {"values": c.params["values"]}) for c in av]
+        probes = row + [Check(c.model, "in_set", c.column,
+                              {"values": c.params["values"],
+                               "case_insensitive": c.params.get("case_insensitive", False)}) for c in av]
         if not probes:
             return []
         aggs = [F.sum(F.when(fail_condition(df, c, as_of_date), 1).otherwise(0)).alias(f"c{i}")

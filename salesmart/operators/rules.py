@@ -261,6 +261,9 @@ def guide_checks() -> dict[str, list[Check]]:
             Check("stg_products", "in_set", "color",
                   {"values": ["economy", "promo", "large", "standard", "medium", "Unknown"]}),
             Check("int_customer_orders", "in_set", "order_status_code", {"values": [1, 2, 5]}),
+            # the source database compares text ignoring case and trailing blanks
+            Check("src_product", "in_set", "ProductLine",
+                  {"values": ["r", "m", "t", "s"], "case_insensitive": True}),
         ],
         "row_count": [Check(m, "row_count_between", None, {"min": 1, "max": None}) for m in models]
         + [Check("stg_products", "row_count_between", None, {"min": 1, "max": 1000, "name": "at_most_1000"})],

@@ -95,3 +95,12 @@ def test_freshness_override(spark):
     rule = Freshness(24, 48).override(6, 12)
     assert (rule.warn_hours, rule.error_hours) == (6, 12)
     assert Freshness(24, 48).override(None, 30).warn_hours == 24
+
+
+def test_case_insensitive_sets_ignore_case_and_trailing_blanks(spark):
+    rows = [("R ",), ("m",), ("x",), (None,)]
+    chk = Check("t", "in_set", "c", {"values": ["r", "M"], "case_insensitive": True})
+    assert _failures(spark, rows, "c string", chk) == 1
+    chk = Check("t", "accepted_values", "c", {"values": ["r", "M"], "case_insensitive": True})
+    assert _failures(spark, rows, "c string", chk) == 1
+    assert _failures(spark, rows, "c string", Check("t", "in_set", "c", {"values": ["r", "M"]})) == 3
