@@ -60,3 +60,8 @@ SOURCE_TABLES = (
 def default_specs(root: str, fmt: str = "parquet") -> dict[str, SourceSpec]:
     """Specs for sources stored as ``<root>/<name>.<fmt>`` folders or files."""
     return {name: SourceSpec(src, name, f"{root}/{name}.{fmt}", fmt) for src, name in SOURCE_TABLES}
+
+
+def load_sources(spark: SparkSession, specs: dict[str, SourceSpec]) -> dict[str, DataFrame]:
+    """Read every source of ``specs`` (lazy DataFrames keyed by table name)."""
+    return {name: spec.read(spark) for name, spec in specs.items()}
