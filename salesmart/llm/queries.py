@@ -4,12 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import benchmark_containment, simhash_vptree
+from salesmart.llm import (benchmark_containment, best_fit_packing, chat_snapshots, cnn_toxicity, histogram_packing,
+                           markov_secrets, quality_rules, shard_table, simhash_vptree, subword_classifier)
 from salesmart.llm.common import table
 
+#: The vocabulary file of the packing queries.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.risk_controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                          alpha=0.05, delta=0.05)
+    return found.drop("text_key").withColumnRenamed("stratum", "lang")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.packed_rows(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048)
+
+
+def op3_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_snapshots.collapsed_chats(table(spark, sf_dir, "conversations"))
+
+
+def op4_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = subword_classifier.fit(documents, table(spark, sf_dir, "labels"), "quality")
+    return subword_classifier.scores(documents, model, threshold=0.3)
+
+
+def op5_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cnn_toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
+def op6_shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = [f"shard-{k:03d}" for k in range(shard_table.SHARDS)]
+    return shard_table.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", shards)
+
+
+def op7_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram_packing.packed_documents(table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024,
+                                              end_id=0, with_ids=False)
+
+
+def op8_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return markov_secrets.summary(markov_secrets.secret_spans(documents, markov_secrets.fit(documents)))
+
 
 def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_vptree.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, max_distance=4)
@@ -23,4 +67,7 @@ def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_simhash_near_duplicates, op10_benchmark_containment)}
+    return {f.__name__: f for f in (
+        op1_quality_rules, op2_best_fit_packing, op3_chat_snapshots, op4_subword_quality, op5_cnn_toxicity,
+        op6_shard_table, op7_histogram_packing, op8_markov_secrets, op9_simhash_near_duplicates,
+        op10_benchmark_containment)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from salesmart.llm import shard_table
+
 BENCHMARK_CONTAINMENT = r"""
 WITH body AS (
   SELECT 'd' AS kind, doc_id AS id, md5(lower(coalesce(text, ''))) AS body,
@@ -32,5 +34,48 @@ WHERE shared >= ceil(0.8 * n_shingles)
 """
 
 
+
+SHARD_TABLE = r"""
+WITH RECURSIVE shard AS (
+  SELECT s, ('0x' || substr(md5('offset:shard-' || lpad(s::VARCHAR, 3, '0')), 1, 15))::BIGINT % {slots} AS first,
+         ('0x' || substr(md5('skip:shard-' || lpad(s::VARCHAR, 3, '0')), 1, 15))::BIGINT % ({slots} - 1) + 1 AS skip
+  FROM range({shards}) t(s)
+), wish AS (
+  SELECT s, list((first + k * skip) % {slots} ORDER BY k) AS wishes FROM shard, range({slots}) t(k) GROUP BY s
+), fill AS (
+  SELECT 0 AS turn, -1::BIGINT AS slot, list_transform(range({slots}), lambda x: false) AS taken
+  UNION ALL
+  SELECT turn + 1, pick, list_concat(taken[1:pick], [true], taken[pick + 2:])
+  FROM (SELECT turn, taken, list_filter(wishes, lambda x: NOT taken[x + 1])[1] AS pick
+        FROM fill JOIN wish ON s = turn % {shards} WHERE turn < {slots})
+), owner AS (
+  SELECT slot, ((turn - 1) % {shards})::INTEGER AS shard FROM fill WHERE turn > 0
+)
+SELECT doc_id, slot, shard, 'shard-' || lpad(shard::VARCHAR, 3, '0') AS shard_name
+FROM (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {slots} AS slot FROM documents)
+JOIN owner USING (slot)
+"""
+
+CHAT_SNAPSHOTS = r"""
+WITH said AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), log AS (
+  SELECT conv_id, list(role || chr(1) || text ORDER BY turn, md5(role || chr(0) || text)) AS turns FROM said GROUP BY conv_id
+), once AS (
+  SELECT turns, min(conv_id) AS conv_id FROM log GROUP BY turns
+), kept AS (
+  SELECT conv_id, len(turns) AS n_turns FROM once o WHERE NOT EXISTS (
+    SELECT 1 FROM once l WHERE l.turns[1] = o.turns[1] AND len(l.turns) > len(o.turns)
+      AND l.turns[1:len(o.turns)] = o.turns)
+)
+SELECT conv_id, floor(turn / 512)::BIGINT AS part, max(n_turns) AS n_turns,
+       string_agg('<|' || role || '|>' || chr(10) || text || chr(10), '' ORDER BY turn, md5(role || chr(0) || text)) AS text
+FROM said JOIN kept USING (conv_id) GROUP BY ALL
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op10_benchmark_containment": BENCHMARK_CONTAINMENT}
+    return {"op3_chat_snapshots": CHAT_SNAPSHOTS,
+            "op6_shard_table": SHARD_TABLE.format(shards=shard_table.SHARDS, slots=shard_table.SLOTS),
+            "op10_benchmark_containment": BENCHMARK_CONTAINMENT}
