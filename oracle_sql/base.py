@@ -100,7 +100,7 @@ src_person AS (
 ),{_LINES},
 src_detail AS (
   SELECT l_orderkey AS SalesOrderID,
-         l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY
+         l_orderkey * (SELECT max(n) + 1 FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)) + row_number() OVER (PARTITION BY l_orderkey ORDER BY
             l_linenumber NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST,
             l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
             l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS SalesOrderDetailID,
@@ -251,78 +251,50 @@ STATUS_CASE = """CASE WHEN {s} = 1 THEN 'In Process' WHEN {s} = 2 THEN 'Approved
             ELSE 'Unknown' END"""
 
 INTERMEDIATE = f"""
-cos AS (
-  SELECT {sk("so.customer_id", "so.sales_order_id", "so.order_date")} AS customer_order_surrogate_key,
-         so.customer_id, c.person_id, c.account_number, c.first_name, c.last_name, c.middle_name,
-         concat(trim(COALESCE(c.first_name, '')),
-                CASE WHEN c.middle_name IS NOT NULL AND c.middle_name <> '' THEN ' ' || trim(c.middle_name) ELSE '' END,
-                ' ', trim(COALESCE(c.last_name, ''))) AS full_name,
-         c.email_promotion, c.territory_id, c.store_id,
-         so.sales_order_id, so.order_date, so.due_date, so.ship_date,
-         {STATUS_CASE.format(s="so.order_status")} AS order_status_name,
-         so.order_status AS order_status_code,
-         CASE WHEN so.is_online_order = TRUE THEN 'Online' ELSE 'Offline' END AS order_channel,
-         so.is_online_order,
-         date_diff('day', so.order_date, so.due_date) AS days_until_due,
-         date_diff('day', so.order_date, so.ship_date) AS days_to_ship,
-         CASE WHEN so.ship_date IS NOT NULL AND so.ship_date <= so.due_date THEN 'On Time'
-              WHEN so.ship_date IS NOT NULL AND so.ship_date > so.due_date THEN 'Late'
-              ELSE 'Not Shipped' END AS shipping_performance,
-         so.order_quantity, so.line_total, so.calculated_line_total,
-         so.order_subtotal, so.order_tax_amount, so.order_freight, so.order_total_due,
-         so.order_quantity * so.unit_price AS gross_line_total,
-         so.order_quantity * so.unit_price * so.unit_price_discount AS discount_amount,
-         CASE WHEN so.unit_price_discount > 0 THEN 1 ELSE 0 END AS has_discount_flag,
-         so.sales_person_id, so.territory_id AS order_territory_id,
-         so.header_modified_date, c.modified_date AS customer_modified_date
-  FROM stg_sales_orders so INNER JOIN stg_customers c ON so.customer_id = c.customer_id
+line AS (
+  SELECT *, order_quantity * unit_price AS gross_line_total,
+         order_quantity * unit_price * unit_price_discount AS discount_amount,
+         {STATUS_CASE.format(s="order_status")} AS order_status_name,
+         CASE WHEN is_online_order THEN 'Online' ELSE 'Offline' END AS order_channel
+  FROM stg_sales_orders
 ),
-int_customer_orders AS (
-  SELECT customer_order_surrogate_key, customer_id, person_id, account_number, first_name, last_name,
-         middle_name, full_name, email_promotion, territory_id, store_id, sales_order_id, order_date,
-         due_date, ship_date, order_status_name, order_status_code, order_channel, is_online_order,
-         days_until_due, days_to_ship, shipping_performance,
+whole_order AS (
+  SELECT sales_order_id, max(customer_id) AS customer_id, max(order_date) AS order_date, max(due_date) AS due_date,
+         max(ship_date) AS ship_date, max(order_status_name) AS order_status_name, max(order_status) AS order_status_code,
+         max(order_channel) AS order_channel, any_value(is_online_order) AS is_online_order,
          sum(order_quantity) AS total_order_quantity, sum(line_total) AS total_line_total,
-         sum(calculated_line_total) AS total_calculated_line_total,
-         sum(gross_line_total) AS total_gross_line_total, sum(discount_amount) AS total_discount_amount,
-         max(has_discount_flag) AS has_discount_flag, max(order_subtotal) AS order_subtotal,
-         max(order_tax_amount) AS order_tax_amount, max(order_freight) AS order_freight,
+         sum(calculated_line_total) AS total_calculated_line_total, sum(gross_line_total) AS total_gross_line_total,
+         sum(discount_amount) AS total_discount_amount,
+         CASE WHEN count(*) FILTER (WHERE unit_price_discount > 0) > 0 THEN 1 ELSE 0 END AS has_discount_flag,
+         max(order_subtotal) AS order_subtotal, max(order_tax_amount) AS order_tax_amount, max(order_freight) AS order_freight,
          max(order_total_due) AS order_total_due, max(sales_person_id) AS sales_person_id,
-         max(order_territory_id) AS order_territory_id, max(header_modified_date) AS header_modified_date,
-         max(customer_modified_date) AS customer_modified_date
-  FROM cos
-  GROUP BY customer_order_surrogate_key, customer_id, person_id, account_number, first_name, last_name,
-           middle_name, full_name, email_promotion, territory_id, store_id, sales_order_id, order_date,
-           due_date, ship_date, order_status_name, order_status_code, order_channel, is_online_order,
-           days_until_due, days_to_ship, shipping_performance
+         max(territory_id) AS order_territory_id, max(header_modified_date) AS header_modified_date
+  FROM line GROUP BY sales_order_id
+),
+int_customer_orders AS (
+  SELECT o.*, c.* EXCLUDE (customer_id, modified_date), c.modified_date AS customer_modified_date,
+         {sk("o.customer_id", "o.sales_order_id", "o.order_date")} AS customer_order_surrogate_key,
+         trim(COALESCE(c.first_name, '')) || COALESCE(' ' || nullif(trim(c.middle_name), ''), '') || ' '
+           || trim(COALESCE(c.last_name, '')) AS full_name,
+         date_diff('day', o.order_date, o.due_date) AS days_until_due, date_diff('day', o.order_date, o.ship_date) AS days_to_ship,
+         COALESCE(CASE o.ship_date <= o.due_date WHEN TRUE THEN 'On Time' WHEN FALSE THEN 'Late' END, 'Not Shipped')
+           AS shipping_performance
+  FROM whole_order o JOIN stg_customers c USING (customer_id)
 ),
 int_product_sales AS (
-  SELECT {sk("so.product_id", "so.order_date", "so.sales_order_id")} AS product_sale_surrogate_key,
-         so.product_id, p.product_number, p.product_name, p.product_subcategory_id, p.subcategory_name,
-         p.product_category_id, p.product_model_id, p.color, p.size, p.product_line, p.product_class,
-         p.product_style, p.make_flag, p.finished_goods_flag, p.standard_cost, p.list_price,
-         so.unit_price AS sale_unit_price,
-         so.unit_price - p.standard_cost AS unit_profit,
-         {ratio8("so.unit_price - p.standard_cost", "p.standard_cost")} AS profit_margin_pct,
-         {ratio8("so.unit_price", "p.list_price")} AS discount_from_list_pct,
-         so.sales_order_id, so.sales_order_detail_id, so.order_date, so.due_date, so.ship_date, so.customer_id,
-         {STATUS_CASE.format(s="so.order_status")} AS order_status_name,
-         so.order_status AS order_status_code,
-         CASE WHEN so.is_online_order = TRUE THEN 'Online' ELSE 'Offline' END AS order_channel,
-         so.order_quantity, so.unit_price, so.unit_price_discount, so.line_total, so.calculated_line_total,
-         so.order_quantity * so.unit_price AS gross_line_total,
-         so.order_quantity * so.unit_price * so.unit_price_discount AS discount_amount,
-         so.order_quantity * (so.unit_price - p.standard_cost) AS line_profit,
-         so.order_quantity * (so.unit_price - p.standard_cost) * (1 - so.unit_price_discount) AS net_line_profit,
-         p.sell_start_date, p.sell_end_date, p.discontinued_date,
+  SELECT l.* EXCLUDE (order_status), l.order_status AS order_status_code, l.unit_price AS sale_unit_price,
+         p.* EXCLUDE (product_id, modified_date), p.modified_date AS product_modified_date,
+         {sk("l.product_id", "l.order_date", "l.sales_order_id")} AS product_sale_surrogate_key,
+         l.unit_price - p.standard_cost AS unit_profit,
+         {ratio8("l.unit_price - p.standard_cost", "p.standard_cost")} AS profit_margin_pct,
+         {ratio8("l.unit_price", "p.list_price")} AS discount_from_list_pct,
+         l.order_quantity * (l.unit_price - p.standard_cost) AS line_profit,
+         l.order_quantity * (l.unit_price - p.standard_cost) * (1 - l.unit_price_discount) AS net_line_profit,
          CASE WHEN p.discontinued_date IS NOT NULL THEN 'Discontinued'
-              WHEN p.sell_end_date IS NOT NULL AND CAST(p.sell_end_date AS TIMESTAMP) < TIMESTAMP '{AS_OF} 00:00:00' THEN 'Ended'
+              WHEN CAST(p.sell_end_date AS TIMESTAMP) < TIMESTAMP '{AS_OF} 00:00:00' THEN 'Ended'
               WHEN CAST(p.sell_start_date AS TIMESTAMP) > TIMESTAMP '{AS_OF} 00:00:00' THEN 'Not Started'
-              ELSE 'Active' END AS product_lifecycle_status,
-         p.safety_stock_level, p.reorder_point, p.days_to_manufacture, so.territory_id, so.sales_person_id,
-         so.detail_modified_date, p.modified_date AS product_modified_date
-  FROM stg_sales_orders so INNER JOIN stg_products p ON so.product_id = p.product_id
-  WHERE p.product_id IS NOT NULL AND so.product_id IS NOT NULL
+              ELSE 'Active' END AS product_lifecycle_status
+  FROM line l JOIN stg_products p USING (product_id)
 )"""
 
 

@@ -44,6 +44,29 @@ q AS (
   FROM kept
 )"""
 
+#: Case by case: a customer is in the first snapshot, changed by the second, in the late one, or any of these.
+SCD2_LATE = """
+state AS (
+  SELECT c_custkey AS customer_id, c_custkey % 10 <> 9 AS early, c_custkey % 10 <> 9 AND c_custkey % 6 = 0 AS late,
+         c_custkey % 10 <> 8 AND (c_custkey % 10 = 9 OR c_custkey % 5 = 0 OR (c_custkey % 4 = 0 AND c_mktsegment <> 'AUTOMOBILE'))
+           AS second,
+         c_name AS name, 'customer' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email, c_mktsegment AS segment,
+         CASE WHEN c_custkey % 5 = 0 THEN 'customer' || CAST(c_custkey AS VARCHAR) || '@new.example.com'
+              ELSE 'customer' || CAST(c_custkey AS VARCHAR) || '@example.com' END AS email2,
+         CASE WHEN c_custkey % 4 = 0 THEN 'AUTOMOBILE' ELSE c_mktsegment END AS segment2
+  FROM customer
+),
+q AS (
+  SELECT customer_id, name, email, segment, TIMESTAMP '2001-01-01 00:00:00' AS valid_from,
+         CASE WHEN late THEN TIMESTAMP '2001-03-01 00:00:00' WHEN second THEN TIMESTAMP '2001-06-01 00:00:00' END AS valid_to,
+         NOT (late OR second) AS is_current FROM state WHERE early
+  UNION ALL
+  SELECT customer_id, name, email, 'LATE', TIMESTAMP '2001-03-01 00:00:00',
+         CASE WHEN second THEN TIMESTAMP '2001-06-01 00:00:00' END, NOT second FROM state WHERE late
+  UNION ALL
+  SELECT customer_id, name, email2, segment2, TIMESTAMP '2001-06-01 00:00:00', NULL, true FROM state WHERE second
+)"""
+
 _CHANGED = ("(o.name IS DISTINCT FROM n.name OR o.email IS DISTINCT FROM n.email "
             "OR o.segment IS DISTINCT FROM n.segment)")
 
@@ -58,7 +81,7 @@ def history_sql() -> dict[str, str]:
         "scd1": project(w("q AS (SELECT * FROM snap2 UNION ALL SELECT * FROM snap1 "
                           "WHERE customer_id NOT IN (SELECT customer_id FROM snap2))"), SNAP_KINDS),
         "scd2": project(w(SCD2), SCD2_KINDS),
-        "scd2_merge": project(w(SCD2), SCD2_KINDS),
+        "scd2_merge": project(w(SCD2_LATE), SCD2_KINDS),
         "scd3": project(w("""q AS (
             SELECT COALESCE(n.customer_id, o.customer_id) AS customer_id,
                    COALESCE(n.email, o.email) AS current_email,
@@ -73,19 +96,16 @@ def history_sql() -> dict[str, str]:
             FROM snap1 o JOIN snap2 n ON o.customer_id = n.customer_id WHERE {_CHANGED})"""),
             "customer_id:i name:s email:s segment:s valid_from:ts valid_to:ts"),
     }
-    inc = with_models("""h AS (SELECT SalesOrderID, Status, TotalDue, ModifiedDate FROM src_header),
-        tgt AS (SELECT * FROM h WHERE ModifiedDate <= TIMESTAMP '1999-12-31 00:00:00'),
-        inc AS (SELECT * FROM h WHERE (SELECT max(ModifiedDate) FROM tgt) IS NULL
-                                   OR ModifiedDate > (SELECT max(ModifiedDate) FROM tgt)),
-        q AS (SELECT * FROM tgt WHERE SalesOrderID NOT IN (SELECT DISTINCT SalesOrderID FROM inc)
-              UNION ALL SELECT * FROM inc)""")
-    out["incremental_merge"] = project(inc, "SalesOrderID:i Status:i TotalDue:d ModifiedDate:ts")
-    inc_p = with_models("""h AS (SELECT SalesOrderID, Status, TotalDue, ModifiedDate, year(OrderDate) AS order_year
-                                FROM src_header),
-        tgt AS (SELECT * FROM h WHERE ModifiedDate <= TIMESTAMP '1999-12-31 00:00:00'),
-        inc AS (SELECT * FROM h WHERE ModifiedDate > (SELECT max(ModifiedDate) FROM tgt)),
-        q AS (SELECT * FROM tgt WHERE SalesOrderID NOT IN (SELECT DISTINCT SalesOrderID FROM inc)
-              UNION ALL SELECT * FROM inc)""")
-    out["incremental_partitioned"] = project(
-        inc_p, "SalesOrderID:i Status:i TotalDue:d ModifiedDate:ts order_year:i")
+    # the end state of every order, without any merge
+    final = with_models("""h AS (
+          SELECT *, year(OrderDate) AS y, ModifiedDate <= TIMESTAMP '1999-12-31 00:00:00' AS loaded FROM src_header),
+        q AS (
+          SELECT SalesOrderID, TotalDue,
+                 CASE WHEN loaded AND SalesOrderID % 14 = 0 THEN 3 WHEN loaded AND SalesOrderID % 7 = 0 THEN 6 ELSE Status END AS Status,
+                 CASE WHEN loaded AND SalesOrderID % 14 = 0 THEN TIMESTAMP '2002-02-01 00:00:00'
+                      WHEN loaded AND SalesOrderID % 7 = 0 THEN TIMESTAMP '2002-01-01 00:00:00' ELSE ModifiedDate END AS ModifiedDate,
+                 CASE WHEN loaded AND SalesOrderID % 21 = 0 THEN y + 1 ELSE y END AS order_year
+          FROM h)""")
+    for name in ("incremental_merge", "incremental_partitioned"):
+        out[name] = project(final, "SalesOrderID:i Status:i TotalDue:d ModifiedDate:ts order_year:i")
     return out

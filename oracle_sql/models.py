@@ -21,6 +21,8 @@ def model_sql() -> dict[str, str]:
         "fct_sales_summary": _model("fct_sales_summary", DAILY),
         "dim_customer_metrics": _model("dim_customer_metrics", CUSTOMER),
         "fct_product_performance": _model("fct_product_performance", PRODUCT),
+        # what a rollback restores is the mart of all orders
+        "publish_rollback": project(with_models(DAILY), K.FCT_SALES_SUMMARY, source="fct_sales_summary"),
         # a refresh of recent years merged with older rows equals the full mart
         "sales_summary_refresh": project(with_models(DAILY), K.FCT_SALES_SUMMARY, source="fct_sales_summary"),
     }

@@ -6,13 +6,12 @@ All operators take snapshots ``(key, tracked columns..., updated_at)``.
 * type 1 overwrites (latest snapshot wins; keys absent from it are kept);
 * type 2 keeps every version with ``valid_from / valid_to / is_current``;
   ``scd2_history`` builds it from observed versions in one window pass (per
-  key, ordered by time), ``scd2_merge`` applies one new snapshot to an
-  existing history (close changed current rows, append new versions) —
-  both give the same table;
+  key, ordered by time), ``scd2_merge`` puts one more snapshot into an
+  existing history by the same pass;
 * type 3 keeps the current and the previous value side by side;
 * type 4 splits current rows (type 1) from a separate history table.
 
-The merge forms are a left-anti join + union — no MERGE statement needed.
+Types 0, 1 and 4 are a left-anti join + union — no MERGE statement needed.
 """
 
 from __future__ import annotations
@@ -34,51 +33,42 @@ def scd1(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
 
 
 def scd2_history(versions: DataFrame, key: list[str], tracked: list[str], ts: str = "updated_at") -> DataFrame:
-    """Type 2 from observed versions (e.g. the union of several snapshots).
+    """Type 2 from observed versions (e.g. the union of several snapshots), in any order of arrival.
 
-    Exact repeats are dropped, then a version is kept only when a tracked
-    column differs from the previous version of the key; ``valid_to`` is the
-    next kept version's ``valid_from``.
+    Of several versions of a key at one instant the greatest (by the tracked
+    columns) counts; then a version is kept only when a tracked column differs
+    from the version before.  ``valid_to`` is the next kept version's
+    ``valid_from``, so a key's versions never overlap and one is current.
+    All windows share one partitioning by the key: one exchange.
     """
-    w = Window.partitionBy(*key).orderBy(ts)
-    v = versions.select(*key, *tracked, ts).dropDuplicates([*key, *tracked, ts])
-    marked = v.select("*", F.row_number().over(w).alias("_rn"),
-                      *[F.lag(c).over(w).alias(f"_prev_{c}") for c in tracked])
+    w = Window.partitionBy(*key).orderBy(ts, *tracked)
+    v = versions.select(*key, *tracked, ts).withColumn("_next_ts", F.lead(ts).over(w))
+    v = v.filter(F.col("_next_ts").isNull() | (F.col("_next_ts") != F.col(ts)) | F.col(ts).isNull())
+    by_time = Window.partitionBy(*key).orderBy(ts)
+    marked = v.select(*key, *tracked, ts, F.row_number().over(by_time).alias("_rn"),
+                      *[F.lag(c).over(by_time).alias(f"_prev_{c}") for c in tracked])
     differs = reduce(lambda x, y: x | y, [~F.col(c).eqNullSafe(F.col(f"_prev_{c}")) for c in tracked])
     kept = marked.filter((F.col("_rn") == 1) | differs).select(*key, *tracked, ts)
-    w2 = Window.partitionBy(*key).orderBy(ts)
-    nxt = F.lead(ts).over(w2)
+    nxt = F.lead(ts).over(by_time)
     return kept.select(*key, *tracked, F.col(ts).alias("valid_from"), nxt.alias("valid_to"),
                        nxt.isNull().alias("is_current"))
 
 
 def scd2_init(snapshot: DataFrame, key: list[str], tracked: list[str], ts: str = "updated_at") -> DataFrame:
-    return snapshot.select(*key, *tracked, F.col(ts).alias("valid_from"),
-                           F.lit(None).cast(snapshot.schema[ts].dataType).alias("valid_to"),
-                           F.lit(True).alias("is_current"))
+    """The history of a first snapshot."""
+    return scd2_history(snapshot, key, tracked, ts)
 
 
 def scd2_merge(history: DataFrame, new: DataFrame, key: list[str], tracked: list[str],
                ts: str = "updated_at") -> DataFrame:
-    """Type 2 merge of one new snapshot into an existing history."""
-    cur = history.filter("is_current").alias("h")
-    n = new.select(*key, *tracked, ts).alias("n")
-    on = reduce(lambda x, y: x & y, [F.col(f"h.{k}") == F.col(f"n.{k}") for k in key])
-    pairs = cur.join(n, on, "inner")
-    changed = pairs.filter(
-        reduce(lambda x, y: x | y, [~F.col(f"h.{c}").eqNullSafe(F.col(f"n.{c}")) for c in tracked]))
-    closed = changed.select(*[F.col(f"h.{c}").alias(c) for c in (*key, *tracked, "valid_from")],
-                            F.col(f"n.{ts}").alias("valid_to"), F.lit(False).alias("is_current"))
-    opened = changed.select(*[F.col(f"n.{c}").alias(c) for c in (*key, *tracked)],
-                            F.col(f"n.{ts}").alias("valid_from"),
-                            F.lit(None).cast(new.schema[ts].dataType).alias("valid_to"),
-                            F.lit(True).alias("is_current"))
-    changed_keys = changed.select(*[F.col(f"n.{k}").alias(k) for k in key])
-    untouched = history.join(changed_keys, key, "left_anti")
-    closed_history = history.filter(~F.col("is_current")).join(changed_keys, key, "left_semi")
-    new_keys = new.join(history.select(*key).distinct(), key, "left_anti")
-    return (untouched.unionByName(closed_history).unionByName(closed).unionByName(opened)
-            .unionByName(scd2_init(new_keys, key, tracked, ts)))
+    """Type 2 merge of one more snapshot, late or repeated versions included.
+
+    The stored versions and the new ones are put in order together: no join.
+    A history holds changes only; an unchanged repeat seen earlier is not in
+    it, so a late version between two such repeats stands until the next change.
+    """
+    stored = history.select(*key, *tracked, F.col("valid_from").alias(ts))
+    return scd2_history(stored.unionByName(new.select(*key, *tracked, ts)), key, tracked, ts)
 
 
 def scd3(old: DataFrame, new: DataFrame, key: list[str], column: str) -> DataFrame:

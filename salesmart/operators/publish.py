@@ -3,24 +3,28 @@
 * view (SNK-1): a temp view over a lazy DataFrame;
 * table (SNK-2): full overwrite of a parquet table;
 * incremental (SNK-3): high-water-mark append, or keyed upsert;
-* staged publish + swap (SNK-5) and rollback (SNK-6): every build writes a new
-  version folder; a one-row pointer table names the live version and is only
-  moved after the checks pass.  Readers resolve the pointer, so a failed build
-  never becomes visible and the previous version stays available.
-
-All state lives in the table folders themselves (written by Spark), so it
-works on any shared file system the cluster uses.
+* staged publish + swap (SNK-5) and rollback (SNK-6): every build or load
+  writes new folders, and a catalog view names the ones that are live.  The
+  view is replaced only after the checks pass, in one catalog operation, so a
+  reader sees the whole old version or the whole new one.
+
+A release is the list of folders that make up a table (an append adds one).
+The view keeps the releases published so far as a property, oldest first;
+rolling back drops the last of them.  With a persistent catalog this outlives
+the session; with Spark's in-memory catalog it lasts as long as the session.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import zlib
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-POINTER = "_current"
-LOG = "_versions"
+RELEASES, FOLDER = "releases", "folder"
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -29,7 +33,8 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite").format("parquet")
+    """Full overwrite: nothing of an earlier table stays, partitioned or not."""
+    w = df.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -45,116 +50,176 @@ def newer_than_target(new: DataFrame, target: DataFrame, updated_at: str) -> Dat
     return new.filter(mark.isNull() | (F.col(updated_at) > mark))
 
 
-def upsert(old: DataFrame | None, changes: DataFrame, key: list[str]) -> DataFrame:
-    """Keyed merge: old rows whose key is not in ``changes``, plus ``changes``."""
-    if old is None:
-        return changes
-    kept = old.join(changes.select(*key).distinct(), key, "left_anti")
-    return kept.unionByName(changes)
+def newest_by_key(changes: DataFrame, key: list[str], updated_at: str) -> DataFrame:
+    """One row per key: the last change; equal times are settled by a hash of the row."""
+    order = F.struct(F.col(updated_at), F.xxhash64(*changes.columns))
+    return (changes.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(key)])
+            .agg(F.max_by(F.struct(*changes.columns), order).alias("_last")).select("_last.*"))
 
 
-def incremental_load(spark: SparkSession, new: DataFrame, root: str, updated_at: str,
-                     key: list[str] | None = None, table: str = "data",
-                     partition_by: str | None = None) -> str:
-    """SNK-3: load the rows newer than the live table's high-water mark.
-
-    ``root`` holds versions and a pointer (as in the staged publish).  The
-    first run publishes all rows.  Without a key, newer rows are appended to
-    the live version (Spark commits the appended files atomically per job).
-    With a key:
-
-    * unpartitioned: the merged table is written to a new version and the
-      pointer is swapped only after the write succeeded — a failed run leaves
-      the previous version live;
-    * ``partition_by`` (a column that never changes for a key, such as the
-      order year): only the partitions the increment touches are read
-      (semi-join on the partition column → dynamic partition pruning), merged,
-      staged, and written back with dynamic partition overwrite, so the work
-      is proportional to the changed partitions, not to the table.
-
-    Returns the live version.
+def _same_key(key: list[str], other: str = "_k"):
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{other}{i}")) for i, k in enumerate(key)])
+
+
+def _keys(df: DataFrame, key: list[str]) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]).distinct()
+
+
+def upsert(old: DataFrame | None, changes: DataFrame, key: list[str], updated_at: str | None = None) -> DataFrame:
+    """Keyed merge: old rows whose key is not in ``changes``, plus the last change of each key.
+
+    Null keys match null keys.  Without ``updated_at`` the changes must hold each key once.
     """
-    cur = current_version(spark, root)
-    if cur is None:
-        v, vdir = stage_version(root)
-        w = new.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(f"{vdir}/{table}")
-        swap(spark, root, v)
-        return v
-    live_path = f"{root}/{cur}/{table}"
-    live = spark.read.parquet(live_path)
-    inc = newer_than_target(new, live, updated_at)
-    if key is None:
-        w = inc.write.mode("append")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(live_path)
-        return cur
-    if partition_by:
-        touched = inc.select(partition_by).distinct()
-        affected = live.join(touched, partition_by, "left_semi")
-        staged = f"{root}/_staged_{_version_name()}"
-        upsert(affected, inc, key).write.mode("overwrite").partitionBy(partition_by).parquet(staged)
-        (spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_by).parquet(live_path))
-        return cur
-    v, vdir = stage_version(root)
-    upsert(live, inc, key).write.mode("overwrite").parquet(f"{vdir}/{table}")
-    swap(spark, root, v)
-    return v
+    if updated_at is not None:
+        changes = newest_by_key(changes, key, updated_at)
+    if old is None:
+        return changes
+    return old.join(_keys(changes, key), _same_key(key), "left_anti").unionByName(changes)
 
 
 def _version_name() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("v%Y%m%dT%H%M%S%f")
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    try:
-        row = spark.read.json(f"{root}/{POINTER}").first()
-    except Exception:
-        return None
-    return row["version"] if row else None
+def schema_of(root: str) -> str:
+    """The catalog schema that holds the views of a publishing root."""
+    return f"published_{zlib.crc32(root.rstrip('/').encode()):08x}"
+
 
+def releases(spark: SparkSession, root: str, table: str) -> list[list[str]]:
+    """Published releases of a table, oldest first, each the list of its version folders; none: never published.
 
-def versions(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.json(f"{root}/{LOG}")
+    Only a missing view means "never published"; any other failure is raised.
+    """
+    name = f"{schema_of(root)}.{table}"
+    if not spark.catalog.databaseExists(schema_of(root)) or not spark.catalog.tableExists(name):
+        return []
+    return [r.split("+") for r in _properties(spark, name)[RELEASES].split(",")]
+
+
+def _properties(spark: SparkSession, view: str) -> dict[str, str]:
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+    if RELEASES not in found:
+        raise ValueError(f"{view} was not published by this library")
+    return found
 
 
-def _set_pointer(spark: SparkSession, root: str, version: str, status: str) -> None:
-    spark.createDataFrame([(version,)], "version string").coalesce(1) \
-        .write.mode("overwrite").json(f"{root}/{POINTER}")
-    now = _dt.datetime.now(_dt.timezone.utc).isoformat()
-    spark.createDataFrame([(version, status, now)], "version string, status string, at string") \
-        .coalesce(1).write.mode("append").json(f"{root}/{LOG}")
+def _point(spark: SparkSession, root: str, table: str, history: list[list[str]], schema: StructType) -> None:
+    """Replace the table's view by one over the folders of the last release."""
+    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+    body = " UNION ALL ".join(f"SELECT {columns} FROM parquet.`{root}/{v}/{table}`" for v in history[-1])
+    said = ",".join("+".join(r) for r in history)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema_of(root)}")
+    spark.sql(f"CREATE OR REPLACE VIEW {schema_of(root)}.{table} "
+              f"TBLPROPERTIES ('{RELEASES}' = '{said}', '{FOLDER}' = '{table}') AS {body}")
 
 
 def stage_version(root: str, version: str | None = None) -> tuple[str, str]:
-    """A fresh version folder for the next build (nothing is visible yet)."""
+    """A version folder for the next build (nothing is visible yet)."""
     v = version or _version_name()
+    if any(c in v for c in ",+/'`"):
+        raise ValueError(f"version name {v!r} has a reserved character")
     return v, f"{root}/{v}"
 
 
-def swap(spark: SparkSession, root: str, version: str) -> None:
-    """Make ``version`` the live one (SNK-5)."""
-    _set_pointer(spark, root, version, "published")
+def published_tables(spark: SparkSession, root: str) -> list[str]:
+    """Names of the published tables, spelt as their folders are."""
+    schema = schema_of(root)
+    if not spark.catalog.databaseExists(schema):
+        return []
+    # the session's temp views are listed too; they have no database
+    views = [t.name for t in spark.catalog.listTables(schema) if not t.isTemporary]
+    return sorted(_properties(spark, f"{schema}.{v}")[FOLDER] for v in views)
+
+
+def swap(spark: SparkSession, root: str, version: str, tables: dict[str, StructType]) -> None:
+    """Make ``version`` the live one for these tables (SNK-5)."""
+    for table, schema in tables.items():
+        _point(spark, root, table, [*releases(spark, root, table), [version]], schema)
 
 
 def rollback(spark: SparkSession, root: str) -> str | None:
-    """SNK-6: point back at the version published before the current one."""
-    log = versions(spark, root).filter(F.col("status").isin("published", "rolled_back_to"))
-    cur = current_version(spark, root)
-    prev = (log.filter(F.col("version") != F.lit(cur)).orderBy(F.col("at").desc()).select("version")
-            .limit(1).collect())
-    if not prev:
+    """SNK-6: every table goes back to the release before its live one.
+
+    A release that was rolled back is forgotten, so rolling back again goes
+    further back.  Nothing is changed, and None returned, if some table has no
+    earlier release.
+    """
+    found = {t: releases(spark, root, t) for t in published_tables(spark, root)}
+    if not found or any(len(h) < 2 for h in found.values()):
         return None
-    _set_pointer(spark, root, prev[0]["version"], "rolled_back_to")
-    return prev[0]["version"]
+    for table, history in found.items():
+        _point(spark, root, table, history[:-1], spark.table(f"{schema_of(root)}.{table}").schema)
+    return current_version(spark, root)
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The newest folder of the live release (of the first table by name); None if nothing is published."""
+    tables = published_tables(spark, root)
+    return releases(spark, root, tables[0])[-1][-1] if tables else None
 
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    v = current_version(spark, root)
-    if v is None:
-        raise FileNotFoundError(f"no published version under {root}")
-    return spark.read.parquet(f"{root}/{v}/{table}")
+    if not releases(spark, root, table):
+        raise FileNotFoundError(f"no published version of {table} under {root}")
+    return spark.table(f"{schema_of(root)}.{table}")
+
+
+def retire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Forget all but the last ``keep`` releases of each table and delete folders that none of them uses."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    dropped, used = set(), set()
+    for table in published_tables(spark, root):
+        history = releases(spark, root, table)
+        used |= {v for r in history[-keep:] for v in r}
+        dropped |= {v for r in history[:-keep] for v in r}
+        if len(history) > keep:
+            _point(spark, root, table, history[-keep:], spark.table(f"{schema_of(root)}.{table}").schema)
+    for version in sorted(dropped - used):
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{version}")
+        path.getFileSystem(conf).delete(path, True)
+    return sorted(dropped - used)
+
+
+def _merged_partitions(live: DataFrame, inc: DataFrame, key: list[str], updated_at: str, partition_by: str) -> DataFrame:
+    """Upsert that joins only partitions which the increment's rows are in or move out of; the others pass by.
+
+    The increment must be small enough to be read twice; the live table is read
+    once for its (key, partition) columns and once whole.
+    """
+    last = newest_by_key(inc, key, updated_at)
+    moved = live.select(*key, partition_by).join(_keys(last, key), _same_key(key), "left_semi").select(partition_by)
+    touched = last.select(partition_by).union(moved).distinct().withColumnRenamed(partition_by, "_k0")
+    same = _same_key([partition_by])
+    return live.join(touched, same, "left_anti").unionByName(upsert(live.join(touched, same, "left_semi"), last, key))
+
+
+def incremental_load(spark: SparkSession, new: DataFrame, root: str, updated_at: str,
+                     key: list[str] | None = None, table: str = "data",
+                     partition_by: str | None = None) -> str:
+    """SNK-3: load the rows newer than the live table's high-water mark as a new release.
+
+    The first run publishes all rows (with a key: the last of each).  Without a
+    key, a new folder with the newer rows is added to the live ones.  With a
+    key, the merged table is written to a new folder: the last change of a key
+    wins, also if it moves the key to another ``partition_by`` value or the
+    value is null, and only the partitions concerned are joined.  A failed run
+    leaves the live release as it was.  Returns the new version.
+    """
+    schema = new.schema
+    history = releases(spark, root, table)
+    version, folder = stage_version(root)
+    if not history:
+        rows, keep = newest_by_key(new, key, updated_at) if key else new, []
+    else:
+        live = read_current(spark, root, table)
+        inc, keep = newer_than_target(new, live, updated_at), []
+        if not key:
+            rows, keep = inc, history[-1]
+        elif partition_by:
+            rows = _merged_partitions(live, inc, key, updated_at, partition_by)
+        else:
+            rows = upsert(live, inc, key, updated_at)
+    write_table(rows.select(*schema.names), f"{folder}/{table}", [partition_by] if partition_by else None)
+    _point(spark, root, table, [*history, [*keep, version]], schema)
+    return version

@@ -21,6 +21,7 @@ from salesmart.operators import publish
 from salesmart.operators.quality import run_checks
 from salesmart.operators.rules import declared_checks
 from salesmart.plans import intermediate, marts, models
+from salesmart.sources.freshness import freshness
 from salesmart.plans.incremental import PARTITION_COLUMN, with_partition_column
 from salesmart.types import check_schema
 
@@ -53,25 +54,42 @@ def _layer(spark: SparkSession, jobs: dict, vdir: str, threads: int) -> dict[str
         return dict(pool.map(run, jobs.items()))
 
 
+def _freshness_rows(sources: dict[str, DataFrame], rules: dict, as_of) -> DataFrame:
+    """One result row per source: a stale one fails (error) or warns, as its rule says (DQ-9)."""
+    found = freshness({n: rules[n] for n in sources if n in rules}, as_of)
+    bad = F.col("status") != "pass"
+    return found.select(
+        F.concat_ws(".", F.lit("source"), "table_name", F.lit("freshness")).alias("check_id"),
+        F.col("table_name").alias("model"), F.lit("freshness").alias("kind"),
+        F.lit("loaded_at").alias("column_name"),
+        F.when(F.col("status") == "warn", "warn").otherwise("error").alias("severity"),
+        bad.cast("bigint").alias("failures"), F.when(bad, F.when(F.col("status") == "warn", "warn").otherwise("fail"))
+        .otherwise("pass").alias("status"))
+
+
 def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of=None,
           checks=None, publish_on_success: bool = True, version: str | None = None,
-          slow_run_seconds: float = SLOW_RUN_SECONDS, threads: int = 4) -> DataFrame:
+          slow_run_seconds: float = SLOW_RUN_SECONDS, threads: int = 4,
+          freshness_rules: dict | None = None) -> DataFrame:
     """Run one build into a new version folder under ``root``; return the run result.
 
     Models of one layer do not depend on each other, so each layer's models
     are submitted concurrently from ``threads`` driver threads (Spark shares
     the executors between the jobs); layers run in dependency order.  The
-    result has one row per check plus a final ``run`` row with the elapsed
+    result has one row per check, one per source with a freshness rule (as
+    ``sources.freshness.declared_freshness`` gives them), plus a final ``run`` row with the elapsed
     seconds and the publish decision (DQ-27/28).
     """
     t0 = time.time()
+    if as_of is None:  # one clock for all models and checks of the run
+        as_of = spark.sql("SELECT localtimestamp()").first()[0]
     v, vdir = publish.stage_version(root, version)
+    if any(v in r for name in publish.published_tables(spark, root) for r in publish.releases(spark, root, name)):
+        raise ValueError(f"version {v} is published already")
     stg = models.stage(sources)
     # staging models are views in the model graph, but each is read several
     # times (joins, checks, relationship parents): written once per build
     t = _layer(spark, {n: (lambda n=n: stg[n]) for n in models.STAGING}, vdir, threads)
-    for name, df in t.items():
-        publish_view(df, name)
     t.update(_layer(spark, {
         "int_customer_orders": lambda: intermediate.int_customer_orders(t["stg_sales_orders"], t["stg_customers"]),
         "int_product_sales": lambda: intermediate.int_product_sales(t["stg_sales_orders"], t["stg_products"], as_of),
@@ -89,11 +107,15 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of=N
     results = results.unionByName(
         spark.createDataFrame(drift, results.drop("status").schema).withColumn(
             "status", F.when(F.col("failures") == 0, "pass").otherwise("fail")))
+    if freshness_rules:
+        results = results.unionByName(_freshness_rows(sources, freshness_rules, as_of).select(*results.columns))
     results = _materialise(spark, results, f"{vdir}/_checks")
     errors = results.filter(F.col("status") == "fail").count()
     published = publish_on_success and errors == 0
     if published:
-        publish.swap(spark, root, v)
+        publish.swap(spark, root, v, {n: df.schema for n, df in t.items()})
+        for name in models.STAGING:  # the session's staging views follow the release, never an unchecked build
+            publish_view(publish.read_current(spark, root, name), name)
     elapsed = time.time() - t0
     severity = "error" if errors else ("warn" if elapsed > slow_run_seconds else "info")
     run = spark.createDataFrame(

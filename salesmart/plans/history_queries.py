@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators import history as H
-from salesmart.operators.publish import newer_than_target, upsert
 from salesmart.plans.output import comparable
 from salesmart.sources import conform
 
@@ -35,8 +34,14 @@ def scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three snapshots merged one after the other; the last one is late: its versions lie between the first two."""
     s1, s2 = _snaps(spark, sf_dir)
-    return comparable(H.scd2_merge(H.scd2_init(s1, KEY, TRACKED), s2, KEY, TRACKED))
+    late = (s1.filter(F.col("customer_id") % 6 == 0).withColumn("segment", F.lit("LATE"))
+            .withColumn("updated_at", F.to_timestamp_ntz(F.lit("2001-03-01 00:00:00")).cast(s1.schema["updated_at"].dataType)))
+    history = H.scd2_init(s1, KEY, TRACKED)
+    for snapshot in (s2, late):
+        history = H.scd2_merge(history, snapshot, KEY, TRACKED)
+    return comparable(history)
 
 
 def scd3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,30 +59,45 @@ def scd4_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(H.scd4(s1, s2, KEY, TRACKED)[1])
 
 
-def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-3 on order headers: first load up to a date, then a keyed incremental run."""
-    h = conform.sales_order_header(spark, sf_dir).select(
-        "SalesOrderID", "Status", "TotalDue", "ModifiedDate")
-    target = h.filter(F.col("ModifiedDate") <= F.to_timestamp_ntz(F.lit(FIRST_LOAD_UNTIL)))
-    return comparable(upsert(target, newer_than_target(h, target, "ModifiedDate"), ["SalesOrderID"]))
+def _order_changes(h: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(first load, all later rows): new orders, and every seventh loaded order changed.
 
+    Every fourteenth is changed twice, and every twenty-first moves to the next year.
+    """
+    first = h.filter(F.col("ModifiedDate") <= F.to_timestamp_ntz(F.lit(FIRST_LOAD_UNTIL)))
+    order = F.col("SalesOrderID")
 
-def incremental_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-3 on a year-partitioned table: first load, then a keyed, partition-scoped run."""
+    def change(every: int, status: int, at: str) -> DataFrame:
+        out = (first.filter(order % every == 0).withColumn("Status", F.lit(status).cast(h.schema["Status"].dataType))
+               .withColumn("ModifiedDate", F.to_timestamp_ntz(F.lit(at)).cast(h.schema["ModifiedDate"].dataType)))
+        return out.withColumn("order_year", F.when(order % 21 == 0, F.col("order_year") + 1).otherwise(F.col("order_year")))
+    return first, h.unionByName(change(7, 6, "2002-01-01 00:00:00")).unionByName(change(14, 3, "2002-02-01 00:00:00"))
+
+
+def _incremental(spark: SparkSession, sf_dir: str, partition_by: str | None) -> DataFrame:
     import uuid
 
     from salesmart.operators.publish import incremental_load, read_current
     from salesmart.session import scratch_path
     h = conform.sales_order_header(spark, sf_dir).select(
-        "SalesOrderID", "Status", "TotalDue", "ModifiedDate",
-        F.year("OrderDate").alias("order_year"))
+        "SalesOrderID", "Status", "TotalDue", "ModifiedDate", F.year("OrderDate").alias("order_year"))
+    first, rows = _order_changes(h)
     root = scratch_path(spark, f"incremental-{uuid.uuid4().hex}")
-    first = h.filter(F.col("ModifiedDate") <= F.to_timestamp_ntz(F.lit(FIRST_LOAD_UNTIL)))
-    incremental_load(spark, first, root, "ModifiedDate", ["SalesOrderID"], partition_by="order_year")
-    incremental_load(spark, h, root, "ModifiedDate", ["SalesOrderID"], partition_by="order_year")
+    for load in (first, rows):
+        incremental_load(spark, load, root, "ModifiedDate", ["SalesOrderID"], partition_by=partition_by)
     return comparable(read_current(spark, root, "data"))
 
 
+def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3 on order headers: first load up to a date, then a keyed run with new and changed orders."""
+    return _incremental(spark, sf_dir, None)
+
+
+def incremental_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3 on a year-partitioned table: as ``incremental_merge``, joining only the years concerned."""
+    return _incremental(spark, sf_dir, "order_year")
+
+
 HISTORY_QUERIES = {
     "incremental_partitioned": incremental_partitioned,
     "scd0": scd0, "scd1": scd1, "scd2": scd2, "scd2_merge": scd2_merge, "scd3": scd3,

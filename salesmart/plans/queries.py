@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesmart.plans.models import TEST_AS_OF, models_on_testdata
 from salesmart.plans.output import comparable
@@ -164,17 +165,21 @@ def blue_green_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-6: two published versions, then a rollback; returns the version log (status per step)."""
+    """SNK-6: the summary of all orders is published, then one of recent orders only; rolling back restores the first.
+
+    Returns the live rows after the rollback.
+    """
     from salesmart.operators import publish
-    from salesmart.operators.quality import Check
-    from salesmart.plans.build import build
-    from salesmart.sources import conform
+    from salesmart.plans import marts
     root = _publish_root(spark, "rollback")
-    gate = [Check("fct_sales_summary", "not_null", "order_date")]
-    for v in ("v1", "v2"):
-        build(spark, conform.sources(spark, sf_dir), root, TEST_AS_OF, checks=gate, version=v).collect()
+    sales = models_on_testdata(spark, sf_dir, TEST_AS_OF)["int_product_sales"]
+    recent = sales.filter(F.year("order_date") >= REFRESH_SINCE_YEAR)
+    for version, rows in (("v1", sales), ("v2", recent)):
+        summary = marts.fct_sales_summary(rows)
+        publish.write_table(summary, f"{publish.stage_version(root, version)[1]}/fct_sales_summary")
+        publish.swap(spark, root, version, {"fct_sales_summary": summary.schema})
     publish.rollback(spark, root)
-    return publish.versions(spark, root).select("version", "status")
+    return comparable(publish.read_current(spark, root, "fct_sales_summary"))
 
 
 # Fixed value: the refresh recomputes the summary from this order year on.

@@ -1,14 +1,14 @@
 """SparkSession construction shared by the library, tests and bench.
 
-Cluster settings always win: every option below is only applied when the
-session does not define it already, and the checkpoint folder is read from
-``spark.checkpoint.dir`` (a shared folder on a cluster).  Only when it is
-unset (local tests) do we create one under the system temp folder.
+Settings submitted to the cluster or made by the caller win: a default below is
+set only for a key that neither has.  The scratch folder is read from
+``spark.checkpoint.dir``; only a single-process session may do without it.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,36 +33,53 @@ _DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# These cannot be set once a context runs.
+_STATIC = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "salesmart", extra: dict | None = None) -> SparkSession:
+    """A session with the defaults above wherever neither the cluster nor the caller has set a key.
+
+    A session that is already active is returned with its settings as they are,
+    but for what the caller asks for here.
+    """
+    active = SparkSession.getActiveSession()
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
+    asked = dict(extra or {})
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
+        asked["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in ({} if active else _STATIC | asked).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for k, v in _DEFAULTS.items():
+        if not active and k not in asked and not given.contains(k):
+            spark.conf.set(k, v)
+    for k, v in asked.items():
+        if active and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only a session whose executors share this process (master ``local`` or
+    ``local[...]``) may do without the setting; it gets a temporary folder.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="salesmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(path)
     return path
 

@@ -94,11 +94,13 @@ def sales_order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    # one more than the most lines of an order: ids of different orders never meet
+    per_order = lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).agg(F.max("n") + 1).scalar()
     # window first, rename after: the output then stays hash-partitioned by the
     # order key under its new name, so the header × detail join adds no exchange
     return lines.withColumn("_line", F.row_number().over(w)).select(
         F.col("l_orderkey").alias("SalesOrderID"),
-        (F.col("l_orderkey") * 1000 + F.col("_line")).alias("SalesOrderDetailID"),
+        (F.col("l_orderkey") * per_order + F.col("_line")).alias("SalesOrderDetailID"),
         F.col("l_partkey").alias("ProductID"),
         "OrderQty", "UnitPrice", "UnitPriceDiscount", "LineTotal",
         F.col("l_shipdate").alias("ModifiedDate"),

@@ -1,10 +1,14 @@
 """History (SCD) and incremental fixtures and properties."""
 
 import datetime as dt
+import os
+from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from salesmart.operators import history as H
+from salesmart.operators import publish
 from salesmart.operators.publish import incremental_load, newer_than_target, read_current, upsert
 
 T1, T2 = dt.datetime(2001, 1, 1), dt.datetime(2001, 6, 1)
@@ -100,12 +104,80 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     change = spark.createDataFrame([(3, "shipped", 2001, T2), (4, "open", 2001, T2)], schema)
     root = str(tmp_path / "orders")
     incremental_load(spark, first, root, "updated_at", ["order_id"], partition_by="order_year")
-    import os
-    v = os.listdir(root)
-    live = [d for d in v if d.startswith("v")][0]
-    before = set(os.listdir(f"{root}/{live}/data/order_year=1999"))
     incremental_load(spark, first.unionByName(change), root, "updated_at", ["order_id"], partition_by="order_year")
     got = _rows(read_current(spark, root, "data"), "order_id", "status", "order_year")
     assert got == [(1, "open", 1999), (2, "open", 2000), (3, "shipped", 2001), (4, "open", 2001)]
-    # untouched partitions keep their files
-    assert set(os.listdir(f"{root}/{live}/data/order_year=1999")) == before
+
+
+@pytest.mark.parametrize("partition_by", [None, "order_year"])
+def test_upsert_null_partition_moved_key_and_repeated_change(spark, tmp_path, partition_by):
+    schema = "order_id int, status string, order_year int, updated_at timestamp_ntz"
+    first = [(1, "open", 1999, T1), (2, "open", None, T1), (3, "open", 2001, T1), (None, "open", 2001, T1)]
+    later = [(1, "moved", 2000, T2), (4, "new", None, T2), (3, "a", 2001, T2), (3, "b", 2001, datetime(2001, 9, 1)),
+             (None, "shipped", 2001, T2)]
+    root = str(tmp_path / "t")
+    for rows in (first, later):
+        incremental_load(spark, spark.createDataFrame(rows, schema), root, "updated_at", ["order_id"], partition_by=partition_by)
+    got = {(r.order_id, r.status, r.order_year) for r in read_current(spark, root, "data").collect()}
+    assert got == {(1, "moved", 2000), (2, "open", None), (3, "b", 2001), (4, "new", None), (None, "shipped", 2001)}
+    only_null = spark.createDataFrame([(9, "x", None, datetime(2003, 1, 1))], schema)
+    incremental_load(spark, only_null, root, "updated_at", ["order_id"], partition_by=partition_by)
+    assert read_current(spark, root, "data").count() == 6
+
+
+def test_every_load_is_a_release_that_can_be_rolled_back(spark, tmp_path):
+    s1, s2 = _snaps(spark)
+    s3 = s2.withColumn("updated_at", F.lit(datetime(2003, 1, 1)).cast("timestamp_ntz"))
+    root = str(tmp_path / "r")
+    for key in (KEY, None):
+        for s in (s1, s2, s3):
+            incremental_load(spark, s, root, "updated_at", key, table=f"t{bool(key)}")
+    counts = []
+    for _ in range(3):
+        counts.append((read_current(spark, root, "tTrue").count(), read_current(spark, root, "tFalse").count()))
+        version = publish.rollback(spark, root)
+    assert version is None  # the first release stays
+    assert [c[1] for c in counts] == [8, 5, 3] and counts[2][0] == 3
+    assert publish.retire(spark, root) == []
+
+
+def test_retire_deletes_what_no_release_uses(spark, tmp_path):
+    s1, _ = _snaps(spark)
+    root = str(tmp_path / "r")
+    for i in range(4):
+        incremental_load(spark, s1.withColumn("updated_at", F.lit(datetime(2003, 1, 1 + i)).cast("timestamp_ntz")), root,
+                         "updated_at", KEY)
+    gone = publish.retire(spark, root, keep=2)
+    assert len(gone) == 2 and len([d for d in os.listdir(root) if d.startswith("v")]) == 2
+    assert read_current(spark, root, "data").count() == 3 and publish.rollback(spark, root)
+
+
+def test_a_damaged_release_is_an_error_not_a_first_load(spark, tmp_path):
+    import shutil
+    s1, s2 = _snaps(spark)
+    root = str(tmp_path / "d")
+    version = incremental_load(spark, s1, root, "updated_at", KEY)
+    shutil.rmtree(f"{root}/{version}")
+    with pytest.raises(Exception):
+        incremental_load(spark, s2, root, "updated_at", KEY)
+    assert publish.current_version(spark, root) == version
+
+
+def test_rebuild_of_a_partitioned_table_leaves_no_old_partition(spark, tmp_path):
+    path = str(tmp_path / "p")
+    for years in ((1999, 2000), (2000,)):
+        publish.write_table(spark.createDataFrame([(y, y) for y in years], "v int, y int"), path, ["y"])
+    assert [r.y for r in spark.read.parquet(path).collect()] == [2000]
+
+
+def test_scd2_late_repeated_and_tied_versions(spark):
+    schema = "customer_id int, email string, updated_at timestamp_ntz"
+    day = lambda m: datetime(2001, m, 1)
+    history = H.scd2_init(spark.createDataFrame([(1, "a", day(1)), (2, "x", day(1))], schema), ["customer_id"], ["email"])
+    for rows in ([(1, "c", day(6))], [(1, "b", day(3)), (1, "b2", day(3)), (1, "d", day(9))], [(1, "d", day(9)), (3, "n", day(2))]):
+        history = H.scd2_merge(history, spark.createDataFrame(rows, schema), ["customer_id"], ["email"])
+    got = sorted((r.customer_id, r.valid_from.month, r.email, r.valid_to and r.valid_to.month, r.is_current) for r in history.collect())
+    assert got == [(1, 1, "a", 3, False), (1, 3, "b2", 6, False), (1, 6, "c", 9, False), (1, 9, "d", None, True),
+                   (2, 1, "x", None, True), (3, 2, "n", None, True)]
+    plan = H.scd2_merge(history, spark.createDataFrame(rows, schema), ["customer_id"], ["email"])
+    assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()

@@ -1,13 +1,20 @@
 """The correctness gate: every registered query equals its SQL twin (DuckDB) on sf0.001."""
 
+import re
+
 import pytest
 from conftest import ROOT, SF_SMALL
 
 import __spark_entry__ as E
 from oracle_compare import compare, duck
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+def _own(found):
+    """Without the training-data queries, which have their own tests."""
+    return {k: v for k, v in found.items() if not re.match(r"op\d+_|pipeline$", k)}
+
+
+QUERIES = _own(E.queries())
+SQL = _own(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +23,7 @@ def con():
 
 
 def test_every_query_has_sql_or_is_documented():
-    rows_only = {"speed_view_approx", "dq_schema", "publish_rollback"}
+    rows_only = {"speed_view_approx", "dq_schema"}
     assert set(QUERIES) - set(SQL) == rows_only
     assert set(SQL) <= set(QUERIES)
 
