@@ -6,8 +6,8 @@ unique in ``stg_customers`` (a tested invariant).  So lines are first reduced
 to the order grain on the seven header-level keys — an aggregation that
 reuses the ``sales_order_id`` partitioning of the header × detail join, i.e.
 no extra exchange — and only the much smaller order rows are joined to
-customers.  ``int_customer_orders_naive`` keeps the literal form for the
-equivalence test.
+customers.  If ``customer_id`` repeats in ``stg_customers`` (its unique check
+fails then), an order has a row for each of the customer's rows.
 """
 
 from __future__ import annotations
@@ -84,18 +84,6 @@ def int_customer_orders(sales_orders: DataFrame, customers: DataFrame) -> DataFr
     return joined.select("*", *_order_attributes()).select(*INT_CUSTOMER_ORDERS_COLUMNS)
 
 
-def int_customer_orders_naive(sales_orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """MOD-4 as written in the reference: join lines to customers, group by 22 keys."""
-    c = customers.select("customer_id", "person_id", "account_number", "first_name", "last_name",
-                         "middle_name", "email_promotion", "territory_id", "store_id",
-                         F.col("modified_date").alias("customer_modified_date"))
-    so = sales_orders.drop("account_number").withColumnRenamed("territory_id", "so_territory_id")
-    lines = so.join(c, "customer_id", "inner").select("*", *_order_attributes())
-    keys = INT_CUSTOMER_ORDERS_COLUMNS[:22]
-    measures = _order_measures("so_territory_id") + [F.max("customer_modified_date").alias("customer_modified_date")]
-    return lines.groupBy(*keys).agg(*measures).select(*INT_CUSTOMER_ORDERS_COLUMNS)
-
-
 def int_product_sales(sales_orders: DataFrame, products: DataFrame, as_of=None) -> DataFrame:
     """MOD-5: one row per order line with product attributes, profit and lifecycle."""
     p = products.select(

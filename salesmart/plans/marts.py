@@ -162,55 +162,11 @@ def fct_sales_summary(product_sales: DataFrame) -> DataFrame:
         F.sum("discount").alias("total_discounts_applied"),
         (F.sum("disc_pct_sum").cast("double") / F.sum("disc_pct_n")).alias("avg_discount_pct"),
     ).withColumn("avg_order_value", div_money("total_revenue", "total_orders"))
-    customers = (ps.select("order_date", "customer_id").distinct().groupBy("order_date")
-                 .agg(F.count("customer_id").alias("unique_customers")))
-    products = (ps.select("order_date", "product_id").distinct().groupBy("order_date")
-                .agg(F.count("product_id").alias("unique_products_sold")))
-    day = daily.join(customers, "order_date", "left").join(products, "order_date", "left")
-    return _with_month_context(_daily_ratios(_date_parts(day))).select(*FCT_SALES_SUMMARY_COLUMNS)
-
-
-def fct_sales_summary_naive(product_sales: DataFrame) -> DataFrame:
-    """MOD-7 as written in the reference: one GROUP BY with eight distinct counts."""
-    ps = _date_parts(product_sales)
-    disc = F.col("unit_price_discount") > 0
-    order = F.col("sales_order_id")
-    daily = ps.groupBy("order_date", "order_year", "order_month", "order_day", "order_month_name",
-                       "order_day_name").agg(
-        F.countDistinct(order).alias("total_orders"),
+    distinct = ps.select("order_date", "customer_id", "product_id").groupBy("order_date").agg(
         F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("product_id").alias("unique_products_sold"),
-        F.sum("order_quantity").alias("total_quantity_sold"),
-        F.sum("line_total").alias("total_revenue"),
-        F.sum("gross_line_total").alias("total_gross_revenue"),
-        F.sum("discount_amount").alias("total_discount_amount"),
-        div_money(F.sum("line_total"), F.countDistinct(order)).alias("avg_order_value"),
-        F.sum("line_profit").alias("total_profit"),
-        F.sum("net_line_profit").alias("total_net_profit"),
-        avg_double("profit_margin_pct").alias("avg_profit_margin_pct"),
-        F.countDistinct(F.when(F.col("order_channel") == "Online", order)).alias("online_orders"),
-        F.countDistinct(F.when(F.col("order_channel") == "Offline", order)).alias("offline_orders"),
-        F.sum(_if(F.col("order_channel") == "Online", F.col("line_total"))).alias("online_revenue"),
-        F.sum(_if(F.col("order_channel") == "Offline", F.col("line_total"))).alias("offline_revenue"),
-        F.countDistinct(F.when(F.col("order_status_name") == "Shipped", order)).alias("shipped_orders"),
-        F.countDistinct(F.when(F.col("order_status_name") == "Cancelled", order)).alias("cancelled_orders"),
-        F.countDistinct(F.when(disc, order)).alias("orders_with_discount"),
-        F.sum("discount_amount").alias("total_discounts_applied"),
-        avg_double(F.when(disc, F.col("discount_from_list_pct"))
-                   .otherwise(F.lit(0).cast("decimal(38,8)"))).alias("avg_discount_pct"),
-    )
-    daily = _daily_ratios(daily)
-    monthly = daily.groupBy("order_year", "order_month", "order_month_name").agg(
-        F.sum("total_orders").alias("monthly_total_orders"),
-        F.sum("total_revenue").alias("monthly_total_revenue"),
-        avg_double("avg_order_value").alias("monthly_avg_order_value"))
-    out = daily.join(monthly.drop("order_month_name"), ["order_year", "order_month"], "left")
-    out = out.withColumn(
-        "daily_revenue_pct_of_month",
-        F.when(F.col("monthly_total_revenue") > 0,
-               F.col("total_revenue").cast("double") / F.col("monthly_total_revenue").cast("double") * 100)
-        .otherwise(F.lit(0.0)))
-    return out.select(*FCT_SALES_SUMMARY_COLUMNS)
+        F.countDistinct("product_id").alias("unique_products_sold"))
+    day = daily.join(distinct, "order_date", "left")
+    return _with_month_context(_daily_ratios(_date_parts(day))).select(*FCT_SALES_SUMMARY_COLUMNS)
 
 
 _CUSTOMER_KEYS = ["customer_id", "person_id", "account_number", "full_name", "first_name",
@@ -348,32 +304,18 @@ def fct_product_performance(product_sales: DataFrame, products: DataFrame, as_of
 
     Every line measure is decomposable, so it is aggregated straight to the
     product grain (map-side partial aggregation: only one row per product and
-    task is shuffled).  The three distinct counts come from narrow
-    (product, key) pre-aggregations instead of Spark's Expand of every line
-    into four copies; all four results are partitioned by the product key, so
-    joining them needs no further exchange.
+    task is shuffled).  The three distinct counts take a second scan of five
+    narrow columns, so that only those are expanded and exchanged by (product,
+    value); both results are partitioned by the product key, so joining them
+    needs no further exchange.  The line fact is scanned twice in all.
     """
     ps = product_sales
     grain = ["product_id", "product_lifecycle_status"]
     a = ps.groupBy(*grain).agg(*_product_measures())
-
-    def distinct_count(col: str, alias: str) -> DataFrame:
-        return ps.select(*grain, col).distinct().groupBy(*grain).agg(F.count(col).alias(alias))
-
-    j = (a.join(distinct_count("sales_order_id", "total_orders"), grain, "left")
-         .join(distinct_count("customer_id", "unique_customers"), grain, "left")
-         .join(distinct_count("order_date", "days_sold"), grain, "left")
-         .join(products.select(*_PRODUCT_ATTRS, *_INVENTORY), "product_id", "left"))
-    return _product_ratios(j)
-
-
-def fct_product_performance_naive(product_sales: DataFrame, products: DataFrame, as_of=None) -> DataFrame:
-    """MOD-8 as written in the reference: 17 group keys, three distinct counts in one pass."""
-    keys = _PRODUCT_ATTRS + ["product_lifecycle_status"]
-    a = product_sales.groupBy(*keys).agg(
+    distinct = ps.select(*grain, "sales_order_id", "customer_id", "order_date").groupBy(*grain).agg(
         F.countDistinct("sales_order_id").alias("total_orders"),
         F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("order_date").alias("days_sold"),
-        *_product_measures())
-    j = a.join(products.select("product_id", *_INVENTORY), "product_id", "left")
+        F.countDistinct("order_date").alias("days_sold"))
+    j = (a.join(distinct, grain, "left")
+         .join(products.select(*_PRODUCT_ATTRS, *_INVENTORY), "product_id", "left"))
     return _product_ratios(j)

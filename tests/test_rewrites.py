@@ -1,30 +1,21 @@
-"""The hand-written plan rewrites equal the literal (reference-shaped) plans."""
+"""The two-pass plans of the models equal plain one-pass SQL, column by column."""
 
 from conftest import SF_CHECK, SF_SMALL
 
-from salesmart.plans import intermediate, marts
-from salesmart.plans.models import TEST_AS_OF, models_on_testdata
-from salesmart.plans.output import comparable
-
+from plain import ORDERS, PRODUCTS, DAYS, same
 
-def _same(a, b):
-    cols = sorted(a.columns)
-    assert cols == sorted(b.columns)
-    a, b = comparable(a).select(*cols), comparable(b).select(*cols)
-    assert a.count() == b.count()
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+from salesmart.plans.models import TEST_AS_OF, models_on_testdata
 
 
-def test_int_customer_orders_rewrite(spark):
+def test_int_customer_orders(spark):
     m = models_on_testdata(spark, SF_CHECK, TEST_AS_OF)
-    _same(intermediate.int_customer_orders(m["stg_sales_orders"], m["stg_customers"]),
-          intermediate.int_customer_orders_naive(m["stg_sales_orders"], m["stg_customers"]))
+    same(spark, m["int_customer_orders"], ORDERS, lines=m["stg_sales_orders"], customers=m["stg_customers"])
 
 
-def test_fct_sales_summary_rewrite(spark):
+def test_fct_sales_summary(spark):
     for sf in (SF_SMALL, SF_CHECK):
-        ps = models_on_testdata(spark, sf, TEST_AS_OF)["int_product_sales"]
-        _same(marts.fct_sales_summary(ps), marts.fct_sales_summary_naive(ps))
+        m = models_on_testdata(spark, sf, TEST_AS_OF)
+        same(spark, m["fct_sales_summary"], DAYS, lines=m["int_product_sales"])
 
 
 def test_daily_revenue_sums_to_month_and_total(spark):
@@ -39,7 +30,6 @@ def test_daily_revenue_sums_to_month_and_total(spark):
     assert total == m["int_product_sales"].agg(F.sum("line_total")).first()[0]
 
 
-def test_fct_product_performance_rewrite(spark):
+def test_fct_product_performance(spark):
     m = models_on_testdata(spark, SF_CHECK, TEST_AS_OF)
-    _same(marts.fct_product_performance(m["int_product_sales"], m["stg_products"], TEST_AS_OF),
-          marts.fct_product_performance_naive(m["int_product_sales"], m["stg_products"], TEST_AS_OF))
+    same(spark, m["fct_product_performance"], PRODUCTS, lines=m["int_product_sales"])

@@ -8,12 +8,12 @@ import contextlib
 import io
 
 from conftest import SF_CHECK
+from plain import DAYS, ORDERS, same
 from pyspark.sql import functions as F
 
 from salesmart.operators.quality import Check, run_checks
-from salesmart.plans import intermediate, marts, models
+from salesmart.plans import marts, models
 from salesmart.plans.models import TEST_AS_OF
-from salesmart.plans.output import comparable
 from salesmart.sources import conform
 
 
@@ -26,18 +26,11 @@ def _skewed_models(spark):
     return models.all_models(src, TEST_AS_OF), hot
 
 
-def _same(a, b):
-    cols = sorted(a.columns)
-    a, b = comparable(a).select(*cols), comparable(b).select(*cols)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def test_hot_customer_results_whole_and_equal(spark):
     m, hot = _skewed_models(spark)
     so = m["stg_sales_orders"]
-    _same(intermediate.int_customer_orders(so, m["stg_customers"]),
-          intermediate.int_customer_orders_naive(so, m["stg_customers"]))
-    _same(marts.fct_sales_summary(m["int_product_sales"]), marts.fct_sales_summary_naive(m["int_product_sales"]))
+    same(spark, m["int_customer_orders"], ORDERS, lines=so, customers=m["stg_customers"])
+    same(spark, m["fct_sales_summary"], DAYS, lines=m["int_product_sales"])
     hot_orders = so.filter(F.col("customer_id") == hot).select("sales_order_id").distinct().count()
     assert hot_orders > so.select("sales_order_id").distinct().count() / 3 - 1
     row = m["dim_customer_metrics"].filter(F.col("customer_id") == hot).first()
