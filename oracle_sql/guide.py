@@ -33,7 +33,7 @@ def guide_sql() -> dict[str, str]:
     out = {f"dq_{g}": results_sql(cs) for g, cs in guide_checks().items()}
     from salesmart.operators.rules import SUITES
     out["dq_suite"] = " UNION ALL ".join(
-        f"SELECT *, '{name}' AS suite FROM ({results_sql(checks)})" for name, checks in SUITES.items())
+        f"SELECT *, '{name}' AS suite, count(*) FILTER (WHERE status = 'fail') OVER () = 0 AS suite_passed FROM ({results_sql(checks)})" for name, checks in SUITES.items())
     out["dq_freshness"] = freshness_sql({t: (SOURCE_OF[t], 12, 24) for t in SOURCE_OF})
     out["dq_freshness_override"] = freshness_sql(
         {t: (SOURCE_OF[t], *GUIDE_OVERRIDES.get(t, (GUIDE_DEFAULT.warn_hours, GUIDE_DEFAULT.error_hours)))

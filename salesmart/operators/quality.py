@@ -1,8 +1,8 @@
 """Declarative data-quality checks (DQ-1..28) evaluated in as few passes as possible.
 
-A check is data (``Check``).  ``evaluate`` turns a list of checks over named
-tables into ONE lazy result DataFrame ``(check_id, model, kind, column_name,
-severity, failures, status)``:
+A check is data (``Check``).  ``run_checks`` turns a list of checks over named
+tables into a result with a row per check ``(check_id, model, kind,
+column_name, severity, failures, status)``:
 
 * all row-level checks of a table (not_null, ranges, positivity, future dates,
   date order, regex/like, row-level sets) are fused into a single aggregation
@@ -11,8 +11,8 @@ severity, failures, status)``:
   partial aggregation runs map-side, so only distinct values are shuffled;
 * ``relationships`` / ``orphans`` are left-anti joins against the parent's
   distinct keys;
-* table-level checks (row count, mean, recency, equal row count, completeness)
-  are one-row aggregates; schema checks (column exists / type) need no scan.
+* whole-table checks (row count, mean, recency, completeness) join the fused
+  aggregation; schema checks (column exists / type) need no scan.
 
 ``failures`` follows the convention that a test is a query returning failing
 rows: rows for row-level checks, distinct offending values for
@@ -134,13 +134,6 @@ def _rows(one_row: DataFrame, checks: list[Check], cols: list[str]) -> DataFrame
     return one_row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def _fused_row_checks(df: DataFrame, checks: list[Check], as_of_date: Column) -> DataFrame:
-    aggs = [F.sum(F.when(fail_condition(df, c, as_of_date), 1).otherwise(0)).alias(f"c{i}")
-            for i, c in enumerate(checks)]
-    one = df.agg(*aggs).select(*[F.coalesce(F.col(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(checks))])
-    return _rows(one, checks, [f"c{i}" for i in range(len(checks))])
-
-
 def _group_check(df: DataFrame, chk: Check) -> DataFrame:
     p = chk.params
     if chk.kind == "unique":
@@ -175,84 +168,49 @@ def _join_check(df: DataFrame, chk: Check, tables: dict[str, DataFrame]) -> Data
     return _rows(bad.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")), [chk], ["n"])
 
 
-def _table_check(df: DataFrame, chk: Check, tables: dict[str, DataFrame], as_of_ts: Column) -> DataFrame:
+def _outside(value: Column, p: dict) -> Column:
+    bad = F.lit(False)
+    if p.get("min") is not None:
+        bad = bad | (value < p["min"])
+    if p.get("max") is not None:
+        bad = bad | (value > p["max"])
+    return bad
+
+
+def _whole_table(df: DataFrame, chk: Check, as_of_ts: Column) -> Column:
+    """Aggregate that is 1 if the table as a whole fails; it joins the table's one fused aggregate."""
     p, k = chk.params, chk.kind
+    rows = F.count(F.lit(1))
     if k == "row_count_between":
-        n = F.count(F.lit(1))
-        bad = F.lit(False)
-        if p.get("min") is not None:
-            bad = bad | (n < p["min"])
-        if p.get("max") is not None:
-            bad = bad | (n > p["max"])
-        one = df.agg(F.when(bad, 1).otherwise(0).alias("n"))
+        bad = _outside(rows, p)
     elif k == "table_exists":
-        one = df.agg(F.lit(0).alias("n"))
+        bad = rows < 0  # reading the table is the check: it raises if the files are gone
     elif k == "mean_between":
-        m = F.sum(df[chk.column]).cast("double") / F.count(df[chk.column])
-        bad = F.lit(False)
-        if p.get("min") is not None:
-            bad = bad | (m < p["min"])
-        if p.get("max") is not None:
-            bad = bad | (m > p["max"])
-        one = df.agg(F.when(bad, 1).otherwise(0).alias("n"))
+        bad = _outside(F.sum(df[chk.column]).cast("double") / F.nullif(F.count(df[chk.column]), F.lit(0)), p)
     elif k == "recency":
         newest = F.max(df[chk.column]).cast("timestamp_ntz")
         limit = as_of_ts - F.expr(f"INTERVAL {int(p['count'])} {p.get('period', 'day').upper()}")
-        one = df.agg(F.when(newest.isNull() | (newest < limit), 1).otherwise(0).alias("n"))
+        bad = newest.isNull() | (newest < limit)
     elif k == "completeness":
-        share = F.count(df[chk.column]).cast("double") / F.count(F.lit(1))
-        one = df.agg(F.when(share.isNull() | (share < p["min_share"]), 1).otherwise(0).alias("n"))
-    elif k == "equal_rowcount":
-        # +1 per row here, -1 per row there: equal counts sum to zero (no join needed)
-        signed = df.select(F.lit(1).alias("d")).unionByName(tables[p["to"]].select(F.lit(-1).alias("d")))
-        one = signed.agg(F.when(F.coalesce(F.sum("d"), F.lit(0)) != 0, 1).otherwise(0).alias("n"))
+        share = F.count(df[chk.column]).cast("double") / F.nullif(rows, F.lit(0))
+        bad = share.isNull() | (share < p["min_share"])
     else:
         raise ValueError(k)
-    return _rows(one, [chk], ["n"])
+    return F.when(bad, 1).otherwise(0)  # a mean of nothing is not outside
 
 
-def _schema_check(spark, df: DataFrame | None, chk: Check) -> DataFrame:
-    if chk.kind == "column_exists":
-        ok = df is not None and chk.column in df.columns
-    else:
-        ok = (df is not None and chk.column in df.columns
-              and df.schema[chk.column].dataType.simpleString() == chk.params["type"])
-    row = (chk.check_id, chk.model, chk.kind, chk.column, chk.severity, 0 if ok else 1)
-    return spark.createDataFrame([row], RESULT_SCHEMA)
+def _equal_rowcount(df: DataFrame, chk: Check, tables: dict[str, DataFrame]) -> DataFrame:
+    # +1 per row here, -1 per row there: equal counts sum to zero (no join needed)
+    signed = df.select(F.lit(1).alias("d")).unionByName(tables[chk.params["to"]].select(F.lit(-1).alias("d")))
+    one = signed.agg(F.when(F.coalesce(F.sum("d"), F.lit(0)) != 0, 1).otherwise(0).alias("n"))
+    return _rows(one, [chk], ["n"])
 
 
-def evaluate(tables: dict[str, DataFrame], checks: list[Check], as_of=None) -> DataFrame:
-    """Evaluate ``checks`` over ``tables`` as one lazy result DataFrame."""
-    from salesmart.functions.dates import as_of_date as _d, as_of_ts as _t
-    as_of_date, as_of_ts = _d(as_of), _t(as_of)
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        by_model.setdefault(c.model, []).append(c)
-    spark = next(iter(tables.values())).sparkSession
-    for model, cs in by_model.items():
-        df = tables.get(model)
-        if df is None:
-            missing = [c for c in cs if c.kind in SCHEMA_KINDS or c.kind == "table_exists"]
-            for c in missing:
-                parts.append(spark.createDataFrame(
-                    [(c.check_id, c.model, c.kind, c.column, c.severity, 1)], RESULT_SCHEMA))
-            continue
-        row = [c for c in cs if c.kind in ROW_KINDS]
-        if row:
-            parts.append(_fused_row_checks(df, row, as_of_date))
-        for c in cs:
-            if c.kind in GROUP_KINDS:
-                parts.append(_group_check(df, c))
-            elif c.kind in JOIN_KINDS:
-                parts.append(_join_check(df, c, tables))
-            elif c.kind in TABLE_KINDS:
-                parts.append(_table_check(df, c, tables, as_of_ts))
-            elif c.kind in SCHEMA_KINDS:
-                parts.append(_schema_check(spark, df, c))
-    out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(
-        F.when(F.col("severity") == "warn", "warn").otherwise("fail")))
+def _schema_failures(df: DataFrame, chk: Check) -> int:
+    ok = chk.column in df.columns
+    if ok and chk.kind == "column_type":
+        ok = df.schema[chk.column].dataType.simpleString() == chk.params["type"]
+    return 0 if ok else 1
 
 
 def failing_rows(df: DataFrame, chk: Check, as_of=None) -> DataFrame:
@@ -269,14 +227,18 @@ def summary(results: DataFrame) -> DataFrame:
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check], as_of=None,
                parallelism: int = 8) -> DataFrame:
-    """Eager variant of ``evaluate`` used by builds: same result rows, fewer passes.
-
-    * one fused scan per table also counts the failing *rows* of every
-      ``accepted_values`` check; the distinct offending values are only
-      counted (a second, grouped pass) for checks whose row count is non-zero;
-    * the independent per-table jobs are submitted concurrently from a small
-      thread pool, so their scheduling and code generation overlap.
-    Only one-row aggregates reach the driver.
+    """Evaluate ``checks`` over ``tables``: one result row per check.
+
+    * one fused aggregate per table holds all row-level and whole-table checks
+      and counts the failing *rows* of every ``accepted_values`` check; the
+      distinct offending values are only counted (a second, grouped pass) for
+      checks whose row count is non-zero;
+    * every ``unique``, ``relationships`` or row-count comparison is a job of its own;
+    * schema checks read the plan's types only;
+    * all checks of a table that is not there fail.
+
+    The independent jobs are submitted from a small thread pool, so their
+    scheduling and code generation overlap.  Only one-row aggregates reach the driver.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -290,20 +252,22 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check], as_of=None,
     def fused(model: str, cs: list[Check]):
         df = tables[model]
         row = [c for c in cs if c.kind in ROW_KINDS]
+        whole = [c for c in cs if c.kind in TABLE_KINDS and c.kind != "equal_rowcount"]
         av = [c for c in cs if c.kind == "accepted_values"]
         probes = row + [Check(c.model, "in_set", c.column,
                               {"values": c.params["values"],
                                "case_insensitive": c.params.get("case_insensitive", False)}) for c in av]
-        if not probes:
+        if not probes and not whole:
             return []
         aggs = [F.sum(F.when(fail_condition(df, c, as_of_date), 1).otherwise(0)).alias(f"c{i}")
                 for i, c in enumerate(probes)]
+        aggs += [_whole_table(df, c, as_of_ts).alias(f"t{i}") for i, c in enumerate(whole)]
         vals = df.agg(*aggs).first()
         out = [(c, int(vals[i] or 0)) for i, c in enumerate(row)]
         for j, c in enumerate(av):
             n_rows = int(vals[len(row) + j] or 0)
             out.append((c, 0 if n_rows == 0 else _group_check(df, c).first()["failures"]))
-        return out
+        return out + [(c, int(vals[f"t{i}"])) for i, c in enumerate(whole)]
 
     def single(model: str, c: Check):
         df = tables[model]
@@ -311,10 +275,8 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check], as_of=None,
             part = _group_check(df, c)
         elif c.kind in JOIN_KINDS:
             part = _join_check(df, c, tables)
-        elif c.kind in TABLE_KINDS:
-            part = _table_check(df, c, tables, as_of_ts)
         else:
-            part = _schema_check(spark, df, c)
+            part = _equal_rowcount(df, c, tables)
         return [(c, int(part.first()["failures"]))]
 
     jobs = []
@@ -324,7 +286,9 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check], as_of=None,
             continue
         jobs.append(lambda m=model, cs=cs: fused(m, cs))
         for c in cs:
-            if c.kind not in ROW_KINDS and c.kind != "accepted_values":
+            if c.kind in SCHEMA_KINDS:
+                jobs.append(lambda m=model, c=c: [(c, _schema_failures(tables[m], c))])
+            elif c.kind == "equal_rowcount" or c.kind in (*GROUP_KINDS, *JOIN_KINDS) and c.kind != "accepted_values":
                 jobs.append(lambda m=model, c=c: single(m, c))
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         results = [r for part in pool.map(lambda f: f(), jobs) for r in part]

@@ -99,7 +99,10 @@ def _suites(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.operators.quality import run_suite
     from salesmart.operators.rules import SUITES
     models = models_on_testdata(spark, sf_dir, TEST_AS_OF)
-    parts = [run_suite(name, models, checks, TEST_AS_OF)[1] for name, checks in SUITES.items()]
+    parts = []
+    for name, checks in SUITES.items():
+        passed, results = run_suite(name, models, checks, TEST_AS_OF)
+        parts.append(results.withColumn("suite_passed", F.lit(passed)))
     return comparable(reduce(DataFrame.unionByName, parts))
 
 

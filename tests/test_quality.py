@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from salesmart.operators.quality import Check, evaluate, failing_rows, run_checks
+from salesmart.operators.quality import Check, failing_rows, run_checks
 from salesmart.sources.freshness import Freshness, freshness
 
 AS_OF = "2001-08-15"
@@ -13,10 +13,8 @@ AS_OF = "2001-08-15"
 def _failures(spark, rows, schema, check, tables=None):
     df = spark.createDataFrame(rows, schema)
     t = {"t": df, **(tables or {})}
-    lazy = {r["check_id"]: r["failures"] for r in evaluate(t, [check], AS_OF).collect()}
-    eager = {r["check_id"]: r["failures"] for r in run_checks(t, [check], AS_OF).collect()}
-    assert lazy == eager
-    return lazy[check.check_id]
+    found = {r["check_id"]: r["failures"] for r in run_checks(t, [check], AS_OF).collect()}
+    return found[check.check_id]
 
 
 def test_not_null(spark):
@@ -104,3 +102,22 @@ def test_case_insensitive_sets_ignore_case_and_trailing_blanks(spark):
     chk = Check("t", "accepted_values", "c", {"values": ["r", "M"], "case_insensitive": True})
     assert _failures(spark, rows, "c string", chk) == 1
     assert _failures(spark, rows, "c string", Check("t", "in_set", "c", {"values": ["r", "M"]})) == 3
+
+
+def test_all_whole_table_checks_share_one_job_and_absent_tables_fail(spark):
+    t = {"t": spark.createDataFrame([(1, dt.datetime(2001, 8, 14)), (3, None)], "x int, at timestamp_ntz")}
+    checks = [Check("t", "table_exists"), Check("t", "row_count_between", None, {"min": 2, "max": 2}),
+              Check("t", "mean_between", "x", {"min": 3, "max": None}), Check("t", "completeness", "at", {"min_share": 0.9}),
+              Check("t", "recency", "at", {"count": 2, "period": "day"}), Check("t", "not_null", "at"),
+              Check("t", "column_type", "x", {"type": "int"}), Check("t", "column_exists", "y")]
+    group = "one-fused-job"
+    spark.sparkContext.setJobGroup(group, group)
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup())
+    got = [r["failures"] for r in run_checks(t, checks, AS_OF, parallelism=1).collect()]
+    assert len(jobs.getJobIdsForGroup()) - before <= 4 and sorted(got) == [0, 0, 0, 0, 1, 1, 1, 1]
+    lost = run_checks(t, [Check("gone", "not_null", "x"), Check("gone", "unique", "x")], AS_OF).collect()
+    assert [r["status"] for r in lost] == ["fail", "fail"]
+    empty = {"t": t["t"].limit(0)}
+    assert {r["kind"]: r["failures"] for r in run_checks(empty, checks[:5], AS_OF).collect()} == {
+        "table_exists": 0, "row_count_between": 1, "mean_between": 0, "completeness": 1, "recency": 1}
