@@ -6,15 +6,20 @@ from oracle_sql.base import project
 
 _DAILY = """WITH q AS (
   SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS events,
-         sum(CAST(round(value * 100) AS BIGINT)) AS value_cents, max(value) AS max_value
+         CAST(round(CAST(sum(CAST(value AS DECIMAL(18,6))) AS DECIMAL(24,6)) * 100) AS BIGINT) AS value_cents, max(value) AS max_value
   FROM events GROUP BY 1, 2)"""
+_USERS = _DAILY.replace("max(value) AS max_value",
+                        "max(value) AS max_value, count(DISTINCT user_id) AS users, true AS within_bound")
 _KINDS = "event_date:dt event_type:s events:i value_cents:i max_value:d"
 
 
 def streaming_sql() -> dict[str, str]:
     return {
         "speed_view": project(_DAILY, _KINDS),
-        "serving_view": project(_DAILY, _KINDS),
+        "speed_view_approx": project(_USERS, _KINDS + " users:i within_bound:b"),
+        "serving_view": project(_DAILY + """, served AS (
+          SELECT *, CASE WHEN event_date <= DATE '2024-01-15' THEN 'batch' ELSE 'speed' END AS layer FROM q)""",
+                                _KINDS + " layer:s", source="served"),
         "dedup_events": project(
             "WITH q AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1)",
             "event_id:i ts:ts user_id:i event_type:s value:d props:s"),

@@ -2,44 +2,55 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesmart.plans.output import comparable
+from salesmart.session import scratch_path
 from salesmart.streaming.speed import batch_aggregate, run_deduplicated, run_speed_view, serving_view
 
 # Fixed value: the serving view takes batch rows up to this date, speed rows after it.
 SERVING_CUTOFF = "2024-01-15"
 
 
-def _utc(spark: SparkSession) -> None:
-    # event windows are aligned on UTC days; the zone-less event times are read as UTC
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+#: Allowed error of the approximate user count: three standard errors of 5 %, and one user.
+APPROX_ERROR = 0.15
 
 
 def _events_glob(sf_dir: str) -> str:
     return f"{sf_dir}/events*.parquet"
 
 
+def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
 def speed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _utc(spark)
     return comparable(run_speed_view(spark, _events_glob(sf_dir)))
 
 
 def speed_view_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _utc(spark)
-    return comparable(run_speed_view(spark, _events_glob(sf_dir), include_approx=True))
+    """The approximate form beside the exact user count, and whether it keeps its error bound."""
+    exact = (_batch(spark, sf_dir).groupBy(F.to_date("ts").alias("event_date"), "event_type")
+             .agg(F.countDistinct("user_id").alias("users")))
+    found = run_speed_view(spark, _events_glob(sf_dir), include_approx=True).join(exact, ["event_date", "event_type"])
+    kept = F.abs(F.col("approx_users") - F.col("users")) <= F.col("users") * APPROX_ERROR + 1
+    return comparable(found.withColumn("within_bound", kept).drop("approx_users"))
 
 
 def serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _utc(spark)
-    batch = batch_aggregate(spark.read.parquet(f"{sf_dir}/events.parquet"))
-    speed = run_speed_view(spark, _events_glob(sf_dir))
-    return comparable(serving_view(batch, speed, SERVING_CUTOFF))
+    speed = run_speed_view(spark, _events_glob(sf_dir), after=SERVING_CUTOFF)
+    return comparable(serving_view(batch_aggregate(_batch(spark, sf_dir)), speed, SERVING_CUTOFF))
 
 
 def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _utc(spark)
-    return comparable(run_deduplicated(spark, _events_glob(sf_dir)))
+    """A stored stream in which every third event arrives three times."""
+    events, path = _batch(spark, sf_dir), scratch_path(spark, f"repeated-events-{uuid.uuid4().hex}")
+    again = events.filter(F.col("event_id") % 3 == 0)
+    events.unionByName(again).unionByName(again).write.parquet(path)
+    return comparable(run_deduplicated(spark, path))
 
 
 STREAMING_QUERIES = {"speed_view": speed_view, "speed_view_approx": speed_view_approx,

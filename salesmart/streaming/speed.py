@@ -32,8 +32,8 @@ WATERMARK = "1 hour"
 
 
 def _measures(include_approx: bool):
-    cents = F.round(F.col("value") * 100).cast("bigint")
-    out = [F.count(F.lit(1)).alias("events"), F.sum(cents).alias("value_cents"),
+    total = F.sum(F.col("value").cast("decimal(18,6)"))  # exact; rounded to cents once
+    out = [F.count(F.lit(1)).alias("events"), F.round(total * 100).cast("bigint").alias("value_cents"),
            F.max("value").alias("max_value")]
     if include_approx:
         out.append(F.approx_count_distinct("user_id").alias("approx_users"))
@@ -44,8 +44,9 @@ def event_stream(spark: SparkSession, path: str, max_files: int | None = None) -
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    # watermarks need an instant type: read the zone-less ts as UTC (the session zone)
-    return reader.parquet(path).withColumn("event_time", F.col("ts").cast("timestamp"))
+    # watermarks need an instant: the zone-less ts is read as UTC, whatever the session's zone
+    at_utc = "make_timestamp(year(ts), month(ts), day(ts), hour(ts), minute(ts), extract(SECOND FROM ts), 'UTC')"
+    return reader.parquet(path).withColumn("event_time", F.expr(at_utc))
 
 
 def deduplicated(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
@@ -58,7 +59,7 @@ def speed_aggregate(events: DataFrame, watermark: str = WATERMARK, include_appro
     return (events.withWatermark("event_time", watermark)
             .groupBy(F.window("event_time", WINDOW).alias("w"), "event_type")
             .agg(*_measures(include_approx))
-            .select(F.col("w.start").cast("date").alias("event_date"), "event_type",
+            .select(F.expr("date_from_unix_date(int(unix_seconds(w.start) div 86400))").alias("event_date"), "event_type",
                     *[c for c in ("events", "value_cents", "max_value", "approx_users")
                       if include_approx or c != "approx_users"]))
 
@@ -70,15 +71,22 @@ def batch_aggregate(events: DataFrame, include_approx: bool = False) -> DataFram
 
 
 def run_speed_view(spark: SparkSession, source: str, include_approx: bool = False,
-                   out: str | None = None, max_files: int | None = None) -> DataFrame:
-    """Run the streaming aggregate to completion (``availableNow``) and return its table."""
+                   out: str | None = None, max_files: int | None = None, after: str | None = None) -> DataFrame:
+    """Run the streaming aggregate to completion (``availableNow``) and return its table.
+
+    ``after`` keeps events past that day only, before anything is aggregated.
+    Events later than the watermark are not in it; ``late_events`` counts them.
+    """
     base = out or os.path.join(checkpoint_dir(spark), f"speed-{uuid.uuid4().hex}")
     table, ckpt = f"{base}/table", f"{base}/_checkpoint"
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(table)
 
-    agg = speed_aggregate(event_stream(spark, source, max_files), include_approx=include_approx)
+    events = event_stream(spark, source, max_files)
+    if after is not None:
+        events = events.filter(F.col("ts") >= F.expr(f"timestamp_ntz'{after}' + INTERVAL 1 DAY"))
+    agg = speed_aggregate(events, include_approx=include_approx)
     q = (agg.writeStream.outputMode("update").foreachBatch(upsert_batch)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -90,10 +98,18 @@ def run_speed_view(spark: SparkSession, source: str, include_approx: bool = Fals
 
 
 def serving_view(batch_rows: DataFrame, speed_rows: DataFrame, cutoff: str) -> DataFrame:
-    """STM-3: batch results up to ``cutoff`` (inclusive) ∪ speed results after it."""
+    """STM-3: batch results up to ``cutoff`` (inclusive) ∪ speed results after it, each row with its ``layer``."""
     d = F.to_date(F.lit(cutoff))
-    return (batch_rows.filter(F.col("event_date") <= d)
-            .unionByName(speed_rows.filter(F.col("event_date") > d)))
+    return (batch_rows.filter(F.col("event_date") <= d).withColumn("layer", F.lit("batch"))
+            .unionByName(speed_rows.filter(F.col("event_date") > d).withColumn("layer", F.lit("speed"))))
+
+
+def late_events(batch_rows: DataFrame, speed_rows: DataFrame) -> DataFrame:
+    """(event_date, event_type, late): events of the batch view that the speed view lacks, if any."""
+    seen = speed_rows.select("event_date", "event_type", F.col("events").alias("seen"))
+    late = F.col("events") - F.coalesce("seen", F.lit(0))
+    return (batch_rows.select("event_date", "event_type", "events").join(seen, ["event_date", "event_type"], "left")
+            .select("event_date", "event_type", late.alias("late")).filter("late <> 0"))
 
 
 def run_deduplicated(spark: SparkSession, source: str, out: str | None = None) -> DataFrame:

@@ -1,10 +1,13 @@
 """Speed view equals the batch aggregate; serving view; de-duplication within the watermark."""
 
 import datetime as dt
+import time
+
+import pytest
 
 from conftest import SF_SMALL
 
-from salesmart.streaming.speed import batch_aggregate, run_deduplicated, run_speed_view, serving_view
+from salesmart.streaming.speed import batch_aggregate, late_events, run_deduplicated, run_speed_view, serving_view
 
 
 def _same(a, b):
@@ -12,16 +15,43 @@ def _same(a, b):
 
 
 def test_speed_equals_batch_and_serving(spark):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     speed = run_speed_view(spark, f"{SF_SMALL}/events*.parquet")
     batch = batch_aggregate(events)
     _same(speed, batch)
-    _same(serving_view(batch, speed, "2024-01-15"), batch)
+    served = serving_view(batch, run_speed_view(spark, f"{SF_SMALL}/events*.parquet", after="2024-01-15"), "2024-01-15")
+    _same(served.drop("layer"), batch)
+    assert served.filter("(layer = 'batch') <> (event_date <= '2024-01-15')").count() == 0
+    assert late_events(batch, speed).count() == 0
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_days_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        _same(run_speed_view(spark, f"{SF_SMALL}/events*.parquet"),
+              batch_aggregate(spark.read.parquet(f"{SF_SMALL}/events.parquet")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_late_events_are_counted(spark, tmp_path):
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    day = lambda d, h: dt.datetime(2024, 1, d, h)
+    src = str(tmp_path / "events")
+    batches = [[(1, day(1, 10), 1, "a", 1.0, "")], [(2, day(3, 10), 1, "a", 2.0, "")], [(3, day(4, 10), 1, "a", 2.0, "")],
+               [(4, day(1, 11), 2, "a", 4.0, ""), (5, day(4, 11), 2, "a", 5.0, "")]]
+    for rows in batches:  # one file each, in this order; the fourth is days behind the watermark
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    events = spark.read.schema(schema).parquet(src)
+    speed = run_speed_view(spark, src, max_files=1)
+    got = [(str(r.event_date), r.late) for r in late_events(batch_aggregate(events), speed).collect()]
+    assert got == [("2024-01-01", 1)]
 
 
 def test_duplicates_dropped_within_watermark(spark, tmp_path):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     t = dt.datetime(2024, 1, 1, 10, 0)
     rows = [(1, t, 7, "click", 1.0, "{}"), (1, t + dt.timedelta(minutes=5), 7, "click", 1.0, "{}"),
             (2, t, 8, "view", 2.0, "{}")]
