@@ -35,6 +35,35 @@ def publish_sql() -> dict[str, str]:
         "CAST(n AS BIGINT), CASE WHEN n > 0 THEN 'kept_previous' ELSE 'published' END FROM f")}
 
 
+_KEYS = {"fct_sales_summary": "order_date", "dim_customer_metrics": "customer_id", "fct_product_performance": "product_id"}
+_SOURCES = {"customer": "src_customer", "sales_order_header": "src_header", "sales_order_detail": "src_detail",
+            "product": "src_product", "product_subcategory": "src_subcategory", "product_category": "src_category",
+            "person": "src_person"}
+
+
+def publish_run_sql() -> str:
+    """The run that goes live: smoke, key and freshness rows counted directly, then the run row."""
+    from oracle_sql.base import AS_OF, with_models
+    from oracle_sql.marts import CUSTOMER, DAILY, PRODUCT
+    found = []
+    for m, k in _KEYS.items():
+        found += [(f"{m}.table_exists", m, "table_exists", None, "0"),
+                  (f"{m}.row_count_between", m, "row_count_between", None, f"SELECT (count(*) = 0)::INT FROM {m}"),
+                  (f"{m}.not_null.{k}", m, "not_null", k, f"SELECT count(*) FILTER (WHERE {k} IS NULL) FROM {m}")]
+        if m != "fct_product_performance":
+            found.append((f"{m}.unique.{k}", m, "unique", k,
+                          f"SELECT count(*) FROM (SELECT 1 FROM {m} WHERE {k} IS NOT NULL GROUP BY {k} HAVING count(*) > 1)"))
+    rows = [f"SELECT '{i}' AS check_id, '{m}' AS model, '{kind}' AS kind, {repr(c) if c else 'NULL'}::VARCHAR AS column_name, "
+            f"'error' AS severity, ({n})::BIGINT AS failures" for i, m, kind, c, n in found]
+    rows += [f"SELECT 'source.{t}.freshness', '{t}', 'freshness', 'loaded_at', CASE WHEN age > 12 AND age <= 24 * 3650 THEN 'warn' "
+             f"ELSE 'error' END, (age IS NULL OR age > 12)::BIGINT FROM (SELECT date_diff('second', max(ModifiedDate)::TIMESTAMP, "
+             f"TIMESTAMP '{AS_OF} 00:00:00') / 3600 AS age FROM {src})" for t, src in _SOURCES.items()]
+    return (with_models(DAILY, CUSTOMER, PRODUCT) + ", r AS (" + " UNION ALL ".join(rows) + "), s AS (SELECT *, CASE WHEN failures = 0 "
+            "THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM r) SELECT * FROM s UNION ALL "
+            "SELECT 'run.v1', 'run', 'run', NULL, CASE WHEN n > 0 THEN 'error' ELSE 'info' END, n, "
+            "CASE WHEN n > 0 THEN 'kept_previous' ELSE 'published' END FROM (SELECT count(*) FILTER (WHERE status = 'fail') AS n FROM s)")
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(model_sql())
@@ -44,4 +73,5 @@ def all_sql() -> dict[str, str]:
     out.update(history_sql())
     out.update(streaming_sql())
     out.update(publish_sql())
+    out["publish_run"] = publish_run_sql()
     return out

@@ -300,6 +300,12 @@ def smoke_checks() -> list[Check]:
     return out
 
 
+def release_checks() -> list[Check]:
+    """What a staged build must pass to go live: the smoke checks but recency, and unique mart keys."""
+    return [c for c in smoke_checks() if c.kind != "recency"] + [
+        Check("dim_customer_metrics", "unique", "customer_id"), Check("fct_sales_summary", "unique", "order_date")]
+
+
 # DQ-25: a data contract — per column type, required, unique, min/max, allowed
 # values — plus table freshness and completeness (values of the guide's example).
 CONTRACT = {

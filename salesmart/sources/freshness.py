@@ -68,9 +68,20 @@ GUIDE_DEFAULT = Freshness(24, 48)
 GUIDE_OVERRIDES = {"customer": (12, 24), "sales_order_header": (6, 12)}
 
 
+def freshness_rules(sources: dict[str, DataFrame], rule: Freshness) -> dict:
+    """The same rule for every source."""
+    return {n: (SOURCE_OF[n], df, "ModifiedDate", rule) for n, df in sources.items()}
+
+
 def declared_freshness(sources: dict[str, DataFrame]) -> dict:
     """All seven sources under the declared rule (warn 12 h, error 24 h)."""
-    return {n: (SOURCE_OF[n], df, "ModifiedDate", Freshness()) for n, df in sources.items()}
+    return freshness_rules(sources, Freshness())
+
+
+def spec_freshness(specs: dict, sources: dict[str, DataFrame]) -> dict:
+    """Rules from the source specs (SRC-4): a spec's thresholds are its table's override of the default."""
+    return {n: (s.source, sources[n], s.loaded_at, Freshness(s.warn_hours, s.error_hours))
+            for n, s in specs.items() if s.loaded_at and n in sources}
 
 
 def guide_freshness(sources: dict[str, DataFrame]) -> dict:

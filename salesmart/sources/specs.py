@@ -38,13 +38,6 @@ class SourceSpec:
         return reader.load(self.path)
 
 
-def merge_freshness(default: dict, table: dict | None) -> dict:
-    """A source-level freshness default merged with a table-level override."""
-    out = dict(default)
-    out.update({k: v for k, v in (table or {}).items() if v is not None})
-    return out
-
-
 # The seven logical sources the models read (three source groups).
 SOURCE_TABLES = (
     ("sales", "customer"),
