@@ -64,6 +64,24 @@ def publish_run_sql() -> str:
             "CASE WHEN n > 0 THEN 'kept_previous' ELSE 'published' END FROM (SELECT count(*) FILTER (WHERE status = 'fail') AS n FROM s)")
 
 
+_TYPES = {"customer_id": "BIGINT", "account_number": "VARCHAR", "total_lifetime_revenue": "DECIMAL(38,6)",
+          "rfm_score": "INTEGER", "customer_segment": "VARCHAR", "avg_profit_margin_pct": "DOUBLE"}
+
+
+def schema_sql() -> str:
+    """The contract's columns by the types that the mart's SQL has."""
+    from oracle_sql.base import with_models
+    from oracle_sql.marts import CUSTOMER
+    m = "dim_customer_metrics"
+    rows = []
+    for c, kind in _TYPES.items():
+        rows += [f"SELECT '{m}.{k}.{c}' AS check_id, '{m}' AS model, '{k}' AS kind, '{c}' AS column_name, 'error' AS severity, "
+                 f"({bad})::BIGINT AS failures FROM (SELECT any_value({c}) AS v FROM {m})"
+                 for k, bad in (("column_exists", "0"), ("column_type", f"typeof(v) <> '{kind}'"))]
+    return (with_models(CUSTOMER) + ", r AS (" + " UNION ALL ".join(rows)
+            + ") SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM r")
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(model_sql())
@@ -74,4 +92,5 @@ def all_sql() -> dict[str, str]:
     out.update(streaming_sql())
     out.update(publish_sql())
     out["publish_run"] = publish_run_sql()
+    out["dq_schema"] = schema_sql()
     return out
