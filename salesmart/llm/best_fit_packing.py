@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from salesmart.llm.common import slices
+from salesmart.llm.common import map_arrow, slices
 from salesmart.llm.token_ids import encoder
 
 _SCHEMA = ("sequence_id long, doc_ids array<long>, starts array<long>, cu_seqlens array<int>, "
@@ -129,7 +129,7 @@ def packed_rows(documents: DataFrame, tokenizer: str, capacity: int = 2048, bloc
         if pieces:
             yield block(first, pieces)
 
-    return documents.select("doc_id", "text").mapInArrow(run, _SCHEMA)
+    return map_arrow(documents.select("doc_id", "text"), run, _SCHEMA)
 
 
 def write_packed(rows: DataFrame, path: str) -> None:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import salesmart
 from salesmart.session import scratch_path
 
 #: Rows of an Arrow batch that are turned into Python objects at a time.
@@ -53,6 +57,31 @@ def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, size)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once an application, as ``--py-files`` would.
+
+    A package that already came as an archive is left as it is.
+    """
+    context, home = spark.sparkContext, Path(salesmart.__file__).parent
+    if context.applicationId in _shipped or not home.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="salesmart-")) / "salesmart_package.zip"  # the driver serves it from here
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(home.rglob("*.py")):
+            out.write(source, source.relative_to(home.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this package on the executors."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict]]) -> DataFrame:
     """``mapInArrow`` with a function from a slice's columns to the result's columns.
 
@@ -68,7 +97,7 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dic
         for piece in slices(batches):
             yield pa.RecordBatch.from_pydict(work(piece.to_pydict()), schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import map_rows, slices
+from salesmart.llm.common import map_arrow, map_rows, slices
 
 #: Fixed forms, in the order in which ties are listed.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -232,5 +232,5 @@ def mask_secrets(documents: DataFrame, models: Models, mask: str = "[SECRET]") -
                 columns[length] = pa.array(sizes, columns[length].type)
             yield pa.RecordBatch.from_arrays(columns, schema=piece.schema)
 
-    return documents.mapInArrow(run, documents.schema)
+    return map_arrow(documents, run, documents.schema)
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import fresh, map_rows, stored, text_key
+from salesmart.llm.common import fresh, map_arrow, map_rows, stored, text_key
 from salesmart.llm.components import components
 
 #: Shingles hashed at a time, so that a very long text needs little memory.
@@ -181,7 +181,7 @@ def near_links(classes: DataFrame, max_distance: int = 4, shard_rows: int = 3276
         found = links(fps, mask, radius, max_distance)
         return pa.table({"a": pa.array(found[0].view(np.int64)), "b": pa.array(found[1].view(np.int64))})
 
-    return (classes.select("fp").mapInArrow(place, "shard long, fp long")
+    return (map_arrow(classes.select("fp"), place, "shard long, fp long")
             .groupBy("shard").applyInArrow(search, "a long, b long"))
 
 

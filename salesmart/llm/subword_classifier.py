@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import held_out, labelled_sample, map_rows, slices
+from salesmart.llm.common import held_out, labelled_sample, map_arrow, map_rows, slices
 
 BUCKETS = 1 << 18
 #: Words that a worker keeps sums of; the cache starts anew when it is full.
@@ -175,4 +175,4 @@ def keep_good(documents: DataFrame, model: Model, threshold: float = 0.3) -> Dat
         for piece in slices(batches):
             yield piece.filter(pa.array([score(t) >= threshold for t in piece.column(at).to_pylist()], pa.bool_()))
 
-    return documents.mapInArrow(run, documents.schema)
+    return map_arrow(documents, run, documents.schema)
