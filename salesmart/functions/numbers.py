@@ -43,7 +43,7 @@ def avg_double(c) -> Column:
 def int_div(a, b) -> Column:
     """Integer division truncating toward zero (T-SQL int / int, Spark ``div``)."""
     a, b = _c(a).cast("long"), _c(b).cast("long")
-    return F.when(b != 0, ((a - a % b) / b).cast("long"))
+    return F.call_function("div", a, F.when(b != 0, b))
 
 
 def int_avg(c) -> Column:

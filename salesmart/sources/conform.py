@@ -73,7 +73,7 @@ def _priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = read_table(spark, sf_dir, "lineitem")
     qty = F.col("l_quantity").cast("smallint")
     ext_cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    unit_int = ((ext_cents - ext_cents % (qty.cast("bigint") * 100)) / (qty.cast("bigint") * 100)).cast("bigint")
+    unit_int = F.call_function("div", ext_cents, qty.cast("bigint") * 100)
     disc_pct = F.round(F.col("l_discount") * 100).cast("bigint")
     tax_pct = F.round(F.col("l_tax") * 100).cast("bigint")
     return (l.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
