@@ -128,6 +128,14 @@ def test_patterns_pack_tightly():
     assert len({row for row, _ in _places({1: 10_240}, 1024).values()}) == 10
 
 
+@pytest.mark.parametrize("scale", [1, 10 ** 4, 10 ** 9])
+def test_patterns_do_not_grow_with_the_corpus(scale):
+    """What is broadcast follows the number of lengths, not of documents."""
+    rng = random.Random(3)
+    histogram = {n: scale * rng.randint(1, 400) + rng.randint(0, scale) for n in range(1, 1025)}
+    assert len(P7.plan_patterns(histogram, 1024)) < 16 * 1024
+
+
 def test_histogram_packing_round_trip(spark):
     docs, rows = brute.odd_documents(spark, TRICKY)
     once = {r[0]: r for r in rows if r[0] is not None}
