@@ -81,18 +81,19 @@ def render(conversations: DataFrame, keep: DataFrame, turns_per_row: int = TURNS
     Each turn is ``<|role|>``, a line break, its text and a line break.  A row
     holds the turns numbered part * turns_per_row and on, so a long conversation
     is no single group; joined in order of ``part`` the rows are the whole of it.
+    Repeated rows collapse in the group's set, so texts are shuffled once.
     """
     said = (conversations.where("conv_id IS NOT NULL AND turn IS NOT NULL")
             .select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
                     F.coalesce("text", F.lit("")).alias("text"))
-            .join(keep, "conv_id").distinct())
+            .join(keep, "conv_id"))
     tie = F.md5(F.concat(F.col("role").cast("binary"), F.unhex(F.lit("00")), F.col("text").cast("binary")))
     line = F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n"))
     rows = said.select("conv_id", "n_turns", F.floor(F.col("turn") / turns_per_row).alias("part"),
                        F.struct("turn", tie.alias("tie"), line.alias("line")).alias("said"))
     return rows.groupBy("conv_id", "part").agg(
         F.max("n_turns").alias("n_turns"),
-        F.array_join(F.transform(F.sort_array(F.collect_list("said")), lambda x: x["line"]), "").alias("text"))
+        F.array_join(F.transform(F.sort_array(F.collect_set("said")), lambda x: x["line"]), "").alias("text"))
 
 
 def collapsed_chats(conversations: DataFrame) -> DataFrame:
