@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import fresh, map_arrow, map_rows, stored, text_key
 from salesmart.llm.components import components
 
-#: Shingles hashed at a time, so that a very long text needs little memory.
+#: Shingles hashed, or fingerprints compared, at a time, so that memory stays small.
 _CHUNK = 1 << 15
 _LEAF = 256
 _SEED = 20
@@ -110,18 +110,26 @@ def shards_of(fps: np.ndarray, mask: int, radius: int, vantages: list[int],
 
 
 def _spanning(fps: np.ndarray, limit: int) -> list[np.ndarray]:
-    """Edges of a spanning forest of the links, by breadth-first search against what is not yet reached."""
+    """Edges of a spanning forest of the links, by breadth-first search against what is not yet reached.
+
+    A dense group is reached in a few steps, so the work is near the group's
+    size, not its square; blocks keep the memory at some tens of megabytes.
+    """
     left, found = np.arange(len(fps)), []
     while len(left) > 1:
         queue, left = left[:1], left[1:]
         while len(queue) and len(left):
             now, queue = queue[:64], queue[64:]
-            near = np.bitwise_count(fps[left][:, None] ^ fps[now][None, :]) <= limit
-            hit = near.any(axis=1)
-            if hit.any():
-                new = left[hit]
-                found.append(np.stack([now[near[hit].argmax(axis=1)], new]))
-                queue, left = np.concatenate([queue, new]), left[~hit]
+            rest = []
+            for at in range(0, len(left), _CHUNK):
+                part = left[at:at + _CHUNK]
+                near = np.bitwise_count(fps[part][:, None] ^ fps[now][None, :]) <= limit
+                hit = near.any(axis=1)
+                if hit.any():
+                    found.append(np.stack([now[near[hit].argmax(axis=1)], part[hit]]))
+                    queue = np.concatenate([queue, part[hit]])
+                rest.append(part[~hit])
+            left = np.concatenate(rest)
     return found
 
 
