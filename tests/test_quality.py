@@ -121,3 +121,31 @@ def test_all_whole_table_checks_share_one_job_and_absent_tables_fail(spark):
     empty = {"t": t["t"].limit(0)}
     assert {r["kind"]: r["failures"] for r in run_checks(empty, checks[:5], AS_OF).collect()} == {
         "table_exists": 0, "row_count_between": 1, "mean_between": 0, "completeness": 1, "recency": 1}
+
+
+# The declared checks by model and kind.
+DECLARED = {
+    "dim_customer_metrics": {"accepted_range": 10, "accepted_values": 2, "is_positive": 3, "no_future_dates": 2,
+                             "not_null": 8, "unique": 1, "valid_date_range": 1},
+    "fct_product_performance": {"accepted_range": 6, "accepted_values": 2, "is_positive": 4, "no_future_dates": 2,
+                                "not_null": 11, "relationships": 1, "unique": 1, "valid_date_range": 1},
+    "fct_sales_summary": {"accepted_range": 17, "is_positive": 3, "no_future_dates": 1, "not_null": 9},
+    "int_customer_orders": {"accepted_range": 1, "accepted_values": 3, "is_positive": 6, "no_future_dates": 5,
+                            "not_null": 13, "relationships": 1, "unique": 1, "valid_date_range": 2},
+    "int_product_sales": {"accepted_values": 3, "is_positive": 4, "no_future_dates": 8, "not_null": 17,
+                          "relationships": 2, "unique": 1, "valid_date_range": 3},
+    "stg_customers": {"accepted_values": 1, "no_future_dates": 1, "not_null": 3, "unique": 2},
+    "stg_products": {"accepted_range": 3, "accepted_values": 5, "is_positive": 2, "no_future_dates": 4, "not_null": 9,
+                     "unique": 2, "valid_date_range": 1},
+    "stg_sales_orders": {"accepted_range": 1, "accepted_values": 2, "is_positive": 7, "no_future_dates": 5,
+                         "not_null": 10, "relationships": 2, "unique": 1, "valid_date_range": 2},
+}
+
+
+def test_declared_checks_by_model_and_kind():
+    from salesmart.operators.rules import declared_checks
+    found: dict = {}
+    for c in declared_checks():
+        kinds = found.setdefault(c.model, {})
+        kinds[c.kind] = kinds.get(c.kind, 0) + 1
+    assert found == DECLARED
