@@ -19,8 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import fresh, stored, text_key
+from salesmart.llm.common import broadcast_if_small, fresh, stored, text_key
 
+#: Items that may be broadcast with their shingles; at some 2 kB each, about 40 MB.
+ITEM_ROWS = 20_000
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -68,7 +70,7 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, shingle_words: i
     id and text give one result; an item id with several texts gives one result
     for each text's counts.
     """
-    sketch = stored(sketches(benchmark, shingle_words, share), "sketch")  # its real size decides the join
+    sketch = broadcast_if_small(stored(sketches(benchmark, shingle_words, share), "sketch"))
     docs = documents.select("doc_id", "text")
     found = (docs.select("doc_id", text_key(F.col("text")).alias("text_key"), words(F.col("text")).alias("w"))
              .select("doc_id", "text_key", F.greatest(F.size("w") - shingle_words + 1, F.lit(1)).alias("places"),
@@ -76,13 +78,15 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, shingle_words: i
              .join(sketch, "h").where("places >= needed")
              .groupBy("doc_id", "text_key", "item_id").agg(F.lit(1).alias("_one")).drop("_one"))
     candidates = stored(found, "candidates")
-    items = (benchmark.select("item_id", words(F.col("text")).alias("w"))
-             .select("item_id", shingle_texts(F.col("w"), shingle_words).alias("item"))
-             .where(F.size("item") > 0).distinct())
-    of_doc = candidates.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
-        F.collect_set("item_id").alias("item_ids"))  # of one document: at most the benchmark's ids
+    by_doc = stored(candidates.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
+        F.collect_set("item_id").alias("item_ids")), "by_doc")  # of one document: at most the benchmark's ids
+    of_doc = broadcast_if_small(by_doc)
+    items = broadcast_if_small(stored(
+        benchmark.select("item_id", words(F.col("text")).alias("w"))
+        .select("item_id", shingle_texts(F.col("w"), shingle_words).alias("item"))
+        .where(F.size("item") > 0).distinct(), "items"), ITEM_ROWS)
     whole = docs.withColumn("text_key", text_key(F.col("text")))
-    pairs = (whole.join(of_doc, whole["doc_id"].eqNullSafe(of_doc["_id"]) & (whole["text_key"] == of_doc["_key"]))
+    pairs = (whole.join(of_doc, whole["doc_id"].eqNullSafe(by_doc["_id"]) & (whole["text_key"] == by_doc["_key"]))
              .select("doc_id", "text_key", "item_ids", words(F.col("text")).alias("w"))
              .select("doc_id", "text_key", shingle_texts(F.col("w"), shingle_words).alias("own"),
                      F.explode("item_ids").alias("item_id"))
@@ -97,7 +101,8 @@ def remove_contaminated(documents: DataFrame, benchmark: DataFrame, shingle_word
                         share: float = 0.8) -> DataFrame:
     """``documents`` without the rows that contain a benchmark item."""
     id_, key = fresh(documents.columns, "_id", "_key")
-    bad = stored(contained_items(documents, benchmark, shingle_words, share)
-                 .select(F.col("doc_id").alias(id_), F.col("text_key").alias(key)).distinct(), "contaminated")
+    bad = broadcast_if_small(stored(contained_items(documents, benchmark, shingle_words, share)
+                                    .select(F.col("doc_id").alias(id_), F.col("text_key").alias(key)).distinct(),
+                                    "contaminated"))
     return documents.join(bad, F.col("doc_id").eqNullSafe(F.col(id_))
                           & (text_key(F.col("text")) == F.col(key)), "left_anti")

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import held_out, labelled_sample, map_rows, stored
+from salesmart.llm.common import broadcast_if_small, held_out, labelled_sample, map_rows, stored
 
 BUCKETS = 1 << 18
 WIDTHS = (1, 2, 3)
@@ -262,7 +262,8 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = 0.5, mo
     Languages without labels, and null, use ``threshold``.
     """
     scored = stored(scores(documents, fit(documents, labels), threshold), "toxicity")
-    cuts = stored(language_thresholds(scored, labels, most_false=most_false, default=threshold), "cuts")
+    cuts = broadcast_if_small(stored(
+        language_thresholds(scored, labels, most_false=most_false, default=threshold), "cuts"))
     return (scored.join(cuts, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
             .withColumn("lang_threshold", F.coalesce("lang_threshold", F.lit(threshold)))
             .select("doc_id", "held_out", "score", "predicted", "lang", "lang_threshold",

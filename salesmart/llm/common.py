@@ -35,6 +35,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a written table that a join may broadcast; at some 100 bytes each, about 20 MB.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(written: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A table that was just written, marked for broadcast if it has been counted and is small.
+
+    A larger one is left to the planner, which then shuffles both sides.
+    """
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 def fresh(columns: list[str], *names: str) -> list[str]:
     """The names, each with underscores before it until it clashes with no column (in any case)."""
     taken, out = {c.lower() for c in columns}, []

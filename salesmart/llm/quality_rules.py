@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import fresh, map_rows, stored, text_key
+from salesmart.llm.common import BROADCAST_ROWS, fresh, map_rows, stored, text_key
 
 _SYMBOLS = "#*$%&|<>"
 _BLANKS = re.compile("[\x20\x09-\x0d]")
@@ -160,6 +160,8 @@ def apply_cutoffs(measured: DataFrame, cutoffs: dict) -> DataFrame:
     verdict = ~F.col("base_failed")
     for rule, name in zip(RULES, names):
         verdict = verdict & ~rejects(rule, F.col(name))
+    if len(rows) <= BROADCAST_ROWS:
+        table = F.broadcast(table)
     return (measured.join(table, F.col("stratum").eqNullSafe(F.col("of_stratum")), "left")
             .withColumn("kept", verdict).drop("of_stratum", *names))
 
