@@ -82,6 +82,24 @@ def schema_sql() -> str:
             + ") SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM r")
 
 
+def failing_rows_sql() -> str:
+    """The rows that break one check of each kind, selected directly."""
+    from oracle_sql.base import AS_OF, with_models
+    from oracle_sql.marts import CUSTOMER
+    parts = [
+        ("stg_products.no_future_dates.sell_start_date", "product_id",
+         f"stg_products WHERE sell_start_date > DATE '{AS_OF}'"),
+        ("stg_sales_orders.is_positive.order_tax_amount", "sales_order_detail_id", "stg_sales_orders WHERE order_tax_amount <= 0"),
+        ("stg_sales_orders.relationships.customer_id", "sales_order_detail_id",
+         "stg_sales_orders WHERE customer_id NOT IN (SELECT customer_id FROM stg_customers)"),
+        ("int_product_sales.unique.product_sale_surrogate_key", "sales_order_detail_id",
+         "(SELECT *, count(*) OVER (PARTITION BY product_sale_surrogate_key) AS n FROM int_product_sales) WHERE n > 1"),
+        ("dim_customer_metrics.accepted_range.on_time_shipment_pct", "customer_id",
+         "dim_customer_metrics WHERE on_time_shipment_pct < 0 OR on_time_shipment_pct > 100")]
+    return with_models(CUSTOMER) + " " + " UNION ALL ".join(
+        f"SELECT '{i}' AS check_id, {k}::VARCHAR AS row_key FROM {rows}" for i, k, rows in parts)
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(model_sql())
@@ -93,4 +111,5 @@ def all_sql() -> dict[str, str]:
     out.update(publish_sql())
     out["publish_run"] = publish_run_sql()
     out["dq_schema"] = schema_sql()
+    out["dq_failing_rows"] = failing_rows_sql()
     return out

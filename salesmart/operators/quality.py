@@ -213,12 +213,28 @@ def _schema_failures(df: DataFrame, chk: Check) -> int:
     return 0 if ok else 1
 
 
-def failing_rows(df: DataFrame, chk: Check, as_of=None) -> DataFrame:
-    """The failing rows of one row-level check (re-read only for checks that failed)."""
+def failing_rows(df: DataFrame, chk: Check, as_of=None, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The failing rows of a check, all columns: a test is a query that returns its failing rows.
+
+    ``unique`` returns every row of a repeated value, ``relationships`` the rows without a parent in ``tables``.
+    """
     from salesmart.functions.dates import as_of_date as _d
+    if chk.kind == "unique":
+        repeated = duplicates(df.filter(df[chk.column].isNotNull()), [chk.column]).select(chk.column)
+        return df.join(repeated, chk.column, "left_semi")
+    if chk.kind == "relationships":
+        parents = tables[chk.params["to"]].select(F.col(chk.params["field"]).alias(chk.column)).distinct()
+        return df.filter(df[chk.column].isNotNull()).join(parents, chk.column, "left_anti")
     return df.filter(fail_condition(df, chk, _d(as_of)))
 
 
+def failures_by_key(tables: dict[str, DataFrame], checks: list[Check], keys: dict[str, str], as_of=None) -> DataFrame:
+    """(check_id, row_key): the failing rows of all ``checks`` by each model's key column."""
+    parts = [failing_rows(tables[c.model], c, as_of, tables).select(
+        F.lit(c.check_id).alias("check_id"), F.col(keys[c.model]).cast("string").alias("row_key")) for c in checks]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def summary(results: DataFrame) -> DataFrame:
     """DQ-27: totals by status (PASS/WARN/ERROR counts) and failing rows."""
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("checks"),

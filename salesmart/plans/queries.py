@@ -93,6 +93,21 @@ def _schema_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(run_checks(models, expand_contract(CONTRACT)[1], TEST_AS_OF))
 
 
+#: A declared check of each kind that the test data breaks, and the models' key columns.
+_BROKEN = {"stg_products.no_future_dates.sell_start_date", "stg_sales_orders.is_positive.order_tax_amount",
+           "stg_sales_orders.relationships.customer_id", "int_product_sales.unique.product_sale_surrogate_key",
+           "dim_customer_metrics.accepted_range.on_time_shipment_pct"}
+_KEYS = {"stg_products": "product_id", "stg_sales_orders": "sales_order_detail_id",
+         "int_product_sales": "sales_order_detail_id", "dim_customer_metrics": "customer_id"}
+
+
+def _failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.operators.quality import failures_by_key
+    from salesmart.operators.rules import declared_checks
+    models = models_on_testdata(spark, sf_dir, TEST_AS_OF)
+    return failures_by_key(models, [c for c in declared_checks() if c.check_id in _BROKEN], _KEYS, TEST_AS_OF)
+
+
 def _suites(spark: SparkSession, sf_dir: str) -> DataFrame:
     from functools import reduce
 
@@ -113,6 +128,7 @@ def dq_queries() -> dict[str, Query]:
     out["dq_freshness_override"] = _freshness_query("guide")
     out["dq_duplicates"] = _duplicates
     out["dq_schema"] = _schema_checks
+    out["dq_failing_rows"] = _failing_rows
     out["dq_suite"] = _suites
     out["dq_declared"] = _dq_query(None)
     out["dq_summary"] = _dq_summary
