@@ -3,11 +3,15 @@
 Two first-order Markov models over characters, one of random strings and one of
 ordinary identifiers, are trained from labelled samples.  A long token without
 blanks is a secret if the logarithm of the models' likelihood ratio is high,
-in sum and a character.  The samples are strings that the known forms found
-(random) and the other tokens (ordinary) of a bounded set of documents, plus
-random strings over the usual alphabets and identifiers of the documents' words
-in the usual styles, both drawn from a fixed seed.  The cut is
-set from the ordinary sample: above all of it, with a margin.
+in sum and a character.  The random sample is the strings that the known forms
+found in a bounded set of documents and random strings over the usual alphabets.
+The ordinary sample is surely ordinary tokens (plain words and numbers of these
+documents, and identifiers of the words in the usual styles) and those of the
+documents' other tokens that models of these samples call more ordinary than
+random: they have no label, and a bare key among them must not be learnt as
+ordinary.  Strings and identifiers are drawn from fixed seeds.  The cut is set
+from other identifiers: a margin above a high quantile of theirs.  No token of
+the documents sets it.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ import random
 import re
 import string
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,13 +40,27 @@ KINDS = ("assign", "access", "hex", "markov")
 
 #: A token that the models judge: no word character may touch it.
 _TOKEN = re.compile(r"(?<!\w)[A-Za-z0-9+/_=-]{20,}(?!\w)")
-#: What they learn as ordinary: shorter tokens too.
-_ORDINARY = re.compile(r"(?<!\w)[A-Za-z0-9+/_=-]{4,}(?!\w)")
+#: What they may learn as ordinary: shorter tokens too.
+_LEARNT = re.compile(r"(?<!\w)[A-Za-z0-9+/_=-]{4,}(?!\w)")
 _ALPHABETS = (string.hexdigits[:16], string.ascii_uppercase + "234567", string.ascii_letters + string.digits,
               string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_",
               string.ascii_lowercase + string.digits)
 _CODE = {c: i for i, c in enumerate(string.ascii_letters + string.digits + "+/_=-.")}
 _EDGE = len(_CODE)
+#: A token that is surely ordinary: a word too short to be judged, of one case but for its first letter; and no letters.
+_PLAIN = re.compile(r"[A-Za-z]?[a-z]{1,18}|[A-Z]{1,19}")
+_NUMBER = re.compile(r"[0-9+/_=-]+")
+#: Words besides the documents' own, which may have none.
+_COMMON = """about access account action address after amount array author base before block body build cache call change
+    check child class client close code column command common config content control count create current custom data date
+    default delete detail device document domain each element email enable error event example export false field file filter
+    first folder format frame from function general global group handle have header height image import index info inner input
+    internal item january layer length level library like limit line link list load local main manager master member message
+    method model module name network next node null number object option order outer output owner page parent part path people
+    point price process product project property public query range read record reference remove report request result return
+    root route rule same schema search select server service session shared simple size small source start state status step
+    stream string style system table target task template test text their thread time title total tree type under union unique
+    update user value version view widget width window with word work world write year""".split()
 
 Span = tuple[str, int, int]
 
@@ -99,12 +118,18 @@ class Models:
         return _ordered(found)
 
 
-def _table(samples: Iterable[str]) -> np.ndarray:
-    """Smoothed log transition probabilities with one state for a token's start and end."""
-    counts = np.full((_EDGE + 1, _EDGE + 1), 0.5)
+def _counts(samples: Iterable[str]) -> np.ndarray:
+    """Transitions with one state for a token's start and end."""
+    counts = np.zeros((_EDGE + 1, _EDGE + 1))
     for s in samples:
         path = [_EDGE, *[_CODE[c] for c in s], _EDGE]
         np.add.at(counts, (path[:-1], path[1:]), 1)
+    return counts
+
+
+def _log(counts: np.ndarray) -> np.ndarray:
+    """Smoothed log transition probabilities."""
+    counts = counts + 0.5
     return np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
@@ -127,22 +152,32 @@ def identifiers(words: list[str], count: int = 6000, seed: int = 17) -> list[str
     return out
 
 
-def train(secrets: list[str], ordinary: list[str], margin: float = 0.15) -> Models:
-    """Models from labelled strings.
+def _judged(token: str) -> bool:
+    return len(token) >= 20 and not (token.isalpha() and (token.islower() or token.isupper()))
+
+
+def train(secrets: list[str], tokens: list[str], margin: float = 0.15) -> Models:
+    """Models from random strings and the tokens of documents, which may hold secrets without a known form.
 
-    The limit a character lies ``margin`` above the highest ordinary token long
-    enough to be judged, and never under 0.4; the sum must reach 12 (a ratio of over 100,000).
+    The limit a character lies ``margin`` above what one in a thousand fresh
+    identifiers reaches, and never under 0.4; the sum must reach 12 (a ratio of over 100,000).
     """
-    ratio = _table(secrets) - _table(ordinary)
+    plain = [t for t in tokens if _PLAIN.fullmatch(t)]
+    words = plain + _COMMON
+    random_ = _log(_counts(secrets))
+    sure = _counts(words + [t for t in tokens if _NUMBER.fullmatch(t)] + identifiers(words))
+    first = Models(random_ - _log(sure), 0.4, 12.0)
+    mixed = Counter(t for t in tokens if not (_PLAIN.fullmatch(t) or _NUMBER.fullmatch(t)))
+    ratio = random_ - _log(sure + _counts(t for t, n in mixed.items() if first.evidence(t) < 0 for _ in range(n)))
     own = Models(ratio, 0.4, 12.0)
-    long_ones = [t for t in set(ordinary) if len(t) >= 20 and not (t.isalpha() and (t.islower() or t.isupper()))]
-    own.per_char = max([0.4, *[own.evidence(t) / len(t) + margin for t in long_ones]])
+    fresh = [own.evidence(t) / len(t) for t in identifiers(words, seed=19) if _judged(t)]
+    own.per_char = max(0.4, float(np.quantile(fresh, 0.999)) + margin)
     return own
 
 
 def samples_of(texts: Iterable[str]) -> tuple[list[str], list[str]]:
     """Strings in known forms, and the tokens that touch none of them (each once a text, hashes and runs of digits too)."""
-    secrets, ordinary = [], []
+    secrets, tokens = [], []
     for text in texts:
         known = known_spans(text)
         for kind, a, b in known:
@@ -153,8 +188,8 @@ def samples_of(texts: Iterable[str]) -> tuple[list[str], list[str]]:
             rest.append(text[at:max(at, a)])
             at = max(at, b)
         rest.append(text[at:])
-        ordinary += sorted({m[0] for part in rest for m in _ORDINARY.finditer(part)})
-    return secrets, ordinary
+        tokens += sorted({m[0] for part in rest for m in _LEARNT.finditer(part)})
+    return secrets, tokens
 
 
 def fit(documents: DataFrame, rows: int = 1500, max_chars: int = 20_000) -> Models:
@@ -165,8 +200,8 @@ def fit(documents: DataFrame, rows: int = 1500, max_chars: int = 20_000) -> Mode
     picked = spark.createDataFrame([(i,) for i in ids], "doc_id long")
     texts = [r["text"] for r in documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
              .where(F.length("text") <= max_chars).join(F.broadcast(picked), "doc_id").select("text").distinct().collect()]
-    secrets, ordinary = samples_of(sorted(texts))
-    return train(secrets + random_strings(), ordinary + identifiers(ordinary))
+    secrets, tokens = samples_of(sorted(texts))
+    return train(secrets + random_strings(), tokens)
 
 
 def secret_spans(documents: DataFrame, models: Models) -> DataFrame:

@@ -55,6 +55,26 @@ def test_markov_tells_random_from_ordinary(models):
     assert sum(models.is_secret(t) for t in ordinary if len(t) >= 20) / len(ordinary) < 0.02
 
 
+@pytest.mark.parametrize("planted", [3, 600])
+def test_bare_keys_in_the_fitting_documents_are_found(spark, planted):
+    keys = M.random_strings(planted, seed=77)
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    own = spark.createDataFrame([(10_000_000 + i, f"we use {k} here") for i, k in enumerate(keys)], "doc_id long, text string")
+    models = M.fit(docs.unionByName(own))
+    assert sum(map(models.is_secret, keys)) >= 0.97 * len(keys)
+    for n, chars in enumerate(M._ALPHABETS):
+        rng = random.Random(n)
+        fresh = ["".join(rng.choices(chars, k=32)) for _ in range(300)]
+        assert sum(map(models.is_secret, fresh)) >= 0.97 * len(fresh), chars
+    ordinary = M.identifiers("internal module name of the large value index count page user".split(), 1200, seed=998)
+    assert sum(models.is_secret(t) for t in ordinary if len(t) >= 20) < 0.02 * len(ordinary)
+
+
+def test_documents_without_words_teach_models_too():
+    models = M.train(M.random_strings(), [])
+    assert sum(map(models.is_secret, M.random_strings(600, seed=78))) >= 0.97 * 600
+
+
 def test_added_spans_touch_no_known_one(models):
     text = f"token={KEY} plain {KEY[::-1]}"
     assert [k for k, _, _ in models.spans(text)] == ["assign", "markov"]
