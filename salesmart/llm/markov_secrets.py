@@ -3,7 +3,8 @@
 Two first-order Markov models over characters, one of random strings and one of
 ordinary identifiers, are trained from labelled samples.  A long token without
 blanks is a secret if the logarithm of the models' likelihood ratio is high,
-in sum and a character.  The random sample is the strings that the known forms
+in sum and a character.  Tokens are runs of ASCII letters, digits and ``+/_=-``:
+other characters end them, letters of other scripts and accented ones too.  The random sample is the strings that the known forms
 found in a bounded set of documents and random strings over the usual alphabets.
 The ordinary sample is surely ordinary tokens (plain words and numbers of these
 documents, and identifiers of the words in the usual styles) and those of the
@@ -38,10 +39,10 @@ _HEX = re.compile(r"[0-9a-f]{32,}")  # same spans as all runs of 32 and more
 _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "markov")
 
-#: A token that the models judge: no word character may touch it.
-_TOKEN = re.compile(r"(?<!\w)[A-Za-z0-9+/_=-]{20,}(?!\w)")
+#: A token that the models judge: all of a run of these characters, whatever else touches it.
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9_])")
 #: What they may learn as ordinary: shorter tokens too.
-_LEARNT = re.compile(r"(?<!\w)[A-Za-z0-9+/_=-]{4,}(?!\w)")
+_LEARNT = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9+/_=-]{4,}(?![A-Za-z0-9_])")
 _ALPHABETS = (string.hexdigits[:16], string.ascii_uppercase + "234567", string.ascii_letters + string.digits,
               string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_",
               string.ascii_lowercase + string.digits)

@@ -75,6 +75,20 @@ def test_documents_without_words_teach_models_too():
     assert sum(map(models.is_secret, M.random_strings(600, seed=78))) >= 0.97 * 600
 
 
+@pytest.mark.parametrize("before, after", [("密钥是", "。"), ("キーは", "です"), ("é", ""), ("", "é"), ("ключ", "ключ"), ("ß", "密")])
+def test_letters_beyond_ascii_hide_no_token(models, before, after):
+    assert models.spans(f"x {before}{KEY}{after} y") == [("markov", 2 + len(before), 2 + len(before) + len(KEY))]
+
+
+def test_ascii_word_characters_still_bound_a_token(models):
+    assert models.spans(f"{KEY}.") == [("markov", 0, len(KEY))] and models.spans("é" + KEY[:19] + "é") == []
+
+
+def test_accented_words_are_no_secrets(models):
+    text = "Straßenverkehrszulassungsordnung développement-international-coopération Überraschungsgeschenkverpackung"
+    assert models.spans(text) == []
+
+
 def test_added_spans_touch_no_known_one(models):
     text = f"token={KEY} plain {KEY[::-1]}"
     assert [k for k, _, _ in models.spans(text)] == ["assign", "markov"]
