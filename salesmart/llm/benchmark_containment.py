@@ -47,15 +47,20 @@ def shingle_texts(w: Column, k: int) -> Column:
     return F.array_distinct(_shingles(w, k, lambda parts: F.concat_ws(" ", *parts)))
 
 
+def _item_key(w: Column) -> Column:
+    """What joins an item's derived rows: ids may be null or shared, and equal keys of different texts are told apart later."""
+    return F.xxhash64(w)
+
+
 def sketches(benchmark: DataFrame, shingle_words: int = 5, share: float = 0.8) -> DataFrame:
-    """(item_id, size_class, needed, h): a row for each minimum hash of each item's sketch."""
+    """(item_key, size_class, needed, h): a row for each minimum hash of each item's sketch."""
     top = F.lit(2) * F.pow(2.0, "size_class") - 1
-    return (benchmark.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
-            .select("item_id", F.sort_array(F.array_distinct(shingle_hashes(F.col("w"), shingle_words))).alias("hashes"))
+    return (benchmark.select(words(F.col("text")).alias("w")).where(F.size("w") > 0)
+            .select(_item_key(F.col("w")).alias("item_key"), F.sort_array(F.array_distinct(shingle_hashes(F.col("w"), shingle_words))).alias("hashes"))
             .withColumn("n", F.size("hashes"))
             .withColumn("size_class", F.floor(F.log2(F.col("n"))).cast("int"))
             .withColumn("take", (top - F.ceil(F.lit(share) * top) + 1).cast("int"))
-            .select("item_id", "size_class", F.ceil(F.lit(share) * F.col("n")).cast("int").alias("needed"),
+            .select("item_key", "size_class", F.ceil(F.lit(share) * F.col("n")).cast("int").alias("needed"),
                     F.explode(F.slice("hashes", 1, F.col("take"))).alias("h"))
             .distinct())
 
@@ -65,7 +70,7 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, shingle_words: i
     """(doc_id, text_key, item_id, shared, n_shingles) where shared >= share * n_shingles, exactly.
 
     Counts are of distinct shingles.  Null and blank texts or items match
-    nothing.  Items below ``shingle_words`` words are one shingle, which only
+    nothing; an item without an id is found like others and has a null item_id.  Items below ``shingle_words`` words are one shingle, which only
     a document of just these words holds.  Repeated rows and items of the same
     id and text give one result; an item id with several texts gives one result
     for each text's counts.
@@ -76,21 +81,21 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, shingle_words: i
              .select("doc_id", "text_key", F.greatest(F.size("w") - shingle_words + 1, F.lit(1)).alias("places"),
                      F.explode(shingle_hashes(F.col("w"), shingle_words)).alias("h"))
              .join(sketch, "h").where("places >= needed")
-             .groupBy("doc_id", "text_key", "item_id").agg(F.lit(1).alias("_one")).drop("_one"))
+             .groupBy("doc_id", "text_key", "item_key").agg(F.lit(1).alias("_one")).drop("_one"))
     candidates = stored(found, "candidates")
     by_doc = stored(candidates.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
-        F.collect_set("item_id").alias("item_ids")), "by_doc")  # of one document: at most the benchmark's ids
+        F.collect_set("item_key").alias("item_keys")), "by_doc")  # of one document: at most the benchmark's texts
     of_doc = broadcast_if_small(by_doc)
     items = broadcast_if_small(stored(
         benchmark.select("item_id", words(F.col("text")).alias("w"))
-        .select("item_id", shingle_texts(F.col("w"), shingle_words).alias("item"))
+        .select("item_id", _item_key(F.col("w")).alias("item_key"), shingle_texts(F.col("w"), shingle_words).alias("item"))
         .where(F.size("item") > 0).distinct(), "items"), ITEM_ROWS)
     whole = docs.withColumn("text_key", text_key(F.col("text")))
     pairs = (whole.join(of_doc, whole["doc_id"].eqNullSafe(by_doc["_id"]) & (whole["text_key"] == by_doc["_key"]))
-             .select("doc_id", "text_key", "item_ids", words(F.col("text")).alias("w"))
+             .select("doc_id", "text_key", "item_keys", words(F.col("text")).alias("w"))
              .select("doc_id", "text_key", shingle_texts(F.col("w"), shingle_words).alias("own"),
-                     F.explode("item_ids").alias("item_id"))
-             .join(items, "item_id"))
+                     F.explode("item_keys").alias("item_key"))
+             .join(items, "item_key"))
     return (pairs.select("doc_id", "text_key", "item_id",
                          F.size(F.array_intersect("item", "own")).cast("long").alias("shared"),
                          F.size("item").cast("long").alias("n_shingles"))

@@ -44,6 +44,18 @@ def test_a_short_item_in_a_long_document_and_a_hot_passage(spark):
     assert len(got) == 301 and all((r.shared, r.n_shingles) == (16, 16) for r in got)
 
 
+def test_items_without_an_id_are_found(spark):
+    one, two, both = (" ".join(f"{c}{i}" for i in range(20)) for c in "xyz")
+    docs = spark.createDataFrame([(1, f"head {one} tail"), (2, f"head {two} tail"), (3, "nothing of it at all here"),
+                                  (None, f"{both} tail")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, one), (None, two), (None, two), (7, two), (None, both), (None, None)],
+                                  "item_id long, text string")
+    got = B.contained_items(docs, bench).collect()
+    assert sorted(((r.doc_id, r.item_id, r.shared, r.n_shingles) for r in got), key=repr) == sorted(
+        [(1, None, 16, 16), (2, None, 16, 16), (2, 7, 16, 16), (None, None, 16, 16)], key=repr)
+    assert [r.doc_id for r in B.remove_contaminated(docs, bench).collect()] == [3]
+
+
 def test_empty_tables(spark):
     docs, _, bench, _ = _tables(spark)
     none = spark.createDataFrame([], "item_id long, text string")
