@@ -7,7 +7,8 @@ many as a class needs so that nothing is missed: if a document holds a share
 one of any ``n - ceil(t * n) + 1`` shingles must be present.  The sketch takes
 that many for the largest size of the class.  All shingles of all documents
 look the sketches up (documents too small for a class are passed over), and
-every candidate is verified by exact containment of the shingles' text.
+every candidate is verified by exact containment of the shingles' text.  Items
+shorter than a shingle are looked up by shingles of their own word count.
 
 DataFrame functions only.  Short items inside very long documents are found
 because the share is taken of the item alone; the signature-agreement form of
@@ -32,19 +33,37 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, "[ \\t-\\r]+"))
 
 
-def _shingles(w: Column, k: int, of) -> Column:
-    """``of`` the words of each k-word shingle; fewer words than k are one shingle."""
-    return (F.when(F.size(w) == 0, F.array())
-            .when(F.size(w) < k, F.array(of([F.concat_ws(" ", w)])))
-            .otherwise(F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: of([w[i + j] for j in range(k)]))))
+def _runs(w: Column, n: int, of) -> Column:
+    """``of`` the words of each run of ``n`` words; fewer words have none."""
+    return (F.when(F.size(w) < n, F.array())
+            .otherwise(F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: of([w[i + j] for j in range(n)]))))
 
 
-def shingle_hashes(w: Column, k: int) -> Column:
-    return _shingles(w, k, lambda parts: F.xxhash64(*parts))
+def _hash(parts: list[Column]) -> Column:
+    return F.xxhash64(*parts)
 
 
-def shingle_texts(w: Column, k: int) -> Column:
-    return F.array_distinct(_shingles(w, k, lambda parts: F.concat_ws(" ", *parts)))
+def _text(parts: list[Column]) -> Column:
+    return F.concat_ws(" ", *parts)
+
+
+def item_shingles(w: Column, k: int, of) -> Column:
+    """``of`` the words of each k-word shingle of an item; fewer words than k are one shingle."""
+    out = _runs(w, k, of)
+    for n in range(1, k):
+        out = F.when(F.size(w) == n, F.array(of([F.get(w, F.lit(j)) for j in range(n)]))).otherwise(out)
+    return out
+
+
+def document_shingles(w: Column, sizes: list[int], of) -> Column:
+    """``of`` the words of each shingle of a document, of each size."""
+    return F.concat(*[_runs(w, n, of) for n in sizes]) if len(sizes) > 1 else _runs(w, sizes[0], of)
+
+
+def _sizes(benchmark: DataFrame, k: int) -> list[int]:
+    """``k`` and the word counts of the items below it: at most k numbers."""
+    n = F.size(words(F.col("text")))
+    return [k, *sorted(r["n"] for r in benchmark.select(n.alias("n")).where((F.col("n") > 0) & (F.col("n") < k)).distinct().collect())]
 
 
 def _item_key(w: Column) -> Column:
@@ -56,7 +75,7 @@ def sketches(benchmark: DataFrame, shingle_words: int = 5, share: float = 0.8) -
     """(item_key, size_class, needed, h): a row for each minimum hash of each item's sketch."""
     top = F.lit(2) * F.pow(2.0, "size_class") - 1
     return (benchmark.select(words(F.col("text")).alias("w")).where(F.size("w") > 0)
-            .select(_item_key(F.col("w")).alias("item_key"), F.sort_array(F.array_distinct(shingle_hashes(F.col("w"), shingle_words))).alias("hashes"))
+            .select(_item_key(F.col("w")).alias("item_key"), F.sort_array(F.array_distinct(item_shingles(F.col("w"), shingle_words, _hash))).alias("hashes"))
             .withColumn("n", F.size("hashes"))
             .withColumn("size_class", F.floor(F.log2(F.col("n"))).cast("int"))
             .withColumn("take", (top - F.ceil(F.lit(share) * top) + 1).cast("int"))
@@ -70,16 +89,18 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, shingle_words: i
     """(doc_id, text_key, item_id, shared, n_shingles) where shared >= share * n_shingles, exactly.
 
     Counts are of distinct shingles.  Null and blank texts or items match
-    nothing; an item without an id is found like others and has a null item_id.  Items below ``shingle_words`` words are one shingle, which only
-    a document of just these words holds.  Repeated rows and items of the same
+    nothing; an item without an id is found like others and has a null item_id.  Items below
+    ``shingle_words`` words are one shingle, looked up among all runs of as many
+    words: an item of one word is in every document with this word.  Repeated rows and items of the same
     id and text give one result; an item id with several texts gives one result
     for each text's counts.
     """
     sketch = broadcast_if_small(stored(sketches(benchmark, shingle_words, share), "sketch"))
+    sizes = _sizes(benchmark, shingle_words)
     docs = documents.select("doc_id", "text")
     found = (docs.select("doc_id", text_key(F.col("text")).alias("text_key"), words(F.col("text")).alias("w"))
              .select("doc_id", "text_key", F.greatest(F.size("w") - shingle_words + 1, F.lit(1)).alias("places"),
-                     F.explode(shingle_hashes(F.col("w"), shingle_words)).alias("h"))
+                     F.explode(document_shingles(F.col("w"), sizes, _hash)).alias("h"))
              .join(sketch, "h").where("places >= needed")
              .groupBy("doc_id", "text_key", "item_key").agg(F.lit(1).alias("_one")).drop("_one"))
     candidates = stored(found, "candidates")
@@ -88,12 +109,12 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, shingle_words: i
     of_doc = broadcast_if_small(by_doc)
     items = broadcast_if_small(stored(
         benchmark.select("item_id", words(F.col("text")).alias("w"))
-        .select("item_id", _item_key(F.col("w")).alias("item_key"), shingle_texts(F.col("w"), shingle_words).alias("item"))
+        .select("item_id", _item_key(F.col("w")).alias("item_key"), F.array_distinct(item_shingles(F.col("w"), shingle_words, _text)).alias("item"))
         .where(F.size("item") > 0).distinct(), "items"), ITEM_ROWS)
     whole = docs.withColumn("text_key", text_key(F.col("text")))
     pairs = (whole.join(of_doc, whole["doc_id"].eqNullSafe(by_doc["_id"]) & (whole["text_key"] == by_doc["_key"]))
              .select("doc_id", "text_key", "item_keys", words(F.col("text")).alias("w"))
-             .select("doc_id", "text_key", shingle_texts(F.col("w"), shingle_words).alias("own"),
+             .select("doc_id", "text_key", F.array_distinct(document_shingles(F.col("w"), sizes, _text)).alias("own"),
                      F.explode("item_keys").alias("item_key"))
              .join(items, "item_key"))
     return (pairs.select("doc_id", "text_key", "item_id",

@@ -56,6 +56,23 @@ def test_items_without_an_id_are_found(spark):
     assert [r.doc_id for r in B.remove_contaminated(docs, bench).collect()] == [3]
 
 
+def test_items_below_a_shingle_are_found_in_longer_documents(spark):
+    texts = ["the quick brown fox jumps over it", "Quick  Brown", "brown quick", "a quick brown", "quick brownish fox", "fox",
+             "over the fox jumps", "one two three four five six", "two three four", "", None]
+    items = [(1, "quick brown"), (2, "FOX"), (3, "fox jumps over it"), (4, "two three four"), (5, "one two three four five"),
+             (6, "jumps fox over"), (7, ""), (8, None)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = set()
+    for d, text in enumerate(texts):
+        for i, item in items:
+            if item and f" {' '.join(item.lower().split())} " in f" {' '.join((text or '').lower().split())} ":
+                want.add((d, i, 1, 1))
+    got = {tuple(r) for r in B.contained_items(docs, bench).select("doc_id", "item_id", "shared", "n_shingles").collect()}
+    assert got == want and len(want) == 11
+    assert {r.doc_id for r in B.remove_contaminated(docs, bench).collect()} == {2, 9, 10}
+
+
 def test_empty_tables(spark):
     docs, _, bench, _ = _tables(spark)
     none = spark.createDataFrame([], "item_id long, text string")
