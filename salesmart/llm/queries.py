@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm import (benchmark_containment, best_fit_packing, chat_snapshots, cnn_toxicity, histogram_packing,
-                           markov_secrets, quality_rules, shard_table, simhash_vptree, subword_classifier)
+                           markov_secrets, periodic_runs, quality_rules, shard_table, simhash_vptree,
+                           subword_classifier, whitening)
 from salesmart.llm.common import table
 
 #: The vocabulary file of the packing queries.
@@ -66,8 +67,45 @@ def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "shared", "n_shingles").distinct()
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"), components=16, scale=64, shift=1_000_000)
+
+
+def with_planted_periods(documents: DataFrame) -> DataFrame:
+    """The run query's input, by its contract: every tenth text by crc32 repeats some of its words to the end."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    a = g % n
+    p = F.lit(1) + F.expr("(n - a) div (3 + g % 8)")
+    chosen = documents.select("doc_id", "text", h.alias("h"))
+    planted = (chosen.where((F.col("h") % 10 == 0) & F.col("text").isNotNull())
+               .select("doc_id", "text", "h", words.alias("words")).withColumn("n", n).withColumn("g", g))
+    repeated = (planted.withColumn("a", F.when(F.col("n") > 0, a)).withColumn("p", p)
+                .select("doc_id", F.when(F.col("n") > 0, F.array_join(F.transform("words", lambda w, i: F.when(
+                    i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))),
+                    " ")).otherwise(F.lit("")).alias("text")))
+    return chosen.where(F.coalesce(F.col("h") % 10 != 0, F.lit(True)) | F.col("text").isNull()).select(
+        "doc_id", "text").unionByName(repeated)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")), min_words=12)
+    # the longest run, of equal ones the first by start and period
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    text = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_best_fit_packing, op3_chat_snapshots, op4_subword_quality, op5_cnn_toxicity,
         op6_shard_table, op7_histogram_packing, op8_markov_secrets, op9_simhash_near_duplicates,
-        op10_benchmark_containment)}
+        op10_benchmark_containment, op11_embedding_whitening, op12_periodic_runs)}
