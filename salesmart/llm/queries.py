@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import (benchmark_containment, best_fit_packing, chat_snapshots, cnn_toxicity, histogram_packing,
-                           markov_secrets, periodic_runs, quality_rules, shard_table, simhash_vptree,
-                           subword_classifier, whitening)
+from salesmart.llm import (backoff_automaton, benchmark_containment, best_fit_packing, chat_snapshots, cnn_toxicity,
+                           histogram_packing, markov_secrets, periodic_runs, quality_rules, shard_table,
+                           simhash_vptree, subword_classifier, whitening)
 from salesmart.llm.common import table
 
 #: The vocabulary file of the packing queries.
@@ -104,8 +104,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return backoff_automaton.document_scores(table(spark, sf_dir, "documents"), held_out, order=2)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_best_fit_packing, op3_chat_snapshots, op4_subword_quality, op5_cnn_toxicity,
         op6_shard_table, op7_histogram_packing, op8_markov_secrets, op9_simhash_near_duplicates,
-        op10_benchmark_containment, op11_embedding_whitening, op12_periodic_runs)}
+        op10_benchmark_containment, op11_embedding_whitening, op12_periodic_runs,
+        op13_backoff_scores)}

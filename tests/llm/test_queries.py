@@ -27,11 +27,13 @@ COLUMNS = {
     "op4": "doc_id held_out score predicted", "op5": "doc_id held_out score predicted",
     "op7": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
     "op8": "doc_id n_assign n_access n_hex base_sha256 spans", "op9": "doc_id fingerprint component_id",
+    "op12": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op13": "doc_id held_out n_tokens n_known train_tokens base_score score",
 }
 
 
 def test_one_query_an_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("op", sorted(COLUMNS))
