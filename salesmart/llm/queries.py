@@ -73,20 +73,18 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_planted_periods(documents: DataFrame) -> DataFrame:
     """The run query's input, by its contract: every tenth text by crc32 repeats some of its words to the end."""
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    n, g = F.size("words"), F.floor(F.col("h") / 10)
-    a = g % n
-    p = F.lit(1) + F.expr("(n - a) div (3 + g % 8)")
-    chosen = documents.select("doc_id", "text", h.alias("h"))
-    planted = (chosen.where((F.col("h") % 10 == 0) & F.col("text").isNotNull())
-               .select("doc_id", "text", "h", words.alias("words")).withColumn("n", n).withColumn("g", g))
-    repeated = (planted.withColumn("a", F.when(F.col("n") > 0, a)).withColumn("p", p)
-                .select("doc_id", F.when(F.col("n") > 0, F.array_join(F.transform("words", lambda w, i: F.when(
-                    i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))),
-                    " ")).otherwise(F.lit("")).alias("text")))
-    return chosen.where(F.coalesce(F.col("h") % 10 != 0, F.lit(True)) | F.col("text").isNull()).select(
-        "doc_id", "text").unionByName(repeated)
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def repeated(w):
+        n, g = F.size(w), F.floor(h / 10)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(w, lambda own, i: F.when(i < a, own).otherwise(
+            F.get(w, (a + (i - a) % p).cast("int")))), " ")
+
+    planted = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise("")), F.lit(0))
+    return documents.select("doc_id", F.when(h % 10 == 0, planted).otherwise(F.col("text")).alias("text"))
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

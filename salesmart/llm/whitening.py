@@ -2,35 +2,44 @@
 
 1. Vectors become exact integers, floor(scale * entry) + shift, and every row
    gets a dense index.
-2. The fit list is each distinct vector once.  Its sums are exact integers, so
-   rows are centred without cancellation before anything is multiplied.
-3. The centred fit list, cut into distributed blocks, is transposed and
-   multiplied by itself; the products of its blocks are summed in many tasks
-   (``numMidDimSplits``), so that no task sees all rows.
-4. The scatter matrix (dimension by dimension) is taken apart on the driver by
+2. The fit list is each distinct vector once, with an index of its own.  Its
+   sums are exact integers, so rows are centred without cancellation before
+   anything is multiplied.
+3. Centred rows are gathered to blocks by index and written as matrices; the
+   stored blocks are the BlockMatrix.  (IndexedRowMatrix.toBlockMatrix would
+   serialize each entry as an object of its own.)
+4. The fit list's blocks are transposed and multiplied by themselves; the
+   products of its blocks are summed in many tasks (``numMidDimSplits``), so
+   that no task sees all rows.
+5. The scatter matrix (dimension by dimension) is taken apart on the driver by
    numpy's eigh.
-5. All rows, centred and in blocks, are multiplied by the whitening matrix.
-6. The whitened fit list is centred and multiplied in the same way, which
+6. The blocks of all rows are multiplied by the whitening matrix.
+7. The whitened fit list is centred and multiplied in the same way, which
    measures how far its covariance is from the identity.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg import Matrices
-from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
+from pyspark.mllib.linalg import Matrices, MatrixUDT
+from pyspark.mllib.linalg.distributed import BlockMatrix
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from salesmart.llm.common import stored
+from salesmart.session import scratch_path
 
 #: Rows of a block: so many that the driver, which plans the products, sees some 20,000 block numbers, within these.
 _BLOCK_ROWS = (1024, 65536)
+#: A block with its place, as MLlib's matrix and as the plain struct that it is stored as.
+_PLACE = StructType([StructField(n, LongType(), False) for n in ("row", "column")])
+_AS_MATRIX = StructType([StructField("place", _PLACE, False), StructField("matrix", MatrixUDT(), False)])
+_AS_STRUCT = StructType([StructField("place", _PLACE, False), StructField("matrix", MatrixUDT().sqlType(), False)])
 #: Eigenvalues below this share of the largest are rounding noise of a singular covariance.
 _RANK = 1e-11
 #: Sums of integers are kept in two halves, so that they stay inside a long.
@@ -49,8 +58,22 @@ class Fit(NamedTuple):
     trace: float
 
 
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """The rows with a dense ``index`` from 0, written to the shared folder: the place within the writing task, after
+    the rows of the tasks before it."""
+    written = stored(rows.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}), name)
+    counts = written.groupBy("part").agg(F.count("*").alias("n")).collect()  # a row for each writing task
+    start, offsets = 0, []
+    for r in sorted(counts):
+        offsets.append((r["part"], start - (r["part"] << 33)))
+        start += r["n"]
+    known = rows.sparkSession.createDataFrame(offsets, "part int, offset long")
+    return (written.join(F.broadcast(known), "part").withColumn("index", F.col("at") + F.col("offset"))
+            .drop("part", "at", "offset"))
+
+
 def integer_vectors(embeddings: DataFrame, scale: int = 64, shift: int = 1_000_000) -> DataFrame:
-    """(index, vec_id, x): the usable rows as integer vectors with a dense index from 0, written to the shared folder.
+    """(index, vec_id, x): the usable rows as integer vectors with a dense index from 0.
 
     Left out are rows whose vector is null, has a null, NaN or infinite entry,
     or an entry beyond 2 ** 52 after scaling (it has no exact integer), and rows
@@ -60,34 +83,13 @@ def integer_vectors(embeddings: DataFrame, scale: int = 64, shift: int = 1_000_0
     good = entry.isNotNull() & F.forall(entry, lambda e: F.coalesce(
         ~F.isnan(e.cast("double")) & (F.abs(e.cast("double")) * scale < float(1 << 52)), F.lit(False)))
     rows = (embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(good)
-            .select("vec_id", F.transform(entry, lambda e: F.floor(e.cast("double") * scale) + shift).alias("x"),
-                    F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")))
-    written = stored(rows, "vectors")
-    counts = written.groupBy("part", F.size("x").alias("d")).agg(F.count("*").alias("n"), F.min("at").alias("at")).collect()
-    lengths: dict[int, int] = {}
-    for r in counts:  # a row for each task and length
-        lengths[r["d"]] = lengths.get(r["d"], 0) + r["n"]
-    dimension = max(lengths, key=lambda d: (lengths[d], d), default=0)
+            .select("vec_id", F.transform(entry, lambda e: F.floor(e.cast("double") * scale) + shift).alias("x")))
+    found = numbered(rows, "vectors")
+    lengths = {r["d"]: r["n"] for r in found.groupBy(F.size("x").alias("d")).agg(F.count("*").alias("n")).collect()}
     if len(lengths) > 1:  # the rest is numbered anew, without gaps
-        return integer_vectors_of(written.where(F.size("x") == dimension))
-    return _numbered(written, counts)
-
-
-def integer_vectors_of(rows: DataFrame) -> DataFrame:
-    """Rows (vec_id, x) of one length, numbered from 0."""
-    written = stored(rows.select("vec_id", "x", F.spark_partition_id().alias("part"),
-                                 F.monotonically_increasing_id().alias("at")), "vectors")
-    return _numbered(written, written.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("at")).collect())
-
-
-def _numbered(written: DataFrame, counts: list) -> DataFrame:
-    """Dense index: the place within the writing task, after the rows of the tasks before it."""
-    start, offsets = 0, []
-    for r in sorted(counts, key=lambda r: r["part"]):
-        offsets.append((r["part"], start - (r["part"] << 33)))
-        start += r["n"]
-    known = written.sparkSession.createDataFrame(offsets, "part int, offset long")  # a row for each writing task
-    return written.join(F.broadcast(known), "part").select((F.col("at") + F.col("offset")).alias("index"), "vec_id", "x")
+        dimension = max(lengths, key=lambda d: (lengths[d], d))
+        found = numbered(found.where(F.size("x") == dimension).drop("index"), "vectors")
+    return found
 
 
 def _sums(fit_list: DataFrame) -> tuple[int, list[int]]:
@@ -117,36 +119,56 @@ def _deviation(n: int, sums: list[int]) -> Column:
     return F.aggregate(terms, F.lit(0).cast("long"), lambda total, t: F.try_add(total, F.try_multiply(t, t)))
 
 
+def _create(stored_blocks: DataFrame, block_rows: int, count: int, columns: int) -> BlockMatrix:
+    java = callMLlibFunc("createBlockMatrix", stored_blocks, block_rows, columns, count, columns)
+    return BlockMatrix(java, block_rows, columns)
+
+
 def _blocks(rows: DataFrame, count: int, columns: int) -> BlockMatrix:
-    """Rows (index, vector as array of doubles) as distributed blocks."""
+    """Rows (dense index, vector as array of doubles) as distributed blocks, written to the shared folder."""
     low, high = _BLOCK_ROWS
-    vectors = MLUtils.convertVectorColumnsFromML(
-        rows.select("index", array_to_vector("vector").alias("vector")), "vector")
-    return IndexedRowMatrix(vectors, count, columns).toBlockMatrix(max(low, min(high, count // 20_000)), columns)
+    size = max(low, min(high, count // 20_000))
+    own = F.sort_array(F.collect_list(F.struct("index", "vector")))  # of at most ``size`` rows
+    blocks = rows.groupBy(F.expr(f"index div {size}").alias("row")).agg(own.alias("rows"))
+    matrix = F.struct(
+        F.lit(1).cast("byte").alias("type"), F.size("rows").alias("numRows"), F.lit(columns).alias("numCols"),
+        F.lit(None).cast("array<int>").alias("colPtrs"), F.lit(None).cast("array<int>").alias("rowIndices"),
+        F.flatten(F.transform("rows", lambda r: r["vector"])).alias("values"), F.lit(True).alias("isTransposed"))
+    spark, path = rows.sparkSession, f"{scratch_path(rows.sparkSession, 'llm')}/blocks-{uuid.uuid4().hex}"
+    blocks.select(F.struct("row", F.lit(0).cast("long").alias("column")).alias("place"),
+                  matrix.alias("matrix")).write.parquet(path)
+    return _create(spark.read.schema(_AS_MATRIX).parquet(path), size, count, columns)
 
 
 def _scatter(rows: DataFrame, count: int, columns: int) -> np.ndarray:
-    """Transpose times matrix of centred rows, summed over as many tasks as the blocks lie in."""
+    """Transpose times matrix of centred rows, summed over many tasks."""
     blocks = _blocks(rows, count, columns)
-    turned = blocks.transpose()
-    splits = max(1, min(rows.sparkSession.sparkContext.defaultParallelism * 4, -(-count // blocks.rowsPerBlock)))
-    product = turned._java_matrix_wrapper.call("multiply", blocks._java_matrix_wrapper._java_model, splits)
+    splits = max(1, min(4 * rows.sparkSession.sparkContext.defaultParallelism, -(-count // blocks.rowsPerBlock)))
+    product = blocks.transpose()._java_matrix_wrapper.call("multiply", blocks._java_matrix_wrapper._java_model, splits)
     total = BlockMatrix(product, columns, columns).toLocalMatrix().toArray()
     return (total + total.T) / 2
 
 
 def _times(rows: DataFrame, count: int, matrix: np.ndarray) -> DataFrame:
-    """(index, vector): the rows times a small matrix, by blocks."""
+    """(index, vector): the rows times a small matrix, by blocks, written to the shared folder."""
     spark, (columns, width) = rows.sparkSession, matrix.shape
     small = BlockMatrix(spark.sparkContext.parallelize(
         [((0, 0), Matrices.dense(columns, width, matrix.flatten(order="F").tolist()))], 1), columns, width)
-    product = _blocks(rows, count, columns).multiply(small).toIndexedRowMatrix()
-    found = callMLlibFunc("getIndexedRows", product._java_matrix_wrapper._java_model)
-    return found.select("index", vector_to_array("vector").alias("vector"))
+    blocks = _blocks(rows, count, columns)
+    product = callMLlibFunc("getMatrixBlocks", blocks.multiply(small)._java_matrix_wrapper._java_model)
+    path = f"{scratch_path(spark, 'llm')}/whitened-{uuid.uuid4().hex}"
+    product.select(F.struct(F.col("_1._1").cast("long").alias("row"), F.col("_1._2").cast("long").alias("column"))
+                   .alias("place"), F.col("_2").alias("matrix")).write.parquet(path)
+    at = F.col("matrix.numRows")
+    rows_of = F.transform(F.sequence(F.lit(0), at - 1), lambda r: F.transform(
+        F.sequence(F.lit(0), F.lit(width - 1)), lambda c: F.get("matrix.values", F.when(
+            F.col("matrix.isTransposed"), r * width + c).otherwise(c * at + r))))
+    return (spark.read.schema(_AS_STRUCT).parquet(path).select("place", F.posexplode(rows_of).alias("at", "vector"))
+            .select((F.col("place").getField("row") * blocks.rowsPerBlock + F.col("at")).alias("index"), "vector"))
 
 
 def fit(fit_list: DataFrame, components: int = 16) -> Fit | None:
-    """Components of the distinct integer vectors (index, x); None if there is no row or no variance.
+    """Components of the distinct integer vectors (dense index, x); None if there is no row or no variance.
 
     The number of components may be less than asked if the covariance has a
     lower rank.  Of either sign of a component, the one whose largest entry is
@@ -155,9 +177,7 @@ def fit(fit_list: DataFrame, components: int = 16) -> Fit | None:
     n, sums = _sums(fit_list)
     if not n:
         return None
-    # the fit list's indices lie among those of all rows
-    count = fit_list.agg(F.max("index")).first()[0] + 1
-    covariance = _scatter(fit_list.select("index", _centred(n, sums).alias("vector")), count, len(sums)) / n
+    covariance = _scatter(fit_list.select("index", _centred(n, sums).alias("vector")), n, len(sums)) / n
     values, vectors = np.linalg.eigh(covariance)
     values, vectors = values[::-1], vectors[:, ::-1]
     rank = int((values > _RANK * max(values[0], 0)).sum()) if values[0] > 0 else 0
@@ -169,12 +189,11 @@ def fit(fit_list: DataFrame, components: int = 16) -> Fit | None:
     return Fit(n, sums, values[:width], chosen / np.sqrt(values[:width]), float(np.trace(covariance)))
 
 
-def identity_error(whitened: DataFrame, fit_list: DataFrame, count: int, n: int, width: int) -> float:
-    """Largest absolute entry of the whitened fit list's covariance minus the identity."""
-    mine = whitened.join(fit_list.select("index"), "index", "left_semi")
-    means = mine.agg(*[F.avg(F.col("vector")[k]).alias(f"m{k}") for k in range(width)]).first()
+def identity_error(whitened: DataFrame, n: int, width: int) -> float:
+    """Largest absolute entry of the covariance of the whitened fit list (dense index, vector) minus the identity."""
+    means = whitened.agg(*[F.avg(F.col("vector")[k]).alias(f"m{k}") for k in range(width)]).first()
     centred = F.zip_with("vector", F.array(*[F.lit(float(m)) for m in means]), lambda v, m: v - m)
-    found = _scatter(mine.select("index", centred.alias("vector")), count, width) / n
+    found = _scatter(whitened.select("index", centred.alias("vector")), n, width) / n
     return float(np.abs(found - np.eye(width)).max())
 
 
@@ -191,14 +210,14 @@ def whitened_rows(embeddings: DataFrame, components: int = 16, scale: int = 64,
     """
     spark: SparkSession = embeddings.sparkSession
     rows = integer_vectors(embeddings, scale, shift)
-    fit_list = stored(rows.groupBy("x").agg(F.min("index").alias("index")), "fit")
+    fit_list = numbered(rows.groupBy("x").agg(F.min("index").alias("row")), "fit")
     found = fit(fit_list, components)
     if found is None:
         return spark.createDataFrame([], SCHEMA)
     count, width = rows.count(), len(found.values)
-    white = stored(_times(rows.select("index", _centred(found.n, found.sums).alias("vector")), count, found.matrix),
-                   "whitened")
-    error = identity_error(white, fit_list, count, found.n, width)
+    white = _times(rows.select("index", _centred(found.n, found.sums).alias("vector")), count, found.matrix)
+    firsts = white.join(fit_list.select(F.col("row").alias("index")), "index", "left_semi")
+    error = identity_error(numbered(firsts.select("vector"), "first"), found.n, width)
     shares = F.array(*[F.lit(float(v / found.trace)) for v in found.values])
     own = rows.select("index", "vec_id", _deviation(found.n, found.sums).alias("deviation"))
     return (own.join(white, "index")
