@@ -43,11 +43,11 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import map_arrow, ship_package, slices, stored
 
 #: Tokens of a block, but for a longer document, which is one of its own.
-_BLOCK_TOKENS = 1 << 22
+_BLOCK_TOKENS = 1 << 21
 #: Questions that a bucket answers, about, and the least number of buckets.
 _BUCKET_KEYS, _LEAST_BUCKETS = 4_000_000, 64
 #: Tokens whose arcs are held in Python objects at a time.
-_READ_TOKENS = 1 << 18
+_READ_TOKENS = 1 << 15
 #: Begin and end of a text; no word holds a blank.
 _BEGIN, _END = b"\t", b"\n"
 
@@ -141,10 +141,12 @@ class Block:
         for k in range(2, order + 1):
             low, at = self.grams[-1], np.full(len(self.x), -1, np.int64)
             ends = np.flatnonzero(self.inside >= k - 1)
-            pair, some, back = np.unique(low.at[ends - 1] * wide + self.x[ends], return_index=True, return_inverse=True)
+            pair, back = np.unique(low.at[ends - 1] * wide + self.x[ends], return_inverse=True)
             at[ends] = back
+            some = np.empty(len(pair), np.int64)  # a position of each
+            some[back] = ends
             context, word = pair // wide, pair % wide
-            self.grams.append(_Grams(at, context, word, low.at[ends[some]],
+            self.grams.append(_Grams(at, context, word, low.at[some],
                                      _mix(low.key[context], self.words[word]) & ~np.uint64(1)))
         keys = np.concatenate([g.key for g in self.grams])
         self.order = np.argsort(keys, kind="stable")
@@ -204,97 +206,112 @@ def _answer(asked: pa.Table) -> pa.Table:
 
 
 class Scorer:
-    """One block's part of the automaton, and its documents' scores for each prior."""
+    """One block's part of the automaton, and its documents' scores for each prior.
+
+    State 0 is the root, state 1 + w the context of the single token w; longer
+    contexts, and the arcs of n-grams, are numbered among the documents read
+    at a time.
+    """
 
     def __init__(self, block: Block, totals: np.ndarray, train_tokens: int, train_words: int, priors: tuple[float, ...]):
         self.block, self.priors = block, np.array(priors)[:, None]
         self.n, self.v = train_tokens, train_words
         self.count = block.by_order(totals)
-        self.p = self._weights()
+        self.p = (self.count[0] + 0.5) / (self.n + 0.5 * (self.v + 1))  # of single tokens
+        self.known = self.count[0] > 0
+        self.after = np.where(self.known, 1 + np.arange(len(self.known)), 0).tolist()  # state after a token from the root
+        leave = np.log10(self.priors / (self.count[0] + self.priors))
+        self.leave = np.concatenate([np.zeros((len(priors), 1)), leave], axis=1)  # failure arcs of root and single tokens
+        self.single = np.broadcast_to(np.log10(self.p), leave.shape)
 
-    def _weights(self) -> list[np.ndarray]:
-        """Probability of the last token after the others, for each prior and n-gram of each order."""
-        p = [np.broadcast_to((self.count[0] + 0.5) / (self.n + 0.5 * (self.v + 1)), (len(self.priors), len(self.count[0])))]
-        for k, g in enumerate(self.block.grams[1:], 1):
-            p.append((self.count[k] + self.priors * p[-1][:, g.suffix]) / (self.count[k - 1][g.context] + self.priors))
-        return p
+    def base(self) -> tuple[np.ndarray, np.ndarray]:
+        """Log10 probability by single tokens, and the number of known tokens, of each document."""
+        first, at = self.block.first[:-1], self.block.x
+        real = self.block.inside > 0
+        logs = np.where(real, np.log10(self.p)[at], 0.0)
+        return np.add.reduceat(logs, first), np.add.reduceat((real & self.known[at]).astype(np.int64), first)
+
+    def _parts(self) -> Iterator[tuple[int, int]]:
+        """Ranges of documents with some ``_READ_TOKENS`` tokens, or one longer document."""
+        first, begin, count = self.block.first, 0, len(self.block.size)
+        while begin < count:
+            end = int(np.searchsorted(first, first[begin] + _READ_TOKENS, side="right")) - 1
+            end = min(max(begin + 1, end), count)
+            yield begin, end
+            begin = end
 
     def left_out(self) -> np.ndarray:
         """Log10 probability of each training document if each token in turn is not counted; held-out documents: 0."""
+        return np.concatenate([self._left_out(*part) for part in self._parts()], axis=1)
+
+    def _left_out(self, begin: int, end: int) -> np.ndarray:
         block = self.block
-        at = block.x
-        one = np.maximum(self.count[0][at] - 1, 0) + 0.5
-        p = np.broadcast_to(one / max(self.n - 1 + 0.5 * (self.v + 1), 0.5), (len(self.priors), len(at)))
+        low, high = block.first[begin], block.first[end]
+        one = np.maximum(self.count[0][block.x[low:high]] - 1, 0) + 0.5
+        p = np.tile(one / max(self.n - 1 + 0.5 * (self.v + 1), 0.5), (len(self.priors), 1))
         for k, g in enumerate(block.grams[1:], 1):
-            here = g.at >= 0
-            gram = g.at[here]
-            mine, after = (np.maximum(c - 1, 0) for c in (self.count[k][gram], self.count[k - 1][g.context[gram]]))
-            p = p.copy()
-            p[:, here] = (mine + self.priors * p[:, here]) / (after + self.priors)
-        logs = np.where(block.train & (block.inside > 0), np.log10(p), 0.0)
-        return np.add.reduceat(logs, block.first[:-1], axis=1)
-
-    def base(self) -> tuple[np.ndarray, np.ndarray]:
-        """Log10 probability by single tokens, and the number of known tokens, of each document."""
-        first, at = self.block.first[:-1], self.block.x
-        real = self.block.inside > 0
-        logs = np.where(real, np.log10(self.p[0][0])[at], 0.0)
-        return np.add.reduceat(logs, first), np.add.reduceat((real & (self.count[0][at] > 0)).astype(np.int64), first)
+            here = np.flatnonzero(g.at[low:high] >= 0)
+            gram = g.at[low:high][here]
+            mine, context = (np.maximum(c - 1, 0) for c in (self.count[k][gram], self.count[k - 1][g.context[gram]]))
+            p[:, here] = (mine + self.priors * p[:, here]) / (context + self.priors)
+        logs = np.where(block.train[low:high] & (block.inside[low:high] > 0), np.log10(p), 0.0)
+        return np.add.reduceat(logs, block.first[begin:end] - low, axis=1)
 
     def read(self) -> np.ndarray:
         """Log10 probability of each document by traversal, for each prior."""
-        out, first, begin = np.zeros((len(self.priors), len(self.block.size))), self.block.first, 0
-        while begin < len(self.block.size):
-            end = max(begin + 1, int(np.searchsorted(first, first[begin] + _READ_TOKENS)) - 1)
-            out[:, begin:end] = self._read_documents(begin, min(end, len(self.block.size)))
-            begin = min(end, len(self.block.size))
-        return out
-
-    def _read_documents(self, begin: int, end: int) -> np.ndarray:
-        """The automaton reached by some documents: root 0, then its states, and arcs numbered after the states."""
-        block, top = self.block, len(self.block.grams)
+        return np.concatenate([self._read(*part) for part in self._parts()], axis=1)
+
+    def _read(self, begin: int, end: int) -> np.ndarray:
+        block, top, wide = self.block, len(self.block.grams), len(self.known)
         low, high = block.first[begin], block.first[end]
-        here = [np.unique(g.at[low:high]) for g in block.grams]  # n-grams by order
-        here = [h[h >= 0] for h in here]
-        local = [lambda ids, h=h: np.searchsorted(h, ids) for h in here]
-        start = np.cumsum([1] + [len(h) for h in here])  # number of the first state or arc of each order
-        states = int(start[top - 1])
-        seen = [self.count[k][h] > 0 for k, h in enumerate(here)]
-        fail, target, bow, weight = [0], [], [np.zeros((len(self.priors), 1))], []
-        arcs: dict[int, int] = {}
-        wide, offset = len(here[0]), 0
-        for k, h in enumerate(here):
-            g = block.grams[k]
-            shorter = start[k - 1] + local[k - 1](g.suffix[h]) if k else np.zeros(len(h), np.int64)
-            if k < top - 1:  # these are states too
-                fail += shorter.tolist()
-                bow.append(np.log10(self.priors / (self.count[k][h] + self.priors)))
-                target += np.where(seen[k], start[k] + np.arange(len(h)), 0).tolist()
+        arcs: dict[int, int] = {}  # by state and token
+        target, fail = [], {}      # state after an arc; state after the failure arc, if it is not the root
+        weight, leave = [], []     # of arcs; of failure arcs
+        held, lower, made = None, self.p[None, :], 0  # n-grams of the order below, their weights, arcs before them
+        for k in range(1, top):
+            g, mask = block.grams[k], np.zeros(len(block.grams[k].key), bool)
+            at = g.at[low:high]
+            mask[at[at >= 0]] = True
+            mine = np.flatnonzero(mask)
+            if k == 1:
+                source, shorter, weights = 1 + g.context[mine], 1 + g.suffix[mine], lower[:, g.suffix[mine]]
             else:
-                target += np.where(seen[k], shorter, 0).tolist()
-            weight.append(np.log10(self.p[k][:, h]))
-            if k:
-                source = start[k - 1] + local[k - 1](g.context[h])
-                label = source * wide + local[0](g.word[h])
-                arcs.update(zip(label[seen[k]].tolist(), (offset + np.flatnonzero(seen[k])).tolist()))
-            offset += len(h)
-        weights = np.concatenate([*bow, *weight], axis=1)
-        has_begin = top > 1 and here[0][0] == 0 and seen[0][0]
-        text, path, ends = local[0](block.x[low:high]).tolist(), [], []
-        take, get = path.append, arcs.get
+                begun, after = np.searchsorted(held, g.context[mine]), np.searchsorted(held, g.suffix[mine])
+                source, shorter, weights = 1 + wide + made + begun, 1 + wide + made + after, lower[:, after]
+                made += len(held)
+            count, own = self.count[k][mine], 1 + wide + made + np.arange(len(mine))
+            lower = (count + self.priors * weights) / (self.count[k - 1][g.context[mine]] + self.priors)
+            seen = np.flatnonzero(count > 0)
+            arcs.update(zip((source[seen] * wide + g.word[mine[seen]]).tolist(), (made + seen).tolist()))
+            target += (own if k < top - 1 else shorter).tolist()
+            if k < top - 1:
+                fail.update(zip(own[seen].tolist(), shorter[seen].tolist()))
+            leave.append(np.log10(self.priors / (count + self.priors)))
+            weight.append(np.log10(lower))
+            held = mine
+        weights = np.concatenate([self.leave, *leave, self.single, *weight], axis=1)
+        first_root = self.leave.shape[1] + len(target)
+        first_arc = first_root + wide
+        start = self.after[0] if top > 1 else 0
+        after = self.after if top > 1 else [0] * wide
+        text, path, ends = block.x[low:high].tolist(), [], [0]
+        take, get, shorter = path.append, arcs.get, fail.get
         for d in range(begin, end):
-            state = 1 if has_begin else 0
+            state = start
             for word in text[block.first[d] - low + 1:block.first[d + 1] - low]:
-                arc = get(state * wide + word) if state else word
-                while arc is None:
-                    take(state)  # the failure arc
-                    state = fail[state]
-                    arc = get(state * wide + word) if state else word
-                take(states + arc)
-                state = target[arc]
+                while state:
+                    arc = get(state * wide + word)
+                    if arc is not None:
+                        take(first_arc + arc)
+                        state = target[arc]
+                        break
+                    take(state)  # its failure arc
+                    state = shorter(state, 0)
+                else:  # an arc of the root
+                    take(first_root + word)
+                    state = after[word]
             ends.append(len(path))
-        steps = np.array(path, np.int64)
-        return np.add.reduceat(weights[:, steps], np.concatenate([[0], ends[:-1]]).astype(np.int64), axis=1)
+        return np.add.reduceat(weights[:, np.array(path, np.int64)], ends[:-1], axis=1)
 
 
 def document_scores(documents: DataFrame, held_out: Column, order: int = 2, priors: tuple[float, ...] = PRIORS) -> DataFrame:
