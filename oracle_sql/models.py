@@ -21,8 +21,13 @@ def model_sql() -> dict[str, str]:
         "fct_sales_summary": _model("fct_sales_summary", DAILY),
         "dim_customer_metrics": _model("dim_customer_metrics", CUSTOMER),
         "fct_product_performance": _model("fct_product_performance", PRODUCT),
-        # what a rollback restores is the mart of all orders
-        "publish_rollback": project(with_models(DAILY), K.FCT_SALES_SUMMARY, source="fct_sales_summary"),
+        # the state of the second run: recent days, all customers and products
+        "publish_rollback": project(with_models(DAILY, CUSTOMER, PRODUCT) + """, q AS (
+            SELECT 'fct_sales_summary' AS table_name, count(*) AS n_rows, sum(total_orders) AS orders
+            FROM fct_sales_summary WHERE order_date >= DATE '2000-01-01'
+            UNION ALL SELECT 'dim_customer_metrics', count(*), sum(total_orders) FROM dim_customer_metrics
+            UNION ALL SELECT 'fct_product_performance', count(*), sum(total_orders) FROM fct_product_performance)""",
+            "table_name:s n_rows:i orders:i"),
         # a refresh of recent years merged with older rows equals the full mart
         "sales_summary_refresh": project(with_models(DAILY), K.FCT_SALES_SUMMARY, source="fct_sales_summary"),
     }

@@ -3,28 +3,52 @@
 * view (SNK-1): a temp view over a lazy DataFrame;
 * table (SNK-2): full overwrite of a parquet table;
 * incremental (SNK-3): high-water-mark append, or keyed upsert;
-* staged publish + swap (SNK-5) and rollback (SNK-6): every build or load
-  writes new folders, and a catalog view names the ones that are live.  The
-  view is replaced only after the checks pass, in one catalog operation, so a
-  reader sees the whole old version or the whole new one.
-
-A release is the list of folders that make up a table (an append adds one).
-The view keeps the releases published so far as a property, oldest first;
-rolling back drops the last of them.  With a persistent catalog this outlives
-the session; with Spark's in-memory catalog it lasts as long as the session.
+* staged publish + swap (SNK-5) and rollback (SNK-6): one release for all tables.
+
+A publishing root has a catalog schema with these objects:
+
+* ``<table>__store``: an external table over ``<root>/<table>``, partitioned by
+  ``release`` (the run that wrote the rows) and, if asked, by one column more;
+* ``release_state``: for each run, which parts (release, or release/value) make
+  up every table, and the run before it;
+* ``live_release``: a view of one run's rows of ``release_state``;
+* ``<table>``: a view of the store's rows in the parts that ``live_release``
+  names.  The parts are a scalar subquery over partition columns, so only their
+  folders are read.
+
+A swap and a rollback replace ``live_release`` and nothing else: one catalog
+operation changes all tables together.  A query resolves it once; a DataFrame
+made before a swap goes on reading its run until that run is retired.  Runs
+that wrote some tables only name the other tables' parts again, so rolling back
+undoes exactly the last run.  There is one writer at a time.  With a persistent
+catalog this outlives the session.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import zlib
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-RELEASES, FOLDER = "releases", "folder"
+STATE, LIVE, STORE = "release_state", "live_release", "__store"
+_STATE_COLUMNS = "table_name STRING, part STRING, bytes BIGINT, parent STRING"
+
+#: Appended parts of a table; with more, the smaller ones are rewritten into one.
+MAX_PARTS = 8
+#: Runs that an incremental load leaves for rolling back.
+KEEP_RUNS = 10
+
+
+class Part(NamedTuple):
+    """A folder of a published table: ``release`` or ``release/value`` below its root, and its size."""
+    name: str
+    bytes: int
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -82,144 +106,311 @@ def _version_name() -> str:
 
 
 def schema_of(root: str) -> str:
-    """The catalog schema that holds the views of a publishing root."""
+    """The catalog schema that holds the objects of a publishing root."""
     return f"published_{zlib.crc32(root.rstrip('/').encode()):08x}"
 
 
-def releases(spark: SparkSession, root: str, table: str) -> list[list[str]]:
-    """Published releases of a table, oldest first, each the list of its version folders; none: never published.
+def new_run(version: str | None = None) -> str:
+    """A name for the next run (nothing is visible yet)."""
+    run = version or _version_name()
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
+        raise ValueError(f"run name {run!r} has characters other than letters, digits, '_', '.' and '-'")
+    return run
 
-    Only a missing view means "never published"; any other failure is raised.
-    """
-    name = f"{schema_of(root)}.{table}"
-    if not spark.catalog.databaseExists(schema_of(root)) or not spark.catalog.tableExists(name):
-        return []
-    return [r.split("+") for r in _properties(spark, name)[RELEASES].split(",")]
 
+def folder(root: str, table: str, run: str) -> str:
+    """Where a run writes its rows of a table."""
+    return f"{root.rstrip('/')}/{table}/release={run}"
 
-def _properties(spark: SparkSession, view: str) -> dict[str, str]:
-    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
-    if RELEASES not in found:
-        raise ValueError(f"{view} was not published by this library")
-    return found
 
+def _exists(spark: SparkSession, root: str, name: str) -> bool:
+    schema = schema_of(root)
+    return spark.catalog.databaseExists(schema) and spark.catalog.tableExists(f"{schema}.{name}")
 
-def _point(spark: SparkSession, root: str, table: str, history: list[list[str]], schema: StructType) -> None:
-    """Replace the table's view by one over the folders of the last release."""
-    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
-    body = " UNION ALL ".join(f"SELECT {columns} FROM parquet.`{root}/{v}/{table}`" for v in history[-1])
-    said = ",".join("+".join(r) for r in history)
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema_of(root)}")
-    spark.sql(f"CREATE OR REPLACE VIEW {schema_of(root)}.{table} "
-              f"TBLPROPERTIES ('{RELEASES}' = '{said}', '{FOLDER}' = '{table}') AS {body}")
 
+def _live_rows(spark: SparkSession, root: str) -> list:
+    return spark.table(f"{schema_of(root)}.{LIVE}").collect() if _exists(spark, root, LIVE) else []
 
-def stage_version(root: str, version: str | None = None) -> tuple[str, str]:
-    """A version folder for the next build (nothing is visible yet)."""
-    v = version or _version_name()
-    if any(c in v for c in ",+/'`"):
-        raise ValueError(f"version name {v!r} has a reserved character")
-    return v, f"{root}/{v}"
 
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The live run; None if nothing is published."""
+    rows = _live_rows(spark, root)
+    return rows[0]["run"] if rows else None
 
-def published_tables(spark: SparkSession, root: str) -> list[str]:
-    """Names of the published tables, spelt as their folders are."""
-    schema = schema_of(root)
-    if not spark.catalog.databaseExists(schema):
+
+def state_of(spark: SparkSession, root: str, run: str | None = None) -> dict[str, list[Part]]:
+    """The parts of every table in a run (by default the live one), by name."""
+    if run is None:
+        rows = _live_rows(spark, root)
+    else:
+        rows = (spark.table(f"{schema_of(root)}.{STATE}").where(F.col("run") == run).collect()
+                if _exists(spark, root, STATE) else [])
+    out: dict[str, list[Part]] = {}
+    for r in sorted(rows, key=lambda r: (r["table_name"], r["part"])):
+        out.setdefault(r["table_name"], []).append(Part(r["part"], r["bytes"]))
+    return out
+
+
+def runs(spark: SparkSession, root: str) -> list[str]:
+    """The live run and those before it that can be rolled back to, newest first."""
+    if not _exists(spark, root, STATE):
         return []
-    # the session's temp views are listed too; they have no database
-    views = [t.name for t in spark.catalog.listTables(schema) if not t.isTemporary]
-    return sorted(_properties(spark, f"{schema}.{v}")[FOLDER] for v in views)
+    before = {r["run"]: r["parent"] for r in
+              spark.table(f"{schema_of(root)}.{STATE}").select("run", "parent").distinct().collect()}
+    chain, run = [], current_version(spark, root)
+    while run in before:
+        chain.append(run)
+        run = before[run]
+    return chain
+
+
+def published_tables(spark: SparkSession, root: str) -> list[str]:
+    """Names of the tables of the live run."""
+    return sorted(state_of(spark, root))
 
 
-def swap(spark: SparkSession, root: str, version: str, tables: dict[str, StructType]) -> None:
-    """Make ``version`` the live one for these tables (SNK-5)."""
-    for table, schema in tables.items():
-        _point(spark, root, table, [*releases(spark, root, table), [version]], schema)
+def _go_live(spark: SparkSession, root: str, run: str) -> None:
+    schema = schema_of(root)
+    spark.sql(f"CREATE OR REPLACE VIEW {schema}.{LIVE} AS SELECT table_name, part, bytes, parent, run "
+              f"FROM {schema}.{STATE} WHERE run = '{run}'")
+
+
+def _part_name(partition_by: str | None) -> str:
+    """SQL for the part that a stored row lies in; a null value is written as nothing."""
+    return f"concat(release, '/', coalesce(CAST(`{partition_by}` AS STRING), ''))" if partition_by else "release"
+
+
+def _declare(spark: SparkSession, root: str, table: str, given: StructType, partition_by: str | None) -> None:
+    """The table's store and view; columns that are new to the store are added to both."""
+    if table in (STATE, LIVE) or table.endswith(STORE):
+        raise ValueError(f"{table} is a name of the library's own")
+    schema, store = schema_of(root), f"{schema_of(root)}.{table}{STORE}"
+    said = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in given}
+    parts = ["release", *([partition_by] if partition_by else [])]
+    if not _exists(spark, root, table + STORE):
+        columns = ", ".join([c for n, c in said.items() if n != partition_by] + ["release STRING"]
+                            + ([said[partition_by]] if partition_by else []))
+        spark.sql(f"CREATE TABLE {store} ({columns}) USING parquet PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)}) "
+                  f"LOCATION '{root.rstrip('/')}/{table}'")
+        names, changed = given.names, True
+    else:
+        old = {f.name: f.dataType for f in spark.table(store).schema}
+        found = [c.name for c in spark.catalog.listColumns(store) if c.isPartition]
+        wrong = [f.name for f in given if f.name in old and old[f.name] != f.dataType]
+        if wrong or sorted(found) != sorted(parts):
+            raise ValueError(f"{table} is published with other types ({wrong}) or partitions ({found}): publish it by another name")
+        added = [f.name for f in given if f.name not in old]
+        if added:
+            spark.sql(f"ALTER TABLE {store} ADD COLUMNS ({', '.join(said[n] for n in added)})")
+        names, changed = [*spark.table(f"{schema}.{table}").columns, *added], bool(added)
+    if changed:
+        columns = ", ".join(f"`{n}`" for n in names)
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{table} AS SELECT {columns} FROM {store} WHERE array_contains("
+                  f"(SELECT collect_list(part) FROM {schema}.{LIVE} WHERE table_name = '{table}'), {_part_name(partition_by)})")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _written_parts(spark: SparkSession, root: str, table: str, run: str, partition_by: str | None) -> list[Part]:
+    """The parts that a run has written, from its folder's listing."""
+    at, files = _hadoop(spark, folder(root, table, run))
+    if not partition_by:
+        return [Part(run, files.getContentSummary(at).getLength())]
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    out = []
+    for status in files.listStatus(at):
+        name, _, value = status.getPath().getName().partition("=")
+        if status.isDirectory() and name == partition_by:
+            value = "" if value == "__HIVE_DEFAULT_PARTITION__" else unescape(value)
+            out.append(Part(f"{run}/{value}", files.getContentSummary(status.getPath()).getLength()))
+    return out
+
+
+def swap(spark: SparkSession, root: str, run: str, tables: dict[str, StructType],
+         partition_by: dict[str, str] | None = None, kept: dict[str, list[Part]] | None = None) -> None:
+    """SNK-5: make the run live for all ``tables``, whose rows it has written to ``folder(root, table, run)``.
+
+    ``kept`` names parts of the live run that stay in a table beside the new
+    rows (default: none).  Tables that the run has not written stay as they are.
+    """
+    schema, split = schema_of(root), partition_by or {}
+    if not _exists(spark, root, STATE):
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+        spark.sql(f"CREATE TABLE {schema}.{STATE} ({_STATE_COLUMNS}, run STRING) USING parquet PARTITIONED BY (run) "
+                  f"LOCATION '{root.rstrip('/')}/{STATE}'")
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{LIVE} AS SELECT table_name, part, bytes, parent, run "
+                  f"FROM {schema}.{STATE} WHERE false")
+    rows = _live_rows(spark, root)
+    parent = rows[0]["run"] if rows else None
+    state = state_of(spark, root)
+    for table, given in tables.items():
+        by = split.get(table)
+        _declare(spark, root, table, given, by)
+        if by:
+            spark.sql(f"ALTER TABLE {schema}.{table}{STORE} RECOVER PARTITIONS")
+        else:
+            spark.sql(f"ALTER TABLE {schema}.{table}{STORE} ADD IF NOT EXISTS PARTITION (release = '{run}')")
+        state[table] = [*(kept or {}).get(table, []), *_written_parts(spark, root, table, run, by)]
+    new = [(t, p.name, p.bytes, parent) for t, parts in state.items() for p in parts]
+    (spark.createDataFrame(new, _STATE_COLUMNS).coalesce(1).write.mode("overwrite")
+     .parquet(f"{root.rstrip('/')}/{STATE}/run={run}"))
+    spark.sql(f"ALTER TABLE {schema}.{STATE} ADD IF NOT EXISTS PARTITION (run = '{run}')")
+    _go_live(spark, root, run)
 
 
 def rollback(spark: SparkSession, root: str) -> str | None:
-    """SNK-6: every table goes back to the release before its live one.
+    """SNK-6: the run before the live one is live again, for all tables; returns it.
 
-    A release that was rolled back is forgotten, so rolling back again goes
-    further back.  Nothing is changed, and None returned, if some table has no
-    earlier release.
+    Rolling back again goes further back.  Nothing is changed, and None
+    returned, if there is no run before.
     """
-    found = {t: releases(spark, root, t) for t in published_tables(spark, root)}
-    if not found or any(len(h) < 2 for h in found.values()):
+    chain = runs(spark, root)
+    if len(chain) < 2:
         return None
-    for table, history in found.items():
-        _point(spark, root, table, history[:-1], spark.table(f"{schema_of(root)}.{table}").schema)
-    return current_version(spark, root)
+    _go_live(spark, root, chain[1])
+    return chain[1]
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """The newest folder of the live release (of the first table by name); None if nothing is published."""
-    tables = published_tables(spark, root)
-    return releases(spark, root, tables[0])[-1][-1] if tables else None
+def read_run(spark: SparkSession, root: str, table: str, run: str) -> DataFrame:
+    """A published table as a run left it."""
+    parts = state_of(spark, root, run).get(table)
+    if not parts:
+        raise FileNotFoundError(f"no published version of {table} under {root}")
+    return _rows_of(spark, root, table, parts)
+
+
+def _rows_of(spark: SparkSession, root: str, table: str, parts: list[Part]) -> DataFrame:
+    """Rows of some parts of a table; the parts are constants, so other folders are not listed."""
+    store = f"{schema_of(root)}.{table}{STORE}"
+    rows = spark.table(store).where(F.col("release").isin(sorted({p.name.split("/")[0] for p in parts})))
+    rows = rows.where(F.expr(_part_name(_partitioned_by(spark, root, table))).isin([p.name for p in parts]))
+    return rows.select(*spark.table(f"{schema_of(root)}.{table}").columns)
+
+
+def snapshot(spark: SparkSession, root: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
+    """Tables of one and the same run, the one that is live now, also across several queries and swaps."""
+    run = current_version(spark, root)
+    if run is None:
+        raise FileNotFoundError(f"nothing is published under {root}")
+    return {t: read_run(spark, root, t, run) for t in tables or state_of(spark, root, run)}
 
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    if not releases(spark, root, table):
+    if table not in state_of(spark, root):
         raise FileNotFoundError(f"no published version of {table} under {root}")
     return spark.table(f"{schema_of(root)}.{table}")
 
 
+def _part_folder(spark: SparkSession, root: str, table: str, part: str, partition_by: str | None):
+    """Path and file system of a part."""
+    release, _, value = part.partition("/")
+    path = folder(root, table, release)
+    if partition_by:
+        escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        path += f"/{partition_by}={escape(value) if value else '__HIVE_DEFAULT_PARTITION__'}"
+    return _hadoop(spark, path)
+
+
+def _partitioned_by(spark: SparkSession, root: str, table: str) -> str | None:
+    columns = spark.catalog.listColumns(f"{schema_of(root)}.{table}{STORE}")
+    return next((c.name for c in columns if c.isPartition and c.name != "release"), None)
+
+
+def check_parts(spark: SparkSession, root: str, table: str) -> None:
+    """Raise if a live part of the table is gone or has another size than it was published with.
+
+    A reader would take a folder that is gone for an empty one.
+    """
+    by = _partitioned_by(spark, root, table)
+    for part in state_of(spark, root)[table]:
+        at, files = _part_folder(spark, root, table, part.name, by)
+        if not files.exists(at) or files.getContentSummary(at).getLength() != part.bytes:
+            raise RuntimeError(f"the live part {part.name} of {table} is damaged")
+
+
 def retire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Forget all but the last ``keep`` releases of each table and delete folders that none of them uses."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    dropped, used = set(), set()
-    for table in published_tables(spark, root):
-        history = releases(spark, root, table)
-        used |= {v for r in history[-keep:] for v in r}
-        dropped |= {v for r in history[:-keep] for v in r}
-        if len(history) > keep:
-            _point(spark, root, table, history[-keep:], spark.table(f"{schema_of(root)}.{table}").schema)
-    for version in sorted(dropped - used):
-        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{version}")
-        path.getFileSystem(conf).delete(path, True)
-    return sorted(dropped - used)
-
-
-def _merged_partitions(live: DataFrame, inc: DataFrame, key: list[str], updated_at: str, partition_by: str) -> DataFrame:
-    """Upsert that joins only partitions which the increment's rows are in or move out of; the others pass by.
-
-    The increment must be small enough to be read twice; the live table is read
-    once for its (key, partition) columns and once whole.
+    """Forget all but the last ``keep`` runs, and those rolled back, and delete the parts that none of the kept names.
+
+    Returns the deleted parts as table/part.
     """
-    last = newest_by_key(inc, key, updated_at)
+    schema = schema_of(root)
+    if not _exists(spark, root, STATE):
+        return []
+    kept, named = set(runs(spark, root)[:keep]), {}
+    for r in spark.table(f"{schema}.{STATE}").select("run", "table_name", "part").collect():
+        named.setdefault((r["table_name"], r["part"]), set()).add(r["run"])
+    gone = sorted(k for k, by in named.items() if not by & kept)
+    for table, part in gone:
+        at, files = _part_folder(spark, root, table, part, _partitioned_by(spark, root, table))
+        files.delete(at, True)
+    for table in {t for t, _ in gone}:
+        spark.sql(f"MSCK REPAIR TABLE {schema}.{table}{STORE} SYNC PARTITIONS")
+    for run in sorted(set().union(*named.values()) - kept):
+        spark.sql(f"ALTER TABLE {schema}.{STATE} DROP IF EXISTS PARTITION (run = '{run}')")
+        at, files = _hadoop(spark, f"{root.rstrip('/')}/{STATE}/run={run}")
+        files.delete(at, True)
+    return [f"{t}/{p}" for t, p in gone]
+
+
+def _to_compact(parts: list[Part]) -> list[Part]:
+    """The parts that the next append rewrites together with its rows: none, or the smaller half of too many."""
+    return sorted(parts, key=lambda p: p.bytes)[:len(parts) + 1 - MAX_PARTS // 2] if len(parts) >= MAX_PARTS else []
+
+
+def _touched(live: DataFrame, last: DataFrame, key: list[str], partition_by: str) -> list:
+    """Values of the partitions that the changes are in, or move a key out of: as many as the table has at most."""
     moved = live.select(*key, partition_by).join(_keys(last, key), _same_key(key), "left_semi").select(partition_by)
-    touched = last.select(partition_by).union(moved).distinct().withColumnRenamed(partition_by, "_k0")
-    same = _same_key([partition_by])
-    return live.join(touched, same, "left_anti").unionByName(upsert(live.join(touched, same, "left_semi"), last, key))
+    return [r[0] for r in last.select(partition_by).union(moved).distinct().collect()]
 
 
 def incremental_load(spark: SparkSession, new: DataFrame, root: str, updated_at: str,
                      key: list[str] | None = None, table: str = "data",
-                     partition_by: str | None = None) -> str:
-    """SNK-3: load the rows newer than the live table's high-water mark as a new release.
-
-    The first run publishes all rows (with a key: the last of each).  Without a
-    key, a new folder with the newer rows is added to the live ones.  With a
-    key, the merged table is written to a new folder: the last change of a key
-    wins, also if it moves the key to another ``partition_by`` value or the
-    value is null, and only the partitions concerned are joined.  A failed run
-    leaves the live release as it was.  Returns the new version.
+                     partition_by: str | None = None, keep: int = KEEP_RUNS) -> str:
+    """SNK-3: load the rows newer than the live table's high-water mark as a new run; returns the live run.
+
+    The first load publishes all rows (with a key: the last of each).  Without
+    newer rows there is no new run.  Without a key, the newer rows become a part
+    beside the live ones; too many parts are compacted in the same write, the
+    smaller ones first, so that a row is rewritten only some few times.  With a
+    key, the last change of a key wins, also if it moves the key to another
+    ``partition_by`` value or the value is null (such a column is an integer,
+    string or date).  A table without partitions is written anew; of a
+    partitioned one, only the partitions concerned are, and the release names
+    the others' folders again.  A failed load leaves the live run as it was.
+    The last ``keep`` runs stay.
     """
-    schema = new.schema
-    history = releases(spark, root, table)
-    version, folder = stage_version(root)
-    if not history:
-        rows, keep = newest_by_key(new, key, updated_at) if key else new, []
+    run, live_run = new_run(), current_version(spark, root)
+    state = state_of(spark, root).get(table, [])
+    stay: list[Part] = []
+    if not state:
+        rows = newest_by_key(new, key, updated_at) if key else new
     else:
+        check_parts(spark, root, table)
         live = read_current(spark, root, table)
-        inc, keep = newer_than_target(new, live, updated_at), []
+        inc = newer_than_target(new, live, updated_at)
+        if not key:
+            merged = _to_compact(state)
+            stay = [p for p in state if p not in merged]
+        if inc.isEmpty():
+            return live_run
         if not key:
-            rows, keep = inc, history[-1]
+            rows = inc if not merged else inc.unionByName(_rows_of(spark, root, table, merged), allowMissingColumns=True)
         elif partition_by:
-            rows = _merged_partitions(live, inc, key, updated_at, partition_by)
+            last = newest_by_key(inc, key, updated_at)
+            values = _touched(live, last, key, partition_by)
+            here = F.col(partition_by).isin([v for v in values if v is not None])
+            here = here | F.col(partition_by).isNull() if None in values else here
+            rows = upsert(live.where(here), last, key)
+            names = {"" if v is None else str(v) for v in values}
+            stay = [p for p in state if p.name.partition("/")[2] not in names]
         else:
             rows = upsert(live, inc, key, updated_at)
-    write_table(rows.select(*schema.names), f"{folder}/{table}", [partition_by] if partition_by else None)
-    _point(spark, root, table, [*history, [*keep, version]], schema)
-    return version
+    rows = rows.select(*new.columns)
+    write_table(rows, folder(root, table, run), [partition_by] if partition_by else None)
+    swap(spark, root, run, {table: rows.schema}, {table: partition_by} if partition_by else None, {table: stay})
+    if len(runs(spark, root)) > keep:
+        retire(spark, root, keep)
+    return run

@@ -40,7 +40,7 @@ SLOW_RUN_SECONDS = 3600
 PARTITIONED = {"int_product_sales": [PARTITION_COLUMN]}
 
 
-def _layer(spark: SparkSession, jobs: dict, vdir: str, threads: int) -> dict[str, DataFrame]:
+def _layer(spark: SparkSession, jobs: dict, root: str, version: str, threads: int) -> dict[str, DataFrame]:
     """Write the independent models of one layer concurrently (one Spark job each)."""
     from concurrent.futures import ThreadPoolExecutor
 
@@ -49,7 +49,7 @@ def _layer(spark: SparkSession, jobs: dict, vdir: str, threads: int) -> dict[str
         df = make()
         if name in PARTITIONED:
             df = with_partition_column(df)
-        return name, _materialise(spark, df, f"{vdir}/{name}", PARTITIONED.get(name))
+        return name, _materialise(spark, df, publish.folder(root, name, version), PARTITIONED.get(name))
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         return dict(pool.map(run, jobs.items()))
 
@@ -71,7 +71,7 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of=N
           checks=None, publish_on_success: bool = True, version: str | None = None,
           slow_run_seconds: float = SLOW_RUN_SECONDS, threads: int = 4,
           freshness_rules: dict | None = None) -> DataFrame:
-    """Run one build into a new version folder under ``root``; return the run result.
+    """Run one build into new folders under ``root``; return the run result.
 
     Models of one layer do not depend on each other, so each layer's models
     are submitted concurrently from ``threads`` driver threads (Spark shares
@@ -83,22 +83,22 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of=N
     t0 = time.time()
     if as_of is None:  # one clock for all models and checks of the run
         as_of = spark.sql("SELECT localtimestamp()").first()[0]
-    v, vdir = publish.stage_version(root, version)
-    if any(v in r for name in publish.published_tables(spark, root) for r in publish.releases(spark, root, name)):
-        raise ValueError(f"version {v} is published already")
+    v = publish.new_run(version)
+    if publish.state_of(spark, root, v):
+        raise ValueError(f"run {v} is published already")
     stg = models.stage(sources)
     # staging models are views in the model graph, but each is read several
     # times (joins, checks, relationship parents): written once per build
-    t = _layer(spark, {n: (lambda n=n: stg[n]) for n in models.STAGING}, vdir, threads)
+    t = _layer(spark, {n: (lambda n=n: stg[n]) for n in models.STAGING}, root, v, threads)
     t.update(_layer(spark, {
         "int_customer_orders": lambda: intermediate.int_customer_orders(t["stg_sales_orders"], t["stg_customers"]),
         "int_product_sales": lambda: intermediate.int_product_sales(t["stg_sales_orders"], t["stg_products"], as_of),
-    }, vdir, threads))
+    }, root, v, threads))
     t.update(_layer(spark, {
         "dim_customer_metrics": lambda: marts.dim_customer_metrics(t["int_customer_orders"], t["int_product_sales"], as_of),
         "fct_sales_summary": lambda: marts.fct_sales_summary(t["int_product_sales"]),
         "fct_product_performance": lambda: marts.fct_product_performance(t["int_product_sales"], t["stg_products"], as_of),
-    }, vdir, threads))
+    }, root, v, threads))
     results = run_checks(t, checks if checks is not None else declared_checks(), as_of, parallelism=threads * 2)
     # schema drift of every written model against its declared schema (DQ-13)
     drift = [(f"{n}.schema", n, "schema", None, "error",
@@ -109,11 +109,11 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of=N
             "status", F.when(F.col("failures") == 0, "pass").otherwise("fail")))
     if freshness_rules:
         results = results.unionByName(_freshness_rows(sources, freshness_rules, as_of).select(*results.columns))
-    results = _materialise(spark, results, f"{vdir}/_checks")
+    results = _materialise(spark, results, publish.folder(root, "_checks", v))
     errors = results.filter(F.col("status") == "fail").count()
     published = publish_on_success and errors == 0
     if published:
-        publish.swap(spark, root, v, {n: df.schema for n, df in t.items()})
+        publish.swap(spark, root, v, {n: df.schema for n, df in t.items()}, {n: c for n, (c,) in PARTITIONED.items()})
         for name in models.STAGING:  # the session's staging views follow the release, never an unchecked build
             publish_view(publish.read_current(spark, root, name), name)
     elapsed = time.time() - t0

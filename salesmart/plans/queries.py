@@ -196,21 +196,38 @@ def publish_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-6: the summary of all orders is published, then one of recent orders only; rolling back restores the first.
+    """SNK-5/6: three runs over three tables; the last is rolled back.
 
-    Returns the live rows after the rollback.
+    The first run publishes the daily summary, the customer metrics and the
+    product performance of all orders.  The second replaces the summary, the
+    third the other two, by those of recent orders.  After one rollback the
+    second run's state is live: the number of rows and the orders counted in
+    each table are returned.
     """
     from salesmart.operators import publish
     from salesmart.plans import marts
     root = _publish_root(spark, "rollback")
-    sales = models_on_testdata(spark, sf_dir, TEST_AS_OF)["int_product_sales"]
-    recent = sales.filter(F.year("order_date") >= REFRESH_SINCE_YEAR)
-    for version, rows in (("v1", sales), ("v2", recent)):
-        summary = marts.fct_sales_summary(rows)
-        publish.write_table(summary, f"{publish.stage_version(root, version)[1]}/fct_sales_summary")
-        publish.swap(spark, root, version, {"fct_sales_summary": summary.schema})
+    m = models_on_testdata(spark, sf_dir, TEST_AS_OF)
+    sales, orders = m["int_product_sales"], m["int_customer_orders"]
+    recent = F.year("order_date") >= REFRESH_SINCE_YEAR
+    days = lambda rows: marts.fct_sales_summary(rows)
+    people = lambda o, rows: marts.dim_customer_metrics(o, rows, TEST_AS_OF)
+    goods = lambda rows: marts.fct_product_performance(rows, m["stg_products"], TEST_AS_OF)
+    some = sales.filter(recent)
+    for run, tables in (
+            ("v1", {"fct_sales_summary": days(sales), "dim_customer_metrics": people(orders, sales),
+                    "fct_product_performance": goods(sales)}),
+            ("v2", {"fct_sales_summary": days(some)}),
+            ("v3", {"dim_customer_metrics": people(orders.filter(recent), some), "fct_product_performance": goods(some)})):
+        for name, rows in tables.items():
+            publish.write_table(rows, publish.folder(root, name, run))
+        publish.swap(spark, root, run, {n: df.schema for n, df in tables.items()})
     publish.rollback(spark, root)
-    return comparable(publish.read_current(spark, root, "fct_sales_summary"))
+    counted = {"fct_sales_summary": "total_orders", "dim_customer_metrics": "total_orders",
+               "fct_product_performance": "total_orders"}
+    parts = [publish.read_current(spark, root, n).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(c).cast("bigint").alias("orders"))
+             .select(F.lit(n).alias("table_name"), "n_rows", "orders") for n, c in counted.items()]
+    return comparable(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
 # Fixed value: the test data ends long before its reference date, so sources older than 12 hours

@@ -125,7 +125,7 @@ def test_upsert_null_partition_moved_key_and_repeated_change(spark, tmp_path, pa
     assert read_current(spark, root, "data").count() == 6
 
 
-def test_every_load_is_a_release_that_can_be_rolled_back(spark, tmp_path):
+def test_every_load_is_a_run_that_can_be_rolled_back(spark, tmp_path):
     s1, s2 = _snaps(spark)
     s3 = s2.withColumn("updated_at", F.lit(datetime(2003, 1, 1)).cast("timestamp_ntz"))
     root = str(tmp_path / "r")
@@ -133,23 +133,29 @@ def test_every_load_is_a_release_that_can_be_rolled_back(spark, tmp_path):
         for s in (s1, s2, s3):
             incremental_load(spark, s, root, "updated_at", key, table=f"t{bool(key)}")
     counts = []
-    for _ in range(3):
+    for _ in range(4):
         counts.append((read_current(spark, root, "tTrue").count(), read_current(spark, root, "tFalse").count()))
-        version = publish.rollback(spark, root)
-    assert version is None  # the first release stays
-    assert [c[1] for c in counts] == [8, 5, 3] and counts[2][0] == 3
-    assert publish.retire(spark, root) == []
-
-
-def test_retire_deletes_what_no_release_uses(spark, tmp_path):
+        publish.rollback(spark, root)
+        if "tFalse" not in publish.published_tables(spark, root):
+            break
+    # the last three runs wrote tFalse; each rollback undoes one of them and leaves tTrue alone
+    assert counts == [(4, 8), (4, 5), (4, 3)]
+    with pytest.raises(FileNotFoundError):
+        read_current(spark, root, "tFalse")
+    assert publish.rollback(spark, root) and publish.rollback(spark, root) and publish.rollback(spark, root) is None
+    assert read_current(spark, root, "tTrue").count() == 3  # the first run stays
+
+
+def test_retire_deletes_what_no_run_uses(spark, tmp_path):
     s1, _ = _snaps(spark)
     root = str(tmp_path / "r")
     for i in range(4):
         incremental_load(spark, s1.withColumn("updated_at", F.lit(datetime(2003, 1, 1 + i)).cast("timestamp_ntz")), root,
                          "updated_at", KEY)
     gone = publish.retire(spark, root, keep=2)
-    assert len(gone) == 2 and len([d for d in os.listdir(root) if d.startswith("v")]) == 2
+    assert len(gone) == 2 and len(os.listdir(f"{root}/data")) == 2 and len(os.listdir(f"{root}/release_state")) == 2
     assert read_current(spark, root, "data").count() == 3 and publish.rollback(spark, root)
+    assert read_current(spark, root, "data").count() == 3 and publish.rollback(spark, root) is None
 
 
 def test_a_damaged_release_is_an_error_not_a_first_load(spark, tmp_path):
@@ -157,8 +163,9 @@ def test_a_damaged_release_is_an_error_not_a_first_load(spark, tmp_path):
     s1, s2 = _snaps(spark)
     root = str(tmp_path / "d")
     version = incremental_load(spark, s1, root, "updated_at", KEY)
-    shutil.rmtree(f"{root}/{version}")
-    with pytest.raises(Exception):
+    shutil.rmtree(publish.folder(root, "data", version))
+    spark.catalog.refreshTable(f"{publish.schema_of(root)}.data__store")
+    with pytest.raises(RuntimeError, match="damaged"):
         incremental_load(spark, s2, root, "updated_at", KEY)
     assert publish.current_version(spark, root) == version
 
