@@ -20,6 +20,17 @@ def streaming_sql() -> dict[str, str]:
         "serving_view": project(_DAILY + """, served AS (
           SELECT *, CASE WHEN event_date <= DATE '2024-01-15' THEN 'batch' ELSE 'speed' END AS layer FROM q)""",
                                 _KINDS + " layer:s", source="served"),
+        # the last of four files brings every seventh event of the first third of the days
+        "late_events_report": project("""WITH d AS (
+          SELECT min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) - min(CAST(ts AS DATE)) AS days FROM events),
+        q AS (SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS late, true AS explained FROM events, d
+          WHERE event_id % 7 = 0 AND CAST(ts AS DATE) < first_day + CAST(days // 3 AS INTEGER) GROUP BY 1, 2)""",
+            "event_date:dt event_type:s late:i explained:b"),
+        "users_by_range": project("""WITH q AS (
+          SELECT date_trunc('month', ts)::DATE AS first_date, last_day(ts) AS last_date, count(DISTINCT user_id) AS users,
+                 true AS within_bound FROM events GROUP BY 1, 2
+          UNION ALL SELECT min(ts)::DATE, max(ts)::DATE, count(DISTINCT user_id), true FROM events)""",
+            "first_date:dt last_date:dt users:i within_bound:b"),
         "dedup_events": project(
             "WITH q AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1)",
             "event_id:i ts:ts user_id:i event_type:s value:d props:s"),

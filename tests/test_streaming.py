@@ -7,7 +7,8 @@ import pytest
 
 from conftest import SF_SMALL
 
-from salesmart.streaming.speed import batch_aggregate, late_events, run_deduplicated, run_speed_view, serving_view
+from salesmart.streaming.speed import (PROGRESS, batch_aggregate, late_events, late_report, run_deduplicated, run_speed_view,
+                                       serving_view, user_sketches, users_between)
 
 
 def _same(a, b):
@@ -51,6 +52,34 @@ def test_late_events_are_counted(spark, tmp_path):
     assert got == [("2024-01-01", 1)]
 
 
+def test_late_report_joins_the_streams_own_metric(spark):
+    schema = "event_date date, event_type string, events bigint"
+    day = dt.date(2024, 1, 1)
+    batch = spark.createDataFrame([(day, "a", 5), (day, "b", 2), (day, "c", 1)], schema)
+    speed = spark.createDataFrame([(day, "a", 3), (day, "c", 1)], schema)
+    for dropped, explained in ((2, True), (1, False)):
+        progress = spark.createDataFrame([(0, 5, 0, None), (1, 3, dropped, "x")], PROGRESS)
+        got = {(r.event_type, r.late, r.dropped_groups, r.explained) for r in late_report(batch, speed, progress).collect()}
+        assert got == {("a", 2, dropped, explained), ("b", 2, dropped, explained)}
+    nothing = late_report(batch, batch, spark.createDataFrame([], PROGRESS))
+    assert nothing.count() == 0
+
+
+def test_sketches_merge_like_sets(spark):
+    rows = spark.range(30000).selectExpr("id % 20000 AS user_id", "timestamp_ntz'2024-01-01' + make_interval(0,0,0,CAST(id % 10 AS INT)) AS ts",
+                                         "CASE WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS event_type")
+    ranges = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 10)), (dt.date(2024, 1, 2), dt.date(2024, 1, 4)),
+                                    (dt.date(2030, 1, 1), dt.date(2030, 1, 2))], "first_date date, last_date date")
+    got = {r.first_date.day: r.users for r in users_between(user_sketches(rows), ranges).collect()}
+    want = {1: 20000, 2: rows.filter("day(ts) BETWEEN 2 AND 4").select("user_id").distinct().count()}
+    assert got.keys() == want.keys() and all(abs(got[d] - want[d]) <= 0.05 * want[d] for d in want)
+    few = rows.filter("user_id < 7")
+    assert users_between(user_sketches(few), ranges).filter("first_date = '2024-01-01'").first().users == 7
+    # two layers with the same users count them once
+    both = user_sketches(rows).unionByName(user_sketches(rows))
+    assert {r.first_date.day: r.users for r in users_between(both, ranges).collect()} == got
+
+
 def test_duplicates_dropped_within_watermark(spark, tmp_path):
     t = dt.datetime(2024, 1, 1, 10, 0)
     rows = [(1, t, 7, "click", 1.0, "{}"), (1, t + dt.timedelta(minutes=5), 7, "click", 1.0, "{}"),
