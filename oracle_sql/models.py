@@ -28,6 +28,9 @@ def model_sql() -> dict[str, str]:
             UNION ALL SELECT 'dim_customer_metrics', count(*), sum(total_orders) FROM dim_customer_metrics
             UNION ALL SELECT 'fct_product_performance', count(*), sum(total_orders) FROM fct_product_performance)""",
             "table_name:s n_rows:i orders:i"),
+        # refreshed marts equal the full ones
+        "customer_metrics_refresh": _model("dim_customer_metrics", CUSTOMER),
+        "product_performance_refresh": _model("fct_product_performance", PRODUCT),
         # a refresh of recent years merged with older rows equals the full mart
         "sales_summary_refresh": project(with_models(DAILY), K.FCT_SALES_SUMMARY, source="fct_sales_summary"),
     }

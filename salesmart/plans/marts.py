@@ -26,12 +26,12 @@ Plan notes (see README "Plans"):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions import business as B
 from salesmart.functions.dates import as_of_date, day_name, days_between, month_name
-from salesmart.functions.numbers import avg_double, div_money, int_avg, pct, per
+from salesmart.functions.numbers import avg_double, div_money, int_avg, int_div, pct, per
 
 FCT_SALES_SUMMARY_COLUMNS = [
     "order_date", "order_year", "order_month", "order_day", "order_month_name", "order_day_name",
@@ -169,7 +169,95 @@ def fct_sales_summary(product_sales: DataFrame) -> DataFrame:
     return _with_month_context(_daily_ratios(_date_parts(day))).select(*FCT_SALES_SUMMARY_COLUMNS)
 
 
-_CUSTOMER_KEYS = ["customer_id", "person_id", "account_number", "full_name", "first_name",
+#: How a measure is computed whole, kept as a mergeable part, and merged.
+_WHOLE = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "avg": avg_double, "int_avg": int_avg}
+_MERGED = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
+def whole(measures: list) -> list[Column]:
+    """The measures (name, kind, SQL of the value) as one aggregation."""
+    return [_WHOLE[kind](F.expr(value)).alias(name) for name, kind, value in measures]
+
+
+def parts(measures: list) -> list[Column]:
+    """The same as a state that can be merged: an average is kept as sum and count."""
+    out = []
+    for name, kind, value in measures:
+        v = F.expr(value)
+        out += ([F.sum(v).alias(f"{name}__sum"), F.count(v).alias(f"{name}__n")] if kind.endswith("avg")
+                else [_WHOLE[kind](v).alias(name)])
+    return out
+
+
+def merged(measures: list) -> list[Column]:
+    """The measures from states; equal to ``whole`` over all their rows, as every sum is exact."""
+    out = []
+    for name, kind, _ in measures:
+        total, n = F.sum(f"{name}__sum"), F.sum(f"{name}__n")
+        out.append((total.cast("double") / n if kind == "avg" else int_div(total, n)) if kind.endswith("avg")
+                   else _MERGED[kind](name))
+    return [c.alias(name) for c, (name, _, _) in zip(out, measures)]
+
+
+def _one(test: str) -> str:
+    return f"CASE WHEN {test} THEN 1 ELSE 0 END"
+
+
+def _when(test: str, value: str) -> str:
+    return f"CASE WHEN {test} THEN {value} ELSE 0 END"
+
+
+_ONLINE, _OFFLINE = "order_channel = 'Online'", "order_channel = 'Offline'"
+
+#: Measures of a customer's orders and lines.
+CUSTOMER_MEASURES = [
+    ("total_orders", "count", "sales_order_id"),
+    ("first_order_date", "min", "order_date"), ("last_order_date", "max", "order_date"),
+    ("total_lifetime_revenue", "sum", "total_line_total"),
+    ("total_gross_revenue", "sum", "total_gross_line_total"),
+    ("total_discounts_received", "sum", "total_discount_amount"),
+    ("avg_order_value", "avg", "total_line_total"),
+    ("max_order_value", "max", "total_line_total"), ("min_order_value", "min", "total_line_total"),
+    ("total_items_purchased", "sum", "total_order_quantity"),
+    ("avg_items_per_order", "int_avg", "total_order_quantity"),
+    ("online_orders", "sum", _one(_ONLINE)), ("offline_orders", "sum", _one(_OFFLINE)),
+    ("online_revenue", "sum", _when(_ONLINE, "total_line_total")),
+    ("offline_revenue", "sum", _when(_OFFLINE, "total_line_total")),
+    ("shipped_orders", "sum", _one("order_status_name = 'Shipped'")),
+    ("cancelled_orders", "sum", _one("order_status_name = 'Cancelled'")),
+    ("on_time_orders", "sum", _one("shipping_performance = 'On Time'")),
+    ("late_orders", "sum", _one("shipping_performance = 'Late'")),
+    ("orders_with_discount", "sum", _one("has_discount_flag = 1")),
+    ("total_discounts_used", "sum", _when("has_discount_flag = 1", "total_discount_amount")),
+]
+CUSTOMER_LINE_MEASURES = [
+    ("total_products_quantity", "sum", "order_quantity"),
+    ("total_profit_generated", "sum", "line_profit"),
+    ("total_net_profit_generated", "sum", "net_line_profit"),
+    ("avg_profit_margin_pct", "avg", "profit_margin_pct"),
+]
+#: Measures of a product's lines.
+PRODUCT_MEASURES = [
+    ("first_sale_date", "min", "order_date"), ("last_sale_date", "max", "order_date"),
+    ("total_quantity_sold", "sum", "order_quantity"),
+    ("avg_quantity_per_order", "int_avg", "order_quantity"),
+    ("max_quantity_per_order", "max", "order_quantity"),
+    ("total_revenue", "sum", "line_total"), ("total_gross_revenue", "sum", "gross_line_total"),
+    ("avg_line_total", "avg", "line_total"),
+    ("max_line_total", "max", "line_total"), ("min_line_total", "min", "line_total"),
+    ("avg_sale_price", "avg", "sale_unit_price"),
+    ("min_sale_price", "min", "sale_unit_price"), ("max_sale_price", "max", "sale_unit_price"),
+    ("avg_discount_from_list_pct", "avg", "discount_from_list_pct"),
+    ("total_discount_amount", "sum", "discount_amount"),
+    ("total_profit", "sum", "line_profit"), ("total_net_profit", "sum", "net_line_profit"),
+    ("avg_unit_profit", "avg", "unit_profit"), ("avg_profit_margin_pct", "avg", "profit_margin_pct"),
+    ("online_orders", "sum", _one(_ONLINE)), ("offline_orders", "sum", _one(_OFFLINE)),
+    ("online_revenue", "sum", _when(_ONLINE, "line_total")), ("offline_revenue", "sum", _when(_OFFLINE, "line_total")),
+    ("shipped_orders", "sum", _one("order_status_name = 'Shipped'")),
+    ("cancelled_orders", "sum", _one("order_status_name = 'Cancelled'")),
+]
+
+CUSTOMER_KEYS = ["customer_id", "person_id", "account_number", "full_name", "first_name",
                   "last_name", "email_promotion", "territory_id", "store_id"]
 
 
@@ -179,49 +267,23 @@ def dim_customer_metrics(customer_orders: DataFrame, product_sales: DataFrame, a
     ``customer_orders`` is unique per (customer, order) — its surrogate key is
     tested unique — so the distinct order count is a row count.
     """
-    co = customer_orders
-    online = F.col("order_channel") == "Online"
-    offline = F.col("order_channel") == "Offline"
-    first, last = F.min("order_date"), F.max("order_date")
-    span = days_between(first, last)
-    c = co.groupBy(*_CUSTOMER_KEYS).agg(
-        F.count("sales_order_id").alias("total_orders"),
-        F.countDistinct("order_date").alias("unique_order_dates"),
-        first.alias("first_order_date"), last.alias("last_order_date"),
-        span.alias("customer_lifetime_days"),
-        F.sum("total_line_total").alias("total_lifetime_revenue"),
-        F.sum("total_gross_line_total").alias("total_gross_revenue"),
-        F.sum("total_discount_amount").alias("total_discounts_received"),
-        avg_double("total_line_total").alias("avg_order_value"),
-        F.max("total_line_total").alias("max_order_value"),
-        F.min("total_line_total").alias("min_order_value"),
-        F.sum("total_order_quantity").alias("total_items_purchased"),
-        int_avg("total_order_quantity").alias("avg_items_per_order"),
-        F.sum(_flag(online)).alias("online_orders"),
-        F.sum(_flag(offline)).alias("offline_orders"),
-        F.sum(_if(online, F.col("total_line_total"))).alias("online_revenue"),
-        F.sum(_if(offline, F.col("total_line_total"))).alias("offline_revenue"),
-        F.sum(_flag(F.col("order_status_name") == "Shipped")).alias("shipped_orders"),
-        F.sum(_flag(F.col("order_status_name") == "Cancelled")).alias("cancelled_orders"),
-        F.sum(_flag(F.col("shipping_performance") == "On Time")).alias("on_time_orders"),
-        F.sum(_flag(F.col("shipping_performance") == "Late")).alias("late_orders"),
-        F.sum(_flag(F.col("has_discount_flag") == 1)).alias("orders_with_discount"),
-        F.sum(_if(F.col("has_discount_flag") == 1, F.col("total_discount_amount"))).alias("total_discounts_used"),
-        days_between(last, as_of_date(as_of)).alias("days_since_last_order"),
-        F.when(span > 0, F.count("sales_order_id").cast("double") / span * 30)
-        .otherwise(F.lit(0.0)).alias("orders_per_month"),
-    )
+    c = customer_orders.groupBy(*CUSTOMER_KEYS).agg(
+        F.countDistinct("order_date").alias("unique_order_dates"), *whole(CUSTOMER_MEASURES))
     p = product_sales.groupBy("customer_id").agg(
-        F.countDistinct("product_id").alias("unique_products_purchased"),
-        F.sum("order_quantity").alias("total_products_quantity"),
-        F.sum("line_profit").alias("total_profit_generated"),
-        F.sum("net_line_profit").alias("total_net_profit_generated"),
-        avg_double("profit_margin_pct").alias("avg_profit_margin_pct"),
-    )
-    s = c.join(p, "customer_id", "left")
+        F.countDistinct("product_id").alias("unique_products_purchased"), *whole(CUSTOMER_LINE_MEASURES))
+    return customer_metrics(c, p, as_of)
+
+
+def customer_metrics(orders: DataFrame, lines: DataFrame, as_of=None) -> DataFrame:
+    """MOD-6 from its two aggregates, by customer: of the orders (with the customer's attributes) and of the lines."""
+    span = days_between("first_order_date", "last_order_date")
+    c = orders.withColumns({
+        "customer_lifetime_days": span,
+        "days_since_last_order": days_between("last_order_date", as_of_date(as_of)),
+        "orders_per_month": F.when(span > 0, F.col("total_orders").cast("double") / span * 30).otherwise(F.lit(0.0))})
     rec, freq, mon = (B.recency_score("days_since_last_order"), B.frequency_score("orders_per_month"),
                       B.monetary_score("total_lifetime_revenue"))
-    return s.select(
+    return c.join(lines, "customer_id", "left").select(
         "*",
         rec.alias("recency_score"), freq.alias("frequency_score"), mon.alias("monetary_score"),
         (rec + freq + mon).alias("rfm_score"),
@@ -234,43 +296,11 @@ def dim_customer_metrics(customer_orders: DataFrame, product_sales: DataFrame, a
     ).select(*DIM_CUSTOMER_METRICS_COLUMNS)
 
 
-def _product_measures():
-    online = F.col("order_channel") == "Online"
-    offline = F.col("order_channel") == "Offline"
-    first, last = F.min("order_date"), F.max("order_date")
-    return [
-        first.alias("first_sale_date"), last.alias("last_sale_date"),
-        days_between(first, last).alias("sales_period_days"),
-        F.sum("order_quantity").alias("total_quantity_sold"),
-        int_avg("order_quantity").alias("avg_quantity_per_order"),
-        F.max("order_quantity").alias("max_quantity_per_order"),
-        F.sum("line_total").alias("total_revenue"),
-        F.sum("gross_line_total").alias("total_gross_revenue"),
-        avg_double("line_total").alias("avg_line_total"),
-        F.max("line_total").alias("max_line_total"),
-        F.min("line_total").alias("min_line_total"),
-        avg_double("sale_unit_price").alias("avg_sale_price"),
-        F.min("sale_unit_price").alias("min_sale_price"),
-        F.max("sale_unit_price").alias("max_sale_price"),
-        avg_double("discount_from_list_pct").alias("avg_discount_from_list_pct"),
-        F.sum("discount_amount").alias("total_discount_amount"),
-        F.sum("line_profit").alias("total_profit"),
-        F.sum("net_line_profit").alias("total_net_profit"),
-        avg_double("unit_profit").alias("avg_unit_profit"),
-        avg_double("profit_margin_pct").alias("avg_profit_margin_pct"),
-        F.when(F.sum("gross_line_total") != 0,
-               F.sum("line_profit").cast("double") / F.sum("gross_line_total").cast("double") * 100)
-        .alias("overall_profit_margin_pct"),
-        F.sum(_flag(online)).alias("online_orders"),
-        F.sum(_flag(offline)).alias("offline_orders"),
-        F.sum(_if(online, F.col("line_total"))).alias("online_revenue"),
-        F.sum(_if(offline, F.col("line_total"))).alias("offline_revenue"),
-        F.sum(_flag(F.col("order_status_name") == "Shipped")).alias("shipped_orders"),
-        F.sum(_flag(F.col("order_status_name") == "Cancelled")).alias("cancelled_orders"),
-    ]
-
-
 def _product_ratios(j: DataFrame) -> DataFrame:
+    gross = F.col("total_gross_revenue")
+    j = j.withColumns({
+        "sales_period_days": days_between("first_sale_date", "last_sale_date"),
+        "overall_profit_margin_pct": F.when(gross != 0, F.col("total_profit").cast("double") / gross.cast("double") * 100)})
     cost, lst = F.col("standard_cost"), F.col("list_price")
     avg_price = F.col("avg_sale_price")
     return j.select(
@@ -311,11 +341,14 @@ def fct_product_performance(product_sales: DataFrame, products: DataFrame, as_of
     """
     ps = product_sales
     grain = ["product_id", "product_lifecycle_status"]
-    a = ps.groupBy(*grain).agg(*_product_measures())
+    a = ps.groupBy(*grain).agg(*whole(PRODUCT_MEASURES))
     distinct = ps.select(*grain, "sales_order_id", "customer_id", "order_date").groupBy(*grain).agg(
         F.countDistinct("sales_order_id").alias("total_orders"),
         F.countDistinct("customer_id").alias("unique_customers"),
         F.countDistinct("order_date").alias("days_sold"))
-    j = (a.join(distinct, grain, "left")
-         .join(products.select(*_PRODUCT_ATTRS, *_INVENTORY), "product_id", "left"))
-    return _product_ratios(j)
+    return product_performance(a.join(distinct, grain, "left"), products)
+
+
+def product_performance(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """MOD-8 from its aggregates by product and lifecycle status."""
+    return _product_ratios(sales.join(products.select(*_PRODUCT_ATTRS, *_INVENTORY), "product_id", "left"))
