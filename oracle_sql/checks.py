@@ -109,6 +109,20 @@ def count_sql(chk) -> str:
     raise ValueError(k)
 
 
+def failing_sql(chk, key: str) -> str:
+    """SQL returning the key of each failing row of ``chk``; none for checks of a whole table."""
+    p, k, m, c = chk.params, chk.kind, chk.model, chk.column
+    if k in ("unique", "unique_combination", "duplicates"):
+        by = c if k == "unique" else ", ".join(p["columns"])
+        seen = f" AND {c} IS NOT NULL" if k == "unique" else ""
+        return f"SELECT {key} AS k FROM (SELECT *, count(*) OVER (PARTITION BY {by}) AS n FROM {m}) WHERE n > 1{seen}"
+    if k == "accepted_values":
+        return f"SELECT {key} AS k FROM {m} WHERE {c} IS NOT NULL AND NOT ({_in_list(c, p['values'], p.get('case_insensitive', False))})"
+    if k == "relationships":
+        return f"SELECT {key} AS k FROM {m} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {p['field']} FROM {p['to']} WHERE {p['field']} IS NOT NULL)"
+    return f"SELECT {key} AS k FROM {m} WHERE {fail_sql(chk)}"
+
+
 def results_sql(checks, extra_ctes: str = "") -> str:
     """All checks as rows (check_id, model, kind, column_name, severity, failures, status)."""
     rows = []

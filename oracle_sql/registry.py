@@ -82,22 +82,58 @@ def schema_sql() -> str:
             + ") SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM r")
 
 
+_ROW_KEYS = _KEYS | {"stg_customers": "customer_id", "stg_products": "product_id", "stg_sales_orders": "sales_order_detail_id",
+                     "int_customer_orders": "sales_order_id", "int_product_sales": "sales_order_detail_id"}
+
+
 def failing_rows_sql() -> str:
-    """The rows that break one check of each kind, selected directly."""
-    from oracle_sql.base import AS_OF, with_models
-    from oracle_sql.marts import CUSTOMER
-    parts = [
-        ("stg_products.no_future_dates.sell_start_date", "product_id",
-         f"stg_products WHERE sell_start_date > DATE '{AS_OF}'"),
-        ("stg_sales_orders.is_positive.order_tax_amount", "sales_order_detail_id", "stg_sales_orders WHERE order_tax_amount <= 0"),
-        ("stg_sales_orders.relationships.customer_id", "sales_order_detail_id",
-         "stg_sales_orders WHERE customer_id NOT IN (SELECT customer_id FROM stg_customers)"),
-        ("int_product_sales.unique.product_sale_surrogate_key", "sales_order_detail_id",
-         "(SELECT *, count(*) OVER (PARTITION BY product_sale_surrogate_key) AS n FROM int_product_sales) WHERE n > 1"),
-        ("dim_customer_metrics.accepted_range.on_time_shipment_pct", "customer_id",
-         "dim_customer_metrics WHERE on_time_shipment_pct < 0 OR on_time_shipment_pct > 100")]
-    return with_models(CUSTOMER) + " " + " UNION ALL ".join(
-        f"SELECT '{i}' AS check_id, {k}::VARCHAR AS row_key FROM {rows}" for i, k, rows in parts)
+    """The rows that break each declared check, selected directly."""
+    from oracle_sql.base import with_models
+    from oracle_sql.checks import failing_sql
+    from oracle_sql.marts import CUSTOMER, DAILY, PRODUCT
+    from salesmart.operators.rules import declared_checks
+    return with_models(DAILY, CUSTOMER, PRODUCT) + " " + " UNION ALL ".join(
+        f"SELECT '{c.check_id}' AS check_id, k::VARCHAR AS row_key FROM ({failing_sql(c, _ROW_KEYS[c.model])})"
+        for c in declared_checks())
+
+
+def isolated_sql() -> str:
+    """Counts of the checks that can be evaluated, and the fixed results of the others."""
+    from oracle_sql.base import with_models
+    rows = [("stg_customers", "not_null", "customer_id", "error", "(SELECT count(*) FROM stg_customers WHERE customer_id IS NULL)"),
+            ("stg_customers", "not_null", "fax_number", "error", "NULL"), ("stg_customers", "unique", "fax_number", "error", "NULL"),
+            ("stg_customers", "unique", "customer_id", "error",
+             "(SELECT count(*) FROM (SELECT 1 FROM stg_customers WHERE customer_id IS NOT NULL GROUP BY customer_id HAVING count(*) > 1))"),
+            ("int_product_sales", "unique", "product_sale_surrogate_key", "error",
+             "(SELECT count(*) - count(DISTINCT k) FROM (SELECT product_sale_surrogate_key AS k, row_number() OVER (PARTITION BY "
+             "product_sale_surrogate_key) AS n FROM int_product_sales QUALIFY n <= 2))"),
+            ("int_product_sales", "is_positive", "line_profit", "warn", "(SELECT count(*) FROM int_product_sales WHERE line_profit <= 0)"),
+            ("stg_products", "table_exists", None, "error", "1"), ("no_such_model", "table_exists", None, "error", "1")]
+    parts = [f"SELECT '{'.'.join(x for x in (m, k, c) if x)}' AS check_id, '{m}' AS model, '{k}' AS kind, "
+             f"{repr(c) if c else 'NULL'}::VARCHAR AS column_name, '{sev}' AS severity, ({n})::BIGINT AS failures"
+             for m, k, c, sev, n in rows]
+    return (with_models() + ", r AS (" + " UNION ALL ".join(parts) + ") SELECT *, CASE WHEN failures IS NULL THEN 'error' "
+            "WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM r")
+
+
+def history_sql_of_checks() -> str:
+    """The four checks counted on all lines, and on the lines without every third order since 2000."""
+    from oracle_sql.base import with_models
+    counts = {"is_positive.line_profit": "count(*) FILTER (WHERE line_profit <= 0)",
+              "not_null.color": "count(*) FILTER (WHERE color IS NULL)", "not_null.ship_date": "count(*) FILTER (WHERE ship_date IS NULL)",
+              "unique.product_sale_surrogate_key": "0"}
+    old = "(SELECT * FROM int_product_sales WHERE order_date < DATE '2000-01-01' OR sales_order_id % 3 <> 0)"
+    repeated = ("(SELECT count(*) FROM (SELECT 1 FROM {0} GROUP BY product_sale_surrogate_key HAVING count(*) > 1))")
+    parts = []
+    for name, count in counts.items():
+        a, b = ((repeated.format(t) for t in (old, "int_product_sales")) if name.startswith("unique")
+                else (f"(SELECT {count} FROM {t})" for t in (old, "int_product_sales")))
+        parts.append(f"SELECT 'int_product_sales.{name}' AS check_id, {a}::BIGINT AS a, {b}::BIGINT AS b")
+    state = "CASE WHEN {0} = 0 THEN 'pass' ELSE 'fail' END"
+    return (with_models() + ", n AS (" + " UNION ALL ".join(parts) + ") SELECT 'r1' AS run, '2001-08-14 00:00:00' AS run_at, check_id, "
+            f"{state.format('a')} AS status, a AS failures, NULL::BIGINT AS previous_failures, NULL::BIGINT AS change, 'first' AS trend FROM n "
+            f"UNION ALL SELECT 'r2', '2001-08-15 00:00:00', check_id, {state.format('b')}, b, a, b - a, CASE WHEN a > 0 AND b = 0 THEN 'fixed' "
+            "WHEN a = 0 AND b > 0 THEN 'broken' WHEN b < a THEN 'better' WHEN b > a THEN 'worse' ELSE 'same' END FROM n")
 
 
 def all_sql() -> dict[str, str]:
@@ -112,4 +148,6 @@ def all_sql() -> dict[str, str]:
     out["publish_run"] = publish_run_sql()
     out["dq_schema"] = schema_sql()
     out["dq_failing_rows"] = failing_rows_sql()
+    out["dq_isolated"] = isolated_sql()
+    out["dq_history"] = history_sql_of_checks()
     return out

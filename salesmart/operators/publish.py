@@ -209,14 +209,15 @@ def _declare(spark: SparkSession, root: str, table: str, given: StructType, part
                   f"(SELECT collect_list(part) FROM {schema}.{LIVE} WHERE table_name = '{table}'), {_part_name(partition_by)})")
 
 
-def _hadoop(spark: SparkSession, path: str):
+def path_and_files(spark: SparkSession, path: str):
+    """A path and its file system, whichever it is."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def _written_parts(spark: SparkSession, root: str, table: str, run: str, partition_by: str | None) -> list[Part]:
     """The parts that a run has written, from its folder's listing."""
-    at, files = _hadoop(spark, folder(root, table, run))
+    at, files = path_and_files(spark, folder(root, table, run))
     if not partition_by:
         return [Part(run, files.getContentSummary(at).getLength())]
     unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
@@ -311,7 +312,7 @@ def _part_folder(spark: SparkSession, root: str, table: str, part: str, partitio
     if partition_by:
         escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
         path += f"/{partition_by}={escape(value) if value else '__HIVE_DEFAULT_PARTITION__'}"
-    return _hadoop(spark, path)
+    return path_and_files(spark, path)
 
 
 def _partitioned_by(spark: SparkSession, root: str, table: str) -> str | None:
@@ -350,7 +351,7 @@ def retire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
         spark.sql(f"MSCK REPAIR TABLE {schema}.{table}{STORE} SYNC PARTITIONS")
     for run in sorted(set().union(*named.values()) - kept):
         spark.sql(f"ALTER TABLE {schema}.{STATE} DROP IF EXISTS PARTITION (run = '{run}')")
-        at, files = _hadoop(spark, f"{root.rstrip('/')}/{STATE}/run={run}")
+        at, files = path_and_files(spark, f"{root.rstrip('/')}/{STATE}/run={run}")
         files.delete(at, True)
     return [f"{t}/{p}" for t, p in gone]
 

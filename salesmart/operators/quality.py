@@ -7,8 +7,11 @@ column_name, severity, failures, status)``:
 * all row-level checks of a table (not_null, ranges, positivity, future dates,
   date order, regex/like, row-level sets) are fused into a single aggregation
   — one scan, one conditional sum per check, a one-row result;
-* ``unique`` / ``accepted_values`` / ``duplicates`` are grouped counts whose
-  partial aggregation runs map-side, so only distinct values are shuffled;
+* all ``unique`` / ``unique_combination`` / ``duplicates`` checks of a table share
+  one grouped count over (check, 128-bit hash of the key): one shuffle whatever
+  their number.  Keys are only counted by value for checks with an equal hash;
+* ``accepted_values`` is a grouped count whose partial aggregation runs
+  map-side, so only distinct values are shuffled;
 * ``relationships`` / ``orphans`` are left-anti joins against the parent's
   distinct keys;
 * whole-table checks (row count, mean, recency, completeness) join the fused
@@ -16,7 +19,12 @@ column_name, severity, failures, status)``:
 
 ``failures`` follows the convention that a test is a query returning failing
 rows: rows for row-level checks, distinct offending values for
-``unique``/``accepted_values``, 1 for a failed table-level check.
+``unique``/``accepted_values``, 1 for a failed table-level check.  A check that
+cannot be evaluated has status ``error`` and no number of failures; the others
+still report.
+
+``record_run`` appends a run's results to a stored history, ``run_trend`` sets
+each against the run before.
 """
 
 from __future__ import annotations
@@ -24,13 +32,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROW_KINDS = {"not_null", "accepted_range", "is_positive", "no_future_dates", "valid_date_range",
              "non_negative", "regex", "like", "between", "in_set"}
 GROUP_KINDS = {"unique", "accepted_values", "unique_combination", "duplicates"}
+UNIQUE_KINDS = {"unique", "unique_combination", "duplicates"}
 JOIN_KINDS = {"relationships", "orphans"}
 TABLE_KINDS = {"row_count_between", "mean_between", "recency", "equal_rowcount", "completeness",
                "table_exists"}
@@ -134,13 +143,30 @@ def _rows(one_row: DataFrame, checks: list[Check], cols: list[str]) -> DataFrame
     return one_row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
+def _key_columns(chk: Check) -> list[str]:
+    return [chk.column] if chk.kind == "unique" else list(chk.params["columns"])
+
+
+def _keyed(df: DataFrame, chk: Check) -> DataFrame:
+    """The rows a uniqueness check counts: ``unique`` passes over null values, combinations count them."""
+    return df.filter(df[chk.column].isNotNull()) if chk.kind == "unique" else df
+
+
+def _repeated_hashes(df: DataFrame, checks: list[Check]) -> set[int]:
+    """Positions of the uniqueness checks in which two keys have one 128-bit hash, in one shuffle for all."""
+    keys = []
+    for i, chk in enumerate(checks):
+        columns = [df[c] for c in _key_columns(chk)]
+        key = F.struct(F.lit(i).alias("i"), F.xxhash64(*columns).alias("h"), F.xxhash64(F.lit(i), *columns).alias("g"))
+        keys.append(F.when(columns[0].isNotNull(), key) if chk.kind == "unique" else key)
+    rows = df.select(F.explode(F.array(*keys)).alias("k")).where("k IS NOT NULL").groupBy("k.i", "k.h", "k.g").count()
+    return {r["i"] for r in rows.where("count > 1").select("i").distinct().collect()}  # at most one row a check
+
+
 def _group_check(df: DataFrame, chk: Check) -> DataFrame:
     p = chk.params
-    if chk.kind == "unique":
-        bad = (df.filter(df[chk.column].isNotNull()).groupBy(chk.column).count()
-               .filter(F.col("count") > 1))
-    elif chk.kind in ("unique_combination", "duplicates"):
-        bad = df.groupBy(*p["columns"]).count().filter(F.col("count") > 1)
+    if chk.kind in UNIQUE_KINDS:
+        bad = duplicates(_keyed(df, chk), _key_columns(chk))
     elif chk.kind == "accepted_values":
         v = df[chk.column]
         bad = (df.filter(v.isNotNull() & ~_values_expr(df, chk.column, p["values"],
@@ -184,7 +210,7 @@ def _whole_table(df: DataFrame, chk: Check, as_of_ts: Column) -> Column:
     if k == "row_count_between":
         bad = _outside(rows, p)
     elif k == "table_exists":
-        bad = rows < 0  # reading the table is the check: it raises if the files are gone
+        bad = rows < 0  # reading the table is the check: that it cannot be read is its failure
     elif k == "mean_between":
         bad = _outside(F.sum(df[chk.column]).cast("double") / F.nullif(F.count(df[chk.column]), F.lit(0)), p)
     elif k == "recency":
@@ -213,26 +239,77 @@ def _schema_failures(df: DataFrame, chk: Check) -> int:
     return 0 if ok else 1
 
 
+#: Kinds whose failures are rows (or values) of their table.
+FAILING_ROW_KINDS = ROW_KINDS | GROUP_KINDS | JOIN_KINDS
+
+
 def failing_rows(df: DataFrame, chk: Check, as_of=None, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """The failing rows of a check, all columns: a test is a query that returns its failing rows.
 
-    ``unique`` returns every row of a repeated value, ``relationships`` the rows without a parent in ``tables``.
+    Uniqueness checks return every row of a repeated key, ``relationships`` and
+    ``orphans`` the rows without a parent in ``tables``, ``accepted_values`` the
+    rows with another value.  Checks of a whole table have no failing rows.
     """
     from salesmart.functions.dates import as_of_date as _d
-    if chk.kind == "unique":
-        repeated = duplicates(df.filter(df[chk.column].isNotNull()), [chk.column]).select(chk.column)
-        return df.join(repeated, chk.column, "left_semi")
-    if chk.kind == "relationships":
-        parents = tables[chk.params["to"]].select(F.col(chk.params["field"]).alias(chk.column)).distinct()
-        return df.filter(df[chk.column].isNotNull()).join(parents, chk.column, "left_anti")
-    return df.filter(fail_condition(df, chk, _d(as_of)))
+    p = chk.params
+    if chk.kind in UNIQUE_KINDS:
+        columns = _key_columns(chk)
+        named = duplicates(_keyed(df, chk), columns).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)])
+        same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(columns)])
+        return df.join(named, same, "left_semi")
+    if chk.kind == "accepted_values":
+        return df.filter(df[chk.column].isNotNull() & ~_values_expr(df, chk.column, p["values"], p.get("case_insensitive", False)))
+    if chk.kind in JOIN_KINDS:
+        columns = [chk.column] if chk.kind == "relationships" else list(p["columns"])
+        fields = [p["field"]] if chk.kind == "relationships" else list(p.get("fields", columns))
+        parents = tables[p["to"]].select(*[F.col(f).alias(f"_k{i}") for i, f in enumerate(fields)]).distinct()
+        same = reduce(lambda a, b: a & b, [df[c] == F.col(f"_k{i}") for i, c in enumerate(columns)])
+        given = reduce(lambda a, b: a & b, [df[c].isNotNull() for c in columns])
+        return df.filter(given).join(parents, same, "left_anti")
+    if chk.kind in ROW_KINDS:
+        return df.filter(fail_condition(df, chk, _d(as_of)))
+    raise ValueError(f"{chk.kind} is a check of a whole table")
 
 
 def failures_by_key(tables: dict[str, DataFrame], checks: list[Check], keys: dict[str, str], as_of=None) -> DataFrame:
     """(check_id, row_key): the failing rows of all ``checks`` by each model's key column."""
     parts = [failing_rows(tables[c.model], c, as_of, tables).select(
         F.lit(c.check_id).alias("check_id"), F.col(keys[c.model]).cast("string").alias("row_key")) for c in checks]
-    return reduce(DataFrame.unionByName, parts)
+    spark = next(iter(tables.values())).sparkSession
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], "check_id string, row_key string"))
+
+
+def failed_rows(tables: dict[str, DataFrame], checks: list[Check], keys: dict[str, str], as_of=None) -> DataFrame:
+    """The failing rows by key of every check that fails, whichever it is; checks that pass are not read twice."""
+    bad = {r["check_id"] for r in run_checks(tables, checks, as_of).where("failures > 0").select("check_id").collect()}
+    return failures_by_key(tables, [c for c in checks if c.check_id in bad and c.kind in FAILING_ROW_KINDS], keys, as_of)
+
+
+def record_run(results: DataFrame, path: str, run: str, run_at: str) -> None:
+    """Append a run's results to the stored history, one folder a run; writing a run again replaces it."""
+    (results.withColumn("run_at", F.to_timestamp_ntz(F.lit(run_at)))
+     .write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}"))
+
+
+def run_trend(history: DataFrame) -> DataFrame:
+    """Each run's results beside the previous run's of the same check, and what has changed.
+
+    ``change`` is the difference of failures (null if either is not known).
+    ``trend`` is first, same, better, worse, fixed, broken (passed before) or
+    error (not evaluated).  Checks with the same id in one run are told apart by
+    nothing, so ids must be unique in a run.
+    """
+    by_check = Window.partitionBy("check_id").orderBy("run_at", "run")  # as many rows as there are runs
+    before, now = F.lag("failures").over(by_check), F.col("failures")
+    rows = history.select("run", "run_at", "check_id", "status", "failures", F.row_number().over(by_check).alias("n"),
+                          before.alias("previous_failures"), F.lag("status").over(by_check).alias("previous_status"))
+    was_bad = F.col("previous_status") != "pass"
+    trend = (F.when(F.col("status") == "error", "error").when(F.col("n") == 1, "first")
+             .when((F.col("status") == "pass") & was_bad, "fixed").when((F.col("status") != "pass") & ~was_bad, "broken")
+             .when(now < F.col("previous_failures"), "better").when(now > F.col("previous_failures"), "worse")
+             .otherwise("same"))
+    return rows.select("run", "run_at", "check_id", "status", "failures", "previous_failures",
+                       (now - F.col("previous_failures")).alias("change"), trend.alias("trend"))
 
 
 def summary(results: DataFrame) -> DataFrame:
@@ -249,9 +326,14 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check], as_of=None,
       and counts the failing *rows* of every ``accepted_values`` check; the
       distinct offending values are only counted (a second, grouped pass) for
       checks whose row count is non-zero;
-    * every ``unique``, ``relationships`` or row-count comparison is a job of its own;
+    * the uniqueness checks of a table share one shuffle; only those with an
+      equal hash are counted by value;
+    * every ``relationships`` or row-count comparison is a job of its own;
     * schema checks read the plan's types only;
-    * all checks of a table that is not there fail.
+    * all checks of a table that is not there fail, and ``table_exists`` also
+      fails for a table that cannot be read;
+    * a check that cannot be evaluated (say, its column is absent) has status
+      ``error`` and null failures, and does not hinder the others.
 
     The independent jobs are submitted from a small thread pool, so their
     scheduling and code generation overlap.  Only one-row aggregates reach the driver.
@@ -287,31 +369,47 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check], as_of=None,
 
     def single(model: str, c: Check):
         df = tables[model]
-        if c.kind in GROUP_KINDS:
-            part = _group_check(df, c)
-        elif c.kind in JOIN_KINDS:
+        if c.kind in JOIN_KINDS:
             part = _join_check(df, c, tables)
         else:
             part = _equal_rowcount(df, c, tables)
         return [(c, int(part.first()["failures"]))]
 
+    def unique(model: str, cs: list[Check]):
+        df = tables[model]
+        repeated = _repeated_hashes(df, cs)
+        return [(c, int(_group_check(df, c).first()["failures"]) if i in repeated else 0) for i, c in enumerate(cs)]
+
+    def isolated(evaluate, model: str, cs: list[Check]):
+        """The checks together; if that fails, each alone, and those that still fail as errors."""
+        try:
+            return evaluate(model, cs)
+        except Exception:  # noqa: BLE001 - whatever keeps a check from being evaluated becomes its result
+            if len(cs) == 1:
+                return [(cs[0], 1 if cs[0].kind == "table_exists" else None)]
+            return [r for c in cs for r in isolated(evaluate, model, [c])]
+
     jobs = []
     for model, cs in by_model.items():
         if model not in tables:
             jobs.append(lambda cs=cs: [(c, 1) for c in cs])
             continue
-        jobs.append(lambda m=model, cs=cs: fused(m, cs))
+        shared = [c for c in cs if c.kind in ROW_KINDS | {"accepted_values"} or c.kind in TABLE_KINDS - {"equal_rowcount"}]
+        keyed = [c for c in cs if c.kind in UNIQUE_KINDS]
+        for evaluate, some in ((fused, shared), (unique, keyed)):
+            if some:
+                jobs.append(lambda f=evaluate, m=model, some=some: isolated(f, m, some))
         for c in cs:
             if c.kind in SCHEMA_KINDS:
                 jobs.append(lambda m=model, c=c: [(c, _schema_failures(tables[m], c))])
-            elif c.kind == "equal_rowcount" or c.kind in (*GROUP_KINDS, *JOIN_KINDS) and c.kind != "accepted_values":
-                jobs.append(lambda m=model, c=c: single(m, c))
+            elif c.kind == "equal_rowcount" or c.kind in JOIN_KINDS:
+                jobs.append(lambda m=model, c=c: isolated(lambda m, cs: single(m, cs[0]), m, [c]))
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         results = [r for part in pool.map(lambda f: f(), jobs) for r in part]
     rows = [(c.check_id, c.model, c.kind, c.column, c.severity, n) for c, n in results]
     out = spark.createDataFrame(rows, RESULT_SCHEMA)
-    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(
-        F.when(F.col("severity") == "warn", "warn").otherwise("fail")))
+    return out.withColumn("status", F.when(F.col("failures").isNull(), "error").when(F.col("failures") == 0, "pass")
+                          .when(F.col("severity") == "warn", "warn").otherwise("fail"))
 
 
 def duplicates(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -322,5 +420,5 @@ def duplicates(df: DataFrame, columns: list[str]) -> DataFrame:
 def run_suite(name: str, tables: dict[str, DataFrame], checks: list[Check], as_of=None) -> tuple[bool, DataFrame]:
     """DQ-26: a named list of checks run as one unit; the suite fails if any check fails."""
     results = run_checks(tables, checks, as_of).withColumn("suite", F.lit(name))
-    failed = results.filter(F.col("status") == "fail").limit(1).count() > 0
+    failed = results.filter(F.col("status").isin("fail", "error")).limit(1).count() > 0
     return (not failed), results

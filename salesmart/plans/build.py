@@ -110,7 +110,7 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of=N
     if freshness_rules:
         results = results.unionByName(_freshness_rows(sources, freshness_rules, as_of).select(*results.columns))
     results = _materialise(spark, results, publish.folder(root, "_checks", v))
-    errors = results.filter(F.col("status") == "fail").count()
+    errors = results.filter(F.col("status").isin("fail", "error")).count()  # not evaluated is not passed
     published = publish_on_success and errors == 0
     if published:
         publish.swap(spark, root, v, {n: df.schema for n, df in t.items()}, {n: c for n, (c,) in PARTITIONED.items()})

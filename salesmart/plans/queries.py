@@ -93,19 +93,52 @@ def _schema_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(run_checks(models, expand_contract(CONTRACT)[1], TEST_AS_OF))
 
 
-#: A declared check of each kind that the test data breaks, and the models' key columns.
-_BROKEN = {"stg_products.no_future_dates.sell_start_date", "stg_sales_orders.is_positive.order_tax_amount",
-           "stg_sales_orders.relationships.customer_id", "int_product_sales.unique.product_sale_surrogate_key",
-           "dim_customer_metrics.accepted_range.on_time_shipment_pct"}
-_KEYS = {"stg_products": "product_id", "stg_sales_orders": "sales_order_detail_id",
-         "int_product_sales": "sales_order_detail_id", "dim_customer_metrics": "customer_id"}
+#: The models' key columns.
+KEY_COLUMNS = {"stg_customers": "customer_id", "stg_products": "product_id", "stg_sales_orders": "sales_order_detail_id",
+               "int_customer_orders": "sales_order_id", "int_product_sales": "sales_order_detail_id",
+               "dim_customer_metrics": "customer_id", "fct_sales_summary": "order_date", "fct_product_performance": "product_id"}
 
 
 def _failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from salesmart.operators.quality import failures_by_key
+    """The failing rows, by key, of every declared check that fails."""
+    from salesmart.operators.quality import failed_rows
     from salesmart.operators.rules import declared_checks
     models = models_on_testdata(spark, sf_dir, TEST_AS_OF)
-    return failures_by_key(models, [c for c in declared_checks() if c.check_id in _BROKEN], _KEYS, TEST_AS_OF)
+    return failed_rows(models, declared_checks(), KEY_COLUMNS, TEST_AS_OF)
+
+
+def _isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-24/27: checks on an absent column and on a table that cannot be read stand beside others that report."""
+    from salesmart.operators import publish
+    from salesmart.operators.quality import Check, run_checks
+    models = models_on_testdata(spark, sf_dir, TEST_AS_OF)
+    path = _publish_root(spark, "gone")
+    models["stg_products"].write.parquet(path)
+    unreadable = spark.read.parquet(path)
+    at, files = publish.path_and_files(spark, path)
+    files.delete(at, True)
+    tables = {"int_product_sales": models["int_product_sales"], "stg_customers": models["stg_customers"], "stg_products": unreadable}
+    return comparable(run_checks(tables, [
+        Check("stg_customers", "not_null", "customer_id"), Check("stg_customers", "not_null", "fax_number"),
+        Check("stg_customers", "unique", "fax_number"), Check("stg_customers", "unique", "customer_id"),
+        Check("int_product_sales", "unique", "product_sale_surrogate_key"),
+        Check("int_product_sales", "is_positive", "line_profit", severity="warn"),
+        Check("stg_products", "table_exists"), Check("no_such_model", "table_exists")], TEST_AS_OF))
+
+
+#: The checks whose history ``dq_history`` keeps.
+HISTORY_CHECKS = (("is_positive", "line_profit"), ("unique", "product_sale_surrogate_key"), ("not_null", "color"),
+                  ("not_null", "ship_date"))
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-27 over runs: the results of an earlier state of the sales, and of today's, with what has changed."""
+    from salesmart.operators.quality import Check, record_run, run_checks, run_trend
+    path, sales = _publish_root(spark, "check-history"), models_on_testdata(spark, sf_dir, TEST_AS_OF)["int_product_sales"]
+    checks = [Check("int_product_sales", kind, column) for kind, column in HISTORY_CHECKS]
+    for run, at, rows in (("r1", "2001-08-14 00:00:00", _earlier(sales)), ("r2", "2001-08-15 00:00:00", sales)):
+        record_run(run_checks({"int_product_sales": rows}, checks, TEST_AS_OF), path, run, at)
+    return comparable(run_trend(spark.read.parquet(path)))
 
 
 def _suites(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,6 +162,8 @@ def dq_queries() -> dict[str, Query]:
     out["dq_duplicates"] = _duplicates
     out["dq_schema"] = _schema_checks
     out["dq_failing_rows"] = _failing_rows
+    out["dq_isolated"] = _isolated
+    out["dq_history"] = _history
     out["dq_suite"] = _suites
     out["dq_declared"] = _dq_query(None)
     out["dq_summary"] = _dq_summary

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from salesmart.operators.quality import Check, failing_rows, run_checks
+from salesmart.operators.quality import Check, failed_rows, failing_rows, record_run, run_checks, run_suite, run_trend
 from salesmart.sources.freshness import Freshness, freshness
 
 AS_OF = "2001-08-15"
@@ -149,3 +149,63 @@ def test_declared_checks_by_model_and_kind():
         kinds = found.setdefault(c.model, {})
         kinds[c.kind] = kinds.get(c.kind, 0) + 1
     assert found == DECLARED
+
+
+def test_one_bad_check_does_not_end_the_others(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "x int, y string")
+    df.write.parquet(str(tmp_path / "gone"))
+    gone = spark.read.parquet(str(tmp_path / "gone"))
+    import shutil
+    shutil.rmtree(tmp_path / "gone")
+    checks = [Check("t", "not_null", "x"), Check("t", "not_null", "absent"), Check("t", "unique", "absent"), Check("t", "unique", "x"),
+              Check("t", "relationships", "x", {"to": "nowhere", "field": "k"}), Check("gone", "table_exists"), Check("gone", "not_null", "x"),
+              Check("never", "unique", "x")]
+    got = {r["check_id"]: (r["failures"], r["status"]) for r in run_checks({"t": df, "gone": gone}, checks, AS_OF).collect()}
+    assert got == {"t.not_null.x": (1, "fail"), "t.not_null.absent": (None, "error"), "t.unique.absent": (None, "error"),
+                   "t.unique.x": (1, "fail"), "t.relationships.x": (None, "error"), "gone.table_exists": (1, "fail"),
+                   "gone.not_null.x": (None, "error"), "never.unique.x": (1, "fail")}
+    passed, _ = run_suite("s", {"t": df}, [Check("t", "not_null", "absent")], AS_OF)
+    assert not passed
+
+
+def test_uniqueness_checks_share_one_shuffle_and_are_exact(spark, monkeypatch):
+    from salesmart.operators import quality
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 1), (2, "b", 2), (None, "c", 3), (None, "d", None), (5, None, None)],
+                               "x int, y string, z int")
+    checks = [Check("t", "unique", "x"), Check("t", "unique", "y"), Check("t", "unique_combination", None, {"columns": ["x", "y"]}),
+              Check("t", "duplicates", None, {"columns": ["z"]})]
+    counted = []
+    plain = quality._group_check
+    monkeypatch.setattr(quality, "_group_check", lambda df, c: counted.append(c.check_id) or plain(df, c))
+    got = [r["failures"] for r in run_checks({"t": df}, checks, AS_OF).collect()]
+    assert got == [1, 1, 0, 2] and len(counted) == 3  # the combination needs no count by value
+    # equal hashes of different keys (nulls are passed over) lead to the exact count, not to a failure
+    twins = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    pair = Check("t", "unique_combination", None, {"columns": ["x", "y"]})
+    assert quality._repeated_hashes(twins, [pair]) == {0}
+    assert run_checks({"t": twins}, [pair], AS_OF).first()["failures"] == 0
+
+
+def test_failing_rows_of_every_kind(spark):
+    df = spark.createDataFrame([(1, "a", 1), (2, "b", None), (3, "b", None), (4, None, 9)], "k int, v string, p int")
+    parent = spark.createDataFrame([(1,)], "id int")
+    keys = lambda c: sorted(r.k for r in failing_rows(df, c, AS_OF, {"p": parent}).collect())
+    assert keys(Check("t", "accepted_values", "v", {"values": ["a"]})) == [2, 3]
+    assert keys(Check("t", "unique_combination", None, {"columns": ["v", "p"]})) == [2, 3]
+    assert keys(Check("t", "duplicates", None, {"columns": ["p"]})) == [2, 3]
+    assert keys(Check("t", "orphans", None, {"columns": ["p"], "fields": ["id"], "to": "p"})) == [4]
+    with pytest.raises(ValueError):
+        failing_rows(df, Check("t", "row_count_between", None, {"min": 1}))
+    assert failed_rows({"t": df}, [Check("t", "not_null", "k"), Check("t", "row_count_between", None, {"min": 9})], {"t": "k"}).count() == 0
+
+
+def test_history_of_runs_and_trend(spark, tmp_path):
+    path = str(tmp_path / "h")
+    check = [Check("t", "not_null", "x"), Check("t", "not_null", "y")]
+    for run, at, xs in (("r1", "2001-01-01 00:00:00", [None, None]), ("r2", "2001-01-02 00:00:00", [None, 1]),
+                        ("r3", "2001-01-03 00:00:00", [1, 1]), ("r4", "2001-01-04 00:00:00", [None, 1]),
+                        ("r4", "2001-01-04 00:00:00", [None, 1])):  # a run written twice counts once
+        record_run(run_checks({"t": spark.createDataFrame([(x,) for x in xs], "x int")}, check, AS_OF), path, run, at)
+    got = {(r.check_id[-1], r.run): (r.failures, r.change, r.trend) for r in run_trend(spark.read.parquet(path)).collect()}
+    assert [got["x", f"r{i}"] for i in (1, 2, 3, 4)] == [(2, None, "first"), (1, -1, "better"), (0, -1, "fixed"), (1, 1, "broken")]
+    assert got["y", "r2"] == (None, None, "error") and len(got) == 8
