@@ -6,14 +6,14 @@ AS_OF = "2001-08-15"
 SK_NULL = "_dbt_utils_surrogate_key_null_"
 
 
-def ratio8(num: str, den: str, scale: int = 4) -> str:
-    """num/den rounded half away from zero at 8 decimals, exactly (inputs of scale ≤ 4)."""
+def ratio(num: str, den: str, scale: int = 4) -> str:
+    """num/den rounded half away from zero at 18 decimals, exactly (inputs of scale ≤ 4)."""
     f = 10 ** scale
     n = f"CAST(({num}) * {f} AS HUGEINT)"
     d = f"CAST(({den}) * {f} AS HUGEINT)"
-    q = f"(sign({n}) * sign({d}) * ((2 * abs({n}) * 100000000 + abs({d})) // (2 * abs({d}))))"
+    q = f"(sign({n}) * sign({d}) * ((2 * abs({n}) * 1000000000000000000 + abs({d})) // (2 * abs({d}))))"
     return (f"(CASE WHEN ({den}) = 0 OR ({den}) IS NULL OR ({num}) IS NULL THEN NULL ELSE "
-            f"CAST(CAST({q} AS DECIMAL(38,0)) * CAST(0.00000001 AS DECIMAL(9,8)) AS DECIMAL(38,8)) END)")
+            f"CAST(CAST({q} AS DECIMAL(38,0)) * CAST(0.000000000000000001 AS DECIMAL(19,18)) AS DECIMAL(38,18)) END)")
 
 
 def div6(num: str, den: str) -> str:
@@ -45,6 +45,7 @@ def sk(*cols: str) -> str:
 _KIND = {
     "i": "CAST({c} AS BIGINT)",
     "d": "CAST({c} AS DOUBLE)",
+    "r": "CAST(CAST({c} AS DECIMAL(38,8)) AS DOUBLE)",
     "s": "{c}",
     "b": "{c}",
     "dt": "CAST({c} AS VARCHAR)",
@@ -55,7 +56,7 @@ _KIND = {
 def project(body: str, kinds: str, source: str = "q") -> str:
     """Wrap ``body`` (a SELECT or CTE chain ending in ``source``) in the output projection.
 
-    ``kinds`` is "name:kind name:kind ..." with kind in i, d, s, b, dt, ts.
+    ``kinds`` is "name:kind name:kind ..." with kind in i, d, r, s, b, dt, ts (r: ratios, rounded to 8 places).
     """
     cols = []
     for item in kinds.split():
@@ -100,7 +101,7 @@ src_person AS (
 ),{_LINES},
 src_detail AS (
   SELECT l_orderkey AS SalesOrderID,
-         l_orderkey * (SELECT max(n) + 1 FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)) + row_number() OVER (PARTITION BY l_orderkey ORDER BY
+         l_orderkey * 16777216 + row_number() OVER (PARTITION BY l_orderkey ORDER BY
             l_linenumber NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST,
             l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
             l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS SalesOrderDetailID,
@@ -286,8 +287,8 @@ int_product_sales AS (
          p.* EXCLUDE (product_id, modified_date), p.modified_date AS product_modified_date,
          {sk("l.product_id", "l.order_date", "l.sales_order_id")} AS product_sale_surrogate_key,
          l.unit_price - p.standard_cost AS unit_profit,
-         {ratio8("l.unit_price - p.standard_cost", "p.standard_cost")} AS profit_margin_pct,
-         {ratio8("l.unit_price", "p.list_price")} AS discount_from_list_pct,
+         {ratio("l.unit_price - p.standard_cost", "p.standard_cost")} AS profit_margin_pct,
+         {ratio("l.unit_price", "p.list_price")} AS discount_from_list_pct,
          l.order_quantity * (l.unit_price - p.standard_cost) AS line_profit,
          l.order_quantity * (l.unit_price - p.standard_cost) * (1 - l.unit_price_discount) AS net_line_profit,
          CASE WHEN p.discontinued_date IS NOT NULL THEN 'Discontinued'

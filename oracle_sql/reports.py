@@ -20,7 +20,7 @@ _R = {
         sum(line_profit) AS profit, sum(net_line_profit) AS net_profit,
         {avg("profit_margin_pct")} AS avg_margin_ratio, min(unit_profit) AS min_unit_profit
         FROM int_product_sales GROUP BY 1""",
-                          "product_id:i gross:d discount:d profit:d net_profit:d avg_margin_ratio:d min_unit_profit:d"),
+                          "product_id:i gross:d discount:d profit:d net_profit:d avg_margin_ratio:r min_unit_profit:d"),
     "discount_profile": ("""SELECT unit_price_discount, count(*) AS lines,
         sum(CASE WHEN unit_price_discount > 0 THEN 1 ELSE 0 END) AS discounted_lines,
         sum(line_total) AS line_total, sum(calculated_line_total) AS calculated_line_total,

@@ -3,8 +3,8 @@
 Conventions used throughout the models:
 
 * money stays DECIMAL; sums are exact;
-* a ratio of two decimals is rounded half-up to 8 places (``ratio8``), so that
-  averaging ratios is an exact decimal sum;
+* a ratio of two decimals keeps 18 decimals (``ratio``), so that averaging ratios
+  is an exact decimal sum;
 * an average is ``double(exact sum) / count`` (``avg_double``);
 * the average of an integer truncates, as in T-SQL (``int_avg``);
 * percentages are doubles: ``double(num) / den * 100`` behind a zero guard.
@@ -15,17 +15,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-RATIO_TYPE = "decimal(38,8)"
+RATIO_TYPE = "decimal(38,18)"
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def ratio8(num, den) -> Column:
-    """``num / nullif(den, 0)`` rounded half-up to 8 decimals (NULL when den = 0)."""
+def ratio(num, den) -> Column:
+    """``num / nullif(den, 0)`` of two money values, rounded half-up once, to 18 decimals (NULL when den = 0)."""
     den = _c(den)
-    return (_c(num) / F.when(den != 0, den)).cast(RATIO_TYPE)
+    # of decimal(20,4) by decimal(19,4) the quotient has just these 18 decimals
+    return (_c(num).cast("decimal(20,4)") / F.when(den != 0, den.cast("decimal(19,4)"))).cast(RATIO_TYPE)
 
 
 def div_money(num, den) -> Column:

@@ -22,14 +22,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def scd0(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """Type 0: retain original values; only keys never seen before are added."""
-    return old.unionByName(new.join(old.select(*key), key, "left_anti"))
+def _without(rows: DataFrame, known: DataFrame, key: list[str]) -> DataFrame:
+    """The rows whose key is not among ``known``; a null key equals a null key."""
+    keys = known.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]).distinct()
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)])
+    return rows.join(keys, same, "left_anti")
 
 
-def scd1(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """Type 1: overwrite with the new snapshot; keys missing from it stay as they were."""
-    return new.unionByName(old.join(new.select(*key), key, "left_anti"))
+def _one_each(snapshot: DataFrame, key: list[str], ts: str, newest: bool) -> DataFrame:
+    """One row of each key, the newest or the oldest; equal times are settled by a hash of the row."""
+    if ts not in snapshot.columns:
+        return snapshot
+    order = F.struct(F.col(ts), F.xxhash64(*snapshot.columns))
+    pick = (F.max_by if newest else F.min_by)(F.struct(*snapshot.columns), order)
+    return (snapshot.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]).agg(pick.alias("_row"))
+            .select("_row.*"))
+
+
+def scd0(old: DataFrame, new: DataFrame, key: list[str], ts: str = "updated_at") -> DataFrame:
+    """Type 0: retain original values; only keys never seen before are added, of repeated ones the oldest row.
+
+    Null keys match null keys, here and in type 1.
+    """
+    return old.unionByName(_one_each(_without(new, old, key), key, ts, newest=False))
+
+
+def scd1(old: DataFrame, new: DataFrame, key: list[str], ts: str = "updated_at") -> DataFrame:
+    """Type 1: overwrite with the new snapshot, of repeated keys the newest row; keys missing from it stay as they were."""
+    return _one_each(new, key, ts, newest=True).unionByName(_without(old, new, key))
 
 
 def scd2_history(versions: DataFrame, key: list[str], tracked: list[str], ts: str = "updated_at") -> DataFrame:
@@ -86,7 +106,7 @@ def scd3(old: DataFrame, new: DataFrame, key: list[str], column: str) -> DataFra
 def scd4(old: DataFrame, new: DataFrame, key: list[str], tracked: list[str],
          ts: str = "updated_at") -> tuple[DataFrame, DataFrame]:
     """Type 4: (current table, history table of replaced versions with their end time)."""
-    current = scd1(old, new, key)
+    current = scd1(old, new, key, ts)
     o, n = old.alias("o"), new.alias("n")
     on = reduce(lambda x, y: x & y, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in key])
     replaced = o.join(n, on, "inner").filter(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import business as B
 from salesmart.functions.dates import days_between
-from salesmart.functions.numbers import ratio8
+from salesmart.functions.numbers import ratio
 from salesmart.functions.text import full_name, surrogate_key
 
 _ORDER_KEYS = ["sales_order_id", "customer_id", "order_date", "due_date", "ship_date",
@@ -104,8 +104,8 @@ def int_product_sales_joined(j: DataFrame, as_of=None) -> DataFrame:
         "product_style", "make_flag", "finished_goods_flag", "standard_cost", "list_price",
         price.alias("sale_unit_price"),
         (price - cost).alias("unit_profit"),
-        ratio8(price - cost, cost).alias("profit_margin_pct"),
-        ratio8(price, F.col("list_price")).alias("discount_from_list_pct"),
+        ratio(price - cost, cost).alias("profit_margin_pct"),
+        ratio(price, F.col("list_price")).alias("discount_from_list_pct"),
         "sales_order_id", "sales_order_detail_id", "order_date", "due_date", "ship_date", "customer_id",
         B.order_status_name("order_status").alias("order_status_name"),
         F.col("order_status").alias("order_status_code"),

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import business as B
 from salesmart.functions.dates import as_of_date, day_name, days_between, month_name
-from salesmart.functions.numbers import avg_double, div_money, int_avg, int_div, pct, per
+from salesmart.functions.numbers import RATIO_TYPE, avg_double, div_money, int_avg, int_div, pct, per
 
 FCT_SALES_SUMMARY_COLUMNS = [
     "order_date", "order_year", "order_month", "order_day", "order_month_name", "order_day_name",
@@ -123,7 +123,7 @@ def fct_sales_summary(product_sales: DataFrame) -> DataFrame:
     """MOD-7: one row per order date (rewritten plan, see module notes)."""
     ps = product_sales
     disc = F.col("unit_price_discount") > 0
-    avg_disc_value = F.when(disc, F.col("discount_from_list_pct")).otherwise(F.lit(0).cast("decimal(38,8)"))
+    avg_disc_value = F.when(disc, F.col("discount_from_list_pct")).otherwise(F.lit(0).cast(RATIO_TYPE))
     orders = ps.groupBy("order_date", "sales_order_id").agg(
         F.max(_flag(F.col("order_channel") == "Online")).alias("is_online"),
         F.max(_flag(F.col("order_channel") == "Offline")).alias("is_offline"),

@@ -68,6 +68,10 @@ def person(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Line numbers that fit beside the order key in a line's id.
+LINES_AN_ORDER = 1 << 24
+
+
 def _priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with exact money columns (shared by header totals and detail)."""
     l = read_table(spark, sf_dir, "lineitem")
@@ -94,13 +98,14 @@ def sales_order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-    # one more than the most lines of an order: ids of different orders never meet
-    per_order = lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).agg(F.max("n") + 1).scalar()
+    # ids of different orders never meet; a longer order, or a key beyond 2 ** 39, is an error and no wrong id
+    line = F.when(F.col("_line") < LINES_AN_ORDER, F.col("_line")).otherwise(
+        F.raise_error(F.lit(f"an order has {LINES_AN_ORDER} lines or more")).cast("int"))
     # window first, rename after: the output then stays hash-partitioned by the
     # order key under its new name, so the header × detail join adds no exchange
     return lines.withColumn("_line", F.row_number().over(w)).select(
         F.col("l_orderkey").alias("SalesOrderID"),
-        (F.col("l_orderkey") * per_order + F.col("_line")).alias("SalesOrderDetailID"),
+        (F.col("l_orderkey") * LINES_AN_ORDER + line).alias("SalesOrderDetailID"),
         F.col("l_partkey").alias("ProductID"),
         "OrderQty", "UnitPrice", "UnitPriceDiscount", "LineTotal",
         F.col("l_shipdate").alias("ModifiedDate"),

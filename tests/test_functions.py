@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import business as B
 from salesmart.functions.dates import days_between, day_name, month_name
-from salesmart.functions.numbers import int_avg, pct, ratio8
+from salesmart.functions.numbers import int_avg, pct, ratio
 from salesmart.functions.text import full_name, surrogate_key
 
 
@@ -50,11 +50,11 @@ def test_lifecycle_order(spark):
     assert got == ["Discontinued", "Ended", "Active", "Not Started", "Active", "Discontinued"]
 
 
-def test_ratio8_guards_and_rounding(spark):
+def test_ratio_guards_and_rounding(spark):
     rows = [(Decimal("1.0000"), Decimal("0.0000")), (Decimal("1.0000"), Decimal("3.0000")),
             (Decimal("2.0000"), Decimal("3.0000")), (Decimal("-2.0000"), Decimal("3.0000")), (None, Decimal("1"))]
-    got = _col(spark, rows, "n decimal(19,4), d decimal(19,4)", ratio8("n", "d"))
-    assert got == [None, Decimal("0.33333333"), Decimal("0.66666667"), Decimal("-0.66666667"), None]
+    got = _col(spark, rows, "n decimal(19,4), d decimal(19,4)", ratio("n", "d"))
+    assert got == [None, Decimal("0.333333333333333333"), Decimal("0.666666666666666667"), Decimal("-0.666666666666666667"), None]
 
 
 def test_recency_boundaries(spark):

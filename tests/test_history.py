@@ -188,3 +188,14 @@ def test_scd2_late_repeated_and_tied_versions(spark):
                    (2, 1, "x", None, True), (3, 2, "n", None, True)]
     plan = H.scd2_merge(history, spark.createDataFrame(rows, schema), ["customer_id"], ["email"])
     assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_types_0_and_1_with_repeated_and_null_keys(spark):
+    schema = "customer_id int, email string, updated_at timestamp_ntz"
+    old = spark.createDataFrame([(1, "a", T1), (None, "n", T1)], schema)
+    new = spark.createDataFrame([(2, "first", T1), (2, "last", T2), (None, "m", T2), (1, "b", T2), (1, "b", T2)], schema)
+    key = ["customer_id"]
+    rows = lambda df: sorted(((r.customer_id, r.email) for r in df.collect()), key=str)
+    assert rows(H.scd0(old, new, key)) == sorted([(1, "a"), (None, "n"), (2, "first")], key=str)
+    assert rows(H.scd1(old, new, key)) == sorted([(1, "b"), (None, "m"), (2, "last")], key=str)
+    assert rows(H.scd4(old, new, key, ["email"])[0]) == rows(H.scd1(old, new, key))
