@@ -227,6 +227,27 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
 
 
+def clean_sources(spark: SparkSession, sf_dir: str, loaded_at: str) -> dict[str, DataFrame]:
+    """The sources without the rows that break a declared rule, all loaded at one time (synthetic stand-in).
+
+    Kept are shipped and taxed orders of customers with a person that fell due
+    and were shipped before ``loaded_at``, and of their lines those of a product that was on
+    sale by then and stands once in the order.
+    """
+    src = sources(spark, sf_dir)
+    now = _ts(loaded_at)
+    src["product"] = src["product"].filter(F.col("SellStartDate") <= now)
+    people = src["customer"].filter(F.col("PersonID").isNotNull()).select("CustomerID")
+    orders = src["sales_order_header"].filter((F.col("Status") == 5) & (F.col("TaxAmt") > 0) & (F.col("DueDate") <= now)
+                                              & (F.col("ShipDate") <= now))
+    src["sales_order_header"] = orders.join(people, "CustomerID", "left_semi").select(*orders.columns)
+    lines = src["sales_order_detail"].join(src["product"].select("ProductID"), "ProductID", "left_semi")
+    once = lines.groupBy("SalesOrderID", "ProductID").agg(F.max("SalesOrderDetailID").alias("SalesOrderDetailID"))
+    src["sales_order_detail"] = (lines.join(once.select("SalesOrderDetailID"), "SalesOrderDetailID", "left_semi")
+                                 .select(*src["sales_order_detail"].columns))
+    return {n: df.withColumn("ModifiedDate", now) for n, df in src.items()}
+
+
 # Fixed values of the two customer snapshots used by the history operators.
 SNAPSHOT_1_AT = "2001-01-01 00:00:00"
 SNAPSHOT_2_AT = "2001-06-01 00:00:00"
