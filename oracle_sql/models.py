@@ -28,6 +28,7 @@ def model_sql() -> dict[str, str]:
             UNION ALL SELECT 'dim_customer_metrics', count(*), sum(total_orders) FROM dim_customer_metrics
             UNION ALL SELECT 'fct_product_performance', count(*), sum(total_orders) FROM fct_product_performance)""",
             "table_name:s n_rows:i orders:i"),
+        "customers_by_name": _model("stg_customers"),
         # refreshed marts equal the full ones
         "customer_metrics_refresh": _model("dim_customer_metrics", CUSTOMER),
         "product_performance_refresh": _model("fct_product_performance", PRODUCT),

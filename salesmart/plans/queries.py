@@ -182,6 +182,26 @@ def _report_query(name: str) -> Query:
     return run
 
 
+#: How the sources of ``customers_by_name`` are stored.
+STORED_AS = {"customer": ("orc", {}), "person": ("csv", {"header": "true"})}
+
+
+def customers_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1: MOD-1 from sources that are stored as ORC and CSV and read by their logical names."""
+    from salesmart.plans import staging
+    from salesmart.sources import conform
+    from salesmart.sources.specs import default_specs, load_sources
+    root, src = _publish_root(spark, "sources"), conform.sources(spark, sf_dir)
+    specs = default_specs(root)
+    for name, (fmt, options) in STORED_AS.items():
+        specs[name] = specs[name].with_override(fmt=fmt, path=f"{root}/{name}.{fmt}", options=options)
+        src[name].write.format(fmt).options(**options).save(specs[name].path)
+    csv = specs["person"].options | {"emptyValue": "", "nullValue": "\\N"}
+    specs["person"] = specs["person"].with_override(options=csv)
+    found = load_sources(spark, {n: specs[n] for n in STORED_AS})
+    return comparable(staging.stg_customers(found["customer"], found["person"]))
+
+
 def _revenue_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.plans.reports import revenue_since
     return comparable(revenue_since(spark, models_on_testdata(spark, sf_dir, TEST_AS_OF)))
@@ -196,6 +216,7 @@ def report_queries() -> dict[str, Query]:
     from salesmart.plans.reports import REPORTS
     out = {n: _report_query(n) for n in REPORTS}
     out["revenue_since"] = _revenue_since
+    out["customers_by_name"] = customers_by_name
     out["event_value_dollars"] = _event_value_dollars
     return out
 
