@@ -4,8 +4,12 @@ A word's vector is the sum of hashed vectors: two hashes of the word and one
 of each of its first four and five characters, so that inflected forms share
 what they begin with and single collisions stay weak.  Filters of several
 widths run over the words, each keeps its maximum over the whole text, and a
-dense layer gives the score.  Training is numpy stochastic gradient descent on
-a bounded labelled sample: only the position that won each maximum learns.
+dense layer gives the score.  Training is numpy stochastic gradient descent by
+mini-batches on a bounded labelled sample, from a random start that has seen no
+label.  A maximum teaches the one position that won it, and the first winners
+are chance; so it starts as a smooth maximum (a logarithm of mean exponentials),
+which teaches all positions, is sharpened from epoch to epoch, and is the plain
+maximum in the last ones.
 
 A filter is linear before its maximum, so a word's share in every filter
 position is computed once and cached; a text is then lookups, sums and maxima.
@@ -32,6 +36,9 @@ FOLDS = 3
 MISS = 2.0
 #: Training documents that must hold a bucket before it gets a vector.
 SEEN_IN = 4
+#: Spread of the random start; documents of a mini-batch; sharpness of the smooth maximum in its first and last epoch,
+#: and epochs with the plain maximum after them.
+START, BATCH, SHARPNESS, PLAIN_EPOCHS = 0.3, 24, (1.0, 20.0), 2
 #: Words that a worker keeps projections of; the cache starts anew when it is full.
 CACHE_WORDS = 150_000
 #: Word positions convolved at a time, so that very long texts need little memory.
@@ -99,26 +106,8 @@ class Model:
         return float(1 / (1 + np.exp(-max(-500.0, min(500.0, z)))))
 
 
-def _start(texts: list[np.ndarray], y: np.ndarray, buckets: int, dim: int, rng) -> tuple[np.ndarray, np.ndarray]:
-    """First vectors, and which buckets may hold one: those of ``SEEN_IN`` documents or more.
-
-    The first coordinate is the log ratio of a bucket's document shares by
-    class, the others are small noise.  Rarer buckets stay zero, so that a word
-    of one training document cannot stand for its class.
-    """
-    seen = np.zeros((2, buckets), np.float32)
-    for t, label in zip(texts, y):
-        seen[int(label), np.unique(t)] += 1
-    n = np.array([(y == 0).sum(), (y == 1).sum()])[:, None]
-    share = (seen + 0.5) / (n + 1)
-    often = seen.sum(axis=0) >= SEEN_IN
-    vectors = rng.normal(0, 0.05, (buckets, dim)).astype(np.float32)
-    vectors[:, 0] = np.log(share[1] / share[0]) / 4
-    return vectors * often[:, None], often
-
-
 def train(sample: list[tuple[str, int]], counts: dict[int, int], buckets: int = BUCKETS, dim: int = 8,
-          per_width: int = 6, epochs: int = 4, rate: float = 0.05, seed: int = 11) -> Model:
+          per_width: int = 8, epochs: int = 6, rate: float = 0.1, seed: int = 11) -> Model:
     """The network of the whole sample, its bias set so that 0.5 parts texts it has not seen best.
 
     The cut comes from ``FOLDS`` networks, each scoring the part of the sample
@@ -147,11 +136,43 @@ def train(sample: list[tuple[str, int]], counts: dict[int, int], buckets: int =
     return model
 
 
+class _Adaptive:
+    """Parameters with a step size of their own for each (AdaGrad)."""
+
+    def __init__(self, value: np.ndarray):
+        self.value, self.seen = value, np.full(value.shape, 1e-3, np.float32)
+
+    def learn(self, gradient, step: float, at=slice(None)) -> None:
+        self.seen[at] += gradient * gradient
+        self.value[at] -= step * gradient / np.sqrt(self.seen[at])
+
+
+def _pool(total: np.ndarray, text: np.ndarray, sharpness: float | None):
+    """Each text's (smooth) maximum over its positions by filter, and each position's share in it.
+
+    Returns the texts that have positions, the maxima, each position's place
+    among these texts, and the shares; without sharpness the maximum is plain.
+    """
+    first = np.flatnonzero(np.diff(text, prepend=-1))
+    count = np.diff(np.append(first, len(text)))
+    place = np.repeat(np.arange(len(first)), count)
+    most = np.maximum.reduceat(total, first)
+    if sharpness is None:
+        share = (total == most[place]).astype(np.float32)
+        return text[first], most, place, share / np.add.reduceat(share, first)[place]
+    raised = np.exp(sharpness * (total - most[place]))
+    whole = np.add.reduceat(raised, first)
+    return text[first], most + np.log(whole / count[:, None]) / sharpness, place, raised / whole[place]
+
+
 def _descend(sample: list[tuple[str, int]], buckets: int, dim: int, per_width: int, epochs: int, rate: float,
              seed: int) -> Model:
-    """Stochastic gradient descent, one document a step."""
+    """Stochastic gradient descent by mini-batches; the classes weigh the same.  No epochs: the random start.
+
+    Only buckets in ``SEEN_IN`` documents or more hold a vector, so that a word
+    of one training document cannot stand for its class.
+    """
     rng = np.random.default_rng(seed)
-    shape = [(w, dim, per_width) for w in WIDTHS]
     y = np.array([label for _, label in sample], np.float32)
     of_word: dict[str, tuple] = {}
     texts = []
@@ -160,46 +181,69 @@ def _descend(sample: list[tuple[str, int]], buckets: int, dim: int, per_width: i
         for w in set(own).difference(of_word):
             of_word[w] = word_buckets(w, buckets)
         texts.append(np.array([of_word[w] for w in own], np.int64).reshape(-1, 2 + len(STEMS)))
-    vectors, often = _start(texts, y, buckets, dim, rng)
-    filters = [rng.normal(0, 0.1, s).astype(np.float32) for s in shape]
-    for f in filters:
-        f[:, 0, :] += 0.5  # every filter starts as a weak detector of the first coordinate
-    biases = [np.full(per_width, -0.5, np.float32) for _ in shape]
-    dense = np.full(per_width * len(shape), 1 / len(shape) / per_width, np.float32) * 4
-    bias = -1.0
+    documents = np.zeros(buckets, np.int64)
+    for t in texts:
+        documents[np.unique(t)] += 1
+    often = documents >= SEEN_IN
+    vectors = _Adaptive((rng.normal(0, START, (buckets, dim)) * often[:, None]).astype(np.float32))
+    filters = [_Adaptive(rng.normal(0, START, (w, dim, per_width)).astype(np.float32)) for w in WIDTHS]
+    biases = [_Adaptive(np.full(per_width, 0.1, np.float32)) for _ in WIDTHS]
+    dense, bias = _Adaptive(rng.normal(0, START, per_width * len(WIDTHS)).astype(np.float32)), _Adaptive(np.zeros(1, np.float32))
+    weight = np.where(y == 1, len(y) / (2 * max(1, y.sum())), len(y) / (2 * max(1, (1 - y).sum()))).astype(np.float32)
+    smooth = epochs - PLAIN_EPOCHS
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
-        for i in rng.permutation(len(y)):
-            own = vectors[texts[i]].sum(axis=1)
-            if not len(own):
-                continue
-            pooled, won = [], []
-            for f, b in zip(filters, biases):
-                n = len(own) - f.shape[0] + 1
-                if n <= 0:
-                    pooled.append(np.zeros(per_width, np.float32))
-                    won.append(None)
-                    continue
-                total = sum(own[k:k + n] @ f[k] for k in range(f.shape[0]))
-                at = total.argmax(axis=0)
-                pooled.append(np.maximum(0, total[at, np.arange(per_width)] + b))
-                won.append(at)
-            hidden = np.concatenate(pooled)
-            error = 1 / (1 + np.exp(-(hidden @ dense + bias))) - y[i]
-            back = (error * dense).reshape(len(filters), per_width)
-            dense = dense - step * error * hidden
-            bias -= step * error
-            for k, (f, b, at) in enumerate(zip(filters, biases, won)):
-                for j in range(per_width if at is not None else 0):
-                    if pooled[k][j] > 0:
-                        g, here = step * back[k, j], slice(at[j], at[j] + f.shape[0])
-                        window = texts[i][here]
-                        f_j = f[:, :, j].copy()
-                        f[:, :, j] -= g * own[here]
-                        b[j] -= g
-                        for p in range(f.shape[0]):
-                            vectors[window[p]] -= g * f_j[p] * often[window[p], None]
-    return Model(vectors, filters, biases, dense, float(bias))
+        low, high = SHARPNESS
+        sharpness = low * (high / low) ** (epoch / max(1, smooth - 1)) if epoch < smooth else None
+        order = rng.permutation(len(y))
+        for cut in range(0, len(order), BATCH):
+            batch = [i for i in order[cut:cut + BATCH] if len(texts[i])]
+            if batch:
+                _step([texts[i] for i in batch], y[batch], weight[batch], vectors, filters, biases, dense, bias, often,
+                      step, sharpness)
+    return Model(vectors.value, [f.value for f in filters], [b.value for b in biases], dense.value, float(bias.value[0]))
+
+
+def _step(texts: list[np.ndarray], y: np.ndarray, weight: np.ndarray, vectors: _Adaptive, filters: list[_Adaptive],
+          biases: list[_Adaptive], dense: _Adaptive, bias: _Adaptive, often: np.ndarray, step: float,
+          sharpness: float | None) -> None:
+    """One mini-batch: forward over all its positions at once, and back to filters and vectors."""
+    ids = np.concatenate(texts)
+    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    own, per_width, hidden, found = vectors.value[ids].sum(axis=1), len(biases[0].value), [], []
+    for f, b in zip(filters, biases):
+        width, pooled = len(f.value), np.zeros((len(texts), per_width), np.float32)
+        n = len(ids) - width + 1
+        # windows that lie in one text
+        at = np.flatnonzero(text[:n] == text[width - 1:]) if n > 0 else np.zeros(0, np.int64)
+        if len(at):
+            total = sum(own[at + k] @ f.value[k] for k in range(width))
+            have, most, place, share = _pool(total, text[at], sharpness)
+            pooled[have] = np.maximum(0, most + b.value)
+            found.append((at, have, place, share, most + b.value > 0))
+        else:
+            found.append(None)
+        hidden.append(pooled)
+    hidden = np.concatenate(hidden, axis=1)
+    chance = 1 / (1 + np.exp(-np.clip(hidden @ dense.value + bias.value, -50, 50)))
+    error = ((chance - y) * weight / len(y)).astype(np.float32)
+    back, down = error[:, None] * dense.value, np.zeros_like(own)
+    dense.learn(hidden.T @ error, step)
+    bias.learn(error.sum(keepdims=True), step)
+    for k, (f, b, one) in enumerate(zip(filters, biases, found)):
+        if one is None:
+            continue
+        at, have, place, share, live = one
+        pull = back[have, k * per_width:(k + 1) * per_width] * live
+        part = share * pull[place]
+        turn = np.stack([own[at + j].T @ part for j in range(len(f.value))])
+        for j in range(len(f.value)):
+            down[at + j] += part @ f.value[j].T
+        f.learn(turn, step)
+        b.learn(pull.sum(axis=0), step)
+    rows, which = np.unique(ids.reshape(-1), return_inverse=True)
+    each = np.stack([np.bincount(which, weights=np.repeat(c, ids.shape[1]), minlength=len(rows)) for c in down.T], axis=1)
+    vectors.learn((each * often[rows, None]).astype(np.float32), step, rows)
 
 
 def _logits(model: Model, texts: list[list[str]]) -> np.ndarray:
@@ -233,7 +277,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class
 def scores(documents: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """(doc_id, lang, held_out, score, predicted) for every row; ``lang`` is carried, not used.
 
-    Null and blank texts leave every filter at zero; a null doc_id is not held out.
+    Null and blank texts leave every filter at zero; a null doc_id is not held
+    out; without a column ``lang`` it is null.
     """
     known = documents.sparkSession.sparkContext.broadcast(model)  # 4 * dim bytes a bucket
 
@@ -248,7 +293,8 @@ def scores(documents: DataFrame, model: Model, threshold: float = 0.5) -> DataFr
                     "predicted": [int(s >= threshold) for s in got]}
         return work
 
-    return map_rows(documents.select("doc_id", "lang", held_out(F.col("doc_id")).alias("held_out"), "text"),
+    lang = F.col("lang") if "lang" in documents.columns else F.lit(None).cast("string")
+    return map_rows(documents.select("doc_id", lang.alias("lang"), held_out(F.col("doc_id")).alias("held_out"), "text"),
                     "doc_id long, lang string, held_out boolean, score double, predicted int", make)
 
 

@@ -122,9 +122,10 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
     """A bounded training sample of whole texts and the label counts of all learnable rows.
 
     The ``per_class`` ids of each class with the smallest id hash are taken from
-    the labels alone; only their texts are read to the driver.  Texts over
-    ``max_chars`` characters are left out of the sample (never out of scoring),
-    which bounds the driver's memory.  Held-out rows are not used.
+    the labels alone; only their texts are read to the driver, of an id that
+    several rows have the one with the least text hash.  Texts over ``max_chars``
+    characters are left out of the sample (never out of scoring).  So the driver
+    gets ``2 * per_class`` texts of ``max_chars`` at most.  Held-out rows are not used.
     """
     known = (labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label"))
              .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -140,6 +141,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
     picked = spark.createDataFrame(rows, "doc_id long, label int")
     texts = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
              .where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-             .join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label").collect())
+             .join(F.broadcast(picked), "doc_id").groupBy("doc_id")
+             .agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label")).collect())
     texts.sort(key=lambda r: (r["doc_id"], r["text"]))
     return [(r["text"], r["label"]) for r in texts], counts

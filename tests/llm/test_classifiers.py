@@ -82,6 +82,89 @@ def test_convolution_equals_the_plain_form():
         assert model.score(text) == pytest.approx(want, abs=1e-4)
 
 
+def test_smooth_maximum_and_its_shares():
+    rng = np.random.default_rng(3)
+    total, text = rng.normal(size=(9, 2)).astype(np.float32), np.array([0, 0, 0, 2, 2, 2, 2, 2, 5])
+    for sharpness in (0.5, 20.0, None):
+        have, most, place, share = C._pool(total, text, sharpness)
+        assert have.tolist() == [0, 2, 5] and place.tolist() == [0] * 3 + [1] * 5 + [2]
+        for k, d in enumerate(have):
+            own = total[text == d].astype(float)
+            want = own.max(axis=0) if sharpness is None else np.log(np.exp(sharpness * own).mean(axis=0)) / sharpness
+            assert most[k] == pytest.approx(want, abs=1e-5)
+            assert share[text == d].sum(axis=0) == pytest.approx([1, 1], abs=1e-5)
+
+
+def test_gradients_are_those_of_the_loss():
+    """A step against a numerical derivative: the seen squares of a first step give the gradient's size."""
+    rng = np.random.default_rng(4)
+    texts, y, weight = [rng.integers(0, 16, (n, 4)) for n in (5, 1, 7)], np.array([1, 0, 1], np.float32), np.ones(3, np.float32)
+
+    def parts():
+        r = np.random.default_rng(5)
+        return (C._Adaptive(r.normal(size=(16, 3))), [C._Adaptive(r.normal(size=(w, 3, 2))) for w in C.WIDTHS],
+                [C._Adaptive(r.normal(size=2)) for _ in C.WIDTHS], C._Adaptive(r.normal(size=6)), C._Adaptive(np.zeros(1)))
+
+    def loss(v, f, b, d, bias):
+        out = 0.0
+        for t, label in zip(texts, y):
+            own, hidden = v[t].sum(axis=1), []
+            for one, c in zip(f, b):
+                n = len(own) - len(one) + 1
+                total = sum(own[k:k + n] @ one[k] for k in range(len(one))) if n > 0 else None
+                hidden.append(np.maximum(0, np.log(np.exp(2.0 * total).mean(axis=0)) / 2.0 + c) if n > 0 else np.zeros(2))
+            z = np.concatenate(hidden) @ d + bias[0]
+            out += np.logaddexp(0, -z) if label else np.logaddexp(0, z)
+        return out / len(y)
+
+    v, f, b, d, bias = parts()
+    C._step(texts, y, weight, v, f, b, d, bias, np.ones(16, bool), 0.0, 2.0)
+    for which, at in (("v", (3, 1)), ("v", (9, 0)), ("f", (1, 1, 0)), ("d", (2,)), ("b", (1,))):
+        v0, f0, b0, d0, bias0 = parts()
+        value, seen = {"v": (v0.value, v.seen), "f": (f0[1].value, f[1].seen), "d": (d0.value, d.seen), "b": (b0[0].value, b[0].seen)}[which]
+        ends = []
+        for move in (1e-5, -2e-5):
+            value[at] += move
+            ends.append(loss(v0.value, [x.value for x in f0], [x.value for x in b0], d0.value, bias0.value))
+        want = abs(ends[0] - ends[1]) / 2e-5
+        assert np.sqrt(seen[at] - np.float32(1e-3)) == pytest.approx(want, abs=2e-3, rel=2e-2)
+
+
+def _area(z, y):
+    """Area under the curve by ranks."""
+    rank = np.empty(len(z))
+    rank[np.argsort(z, kind="stable")] = np.arange(len(z))
+    n1 = y.sum()
+    return (rank[y == 1].sum() - n1 * (n1 - 1) / 2) / (n1 * (len(y) - n1))
+
+
+def test_training_carries_the_toxicity_score():
+    """Held-out rows of sf0.1: the random start is near chance, the trained network far from it."""
+    import zlib
+
+    import pyarrow.parquet as pq
+    sf = "/root/testdata/sf0.1"
+    docs = pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pandas()
+    rows = docs.merge(pq.read_table(f"{sf}/labels.parquet").to_pandas()[["doc_id", "toxic"]].dropna(), on="doc_id")
+    out = np.array([zlib.crc32(str(i).encode()) % 5 == 0 for i in rows.doc_id])
+    learn, test = rows[~out & (rows.text.str.len() <= 50_000)], rows[out]
+    sample = [(t, 1) for t in learn[learn.toxic == 1].text] + [(t, 0) for t in learn[learn.toxic == 0].text[:1200]]
+    y, texts = test.toxic.to_numpy().astype(int), [C.words(t) for t in test.text]
+    options = dict(buckets=C.BUCKETS, dim=8, per_width=8, rate=0.1, seed=11)
+    start = _area(C._logits(C._descend(sample, epochs=0, **options), texts), y)
+    trained = _area(C._logits(C._descend(sample, epochs=6, **options), texts), y)
+    assert 0.4 < start < 0.6 and trained > 0.95
+
+
+def test_no_language_column_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 3} other{i % 2} text") for i in range(40)] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    got = C.toxicity(docs, labels).collect()
+    assert len(got) == 80 and all(r.lang is None for r in got)
+    sample, _ = labelled_sample(docs, labels, "toxic", 100, 1000)
+    assert len(sample) == labels.where("crc32(string(doc_id)) % 5 <> 0").count()  # one text an id
+
+
 def test_a_full_cache_changes_no_score(monkeypatch):
     rng = np.random.default_rng(2)
     texts = [" ".join(f"w{i}" for i in rng.integers(0, 200, 30)) for _ in range(20)]
