@@ -12,7 +12,8 @@ documents' other tokens that models of these samples call more ordinary than
 random: they have no label, and a bare key among them must not be learnt as
 ordinary.  Strings and identifiers are drawn from fixed seeds.  The cut is set
 from other identifiers: a margin above a high quantile of theirs.  No token of
-the documents sets it.
+the documents sets it.  The ratio decides on every token of ``least_length``
+characters or more, but for UUIDs: these are identifiers by policy.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import string
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +41,26 @@ _HEX = re.compile(r"[0-9a-f]{32,}")  # same spans as all runs of 32 and more
 _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "markov")
 
-#: A token that the models judge: all of a run of these characters, whatever else touches it.
-_TOKEN = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9_])")
+#: The shortest token that is judged by default.
+LEAST_LENGTH = 16
+
+
+def _token_pattern(least_length: int) -> re.Pattern:
+    """A token that the models judge: all of a run of these characters, whatever else touches it."""
+    return re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9+/_=-]{%d,}(?![A-Za-z0-9_])" % least_length)
+
+
 #: What they may learn as ordinary: shorter tokens too.
 _LEARNT = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9+/_=-]{4,}(?![A-Za-z0-9_])")
 _ALPHABETS = (string.hexdigits[:16], string.ascii_uppercase + "234567", string.ascii_letters + string.digits,
               string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_",
-              string.ascii_lowercase + string.digits)
+              string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits, string.ascii_lowercase,
+              string.ascii_uppercase)
 _CODE = {c: i for i, c in enumerate(string.ascii_letters + string.digits + "+/_=-.")}
 _EDGE = len(_CODE)
 #: A token that is surely ordinary: a word too short to be judged, of one case but for its first letter; and no letters.
-_PLAIN = re.compile(r"[A-Za-z]?[a-z]{1,18}|[A-Z]{1,19}")
+_PLAIN = re.compile(r"[A-Za-z]?[a-z]{1,14}|[A-Z]{1,15}")
+_UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
 _NUMBER = re.compile(r"[0-9+/_=-]+")
 #: Words besides the documents' own, which may have none.
 _COMMON = """about access account action address after amount array author base before block body build cache call change
@@ -88,8 +99,9 @@ def join_spans(spans: Iterable[Span]) -> str:
 class Models:
     """``ratio[a, b]``: log likelihood of b after a among random strings less that among ordinary ones."""
 
-    def __init__(self, ratio: np.ndarray, per_char: float, least: float):
-        self.ratio, self.per_char, self.least = ratio.tolist(), per_char, least
+    def __init__(self, ratio: np.ndarray, per_char: float, least: float, least_length: int = LEAST_LENGTH):
+        self.ratio, self.per_char, self.least, self.least_length = ratio.tolist(), per_char, least, least_length
+        self._token = _token_pattern(least_length)
 
     def evidence(self, token: str) -> float:
         """Log likelihood ratio of the whole token, its start and end included."""
@@ -101,8 +113,8 @@ class Models:
         return total + ratio[at][_EDGE]
 
     def is_secret(self, token: str) -> bool:
-        if token.isalpha() and (token.islower() or token.isupper()) or not any(map(str.isalnum, token)):
-            return False  # one case and no digit: a word, or a ruled line
+        if _UUID.fullmatch(token) or not any(map(str.isalnum, token)):
+            return False  # an identifier by policy, or a ruled line
         got = self.evidence(token)
         return got >= self.least and got >= self.per_char * len(token)
 
@@ -111,7 +123,7 @@ class Models:
         found = known_spans(text)
         taken = sorted((a, b) for _, a, b in found)
         starts = [a for a, _ in taken]
-        for m in _TOKEN.finditer(text):
+        for m in self._token.finditer(text):
             if self.is_secret(m[0]):
                 i = bisect_left(starts, m.end())
                 if not any(b > m.start() for _, b in taken[:i]):
@@ -134,45 +146,81 @@ def _log(counts: np.ndarray) -> np.ndarray:
     return np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
-def random_strings(count: int = 6000, seed: int = 13) -> list[str]:
+def random_strings(count: int = 9000, seed: int = 13) -> list[str]:
+    """Random strings of 16 to 48 characters over the usual alphabets, in turn."""
     rng = random.Random(seed)
-    return ["".join(rng.choices(_ALPHABETS[i % len(_ALPHABETS)], k=rng.randint(20, 48))) for i in range(count)]
+    return ["".join(rng.choices(_ALPHABETS[i % len(_ALPHABETS)], k=rng.randint(16, 48))) for i in range(count)]
+
+
+_ACRONYMS = ("HTTP", "XML", "URL", "API", "ID", "JSON", "SQL", "UI", "IO", "AST", "CSS", "CPU", "TCP", "UTF8", "DB")
+_SYSTEM = ("/usr/lib", "/etc", "/var/log", "/opt", "lib", "src", "x86_64-linux-gnu", "v1", "v2beta1", "k8s-io", "amd64", "arm64",
+           "node_modules", "python3", "libstdc", "utf-8", "sha256", "tmp", "bin")
+_ENDS = ("csv", "json", "py", "txt", "log", "gz", "html", "so")
 
 
-def identifiers(words: list[str], count: int = 6000, seed: int = 17) -> list[str]:
-    """Ordinary identifiers in the usual styles, made of the given words: snake, kebab, path, camel, numbered."""
+def identifiers(words: list[str], count: int = 12_000, seed: int = 17) -> list[str]:
+    """Ordinary identifiers in the usual styles, made of the given words.
+
+    In turn: snake, kebab, path, capitals in camel case, numbered; lower camel
+    case, camel case with acronyms, upper snake with numbers, system paths with
+    files, versions, timestamps with a name, and words run together.
+    """
     if not words:
         return []
     rng, out = random.Random(seed), []
     for i in range(count):
         own = [w.strip("+/_=-") for w in rng.choices(words, k=rng.randint(2, 6))]
-        own = [w.lower() for w in own if w]
-        style = i % 5
-        name = {0: "_", 1: "-", 2: "/"}.get(style, "").join(w.capitalize() if style == 3 else w for w in own)
-        out.append(f"{'-'.join(own)}-{rng.randint(1, 2030)}" if style == 4 else name)
+        own = [w.lower() for w in own if w] or ["name"]
+        style = i % 12
+        if style < 3:
+            name = "_-/"[style].join(own)
+        elif style == 3:
+            name = "".join(w.capitalize() for w in own)
+        elif style == 4:
+            name = f"{'-'.join(own)}-{rng.randint(1, 2030)}"
+        elif style == 5:
+            name = own[0] + "".join(w.capitalize() for w in own[1:])
+        elif style == 6:
+            at = rng.randrange(len(own) + 1)
+            name = "".join(w.capitalize() for w in own[:at]) + rng.choice(_ACRONYMS) + "".join(w.capitalize() for w in own[at:])
+        elif style == 7:
+            name = "_".join(own).upper() + rng.choice(("", f"_{rng.randint(0, 64)}"))
+        elif style == 8:
+            name = f"{rng.choice(_SYSTEM)}/{rng.choice(_SYSTEM)}/{'_'.join(own[:2])}-{rng.choice(_ENDS)}"
+        elif style == 9:
+            name = f"{'-'.join(own[:3])}-{rng.choice(_SYSTEM)}-{rng.randint(0, 20)}-{rng.randint(0, 99)}-{rng.randint(0, 9)}"
+        elif style == 10:
+            stamp = f"{rng.randint(1990, 2030)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}"
+            if rng.random() < 0.6:
+                stamp += f"T{rng.randint(0, 23):02d}-{rng.randint(0, 59):02d}-{rng.randint(0, 59):02d}-{rng.randint(0, 999):03d}Z"
+            name = f"{stamp}-{'-'.join(own[:2])}"
+        else:
+            name = "".join(own)
+        out.append(name)
     return out
 
 
-def _judged(token: str) -> bool:
-    return len(token) >= 20 and not (token.isalpha() and (token.islower() or token.isupper()))
-
-
-def train(secrets: list[str], tokens: list[str], margin: float = 0.15) -> Models:
+def train(secrets: list[str], tokens: list[str], margin: float = 0.05, least_length: int = LEAST_LENGTH) -> Models:
     """Models from random strings and the tokens of documents, which may hold secrets without a known form.
 
     The limit a character lies ``margin`` above what one in a thousand fresh
-    identifiers reaches, and never under 0.4; the sum must reach 12 (a ratio of over 100,000).
+    identifiers of ``least_length`` characters or more reaches, made of words
+    that the models have not learnt, and never under zero; the sum must reach 12 (a ratio of over 100,000).
     """
     plain = [t for t in tokens if _PLAIN.fullmatch(t)]
-    words = plain + _COMMON
+    # the documents' words and common English ones; the limit is for words that were not learnt
+    learnt, others = ([[w for w in ws if (crc32(w.lower().encode()) % 3 == 2) == out] for ws in (plain, _COMMON)]
+                      for out in (False, True))
     random_ = _log(_counts(secrets))
-    sure = _counts(words + [t for t in tokens if _NUMBER.fullmatch(t)] + identifiers(words))
-    first = Models(random_ - _log(sure), 0.4, 12.0)
+    sure = _counts([t for t in tokens if _NUMBER.fullmatch(t)] + [t for ws in learnt for t in ws + identifiers(ws)])
+    first = Models(random_ - _log(sure), 0.0, 12.0)
     mixed = Counter(t for t in tokens if not (_PLAIN.fullmatch(t) or _NUMBER.fullmatch(t)))
     ratio = random_ - _log(sure + _counts(t for t, n in mixed.items() if first.evidence(t) < 0 for _ in range(n)))
-    own = Models(ratio, 0.4, 12.0)
-    fresh = [own.evidence(t) / len(t) for t in identifiers(words, seed=19) if _judged(t)]
-    own.per_char = max(0.4, float(np.quantile(fresh, 0.999)) + margin)
+    own = Models(ratio, 0.0, 12.0, least_length)
+    for ws in others:
+        fresh = [own.evidence(t) / len(t) for t in identifiers(ws, seed=19) if len(t) >= least_length]
+        if fresh:
+            own.per_char = max(own.per_char, float(np.quantile(fresh, 0.999)) + margin)
     return own
 
 
@@ -193,16 +241,20 @@ def samples_of(texts: Iterable[str]) -> tuple[list[str], list[str]]:
     return secrets, tokens
 
 
-def fit(documents: DataFrame, rows: int = 1500, max_chars: int = 20_000) -> Models:
-    """Train from at most ``rows`` documents (least hash of their id) of at most ``max_chars`` characters each."""
+def fit(documents: DataFrame, rows: int = 1500, max_chars: int = 20_000, least_length: int = LEAST_LENGTH) -> Models:
+    """Train from at most ``rows`` documents (least hash of their id) of at most ``max_chars`` characters each.
+
+    Of an id that several rows have, the text with the least hash is taken.
+    """
     ids = [r["doc_id"] for r in documents.select("doc_id").where("doc_id IS NOT NULL").distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()]
     spark = documents.sparkSession
     picked = spark.createDataFrame([(i,) for i in ids], "doc_id long")
     texts = [r["text"] for r in documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-             .where(F.length("text") <= max_chars).join(F.broadcast(picked), "doc_id").select("text").distinct().collect()]
+             .where(F.length("text") <= max_chars).join(F.broadcast(picked), "doc_id").groupBy("doc_id")
+             .agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text").distinct().collect()]
     secrets, tokens = samples_of(sorted(texts))
-    return train(secrets + random_strings(), tokens)
+    return train(secrets + random_strings(), tokens, least_length=least_length)
 
 
 def secret_spans(documents: DataFrame, models: Models) -> DataFrame:

@@ -81,7 +81,7 @@ def test_letters_beyond_ascii_hide_no_token(models, before, after):
 
 
 def test_ascii_word_characters_still_bound_a_token(models):
-    assert models.spans(f"{KEY}.") == [("markov", 0, len(KEY))] and models.spans("é" + KEY[:19] + "é") == []
+    assert models.spans(f"{KEY}.") == [("markov", 0, len(KEY))] and models.spans("é" + KEY[:M.LEAST_LENGTH - 1] + "é") == []
 
 
 def test_accented_words_are_no_secrets(models):
@@ -121,3 +121,35 @@ def test_masked_joins_overlaps():
 def test_empty_table_and_no_ids(spark, models):
     none = brute.empty_documents(spark)
     assert M.secret_spans(none, M.fit(none)).count() == 0 and M.mask_secrets(none, models).count() == 0
+
+
+#: Code-like strings that are no secrets.
+CODE = """getHTTPResponseCodeFromXMLParserFactory AbstractSingletonProxyFactoryBean INT_MAX_VALUE_OVERFLOW_CHECK_2
+/usr/lib/x86_64-linux-gnu/libstdc 2024-01-15T12-30-45-000Z-backup-file v1beta1-apiextensions-k8s-io-crd
+org/apache/commons/lang3/StringUtils test_should_return_none_when_empty getUserByIdAndName MAX_RETRY_COUNT_DEFAULT
+application/vnd-openxmlformats java-util-concurrent-ThreadPoolExecutor internationalization
+pneumonoultramicroscopicsilicovolcanoconiosis donaudampfschifffahrtsgesellschaft com-google-protobuf-GeneratedMessageV3
+numpy-core-multiarray_umath-cpython-313 addEventListenerForClickOutside WM_WINDOWPOSCHANGING_HANDLER
+Antidisestablishmentarianism SomeVeryLongClassNameForTesting2 2021-03-04_05-06-07_results""".split()
+
+
+@pytest.mark.parametrize("length", (16, 20, 24, 32, 40))
+def test_recall_by_alphabet_and_length(models, length):
+    for n, chars in enumerate(M._ALPHABETS):
+        rng = random.Random(100 * length + n)
+        fresh = ["".join(rng.choices(chars, k=length)) for _ in range(300)]
+        assert sum(map(models.is_secret, fresh)) >= (0.94 if length < 24 else 0.98) * len(fresh), chars
+
+
+def test_code_like_strings_are_no_secrets(models):
+    assert [t for t in CODE if models.is_secret(t)] == []
+
+
+def test_uuids_are_identifiers_by_policy(models):
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    assert models.spans(f"id {uuid} and {uuid.upper()}") == [] and models.is_secret(uuid[:-1] + "xQ7")
+
+
+def test_the_shortest_judged_length_is_a_parameter():
+    long = M.train(M.random_strings(), [], least_length=30)
+    assert long.spans(f"a {KEY} b") == [] and long.spans(f"a {KEY + KEY[::-1]} b")
