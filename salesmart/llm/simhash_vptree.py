@@ -24,13 +24,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import fresh, map_arrow, map_rows, stored, text_key
+from salesmart.llm.common import broadcast_if_small, fresh, map_arrow, map_rows, stored, text_key
 from salesmart.llm.components import components
 
 #: Shingles hashed, or fingerprints compared, at a time, so that memory stays small.
 _CHUNK = 1 << 15
 _LEAF = 256
 _SEED = 20
+#: Classes with more than this part of all rows are joined by broadcast.
+HOT = 1024
 
 
 def fingerprint(text: str | None, shingle_words: int = 4) -> int:
@@ -203,15 +205,21 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 4, max_distance:
     with no id at all has a null component_id.  Repeated rows stay repeated.
     """
     docs = stored(fingerprints(documents, shingle_words), "fingerprints")
-    classes = stored(docs.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "classes")
+    classes = stored(docs.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("rows")), "classes")
     member = stored(components(near_links(classes, max_distance)), "members").withColumnRenamed("node", "fp")
     grouped = member.join(classes, "fp")
     ids = grouped.groupBy("root").agg(F.min("least_id").alias("group_id"))
     named = member.join(ids, "root")
     of_class = classes.join(named, "fp", "left").select(
         "fp", F.when(F.col("root").isNull(), F.col("least_id")).otherwise(F.col("group_id")).alias("component_id"),
-        F.coalesce("root", "fp").alias("component_fp"))
-    return docs.join(of_class, "fp").select("doc_id", "text_key", "fp", "component_id", "component_fp")
+        F.coalesce("root", "fp").alias("component_fp"), "rows")
+    # a much-copied text is one class: those with more than 1/HOT of all rows are fewer than HOT, and go to every task
+    total = docs.count()
+    of_class = stored(of_class.withColumn("hot", F.col("rows") * HOT > F.lit(total)).drop("rows"), "groups")
+    hot = F.broadcast(of_class.where("hot").drop("hot"))
+    cold = docs.join(hot.select("fp"), "fp", "left_anti").join(of_class.where("NOT hot").drop("hot"), "fp")
+    columns = ["doc_id", "text_key", "fp", "component_id", "component_fp"]
+    return docs.join(hot, "fp").select(*columns).unionByName(cold.select(*columns))
 
 
 def keep_one(documents: DataFrame, shingle_words: int = 4, max_distance: int = 4) -> DataFrame:
@@ -222,12 +230,20 @@ def keep_one(documents: DataFrame, shingle_words: int = 4, max_distance: int = 4
     """
     columns = documents.columns
     own, id_, key, group, n = fresh(columns, "_own", "_id", "_key", "_group", "_n")
-    found = near_duplicates(documents, shingle_words, max_distance)
-    kept = stored(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .select(F.col("doc_id").alias(id_), F.col("text_key").alias(key),
-                          F.col("component_fp").alias(group)).distinct(), "kept")
-    joined = (documents.withColumn(own, text_key(F.col("text")))
-              .join(kept, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(key))))
+    found = stored(near_duplicates(documents, shingle_words, max_distance).select(
+        F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.col("component_fp").alias(group),
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias(n)), "found")
+    # rows of one id and text share a group, so ids and keys decide: texts move only if those that go are too many
+    gone = found.where(f"NOT {n}").select(id_, key).distinct()
+    named = found.where(n)
+    tied = named.groupBy(id_, group).agg(F.count("*").alias(n)).where(F.col(n) > 1).drop(n).select(
+        F.col(id_).alias("_i"), F.col(group).alias("_g"))
+    tied = named.join(tied, F.col(id_).eqNullSafe(F.col("_i")) & (F.col(group) == F.col("_g")), "left_semi")
+    gone, tied = (broadcast_if_small(stored(df, name)) for df, name in (
+        (gone, "gone"), (tied.select(id_, key, group).distinct(), "tied")))
+    rows = documents.withColumn(own, text_key(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(key))
+    clear = rows.join(gone, same, "left_anti").join(tied, same, "left_anti").select(*columns)
     order = [F.col(c) for c in ("text", "lang", "source", "n_chars") if c in columns]
     first = F.row_number().over(Window.partitionBy("doc_id", group).orderBy(*order))
-    return joined.withColumn(n, first).where(F.col(n) == 1).select(*columns)
+    return clear.unionByName(rows.join(tied, same).withColumn(n, first).where(F.col(n) == 1).select(*columns))
