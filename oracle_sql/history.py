@@ -82,6 +82,14 @@ def history_sql() -> dict[str, str]:
                           "WHERE customer_id NOT IN (SELECT customer_id FROM snap2))"), SNAP_KINDS),
         "scd2": project(w(SCD2), SCD2_KINDS),
         "scd2_merge": project(w(SCD2_LATE), SCD2_KINDS),
+        "scd2_blocks": project("""WITH v AS (
+            SELECT user_id, event_type, ts FROM events UNION ALL SELECT -1, event_type, ts FROM events),
+          i AS (SELECT user_id, ts, max(event_type) AS last_event FROM v GROUP BY 1, 2),
+          c AS (SELECT *, lag(last_event) OVER w IS NOT DISTINCT FROM last_event AND row_number() OVER w > 1 AS same
+                FROM i WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+          q AS (SELECT user_id, last_event, ts AS valid_from, lead(ts) OVER w AS valid_to, lead(ts) OVER w IS NULL AS is_current
+                FROM c WHERE NOT same WINDOW w AS (PARTITION BY user_id ORDER BY ts))""",
+            "user_id:i last_event:s valid_from:ts valid_to:ts is_current:b"),
         "scd3": project(w("""q AS (
             SELECT COALESCE(n.customer_id, o.customer_id) AS customer_id,
                    COALESCE(n.email, o.email) AS current_email,

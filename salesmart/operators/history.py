@@ -8,6 +8,7 @@ All operators take snapshots ``(key, tracked columns..., updated_at)``.
   ``scd2_history`` builds it from observed versions in one window pass (per
   key, ordered by time), ``scd2_merge`` puts one more snapshot into an
   existing history by the same pass;
+  ``scd2_history_blocks`` spreads keys with very many versions over tasks;
 * type 3 keeps the current and the previous value side by side;
 * type 4 splits current rows (type 1) from a separate history table.
 
@@ -74,6 +75,48 @@ def scd2_history(versions: DataFrame, key: list[str], tracked: list[str], ts: st
                        nxt.isNull().alias("is_current"))
 
 
+def _neighbour(ends: DataFrame, key: list[str], of) -> DataFrame:
+    """(key, block, _near): the end of the nearest block that has one; a window over a row a block, not a row a version."""
+    over = Window.partitionBy(*key).orderBy("_block")
+    return ends.select(*key, "_block", of("_end").over(over).alias("_near"), of(F.lit(True)).over(over).alias("_has")).filter("_has")
+
+
+def scd2_history_blocks(versions: DataFrame, key: list[str], tracked: list[str], ts: str = "updated_at",
+                        hours: int = 24) -> DataFrame:
+    """Type 2 as ``scd2_history``, for keys with so many versions that one task cannot order them.
+
+    A key's versions are ordered in blocks of ``hours``.  The last version of a
+    block is carried to the key's next block, to be compared with the first one
+    there; the first version kept in a block is carried back, to close the last
+    one kept before.  Both carries are found among one row for each key and
+    block, so no task orders more than the instants of one key in one block, or
+    the blocks of one key.  Versions at one instant are reduced to the greatest
+    before, in part where they are read.  Versions without a time count as one
+    instant before all others, null keys as one key.  For ordinary keys
+    ``scd2_history`` is cheaper: it has one exchange.
+    """
+    if hours < 1:
+        raise ValueError("a block has an hour at least")
+    block = F.expr(f"(unix_date(cast(`{ts}` as date)) * 24L + hour(`{ts}`)) div {int(hours)}")
+    instants = (versions.groupBy(*key, ts).agg(F.max(F.struct(*tracked)).alias("_v")).withColumn("_block", block))
+    in_order = Window.partitionBy(*key, "_block").orderBy("_ord", ts)
+
+    last = instants.groupBy(*key, "_block").agg(F.max_by("_v", F.struct(ts)).alias("_end"))
+    before = _neighbour(last, key, F.lag).select(
+        *key, "_block", F.lit(None).cast(instants.schema[ts].dataType).alias(ts), F.col("_near").alias("_v"), F.lit(0).alias("_ord"))
+    marked = instants.select(*key, "_block", ts, "_v", F.lit(1).alias("_ord")).unionByName(before).select(
+        "*", F.row_number().over(in_order).alias("_rn"), F.lag("_v").over(in_order).alias("_prev"))
+    kept = marked.filter((F.col("_ord") == 1) & ((F.col("_rn") == 1) | ~F.col("_v").eqNullSafe(F.col("_prev"))))
+    kept = kept.select(*key, "_block", ts, "_v", F.lit(1).alias("_ord"))
+
+    first = kept.groupBy(*key, "_block").agg(F.min(ts).alias("_end"))
+    after = _neighbour(first, key, F.lead).select(
+        *key, "_block", F.col("_near").alias(ts), F.lit(None).cast(kept.schema["_v"].dataType).alias("_v"), F.lit(2).alias("_ord"))
+    closed = kept.unionByName(after).select("*", F.lead(ts).over(in_order).alias("valid_to")).filter("_ord = 1")
+    return closed.select(*key, *[F.col("_v")[c].alias(c) for c in tracked], F.col(ts).alias("valid_from"), "valid_to",
+                         F.col("valid_to").isNull().alias("is_current"))
+
+
 def scd2_init(snapshot: DataFrame, key: list[str], tracked: list[str], ts: str = "updated_at") -> DataFrame:
     """The history of a first snapshot."""
     return scd2_history(snapshot, key, tracked, ts)

@@ -7,13 +7,15 @@ to the order grain on the seven header-level keys — an aggregation that
 reuses the ``sales_order_id`` partitioning of the header × detail join, i.e.
 no extra exchange — and only the much smaller order rows are joined to
 customers.  If ``customer_id`` repeats in ``stg_customers`` (its unique check
-fails then), an order has a row for each of the customer's rows.
+fails then), the result is still that of the 22 columns: customer rows that
+differ give an order a row each, equal ones count its lines as often.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.functions import business as B
 from salesmart.functions.dates import days_between
@@ -23,6 +25,11 @@ from salesmart.functions.text import full_name, surrogate_key
 _ORDER_KEYS = ["sales_order_id", "customer_id", "order_date", "due_date", "ship_date",
                "order_status", "is_online_order"]
 
+_CUSTOMER_KEYS = ["customer_id", "person_id", "account_number", "first_name", "last_name", "middle_name",
+                  "email_promotion", "territory_id", "store_id"]
+_SUMS = ["total_order_quantity", "total_line_total", "total_calculated_line_total", "total_gross_line_total",
+         "total_discount_amount"]
+
 INT_CUSTOMER_ORDERS_COLUMNS = [
     "customer_order_surrogate_key", "customer_id", "person_id", "account_number", "first_name",
     "last_name", "middle_name", "full_name", "email_promotion", "territory_id", "store_id",
@@ -61,6 +68,16 @@ def _order_measures(order_territory: str = "territory_id"):
     ]
 
 
+def _times(df: DataFrame, name: str):
+    """A sum over an order's lines, as often as the customer's row is there; its type and scale stay."""
+    c, n, t = F.col(name), F.col("_copies"), df.schema[name].dataType
+    if isinstance(t, T.DecimalType):  # 27 + 10 + 1 digits: the product keeps the scale
+        product = c.cast(T.DecimalType(27, t.scale)) * n.cast("decimal(10,0)")
+    else:
+        product = c * n
+    return F.when(n > 1, product.cast(t)).otherwise(c)
+
+
 def _order_attributes():
     return [
         surrogate_key("customer_id", "sales_order_id", "order_date").alias("customer_order_surrogate_key"),
@@ -77,10 +94,10 @@ def _order_attributes():
 def int_customer_orders(sales_orders: DataFrame, customers: DataFrame) -> DataFrame:
     """MOD-4: one row per (customer, order), measures summed over the order's lines."""
     orders = sales_orders.groupBy(*_ORDER_KEYS).agg(*_order_measures())
-    cust = customers.select("customer_id", "person_id", "account_number", "first_name", "last_name",
-                            "middle_name", "email_promotion", "territory_id", "store_id",
-                            F.col("modified_date").alias("customer_modified_date"))
+    cust = customers.groupBy(*_CUSTOMER_KEYS).agg(F.max("modified_date").alias("customer_modified_date"),
+                                                  F.count(F.lit(1)).alias("_copies"))
     joined = orders.join(cust, "customer_id", "inner")
+    joined = joined.withColumns({c: _times(joined, c) for c in _SUMS})
     return joined.select("*", *_order_attributes()).select(*INT_CUSTOMER_ORDERS_COLUMNS)
 
 

@@ -199,3 +199,42 @@ def test_types_0_and_1_with_repeated_and_null_keys(spark):
     assert rows(H.scd0(old, new, key)) == sorted([(1, "a"), (None, "n"), (2, "first")], key=str)
     assert rows(H.scd1(old, new, key)) == sorted([(1, "b"), (None, "m"), (2, "last")], key=str)
     assert rows(H.scd4(old, new, key, ["email"])[0]) == rows(H.scd1(old, new, key))
+
+
+def _many_versions(spark, n):
+    """One key with half of all versions, some without a change, some at one instant, null keys, values and times."""
+    rows = spark.range(n).select(
+        F.expr("CASE WHEN id % 2 = 0 THEN 7 WHEN id % 31 = 1 THEN NULL ELSE id % 101 END").cast("int").alias("customer_id"),
+        F.expr("CASE WHEN id % 13 = 0 THEN NULL ELSE hash(id div 6) % 3 END").cast("string").alias("email"),
+        F.expr("CASE WHEN id % 997 = 5 THEN NULL ELSE timestamp_ntz'2001-01-01' + make_dt_interval(0, 0, id div 3) END").alias("updated_at"))
+    # plain histories keep every version without a time: one a key here
+    return rows.filter("updated_at IS NOT NULL").unionByName(
+        rows.filter("updated_at IS NULL").groupBy("customer_id").agg(F.max("email").alias("email")).withColumn(
+            "updated_at", F.lit(None).cast("timestamp_ntz")))
+
+
+@pytest.mark.parametrize("hours", [1, 24 * 3650])
+def test_scd2_in_blocks_equals_the_window(spark, hours):
+    rows = _many_versions(spark, 6000)
+    want = H.scd2_history(rows, ["customer_id"], ["email"])
+    got = H.scd2_history_blocks(rows, ["customer_id"], ["email"], hours=hours)
+    assert got.columns == want.columns
+    order = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert order(got) == order(want) and len(order(got)) > 1000
+
+
+def test_scd2_in_blocks_without_rows_and_with_one_unchanging_key(spark):
+    rows = _many_versions(spark, 300)
+    assert H.scd2_history_blocks(rows.limit(0), ["customer_id"], ["email"]).count() == 0
+    one = rows.withColumn("customer_id", F.lit(1)).withColumn("email", F.lit("a")).filter("updated_at IS NOT NULL")
+    got = H.scd2_history_blocks(one, ["customer_id"], ["email"], hours=1).collect()
+    assert [(r.valid_from, r.valid_to, r.is_current) for r in got] == [(T1, None, True)]
+    with pytest.raises(ValueError):
+        H.scd2_history_blocks(one, ["customer_id"], ["email"], hours=0)
+
+
+def test_scd2_in_blocks_spreads_a_hot_key(spark):
+    """No window over versions is partitioned by the key alone: those read one row a block."""
+    p = H.scd2_history_blocks(_many_versions(spark, 300), ["customer_id"], ["email"])._jdf.queryExecution().optimizedPlan().toString()
+    alone = [line for line in p.splitlines() if "Window [" in line and "_block" not in line.split("], [")[1]]
+    assert alone and all("_end" in line for line in alone)

@@ -33,3 +33,19 @@ def test_daily_revenue_sums_to_month_and_total(spark):
 def test_fct_product_performance(spark):
     m = models_on_testdata(spark, SF_CHECK, TEST_AS_OF)
     same(spark, m["fct_product_performance"], PRODUCTS, lines=m["int_product_sales"])
+
+
+def test_int_customer_orders_with_repeated_customers(spark):
+    """Equal customer rows count an order's lines as often, differing ones give it a row each."""
+    from pyspark.sql import functions as F
+
+    from salesmart.plans.intermediate import int_customer_orders
+    m = models_on_testdata(spark, SF_SMALL, TEST_AS_OF)
+    c = m["stg_customers"]
+    customers = (c.unionByName(c.filter("customer_id % 3 = 0")).unionByName(c.filter("customer_id % 6 = 0"))
+                 .unionByName(c.filter("customer_id % 5 = 0").withColumn("email_promotion", F.lit(9)))
+                 .unionByName(c.filter("customer_id % 4 = 0").withColumn("modified_date", F.lit("2001-09-01").cast("timestamp_ntz"))))
+    sql = ORDERS.replace("c.customer_id,", "c.customer_id, c.email_promotion, max(c.modified_date) AS customer_modified_date,")
+    after = int_customer_orders(m["stg_sales_orders"], customers)
+    assert after.schema == int_customer_orders(m["stg_sales_orders"], c).schema
+    same(spark, after, sql + ", c.email_promotion", lines=m["stg_sales_orders"], customers=customers)
