@@ -154,6 +154,22 @@ def publish_declared_sql() -> str:
     return with_models() + " " + " UNION ALL ".join(rows)
 
 
+def collation_sql() -> dict[str, str]:
+    """Text compared in small letters; a product's spelling does not matter, nor does an account's."""
+    from oracle_sql.base import project, with_models
+    again = "(SELECT count(*) FROM (SELECT 1 FROM stg_products WHERE {0} IS NOT NULL GROUP BY lower({0}) HAVING count(*) > 1))"
+    no_account = "(customer_id % 5 = 0 OR customer_id NOT IN (SELECT CustomerID FROM src_customer))"
+    found = [("stg_products", "unique", c, again.format(c)) for c in ("product_name", "product_number", "color")]
+    found += [("stg_products", "accepted_values", "color", "(SELECT count(DISTINCT lower(color)) FROM stg_products WHERE lower(color) <> 'unknown')"),
+              ("stg_sales_orders", "relationships", "account_number", f"(SELECT count(*) FROM stg_sales_orders WHERE {no_account})")]
+    rows = [f"SELECT '{m}.{k}.{c}' AS check_id, '{m}' AS model, '{k}' AS kind, '{c}' AS column_name, 'error' AS severity, ({n})::BIGINT "
+            "AS failures" for m, k, c, n in found]
+    return {"dq_collation": with_models() + ", r AS (" + " UNION ALL ".join(rows) + ") SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE "
+            "'fail' END AS status FROM r",
+            "color_sales": project(with_models(f"""q AS (SELECT lower(color) AS color, count(*) AS n_lines, sum(line_total) AS revenue
+              FROM int_product_sales WHERE NOT {no_account} GROUP BY 1)"""), "color:s n_lines:i revenue:d")}
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(model_sql())
@@ -168,5 +184,6 @@ def all_sql() -> dict[str, str]:
     out["dq_schema"] = schema_sql()
     out["dq_failing_rows"] = failing_rows_sql()
     out["dq_isolated"] = isolated_sql()
+    out.update(collation_sql())
     out["dq_history"] = history_sql_of_checks()
     return out

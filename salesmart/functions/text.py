@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the placeholder the surrogate-key convention substitutes for NULL.
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 
 
+# Fixed value: compares as the source database's default does, case and trailing blanks ignored.
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -41,3 +46,18 @@ def surrogate_key(*cols) -> Column:
 def varchar(c, length: int) -> Column:
     """``cast(c as varchar(n))``: Spark keeps no string length, so truncate explicitly."""
     return F.substring(_c(c).cast("string"), 1, length)
+
+
+def collated(df: DataFrame, *columns: str, collation: str = COLLATION) -> DataFrame:
+    """``df`` with a collation on text columns: grouping, joins, distinct counts and sets then compare by it."""
+    return df.withColumns({c: F.collate(F.col(c), collation) for c in columns})
+
+
+def is_collated(df: DataFrame, column: str) -> bool:
+    t = df.schema[column].dataType
+    return isinstance(t, T.StringType) and t.collation != "UTF8_BINARY"
+
+
+def plain(c) -> Column:
+    """The text without its collation, spelled as it is."""
+    return F.collate(_c(c), "UTF8_BINARY")

@@ -9,7 +9,8 @@ column_name, severity, failures, status)``:
   — one scan, one conditional sum per check, a one-row result;
 * all ``unique`` / ``unique_combination`` / ``duplicates`` checks of a table share
   one grouped count over (check, 128-bit hash of the key): one shuffle whatever
-  their number.  Keys are only counted by value for checks with an equal hash;
+  their number.  Keys are only counted by value for checks with an equal hash,
+  or on columns with a collation;
 * ``accepted_values`` is a grouped count whose partial aggregation runs
   map-side, so only distinct values are shuffled;
 * ``relationships`` / ``orphans`` are left-anti joins against the parent's
@@ -36,6 +37,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesmart.functions.text import is_collated, plain
+
 ROW_KINDS = {"not_null", "accepted_range", "is_positive", "no_future_dates", "valid_date_range",
              "non_negative", "regex", "like", "between", "in_set"}
 GROUP_KINDS = {"unique", "accepted_values", "unique_combination", "duplicates"}
@@ -85,6 +88,11 @@ def _col(df: DataFrame, name: str) -> Column:
     return df[name]
 
 
+def _spelled(df: DataFrame, name: str) -> Column:
+    """The column as it is spelled: patterns are matched without regard to a collation."""
+    return plain(df[name]) if is_collated(df, name) else df[name]
+
+
 def _is_bool(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.BooleanType)
 
@@ -123,9 +131,9 @@ def fail_condition(df: DataFrame, chk: Check, as_of_date: Column) -> Column:
         s, e = df[p["start"]], df[p["end"]]
         return s.isNotNull() & e.isNotNull() & (s.cast("date") > e.cast("date"))
     if k == "regex":
-        return ~df[chk.column].rlike(p["pattern"])
+        return ~_spelled(df, chk.column).rlike(p["pattern"])
     if k == "like":
-        return ~df[chk.column].like(p["pattern"])
+        return ~_spelled(df, chk.column).like(p["pattern"])
     if k == "in_set":
         return ~_values_expr(df, chk.column, p["values"], p.get("case_insensitive", False))
     raise ValueError(k)
@@ -378,6 +386,8 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check], as_of=None,
     def unique(model: str, cs: list[Check]):
         df = tables[model]
         repeated = _repeated_hashes(df, cs)
+        # hashes know no collation: spellings of one key differ in them, so these are always counted by value
+        repeated |= {i for i, c in enumerate(cs) if any(is_collated(df, k) for k in _key_columns(c))}
         return [(c, int(_group_check(df, c).first()["failures"]) if i in repeated else 0) for i, c in enumerate(cs)]
 
     def isolated(evaluate, model: str, cs: list[Check]):

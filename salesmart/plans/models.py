@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart.functions.text import collated
 from salesmart.plans import intermediate, marts, staging
 from salesmart.sources import conform
 
@@ -39,9 +40,22 @@ def mart_models(m: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
     }
 
 
-def all_models(src: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
-    """Every model as a lazy DataFrame (nothing is materialised here)."""
+#: Codes and names that are keys, groups or sets of values.  Text that is only concatenated stays binary.
+COLLATED = {"stg_customers": ("account_number",),
+            "stg_products": ("product_number", "product_name", "color", "size", "product_line", "product_class", "product_style",
+                             "subcategory_name"),
+            "stg_sales_orders": ("account_number", "sales_order_number", "purchase_order_number")}
+
+
+def all_models(src: dict[str, DataFrame], as_of=None, collate: bool = False) -> dict[str, DataFrame]:
+    """Every model as a lazy DataFrame (nothing is materialised here).
+
+    With ``collate`` the codes and names of the staging models compare without
+    regard to case and trailing blanks, in all that is built or checked on them.
+    """
     m = stage(src)
+    if collate:
+        m = {name: collated(df, *COLLATED[name]) for name, df in m.items()}
     m.update(intermediates(m, as_of))
     m.update(mart_models(m, as_of))
     return m

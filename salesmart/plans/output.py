@@ -1,7 +1,7 @@
 """Output projection shared with the SQL oracle: plain, engine-neutral types.
 
 Integers → bigint, decimals/floats → double, dates → 'yyyy-MM-dd' text,
-timestamps → 'yyyy-MM-dd HH:mm:ss' text; strings and booleans unchanged.
+timestamps → 'yyyy-MM-dd HH:mm:ss' text; strings (without collation) and booleans unchanged.
 Decimal values convert exactly as long as their unscaled value is below 2^52,
 which holds for every money column at the checked scale.  Ratios, which the
 models keep with 18 decimals, and averages of them are rounded to 8 here, and
@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesmart.functions.text import plain
+
 
 #: Averages of ratios; the ratios themselves are known by their scale.
 RATIO_AVERAGES = {"avg_profit_margin_pct", "avg_discount_from_list_pct", "avg_discount_pct", "avg_margin_ratio"}
@@ -35,6 +37,8 @@ def comparable(df: DataFrame) -> DataFrame:
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(t, (T.TimestampNTZType, T.TimestampType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(t, T.StringType) and t.collation != "UTF8_BINARY":
+            c = plain(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 

@@ -141,6 +141,33 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(run_trend(spark.read.parquet(path)))
 
 
+def _respelled(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from salesmart.functions.text import collated
+    from salesmart.plans.models import all_models
+    from salesmart.sources import conform
+    src = conform.respelled_sources(spark, sf_dir)
+    return all_models(src, TEST_AS_OF, collate=True) | {"accounts": collated(src["accounts"], "account")}
+
+
+def _collation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unique, set and integrity checks on text that is spelled in several ways, by the source database's comparison."""
+    from salesmart.operators.quality import Check, run_checks
+    return comparable(run_checks(_respelled(spark, sf_dir), [
+        Check("stg_products", "unique", "product_name"), Check("stg_products", "unique", "product_number"),
+        Check("stg_products", "unique", "color"), Check("stg_products", "accepted_values", "color", {"values": ["UNKNOWN"]}),
+        Check("stg_sales_orders", "relationships", "account_number", {"to": "accounts", "field": "account"})], TEST_AS_OF))
+
+
+def color_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-5 on collated text: lines and revenue by colour, however it is spelled, of the accounts in a directory."""
+    from salesmart.functions.text import plain
+    m = _respelled(spark, sf_dir)
+    orders = m["stg_sales_orders"].join(m["accounts"], F.col("account_number") == F.col("account"), "left_semi")
+    sold = m["int_product_sales"].join(orders.select("sales_order_id").distinct(), "sales_order_id", "left_semi")
+    return comparable(sold.groupBy("color").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("line_total").alias("revenue"))
+                      .withColumn("color", F.lower(plain("color"))))
+
+
 def _suites(spark: SparkSession, sf_dir: str) -> DataFrame:
     from functools import reduce
 
@@ -165,6 +192,7 @@ def dq_queries() -> dict[str, Query]:
     out["dq_isolated"] = _isolated
     out["dq_history"] = _history
     out["dq_suite"] = _suites
+    out["dq_collation"] = _collation
     out["dq_declared"] = _dq_query(None)
     out["dq_summary"] = _dq_summary
     return out
@@ -217,6 +245,7 @@ def report_queries() -> dict[str, Query]:
     out = {n: _report_query(n) for n in REPORTS}
     out["revenue_since"] = _revenue_since
     out["customers_by_name"] = customers_by_name
+    out["color_sales"] = color_sales
     out["event_value_dollars"] = _event_value_dollars
     return out
 

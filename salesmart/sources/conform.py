@@ -248,6 +248,19 @@ def clean_sources(spark: SparkSession, sf_dir: str, loaded_at: str) -> dict[str,
     return {n: df.withColumn("ModifiedDate", now) for n, df in src.items()}
 
 
+def respelled_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The sources with every second product's name and colour in capitals, and a directory of accounts (synthetic stand-in).
+
+    The directory lacks every fifth customer and spells the others' accounts in small letters with a trailing blank.
+    """
+    src = sources(spark, sf_dir)
+    src["product"] = src["product"].withColumns({
+        c: F.when(F.col("ProductID") % 2 == 0, F.upper(c)).otherwise(F.col(c)) for c in ("Name", "Color")})
+    k = F.col("CustomerID")
+    src["accounts"] = src["customer"].filter(k % 5 != 0).select(F.concat(F.lit("aw"), k.cast("string"), F.lit(" ")).alias("account"))
+    return src
+
+
 # Fixed values of the two customer snapshots used by the history operators.
 SNAPSHOT_1_AT = "2001-01-01 00:00:00"
 SNAPSHOT_2_AT = "2001-06-01 00:00:00"

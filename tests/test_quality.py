@@ -209,3 +209,19 @@ def test_history_of_runs_and_trend(spark, tmp_path):
     got = {(r.check_id[-1], r.run): (r.failures, r.change, r.trend) for r in run_trend(spark.read.parquet(path)).collect()}
     assert [got["x", f"r{i}"] for i in (1, 2, 3, 4)] == [(2, None, "first"), (1, -1, "better"), (0, -1, "fixed"), (1, 1, "broken")]
     assert got["y", "r2"] == (None, None, "error") and len(got) == 8
+
+
+def test_spellings_are_one_key_under_a_collation(spark):
+    """'AW1 ' and 'aw1' are one key in unique, combination, set and integrity checks and in a join; patterns see the spelling."""
+    from salesmart.functions.text import collated
+    rows = spark.createDataFrame([("AW1 ", 1), ("aw1", 1), ("aw2", 2), (None, 3)], "a string, n int")
+    t = {"t": collated(rows, "a"), "p": collated(spark.createDataFrame([("Aw1",)], "k string"), "k")}
+    checks = [Check("t", "unique", "a"), Check("t", "unique_combination", None, {"columns": ["a", "n"]}),
+              Check("t", "accepted_values", "a", {"values": ["AW1"]}), Check("t", "relationships", "a", {"to": "p", "field": "k"}),
+              Check("t", "regex", "a", {"pattern": "^aw[0-9]$"}), Check("t", "like", "a", {"pattern": "aw%"})]
+    found = {r.kind: r.failures for r in run_checks(t, checks, AS_OF).collect()}
+    assert found == {"unique": 1, "unique_combination": 1, "accepted_values": 1, "relationships": 1, "regex": 1, "like": 1}
+    assert {r.kind: r.failures for r in run_checks({"t": rows}, checks[:2], AS_OF).collect()} == {"unique": 0, "unique_combination": 0}
+    spelled = lambda chk: sorted(str(r.a) for r in failing_rows(t["t"], chk, AS_OF, t).collect())
+    assert [spelled(c) for c in checks] == [["AW1 ", "aw1"], ["AW1 ", "aw1"], ["aw2"], ["aw2"], ["AW1 "], ["AW1 "]]
+    assert t["t"].join(t["p"], t["t"].a == t["p"].k).count() == 2
