@@ -15,21 +15,23 @@ WITH body AS (
 ), word AS (
   SELECT kind, id, body, len(w) AS n, unnest(w) AS v, generate_subscripts(w, 1) AS i FROM body
 ), five AS (
-  SELECT kind, id, body, i, least(n, 5) AS k, concat_ws(' ', v, lead(v, 1) OVER t, lead(v, 2) OVER t,
-         lead(v, 3) OVER t, lead(v, 4) OVER t) AS s, n
+  SELECT kind, id, body, i, n, [v, lead(v, 1) OVER t, lead(v, 2) OVER t, lead(v, 3) OVER t, lead(v, 4) OVER t] AS five
   FROM word WINDOW t AS (PARTITION BY kind, id, body ORDER BY i)
+), size AS (
+  SELECT DISTINCT least(n, 5) AS k FROM word WHERE kind = 'b'
 ), s AS (
-  SELECT DISTINCT kind, id, body, s FROM five WHERE i = 1 OR i <= n - 4
+  SELECT DISTINCT kind, id, body, array_to_string(five[1:k], ' ') AS s
+  FROM five JOIN size ON i <= n - k + 1 AND (kind = 'd' OR k = least(n, 5))
 ), ds AS (
   SELECT id AS doc_id, body, s FROM s WHERE kind = 'd'
 ), bs AS (
   SELECT id AS item_id, body AS item, s FROM s WHERE kind = 'b'
 ), n AS (
-  SELECT item_id, item, count(*) AS n_shingles FROM bs GROUP BY ALL
+  SELECT item, count(DISTINCT s) AS n_shingles FROM bs GROUP BY ALL
 ), hit AS (
   SELECT doc_id, body, item_id, item, count(*) AS shared FROM ds JOIN bs USING (s) GROUP BY ALL
 )
-SELECT DISTINCT doc_id, item_id, shared, n_shingles FROM hit JOIN n USING (item_id, item)
+SELECT DISTINCT doc_id, item_id, shared, n_shingles FROM hit JOIN n USING (item)
 WHERE shared >= ceil(0.8 * n_shingles)
 """
 

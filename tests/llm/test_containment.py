@@ -1,7 +1,10 @@
 import brute
+import duckdb
+import pyarrow as pa
 import pytest
 
 from salesmart.llm import benchmark_containment as B
+from salesmart.llm.sql import llm_sql
 
 
 def _tables(spark):
@@ -73,6 +76,25 @@ def test_items_below_a_shingle_are_found_in_longer_documents(spark):
     assert {r.doc_id for r in B.remove_contaminated(docs, bench).collect()} == {2, 9, 10}
 
 
+def test_sql_twin_finds_short_items_and_items_without_an_id(spark):
+    long = " ".join(f"w{i}" for i in range(20))
+    texts = [f"head {long} tail", "the quick brown fox jumps over it", "Quick  Brown", "brown quick", "fox", "", None,
+             " ".join(long.split()[:17]), f"fox {long.upper()}", "x one two three four five"]
+    docs = [*enumerate(texts), (None, f"quick brown {long}"), (None, None), (4, "fox"), (3, "another quick brown")]
+    items = [(1, "quick brown"), (None, "FOX"), (None, long), (7, long), (7, "jumps over it"), (8, None), (9, " "),
+             (10, "one two three four five"), (11, "a fox"), (1, "quick brown")]
+    got = B.contained_items(spark.createDataFrame(docs, "doc_id long, text string"),
+                            spark.createDataFrame(items, "item_id long, text string"))
+    db = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        ids, body = zip(*rows)
+        db.register(name, pa.table({key: pa.array(ids, pa.int64()), "text": pa.array(body, pa.string())}))
+    want = db.sql(llm_sql()["op10_benchmark_containment"]).fetchall()
+    columns = ["doc_id", "item_id", "shared", "n_shingles"]
+    assert sorted(map(repr, (tuple(r) for r in got.select(columns).collect()))) == sorted(map(repr, want))
+    assert len(want) > 12 and {(0, None, 16, 16), (8, None, 1, 1), (7, 7, 13, 16), (1, 7, 1, 1)} <= set(want)
+
+
 def test_empty_tables(spark):
     docs, _, bench, _ = _tables(spark)
     none = spark.createDataFrame([], "item_id long, text string")
