@@ -114,11 +114,14 @@ def packed_rows(documents: DataFrame, tokenizer: str, capacity: int = 2048, bloc
         first, pieces, waiting = TaskContext.get().partitionId() << 40, [], 0
         for rows in slices(batches):
             rows = rows.to_pydict()
-            for doc_id, ids in zip(rows["doc_id"], tokens.encode(rows["text"])):
-                wide = np.frombuffer(ids, "<u4")
-                if len(wide) and int(wide.max()) > np.iinfo(dtype).max:
-                    raise ValueError(f"{dtype} cannot hold the vocabulary's ids")
-                ids = wide.astype(dtype).tobytes() + end
+            encoded = tokens.encode(rows["text"])
+            wide = np.frombuffer(b"".join(encoded), "<u4")
+            if len(wide) and int(wide.max()) > np.iinfo(dtype).max:
+                raise ValueError(f"{dtype} cannot hold the vocabulary's ids")
+            narrow, stop = wide.astype(dtype).tobytes(), 0
+            for doc_id, ids in zip(rows["doc_id"], encoded):
+                begin, stop = stop, stop + len(ids) // 4 * one
+                ids = narrow[begin:stop] + end
                 for at in range(0, len(ids), capacity * one):
                     pieces.append((doc_id, at // one, ids[at:at + capacity * one]))
                     waiting += len(pieces[-1][2]) // one
