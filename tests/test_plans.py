@@ -67,3 +67,38 @@ def test_refresh_prunes_partitions_and_equals_full_rebuild(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(order_year" in plan(
         marts.fct_sales_summary(stored.filter(F.col(PARTITION_COLUMN) >= 2000)))
     assert refreshed.exceptAll(full).count() == 0 and full.exceptAll(refreshed).count() == 0
+
+
+def _tables(spark, path):
+    """Three lines of two orders, one of them without a key."""
+    import datetime as dt
+    day = dt.datetime(2000, 1, 5)
+    spark.createDataFrame([(1, 7, "F", 10.0, day, "1-URGENT"), (2, 7, "O", 10.0, day, "5-LOW")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+                          "o_orderpriority string").write.parquet(f"{path}/orders.parquet")
+    spark.createDataFrame([(1, 5, 1, 2, 2.0, 40.0, 0.05, 0.01, "N", "O", day), (1, 5, 1, 1, 1.0, 30.0, 0.0, 0.02, "N", "O", day),
+                           (None, 5, 1, 1, 1.0, 20.0, 0.0, 0.0, "N", "O", day)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+                          ).write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_lines_are_numbered_for_readers_of_their_ids_only(spark, tmp_path):
+    from salesmart.plans import staging
+    from salesmart.sources import conform
+    _tables(spark, str(tmp_path))
+    detail = conform.sales_order_detail(spark, str(tmp_path))
+    lines = staging.stg_sales_orders(conform.sales_order_header(spark, str(tmp_path)), detail)
+    assert "Window" in plan(lines) and "Window" not in plan(lines.drop("sales_order_detail_id"))
+    assert detail.filter("SalesOrderDetailID IS NULL").count() == 1  # the line without an order
+    found = {(r["sales_order_detail_id"], float(r["line_total"])) for r in lines.collect()}
+    assert found == {(2 ** 24 + 1, 0.3), (2 ** 24 + 2, 0.38)}
+    assert lines.drop("sales_order_detail_id").count() == 2
+
+
+def test_lines_are_exchanged_before_their_money_columns_are_made(spark, tmp_path):
+    from salesmart.sources import conform
+    _tables(spark, str(tmp_path))
+    p = plan(conform.sales_order_detail(spark, str(tmp_path)))
+    assert p.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert "decimal" not in p[p.index("Exchange hashpartitioning(l_orderkey"):]
