@@ -3,8 +3,9 @@
 Sums, counts and extremes of a year's lines are kept by customer and by
 product, and so are the years' counts of distinct orders and dates: an order
 and a date lie in one year.  Customers of a product and products of a customer
-come again in other years; they are kept as exact bitmaps of
-(key, year, bucket), which merge by OR.
+come again in other years; they are kept as distinct rows of
+(key, year, value), which are counted once over all years.  A row costs what
+its value does; bitmaps cost up to 4 KB a value where keys are spread thinly.
 
 A refresh computes the states of the changed years only.  They are published as
 parts beside the other years' parts, which are named again unread; the marts
@@ -25,18 +26,23 @@ from salesmart.plans import marts
 YEAR = "order_year"
 
 
-def _bitmaps(lines: DataFrame, key: str, value: str) -> DataFrame:
-    """(key, order_year, bucket, bits): the distinct values of a key in a year, 32,768 to a bitmap."""
-    v = F.col(value)
-    return (lines.where(v.isNotNull()).select(key, YEAR, F.bitmap_bucket_number(v).alias("bucket"),
-                                              F.bitmap_bit_position(v).alias("position"))
-            .groupBy(key, YEAR, "bucket").agg(F.bitmap_construct_agg("position").alias("bits")))
+#: The columns of MOD-4 and MOD-5 that the states are computed from (``_earlier`` tables and refreshes need no others).
+ORDER_COLUMNS = ["customer_id", "sales_order_id", "order_date", "total_line_total", "total_gross_line_total",
+                 "total_discount_amount", "total_order_quantity", "order_channel", "order_status_name",
+                 "shipping_performance", "has_discount_flag"]
+SALES_COLUMNS = ["product_id", "customer_id", "sales_order_id", "order_date", "order_quantity", "line_total",
+                 "gross_line_total", "sale_unit_price", "discount_from_list_pct", "discount_amount", "line_profit",
+                 "net_line_profit", "unit_profit", "profit_margin_pct", "order_channel", "order_status_name"]
 
 
-def _distinct(bitmaps: DataFrame, key: str, name: str) -> DataFrame:
-    """(key, name): distinct values over all years; a hot key's buckets are merged in many tasks."""
-    merged = bitmaps.groupBy(key, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    return merged.groupBy(key).agg(F.sum(F.bitmap_count("bits")).alias(name))
+def _pairs(lines: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, order_year, value): the distinct values of a key in a year, a row each; a hot key is spread by value."""
+    return lines.where(F.col(value).isNotNull()).select(key, YEAR, value).distinct()
+
+
+def _distinct(pairs: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """(key, name): distinct values over all years; the first exchange is by (key, value), so a hot key is spread."""
+    return pairs.groupBy(key).agg(F.countDistinct(value).alias(name))
 
 
 def states(customer_orders: DataFrame, product_sales: DataFrame) -> dict[str, DataFrame]:
@@ -47,11 +53,11 @@ def states(customer_orders: DataFrame, product_sales: DataFrame) -> dict[str, Da
         "state_customer_orders": orders.groupBy("customer_id", YEAR).agg(
             F.countDistinct("order_date").alias("unique_order_dates"), *marts.parts(marts.CUSTOMER_MEASURES)),
         "state_customer_lines": lines.groupBy("customer_id", YEAR).agg(*marts.parts(marts.CUSTOMER_LINE_MEASURES)),
-        "state_customer_products": _bitmaps(lines, "customer_id", "product_id"),
+        "state_customer_products": _pairs(lines, "customer_id", "product_id"),
         "state_product": lines.groupBy("product_id", YEAR).agg(*marts.parts(marts.PRODUCT_MEASURES)),
         "state_product_counts": lines.select("product_id", YEAR, "sales_order_id", "order_date").groupBy("product_id", YEAR).agg(
             F.countDistinct("sales_order_id").alias("total_orders"), F.countDistinct("order_date").alias("days_sold")),
-        "state_product_customers": _bitmaps(lines, "product_id", "customer_id"),
+        "state_product_customers": _pairs(lines, "product_id", "customer_id"),
     }
 
 
@@ -75,7 +81,7 @@ def customer_metrics(state: dict[str, DataFrame], customers: DataFrame, as_of=No
     attributes = customers.select(*[c for c in marts.CUSTOMER_KEYS if c != "full_name"],
                                   full_name("first_name", "middle_name", "last_name").alias("full_name"))
     lines = (state["state_customer_lines"].groupBy("customer_id").agg(*marts.merged(marts.CUSTOMER_LINE_MEASURES))
-             .join(_distinct(state["state_customer_products"], "customer_id", "unique_products_purchased"), "customer_id", "left"))
+             .join(_distinct(state["state_customer_products"], "customer_id", "product_id", "unique_products_purchased"), "customer_id", "left"))
     return marts.customer_metrics(orders.join(attributes, "customer_id"), lines, as_of)
 
 
@@ -87,7 +93,7 @@ def product_performance(state: dict[str, DataFrame], products: DataFrame, as_of=
                              .alias("product_lifecycle_status"))
     sales = (state["state_product"].groupBy("product_id").agg(*marts.merged(marts.PRODUCT_MEASURES))
              .join(counts, "product_id", "left")
-             .join(_distinct(state["state_product_customers"], "product_id", "unique_customers"), "product_id", "left")
+             .join(_distinct(state["state_product_customers"], "product_id", "customer_id", "unique_customers"), "product_id", "left")
              .join(status, "product_id"))
     return marts.product_performance(sales, products)
 

@@ -38,3 +38,15 @@ def test_refresh_after_changed_new_and_deleted_orders(spark, tmp_path):
           marts.fct_product_performance(lines, m["stg_products"], TEST_AS_OF))
     assert publish.rollback(spark, root) == "v1"  # the earlier states are still there
     assert publish.read_current(spark, root, "state_product").filter("product_id = 1000000").count() > 0
+
+
+def test_keys_spread_thinly_cost_a_row_a_value(spark):
+    import datetime as dt
+    day = dt.date(2000, 3, 1)
+    lines = spark.createDataFrame([(1, 7, day), (1, 10 ** 9, day), (1, 7, day), (1, None, day), (2, 10 ** 9, day)],
+                                  "product_id long, customer_id long, order_date date").withColumn("order_year", F.year("order_date"))
+    pairs = mart_state._pairs(lines, "product_id", "customer_id")
+    assert pairs.count() == 3 and all(f.dataType.typeName() != "binary" for f in pairs.schema)  # a bitmap takes 4 KB
+    later = pairs.unionByName(pairs.withColumn("order_year", F.lit(2001)))
+    counted = mart_state._distinct(later, "product_id", "customer_id", "n").collect()
+    assert {(r["product_id"], r["n"]) for r in counted} == {(1, 2), (2, 1)}
