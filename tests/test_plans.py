@@ -102,3 +102,18 @@ def test_lines_are_exchanged_before_their_money_columns_are_made(spark, tmp_path
     p = plan(conform.sales_order_detail(spark, str(tmp_path)))
     assert p.count("Exchange hashpartitioning(l_orderkey") == 1
     assert "decimal" not in p[p.index("Exchange hashpartitioning(l_orderkey"):]
+
+
+def test_checks_of_many_models_join_the_lines_once(spark):
+    from salesmart.operators.rules import declared_checks
+    from salesmart.plans.queries import _models_for
+    lazy = models_on_testdata(spark, SF_SMALL, TEST_AS_OF)
+    checks = declared_checks()
+    stored = _models_for(spark, SF_SMALL, checks)
+    for c in checks:  # every column that a check reads is there, with its type
+        for name in (c.column, c.params.get("start"), c.params.get("end")):
+            assert name is None or stored[c.model].schema[name].dataType == lazy[c.model].schema[name].dataType
+    for name in ("int_product_sales", "int_customer_orders", "fct_sales_summary", "fct_product_performance", "dim_customer_metrics"):
+        assert "lineitem.parquet" not in plan(stored[name]) and stored[name].columns == lazy[name].columns
+    a, b = lazy["int_product_sales"], stored["int_product_sales"]
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
