@@ -117,39 +117,52 @@ class _Grams(NamedTuple):
     context: np.ndarray  # its first tokens, as an n-gram one order lower
     word: np.ndarray     # its last token
     suffix: np.ndarray   # its last tokens, as an n-gram one order lower
-    key: np.ndarray
+
+
+def _ranks(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts the values; in it, the number of each one's distinct value, and where these begin."""
+    order = np.argsort(values)
+    values = values[order]
+    new = np.concatenate([[True], values[1:] != values[:-1]])[:len(values)]
+    return order, np.cumsum(new, dtype=np.int32) - np.int32(1), np.flatnonzero(new)
 
 
 class Block:
-    """A block's n-grams; every document has its begin before its tokens."""
+    """A block's n-grams; every document has its begin before its tokens.
+
+    Positions and n-grams are numbered in 32 bits: a text has below 2 ** 31 bytes.
+    """
 
     def __init__(self, row: dict, order: int):
         self.doc_id, self.held, self.size = row["doc_id"], np.array(row["held"], bool), np.array(row["size"], np.int64)
         self.words, tokens = _unpack(row["words"], np.uint64), _unpack(row["tokens"], np.uint32)
         self.first = np.concatenate([[0], np.cumsum(self.size + 1)])  # begins, and the end of the block
-        self.x = np.zeros(self.first[-1], np.int64)
+        self.x = np.zeros(self.first[-1], np.int32)
         place = np.ones(len(self.x), bool)
         place[self.first[:-1]] = False
         self.x[place] = tokens
-        self.inside = np.arange(len(self.x)) - np.repeat(self.first[:-1], self.size + 1)
+        del place, tokens
+        self.inside = np.arange(len(self.x), dtype=np.int32) - np.repeat(self.first[:-1].astype(np.int32), self.size + 1)
         self.train = np.repeat(~self.held, self.size + 1)
-        wide, ones = len(self.words), np.arange(len(self.words))
-        none = np.zeros(wide, np.int64)
+        wide, ones = len(self.words), np.arange(len(self.words), dtype=np.int32)
+        none = np.zeros(wide, np.int32)
         key = _mix(self.words, np.uint64(1)) | np.uint64(1)  # the last bit marks single tokens
         key[0] &= ~np.uint64(1)  # a begin is a context only
-        self.grams = [_Grams(self.x, none, ones, none, key)]
+        self.grams, keys = [_Grams(self.x, none, ones, none)], [key]
         for k in range(2, order + 1):
-            low, at = self.grams[-1], np.full(len(self.x), -1, np.int64)
-            ends = np.flatnonzero(self.inside >= k - 1)
-            pair, back = np.unique(low.at[ends - 1] * wide + self.x[ends], return_inverse=True)
-            at[ends] = back
-            some = np.empty(len(pair), np.int64)  # a position of each
-            some[back] = ends
-            context, word = pair // wide, pair % wide
-            self.grams.append(_Grams(at, context, word, low.at[some],
-                                     _mix(low.key[context], self.words[word]) & ~np.uint64(1)))
-        keys = np.concatenate([g.key for g in self.grams])
-        self.order = np.argsort(keys, kind="stable")
+            low, at = self.grams[-1], np.full(len(self.x), -1, np.int32)
+            ends = np.flatnonzero(self.inside >= k - 1).astype(np.int32)
+            by, rank, begins = _ranks(low.at[ends - 1].astype(np.int64) * wide + self.x[ends])
+            ends = ends[by]
+            del by
+            at[ends] = rank
+            some = ends[begins]  # a position of each
+            del ends, rank, begins
+            context, word = low.at[some - 1], self.x[some]
+            self.grams.append(_Grams(at, context, word, low.at[some]))
+            keys.append(_mix(keys[-1][context], self.words[word]) & ~np.uint64(1))
+        keys = np.concatenate(keys)
+        self.order = np.argsort(keys, kind="stable").astype(np.int32)
         self.keys = keys[self.order]
 
     def counts(self) -> np.ndarray:
@@ -157,14 +170,14 @@ class Block:
         own = []
         for g in self.grams:
             seen = g.at[self.train & (g.at >= 0)]
-            own.append(np.bincount(seen, minlength=len(g.key)))
+            own.append(np.bincount(seen, minlength=len(g.word)))
         return np.concatenate(own)[self.order]
 
     def by_order(self, totals: np.ndarray) -> list[np.ndarray]:
         """Totals in the order of ``keys``, for the n-grams of each order."""
         own = np.empty(len(totals), np.int64)
         own[self.order] = totals
-        return np.split(own, np.cumsum([len(g.key) for g in self.grams])[:-1])
+        return np.split(own, np.cumsum([len(g.word) for g in self.grams])[:-1])
 
 
 def _bucket_edges(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -199,8 +212,11 @@ def _answer(asked: pa.Table) -> pa.Table:
     keys = [np.cumsum(_unpack(k, np.uint64), dtype=np.uint64) for k in asked["keys"].to_pylist()]
     counts = np.concatenate([_unpack(c, np.uint32) for c in asked["counts"].to_pylist()])
     ends = np.cumsum([len(k) for k in keys])[:-1]
-    _, which = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(which, weights=counts).astype(np.int64)[which]  # exact: sums stay below 2 ** 53
+    order, rank, begins = _ranks(np.concatenate(keys))
+    del keys
+    totals = np.empty(len(counts), np.int64)
+    totals[order] = np.add.reduceat(counts[order], begins, dtype=np.int64)[rank]
+    del order, rank, counts
     return pa.table({"block": asked["block"], "bucket": asked["bucket"],
                      "totals": pa.array([_pack(t) for t in np.split(totals, ends)], pa.binary())})
 
@@ -269,12 +285,12 @@ class Scorer:
         weight, leave = [], []     # of arcs; of failure arcs
         held, lower, made = None, self.p[None, :], 0  # n-grams of the order below, their weights, arcs before them
         for k in range(1, top):
-            g, mask = block.grams[k], np.zeros(len(block.grams[k].key), bool)
+            g, mask = block.grams[k], np.zeros(len(block.grams[k].word), bool)
             at = g.at[low:high]
             mask[at[at >= 0]] = True
             mine = np.flatnonzero(mask)
             if k == 1:
-                source, shorter, weights = 1 + g.context[mine], 1 + g.suffix[mine], lower[:, g.suffix[mine]]
+                source, shorter, weights = 1 + g.context[mine].astype(np.int64), 1 + g.suffix[mine], lower[:, g.suffix[mine]]
             else:
                 begun, after = np.searchsorted(held, g.context[mine]), np.searchsorted(held, g.suffix[mine])
                 source, shorter, weights = 1 + wide + made + begun, 1 + wide + made + after, lower[:, after]

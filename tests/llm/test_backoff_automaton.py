@@ -137,3 +137,26 @@ def test_blocks_are_cut_between_documents(monkeypatch):
 def test_packed_arrays_round_trip():
     for values in (np.zeros(0, np.uint64), np.array([0, 1, (1 << 64) - 1], np.uint64), np.arange(1000, dtype=np.uint32)):
         assert (lm._unpack(lm._pack(values), values.dtype) == values).all()
+
+
+def test_a_block_takes_little_memory_for_each_token():
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    size, words = 400, rng.integers(2, 2 ** 63, 30_000).astype(np.uint64)
+    row = {"doc_id": list(range(1000)), "held": [False] * 1000, "size": [size] * 1000, "words": lm._pack(words),
+           "tokens": lm._pack(rng.integers(1, len(words), 1000 * size).astype(np.uint32))}
+    asked = pa.table({"bucket": pa.array([0, 0], pa.int32()), "block": [1, 2],
+                      "keys": [lm._pack(np.full(200_000, k, np.uint64)) for k in (3, 5)],
+                      "counts": [lm._pack(np.full(200_000, 2, np.uint32))] * 2})
+    tracemalloc.start()
+    block = lm.Block(row, 2)
+    held, most = tracemalloc.get_traced_memory()
+    assert len(block.keys) > 350_000 and held < 50 * 1000 * size and most < 75 * 1000 * size
+    del block
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    totals = [lm._unpack(t, np.int64) for t in lm._answer(asked)["totals"].to_pylist()]
+    most = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert most < 60 * 400_000
+    assert totals[0][:5].tolist() == [2, 2, 2, 2, 4] and totals[1][:3].tolist() == [2, 2, 4]
