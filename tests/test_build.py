@@ -30,3 +30,24 @@ def test_build_publishes_only_when_checks_pass_and_rolls_back(spark, tmp_path):
     # rollback returns to v1; readers resolve the pointer
     assert publish.rollback(spark, root) == "v1"
     assert publish.read_current(spark, root, "fct_sales_summary").count() > 0
+
+
+def test_a_build_keeps_no_shuffle_files_and_writes_zstd(spark, tmp_path):
+    import re
+
+    import pyarrow.parquet as pq
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files))
+
+    before, setting = shuffles(), spark.conf.get(key, None)
+    out = build(spark, conform.sources(spark, SF_SMALL), str(tmp_path), TEST_AS_OF, version="v1", checks=[])
+    assert not shuffles() - before and spark.conf.get(key, None) == setting
+    assert {r["kind"] for r in out.collect()} == {"schema", "run"}
+    for table in ("stg_sales_orders", "int_product_sales", "dim_customer_metrics"):
+        for path in (tmp_path / table / "release=v1").rglob("*.parquet"):
+            group = pq.ParquetFile(path).metadata.row_group(0)
+            assert {group.column(i).compression for i in range(group.num_columns)} == {"ZSTD"}
