@@ -51,3 +51,13 @@ def test_a_build_keeps_no_shuffle_files_and_writes_zstd(spark, tmp_path):
         for path in (tmp_path / table / "release=v1").rglob("*.parquet"):
             group = pq.ParquetFile(path).metadata.row_group(0)
             assert {group.column(i).compression for i in range(group.num_columns)} == {"ZSTD"}
+
+
+def test_stored_order_lines_are_zstd(spark):
+    import pyarrow.parquet as pq
+    from salesmart.plans.models import models_on_stored_lines
+    files = models_on_stored_lines(spark, SF_SMALL, TEST_AS_OF)["stg_sales_orders"].inputFiles()
+    assert files
+    for path in files:
+        group = pq.ParquetFile(path.removeprefix("file://")).metadata.row_group(0)
+        assert {group.column(i).compression for i in range(group.num_columns)} == {"ZSTD"}
