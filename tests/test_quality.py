@@ -225,3 +225,31 @@ def test_spellings_are_one_key_under_a_collation(spark):
     spelled = lambda chk: sorted(str(r.a) for r in failing_rows(t["t"], chk, AS_OF, t).collect())
     assert [spelled(c) for c in checks] == [["AW1 ", "aw1"], ["AW1 ", "aw1"], ["aw2"], ["aw2"], ["AW1 "], ["AW1 "]]
     assert t["t"].join(t["p"], t["t"].a == t["p"].k).count() == 2
+
+
+def test_checks_of_models_on_one_exchange_make_it_once(spark):
+    from salesmart.operators.quality import counted_together
+    lines = spark.range(1000).selectExpr("id % 100 AS k", "id % 30 AS p").repartition("k")
+    tables = {"a": lines.groupBy("k").count(), "b": lines.groupBy("k").agg({"p": "max"}).filter("k < 50"),
+              "c": spark.createDataFrame([(i,) for i in range(28)], "p long"), "lines": lines, "none": lines.filter("k < 0")}
+    checks = [Check("a", "row_count_between", None, {"min": 101, "max": None}), Check("b", "row_count_between", None, {"min": 1, "max": 49}),
+              Check("b", "row_count_between", None, {"min": 50, "max": 50}), Check("lines", "relationships", "p", {"to": "c", "field": "p"}),
+              Check("a", "equal_rowcount", None, {"to": "b"}), Check("none", "relationships", "p", {"to": "c", "field": "p"})]
+    together = counted_together(tables, checks, AS_OF)
+    assert {r["i"]: r["failures"] for r in together.collect()} == {0: 1, 1: 1, 2: 0, 3: 66, 4: 1, 5: 0}
+    assert "ReusedExchange" in together._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_counts_and_relationships_of_models_are_one_query(spark, monkeypatch):
+    from salesmart.operators import quality
+    t = spark.createDataFrame([(1,), (3,)], "x int")
+    made, before = [], quality.counted_together
+    monkeypatch.setattr(quality, "counted_together", lambda tables, cs, as_of=None: made.append(len(cs)) or before(tables, cs, as_of))
+    checks = [Check("t", "row_count_between", None, {"min": 1, "max": 1}), Check("u", "row_count_between", None, {"min": 1, "max": None}),
+              Check("t", "relationships", "x", {"to": "u", "field": "x"})]
+    found = {r["check_id"]: (r["failures"], r["status"]) for r in run_checks({"t": t, "u": t.filter("x < 2")}, checks, AS_OF).collect()}
+    assert made == [3] and found == {checks[0].check_id: (1, "fail"), checks[1].check_id: (0, "pass"), checks[2].check_id: (1, "fail")}
+    # one that cannot be evaluated leaves the others as they are
+    bad = Check("t", "relationships", "gone", {"to": "u", "field": "x"})
+    found = {r["check_id"]: (r["failures"], r["status"]) for r in run_checks({"t": t, "u": t.filter("x < 2")}, [*checks, bad], AS_OF).collect()}
+    assert found[bad.check_id] == (None, "error") and found[checks[2].check_id] == (1, "fail")
