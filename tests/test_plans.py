@@ -104,6 +104,30 @@ def test_lines_are_exchanged_before_their_money_columns_are_made(spark, tmp_path
     assert "decimal" not in p[p.index("Exchange hashpartitioning(l_orderkey"):]
 
 
+def test_relationship_checks_exchange_lines_by_three_sets_of_columns_and_number_none(spark, tmp_path, monkeypatch):
+    import re
+
+    from salesmart.operators import quality
+    from salesmart.plans.queries import all_queries
+    path = str(tmp_path)
+    _tables(spark, path)
+    spark.createDataFrame([(7, "Customer#7", 1, "BUILDING"), (8, "Customer#8", 1, "MACHINERY")],
+                          "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").write.parquet(f"{path}/customer.parquet")
+    spark.createDataFrame([(6, "p", "Brand#1", "t", 3, 9.0)],  # the lines' product 5 is not there
+                          "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+                          ).write.parquet(f"{path}/part.parquet")
+    made, before = [], quality.counted_together
+    monkeypatch.setattr(quality, "counted_together", lambda *args: made.append(before(*args)) or made[-1])
+    found = {r["check_id"]: r["failures"] for r in all_queries()["dq_relationships"](spark, path).collect()}
+    assert len(found) == 6 and {k: n for k, n in found.items() if n} == {"stg_sales_orders.relationships.product_id": 2}
+    ran = made[0]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(made) == 1 and "Window" not in ran
+    # by order go the keys alone (products are only asked for nulls), with the product, and with the ship date, each once
+    scans = [re.sub(r"#\d+L?", "", s) for s in re.findall(r"FileScan parquet \[(l_[^]]*)\]", ran)]
+    assert sorted(scans) == ["l_orderkey,l_partkey", "l_orderkey,l_partkey", "l_orderkey,l_shipdate"]
+    assert ran.count("+- Exchange hashpartitioning(l_orderkey") == 3
+
+
 def test_checks_of_many_models_join_the_lines_once(spark):
     from salesmart.operators.rules import declared_checks
     from salesmart.plans.queries import _models_for
