@@ -253,3 +253,34 @@ def test_row_counts_and_relationships_of_models_are_one_query(spark, monkeypatch
     bad = Check("t", "relationships", "gone", {"to": "u", "field": "x"})
     found = {r["check_id"]: (r["failures"], r["status"]) for r in run_checks({"t": t, "u": t.filter("x < 2")}, [*checks, bad], AS_OF).collect()}
     assert found[bad.check_id] == (None, "error") and found[checks[2].check_id] == (1, "fail")
+
+
+def test_a_check_that_is_not_evaluated_is_no_empty_result_of_failing_rows(spark):
+    t = {"t": spark.createDataFrame([(1, "a"), (None, "b")], "x int, y string")}
+    with pytest.raises(RuntimeError, match="t.not_null.absent"):
+        failed_rows(t, [Check("t", "not_null", "x"), Check("t", "not_null", "absent")], {"t": "y"}, AS_OF)
+    assert [r["row_key"] for r in failed_rows(t, [Check("t", "not_null", "x")], {"t": "y"}, AS_OF).collect()] == ["b"]
+
+
+def test_a_failure_of_the_run_is_raised_and_no_result(spark, monkeypatch):
+    import threading
+    import time
+
+    from py4j.protocol import Py4JJavaError
+
+    from salesmart.operators import quality
+    t = {"t": spark.createDataFrame([("1",), ("b",)], "x string")}
+    # a wrong pattern and a value that cannot be cast are the check's own
+    found = run_checks(t, [Check("t", "regex", "x", {"pattern": "("}), Check("t", "accepted_range", "x", {"min": 0, "max": 1})], AS_OF)
+    assert [r["status"] for r in found.collect()] == ["error", "error"]
+
+    def cancelled(df, checks):
+        """A job that is ended from outside."""
+        job = "ended-from-outside"
+        ender = threading.Thread(target=lambda: (time.sleep(1), spark.sparkContext.cancelJobsWithTag(job)))
+        spark.sparkContext.addJobTag(job)
+        ender.start()
+        return spark.range(0, 10 ** 13, 1, 2).selectExpr("sum(hash(id))").collect()
+    monkeypatch.setattr(quality, "_repeated_hashes", cancelled)
+    with pytest.raises(Py4JJavaError, match="CANCELLED"):
+        run_checks(t, [Check("t", "unique", "x"), Check("t", "not_null", "x")], AS_OF)
