@@ -281,6 +281,25 @@ def test_a_failure_of_the_run_is_raised_and_no_result(spark, monkeypatch):
         spark.sparkContext.addJobTag(job)
         ender.start()
         return spark.range(0, 10 ** 13, 1, 2).selectExpr("sum(hash(id))").collect()
-    monkeypatch.setattr(quality, "_repeated_hashes", cancelled)
+    monkeypatch.setattr(quality, "_repeats", cancelled)
     with pytest.raises(Py4JJavaError, match="CANCELLED"):
         run_checks(t, [Check("t", "unique", "x"), Check("t", "not_null", "x")], AS_OF)
+
+
+def test_only_keys_with_a_repeated_hash_are_counted_by_value(spark, monkeypatch):
+    from salesmart.operators import quality
+    df = spark.createDataFrame([(i, i % 90, None) for i in range(100)] + [(None, None, 1)], "x int, y int, z int")
+    checks = [Check("t", "unique", "y"), Check("t", "duplicates", None, {"columns": ["z", "x"]}), Check("t", "unique_combination", None, {"columns": ["z"]})]
+    seen, plain = [], quality._group_check
+    monkeypatch.setattr(quality, "_group_check", lambda rows, c: seen.append(rows.count()) or plain(rows, c))
+    hashes: dict = {}
+    want = [10, 0, 1]
+    found = [r["failures"] for r in run_checks({"t": df}, checks, AS_OF, hashes=hashes).collect()]
+    assert found == want and seen == [20, 2, 100]  # (null, 1) and (1, null) have one hash
+    assert sorted(r["x"] for r in failing_rows(df, checks[0], AS_OF, hashes=hashes[checks[0].check_id]).collect()) == [
+        *range(10), *range(90, 100)]
+    assert failed_rows({"t": df}, checks, {"t": "x"}, AS_OF).count() == 120
+    # too many to send to the driver: all keys are counted by value, with the same results
+    monkeypatch.setattr(quality, "MOST_REPEATED", 3)
+    assert [r["failures"] for r in run_checks({"t": df}, checks, AS_OF).collect()] == want
+    assert failed_rows({"t": df}, checks, {"t": "x"}, AS_OF).count() == 120
