@@ -141,3 +141,34 @@ def test_checks_of_many_models_join_the_lines_once(spark):
         assert "lineitem.parquet" not in plan(stored[name]) and stored[name].columns == lazy[name].columns
     a, b = lazy["int_product_sales"], stored["int_product_sales"]
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stored_lines_are_clustered_by_order_and_by_product(spark):
+    from salesmart.operators.rules import declared_checks
+    from salesmart.plans.queries import _models_for
+    stored = _models_for(spark, SF_SMALL, declared_checks())
+    assert "Exchange hashpartitioning(sales_order_id" not in plan(stored["int_customer_orders"])
+    sold = stored["int_product_sales"]
+    # the lines have their products' attributes and are not exchanged by product again
+    assert "part.parquet" not in plan(sold) and "Exchange" not in plan(sold.groupBy("product_id").agg({"line_profit": "sum"}))
+    assert "Exchange" not in plan(sold.filter("line_profit < 0"))
+
+
+def test_summary_exchanges_no_sums_by_order(spark):
+    p = plan(models_on_testdata(spark, SF_SMALL, TEST_AS_OF)["fct_sales_summary"])
+    by_order = [line for line in p.splitlines() if "HashAggregate(keys=[" in line and "sales_order_id" in line]
+    assert by_order and not any("sum(" in line for line in by_order)
+
+
+def test_summary_of_lines_without_a_date(spark):
+    """Their orders and sums are counted, their customers and products are not."""
+    from pyspark.sql import functions as F
+    ips = models_on_testdata(spark, SF_SMALL, TEST_AS_OF)["int_product_sales"]
+    some = ips.filter("sales_order_id % 3 = 0").withColumn("order_date", F.lit(None).cast("date"))
+    rows = marts.fct_sales_summary(ips.filter("sales_order_id % 3 <> 0").unionByName(some))
+    row = rows.filter("order_date IS NULL").first()
+    assert row["total_orders"] == some.select("sales_order_id").distinct().count() > 0
+    assert row["online_orders"] == some.filter("order_channel = 'Online'").select("sales_order_id").distinct().count()
+    assert row["total_revenue"] == some.agg({"line_total": "sum"}).first()[0]
+    assert row["unique_customers"] is None and row["unique_products_sold"] is None
+    assert rows.filter("order_date IS NOT NULL AND unique_customers > 0").count() == rows.count() - 1

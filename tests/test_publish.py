@@ -165,3 +165,29 @@ def test_new_columns_and_refused_changes(spark, tmp_path):
     with pytest.raises(ValueError):
         publish.new_run("a/b")
     assert publish.current_version(spark, root) == "v1"
+
+
+def test_clustered_tables_are_grouped_by_their_key_without_an_exchange(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id % 37 AS k", "id % 5 AS y", "id AS v")
+    for i, split in enumerate((None, ["y"])):
+        stored, name = publish.write_clustered(rows, str(tmp_path / f"a b{i}"), "k", 4, split)
+        grouped = stored.groupBy("k", "v").count().groupBy("k").count()
+        assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+        if split:  # partitions are looked up by the name
+            assert grouped.count() == 37
+        publish.forget(spark, [name])
+        assert not spark.catalog.tableExists(name)
+        if not split:
+            assert grouped.count() == 37 and stored.exceptAll(rows).count() == 0 and stored.count() == 1000
+        assert spark.read.parquet(str(tmp_path / f"a b{i}")).count() == 1000
+
+
+def test_buckets_divide_the_shuffle_partitions_and_follow_the_size(spark, tmp_path, monkeypatch):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert parts == 8 and publish.bucket_count(spark, spark.createDataFrame([(1,)], "x int")) == 8  # of unknown size
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "a b"))
+    source = spark.read.parquet(str(tmp_path / "a b"))
+    assert publish.bucket_count(spark, source) == 1
+    size = sum(f.stat().st_size for f in (tmp_path / "a b").glob("part-*.parquet"))
+    monkeypatch.setattr(publish, "BUCKET_BYTES", size // 3)
+    assert publish.bucket_count(spark, source) == 4
