@@ -61,3 +61,26 @@ def test_stored_order_lines_are_zstd(spark):
     for path in files:
         group = pq.ParquetFile(path.removeprefix("file://")).metadata.row_group(0)
         assert {group.column(i).compression for i in range(group.num_columns)} == {"ZSTD"}
+
+
+def test_a_build_writes_its_marts_one_after_another_and_leaves_no_names(spark, tmp_path, monkeypatch):
+    import threading
+
+    from salesmart.plans import build as module
+    running, most, before = [], [], publish.write_table
+
+    def counted(df, path, partition_by=None):
+        running.append(threading.get_ident())
+        most.append(len(running))
+        try:
+            before(df, path, partition_by)
+        finally:
+            running.pop()
+    monkeypatch.setattr(publish, "write_table", counted)
+    layers, plain = [], module._layer
+    monkeypatch.setattr(module, "_layer", lambda *args: (most.clear(), plain(*args), layers.append(max(most, default=0)))[1])
+    build(spark, conform.sources(spark, SF_SMALL), str(tmp_path), TEST_AS_OF, version="v1", checks=[])
+    assert len(layers) == 3 and layers[2] == 1
+    assert not spark.sql("SHOW TABLES IN salesmart_clustered").where("NOT isTemporary").count()
+    clustered = {n: list((tmp_path / n / "release=v1").rglob("*_0000[0-9].c000.zstd.parquet")) for n in module.CLUSTERED}
+    assert all(clustered.values())
